@@ -1,0 +1,11 @@
+"""Vectorised (Arrow batch) pandas UDFs used as user hooks. No postponed
+annotations here: pandas UDFs read their type hints at definition time."""
+
+import pandas as pd
+from pyspark.sql import functions as F
+
+
+@F.pandas_udf("int")
+def text_length(s: pd.Series) -> pd.Series:
+    """Length of each text, computed on a whole Arrow batch at once."""
+    return s.str.len().astype("int32")

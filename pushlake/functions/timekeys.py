@@ -70,11 +70,11 @@ def key_is_valid(key: ColumnOrName, grain: ColumnOrName | str) -> Column:
     accepted (D12)."""
     k = as_col(key)
     g = F.lit(grain) if isinstance(grain, str) and grain in GRAIN_FORMATS else as_col(grain)
-    ok_month = (F.length(k) == 6) & F.try_to_date(F.concat(k, F.lit("01")), F.lit("yyyyMMdd")).isNotNull()
-    ok_day = (F.length(k) == 8) & F.try_to_date(k, F.lit("yyyyMMdd")).isNotNull()
+    ok_month = (F.length(k) == 6) & F.try_to_date(F.concat(k, F.lit("01")), "yyyyMMdd").isNotNull()
+    ok_day = (F.length(k) == 8) & F.try_to_date(k, "yyyyMMdd").isNotNull()
     ok_hour = (
         (F.length(k) == 10)
-        & F.try_to_date(F.substring(k, 1, 8), F.lit("yyyyMMdd")).isNotNull()
+        & F.try_to_date(F.substring(k, 1, 8), "yyyyMMdd").isNotNull()
         & F.substring(k, 9, 2).rlike("^([01][0-9]|2[0-3])$")
     )
     return F.coalesce(
@@ -87,7 +87,7 @@ def day_to_ms(day: ColumnOrName, tz: str = DEFAULT_TZ) -> Column:
     """T4: epoch ms of local midnight of a yyyyMMdd day in ``tz``; a bad day gives 0
     (no lenient roll-over, D13)."""
     d = as_col(day).cast("string")
-    parsed = F.when(F.length(d) == 8, F.try_to_date(d, F.lit("yyyyMMdd")))
+    parsed = F.when(F.length(d) == 8, F.try_to_date(d, "yyyyMMdd"))
     utc = F.convert_timezone(F.lit(tz), F.lit("UTC"), parsed.cast("timestamp_ntz"))
     return F.coalesce(F.timestamp_diff("MILLISECOND", F.expr(_EPOCH_NTZ), utc), F.lit(0).cast("bigint"))
 
