@@ -1,5 +1,6 @@
 """All checked queries. Importing this module registers them."""
 
 from pushlake.plans import (  # noqa: F401
+    q_funcs,
     q_parse,
 )
