@@ -175,3 +175,10 @@ def to_cells(
         (F.lit(ts) if isinstance(ts, int) else ts).cast("bigint").alias("ts"),
         value.cast("string").alias("value"),
     )
+
+
+def newest_versions(cells: DataFrame, n: int) -> DataFrame:
+    """The newest ``n`` versions of every cell (per-task group limit before the
+    shuffle, then the final window)."""
+    w = Window.partitionBy(*CELL_KEY).orderBy(F.col("ts").desc())
+    return cells.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")

@@ -318,3 +318,21 @@ def t6_add_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_format(TK.add_interval(d, F.col("o_totalprice") / 50000.0, "day"), "yyyy-MM-dd").alias("due"),
         F.date_format(TK.add_interval(d, F.col("o_totalprice") / 100000.0, "month"), "yyyy-MM-dd").alias("due_month"),
     )
+
+
+def _version_cte(flag: str) -> str:
+    """SQL CTE ``parsed_<flag>`` of P7 / P8 over version_lines (for other oracles)."""
+    if flag == "apkver":
+        test, a, b = f"contains({_jt('arr[2]')}, '.')", "appkey", "apkver"
+    else:
+        test, a, b = f"regexp_matches({_jt('arr[2]')}, '^[0-9]+.[0-9]+.[0-9]+$')", "channel", "sdkver"
+    return f"""{VERSION_LINES}, {VSPLIT},
+parsed_{flag} AS (
+  SELECT event_id, {_jt('arr[1]')} AS uid,
+    CASE WHEN len(arr) = 2 THEN CASE WHEN {test} THEN NULL ELSE {_jt('arr[2]')} END ELSE {_jt('arr[2]')} END AS {a},
+    CASE WHEN len(arr) = 2 THEN CASE WHEN {test} THEN {_jt('arr[2]')} END ELSE {_jt('arr[3]')} END AS {b}
+  FROM s WHERE len(arr) > 1)"""
+
+
+PARSED_APKVER = _version_cte("apkver")
+PARSED_SDKVER = _version_cte("sdkver")
