@@ -3,5 +3,6 @@
 from pushlake.plans import (  # noqa: F401
     q_cells,
     q_funcs,
+    q_ordered,
     q_parse,
 )
