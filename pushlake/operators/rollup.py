@@ -99,3 +99,14 @@ def first_n_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Colum
     before the shuffle for this pattern)."""
     w = Window.partitionBy(*group).orderBy(*order)
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
+
+
+def observe_counts(parsed: DataFrame, observation, reason_col: str = "reject_reason") -> DataFrame:
+    """A10: attach accepted / rejected / total counters to a parsed DataFrame; they
+    are filled by the first action, with no extra pass over the data."""
+    return parsed.observe(
+        observation,
+        F.count(F.lit(1)).alias("total"),
+        F.count(F.when(F.col(reason_col).isNull(), 1)).alias("accepted"),
+        F.count(F.col(reason_col)).alias("rejected"),
+    )

@@ -1,6 +1,7 @@
 """All checked queries. Importing this module registers them."""
 
 from pushlake.plans import (  # noqa: F401
+    q_agg,
     q_cells,
     q_funcs,
     q_ordered,
