@@ -4,6 +4,8 @@ from pushlake.plans import (  # noqa: F401
     q_agg,
     q_cells,
     q_funcs,
+    q_io,
     q_ordered,
     q_parse,
+    q_stream,
 )
