@@ -27,6 +27,8 @@ def range_segments(df: DataFrame, order_col: str, n: int, rel_err: float = 0.001
     with_x = df.withColumn(tmp, F.col(order_col).cast("double"))
     bounds = sorted(set(with_x.approxQuantile(tmp, probs, rel_err))) if n > 1 else []
     splits = [float("-inf")] + [b for b in bounds if b not in (float("-inf"), float("inf"))] + [float("inf")]
+    if len(splits) < 3:
+        return df.withColumn(out, F.lit(0.0))
     b = Bucketizer(splits=splits, inputCol=tmp, outputCol=out, handleInvalid="keep")
     return b.transform(with_x).drop(tmp)
 

@@ -117,3 +117,17 @@ WITH {JOBS}
 SELECT cube, name, job_status, duration FROM (SELECT *, row_number() OVER (PARTITION BY cube ORDER BY name) AS rn FROM jobs) t WHERE rn <= 1000""")
 def w7_first_n_per_group(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.first_n_per_group(fx.jobs(spark, sf_dir), ["cube"], [F.col("name")], 1000)
+
+
+@register("k5_replace_into", sql=f"""
+WITH {DOCS}, {PARSED_APKVER},
+u AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY uid ORDER BY event_id DESC) AS rn FROM parsed_apkver) t WHERE rn = 1)
+SELECT uid, appkey, apkver, sdkver, channel FROM docs WHERE uid NOT IN (SELECT uid FROM u)
+UNION ALL SELECT uid, appkey, apkver, NULL AS sdkver, NULL AS channel FROM u""")
+def k5_replace_into(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K5 replace-into semantics on DataFrames: rows replace same-key table rows whole
+    (the JDBC writer then overwrites the table; no database is started here)."""
+    from pushlake.operators.merge import replace_into
+
+    latest = O.last_write_wins(parsed_apkver(spark, sf_dir), "uid", "event_id", ["appkey", "apkver"])
+    return replace_into(fx.docs(spark, sf_dir), latest, ["uid"]).select("uid", "appkey", "apkver", "sdkver", "channel")
