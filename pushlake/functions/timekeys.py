@@ -2,7 +2,10 @@
 
 The session time zone belongs to whoever runs the job, so nothing here reads
 it: epoch values are turned into wall-clock ``timestamp_ntz`` values of an
-explicit zone with ``timestampadd`` + ``convert_timezone``.
+explicit zone with ``timestampadd`` + ``convert_timezone``, and NTZ values are
+read back with field extractors (year, month, day, hour, minute, second).
+``date_format`` and ``timestampdiff`` are avoided on NTZ values: both cast to a
+session-zone timestamp first, which shifts wall-clock hours in DST gaps.
 """
 
 from __future__ import annotations
@@ -39,9 +42,31 @@ def local_wall_clock(epoch_ms: ColumnOrName, tz: str = DEFAULT_TZ) -> Column:
     return F.convert_timezone(F.lit("UTC"), F.lit(tz), utc)
 
 
+def _2(c: Column) -> Column:
+    return F.lpad(c.cast("string"), 2, "0")
+
+
+def ntz_parts(ts_ntz: ColumnOrName) -> dict[str, Column]:
+    """Zone-free text fields of a ``timestamp_ntz`` (or date): yyyy, MM, dd, HH."""
+    t = as_col(ts_ntz)
+    return {
+        "yyyy": F.lpad(F.year(t).cast("string"), 4, "0"),
+        "MM": _2(F.month(t)),
+        "dd": _2(F.dayofmonth(t)),
+        "HH": _2(F.hour(t)),
+    }
+
+
+def ntz_key(ts_ntz: ColumnOrName, grain: str = "hour") -> Column:
+    """``yyyyMM`` / ``yyyyMMdd`` / ``yyyyMMddHH`` text of a ``timestamp_ntz``, zone-free."""
+    p = ntz_parts(ts_ntz)
+    parts = {"month": ["yyyy", "MM"], "day": ["yyyy", "MM", "dd"], "hour": ["yyyy", "MM", "dd", "HH"]}[grain]
+    return F.concat(*[p[k] for k in parts])
+
+
 def hour_key(epoch_ms: ColumnOrName, tz: str = DEFAULT_TZ) -> Column:
     """``yyyyMMddHH`` text of an epoch-ms instant in ``tz``."""
-    return F.date_format(local_wall_clock(epoch_ms, tz), "yyyyMMddHH")
+    return ntz_key(local_wall_clock(epoch_ms, tz), "hour")
 
 
 def time_keys(itime: ColumnOrName, tz: str = DEFAULT_TZ) -> Column:
@@ -89,19 +114,19 @@ def day_to_ms(day: ColumnOrName, tz: str = DEFAULT_TZ) -> Column:
     d = as_col(day).cast("string")
     parsed = F.when(F.length(d) == 8, F.try_to_date(d, "yyyyMMdd"))
     utc = F.convert_timezone(F.lit(tz), F.lit("UTC"), parsed.cast("timestamp_ntz"))
-    return F.coalesce(F.timestamp_diff("MILLISECOND", F.expr(_EPOCH_NTZ), utc), F.lit(0).cast("bigint"))
+    return F.coalesce(ms_of_ntz(utc), F.lit(0).cast("bigint"))
 
 
 def nominal_parts(ts_ntz: ColumnOrName) -> Column:
     """T5: struct(ym_dh, yyyy, MM, dd, HH, hour_HH) of a nominal time."""
-    t = as_col(ts_ntz)
+    p = ntz_parts(ts_ntz)
     return F.struct(
-        F.date_format(t, "yyyyMMddHH").alias("yyyymmddhh"),
-        F.date_format(t, "yyyy").alias("yyyy"),
-        F.date_format(t, "MM").alias("mm"),
-        F.date_format(t, "dd").alias("dd"),
-        F.date_format(t, "HH").alias("hh"),
-        F.concat(F.lit("hour_"), F.date_format(t, "HH")).alias("hour_hh"),
+        F.concat(p["yyyy"], p["MM"], p["dd"], p["HH"]).alias("yyyymmddhh"),
+        p["yyyy"].alias("yyyy"),
+        p["MM"].alias("mm"),
+        p["dd"].alias("dd"),
+        p["HH"].alias("hh"),
+        F.concat(F.lit("hour_"), p["HH"]).alias("hour_hh"),
     )
 
 
@@ -122,8 +147,12 @@ def add_interval(d: ColumnOrName, n: ColumnOrName, unit: str) -> Column:
 
 
 def ms_of_ntz(ts_ntz: ColumnOrName) -> Column:
-    """Epoch ms of a ``timestamp_ntz`` read as UTC wall clock (no session zone)."""
-    return F.timestamp_diff("MILLISECOND", F.expr(_EPOCH_NTZ), as_col(ts_ntz))
+    """Epoch ms (floor) of a ``timestamp_ntz`` read as UTC wall clock, from its date
+    and time fields, so no session zone is involved."""
+    t = as_col(ts_ntz)
+    days = F.datediff(F.to_date(t), F.lit("1970-01-01").cast("date")).cast("bigint")
+    sec_ms = F.floor(F.date_part(F.lit("SECOND"), t) * 1000).cast("bigint")
+    return days * 86400000 + F.hour(t).cast("bigint") * 3600000 + F.minute(t).cast("bigint") * 60000 + sec_ms
 
 
 def secs_of_ntz(ts_ntz: ColumnOrName) -> Column:

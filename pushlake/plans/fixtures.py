@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pushlake.functions.timekeys import ms_of_ntz, secs_of_ntz
+from pushlake.functions.timekeys import ms_of_ntz, ntz_key, secs_of_ntz
 
 TAB = "\t"
 
@@ -291,8 +291,8 @@ def time_key_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     o_orderkey % 3, day 30 forced on every 7th, ``99`` on every 100th."""
     o = table(spark, sf_dir, "orders")
     k = F.col("o_orderkey")
-    ym = F.date_format("o_orderdate", "yyyyMM")
-    ymd = F.when(k % 7 == 0, F.concat(ym, F.lit("30"))).otherwise(F.date_format("o_orderdate", "yyyyMMdd"))
+    ym = ntz_key("o_orderdate", "month")
+    ymd = F.when(k % 7 == 0, F.concat(ym, F.lit("30"))).otherwise(ntz_key("o_orderdate", "day"))
     hh = F.lpad(_s(k % 26), 2, "0")
     key = F.when(k % 100 == 0, F.lit("99")).when(k % 3 == 0, ym).when(k % 3 == 1, ymd).otherwise(F.concat(ymd, hh))
     return o.select(k.alias("o_orderkey"), key.alias("key"))

@@ -8,7 +8,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pushlake.functions.timekeys import ms_of_ntz
+from pushlake.functions.timekeys import ntz_key, ntz_parts
 from pushlake.operators import parse as P
 from pushlake.plans import fixtures as fx
 from pushlake.plans.fixture_sql import (
@@ -61,10 +61,8 @@ def write_hour_dirs(spark: SparkSession, sf_dir: str) -> tuple[str, dt.datetime,
     """HTTP lines under one directory per (UTC) hour of their event, one file each."""
     ev = fx.table(spark, sf_dir, "events").select("event_id", "ts")
     lines = fx.http_lines(spark, sf_dir).join(ev, "event_id")
-    lines = lines.select(
-        "line", F.date_format("ts", "yyyy").alias("y"), F.date_format("ts", "MM").alias("m"),
-        F.date_format("ts", "dd").alias("d"), F.date_format("ts", "yyyyMMddHH").alias("h"),
-    )
+    p = ntz_parts("ts")
+    lines = lines.select("line", p["yyyy"].alias("y"), p["MM"].alias("m"), p["dd"].alias("d"), ntz_key("ts", "hour").alias("h"))
     path = scratch_path(spark, "hour_dirs")
     lines.repartition("h").write.partitionBy("y", "m", "d", "h").text(path)
     lo, hi = ev.agg(F.min("ts"), F.max("ts")).first()

@@ -315,8 +315,8 @@ def t6_add_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = F.to_date("o_orderdate")
     return o.select(
         "o_orderkey",
-        F.date_format(TK.add_interval(d, F.col("o_totalprice") / 50000.0, "day"), "yyyy-MM-dd").alias("due"),
-        F.date_format(TK.add_interval(d, F.col("o_totalprice") / 100000.0, "month"), "yyyy-MM-dd").alias("due_month"),
+        TK.add_interval(d, F.col("o_totalprice") / 50000.0, "day").cast("string").alias("due"),
+        TK.add_interval(d, F.col("o_totalprice") / 100000.0, "month").cast("string").alias("due_month"),
     )
 
 

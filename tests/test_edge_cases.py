@@ -281,3 +281,19 @@ def test_o1_threshold_and_limit(spark):
     assert len(msg) == 300 and msg.startswith("Error-Cube:['")
     none = spark.createDataFrame([("c", "c - s x", "FINISHED", 1)], "cube string, name string, job_status string, duration long")
     assert AL.job_alerts(none).count() == 0
+
+
+def test_time_functions_ignore_session_zone(spark):
+    """Keys and epoch values do not move with the session zone, also inside a DST gap."""
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        df = spark.sql("select timestamp_ntz'2024-03-10 02:30:15.123' t")
+        r = df.select(TK.ms_of_ntz("t").alias("ms"), TK.nominal_parts("t").alias("p"), TK.ntz_key("t", "hour").alias("h")).first()
+        assert r.ms == 1710037815123 and r.p.yyyymmddhh == "2024031002" and r.h == "2024031002"
+        keys = spark.createDataFrame([("1494496411",)], "t string").select(TK.time_keys("t").alias("k")).first().k
+        assert tuple(keys) == (201705, 20170511, 2017051117)
+        ms = spark.createDataFrame([("20170511",)], "d string").select(TK.day_to_ms("d").alias("ms")).first().ms
+        assert ms == 1494432000000
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
