@@ -28,9 +28,12 @@ def range_segments(df: DataFrame, order_col: str, n: int, rel_err: float = 0.001
     bounds = sorted(set(with_x.approxQuantile(tmp, probs, rel_err))) if n > 1 else []
     splits = [float("-inf")] + [b for b in bounds if b not in (float("-inf"), float("inf"))] + [float("inf")]
     if len(splits) < 3:
-        return df.withColumn(out, F.lit(0.0))
-    b = Bucketizer(splits=splits, inputCol=tmp, outputCol=out, handleInvalid="keep")
-    return b.transform(with_x).drop(tmp)
+        return df.withColumn(out, F.lit(0))
+    b = Bucketizer(splits=splits, inputCol=tmp, outputCol=f"{out}_d", handleInvalid="keep")
+    # an int id: a double key would be NaN-normalised and break partitioning reuse
+    # non-null (null order values land in segment 0), so joins on it infer no filters
+    seg = F.coalesce(F.col(f"{out}_d").cast("int"), F.lit(0))
+    return b.transform(with_x).withColumn(out, seg).drop(tmp, f"{out}_d")
 
 
 def dense_index(df: DataFrame, order: Sequence[str], n_ranges: int, out: str = "idx") -> DataFrame:
@@ -78,32 +81,35 @@ def group_runs(
     if segment is None:
         df = range_segments(df, order[0], n_segments)
         segment = ["_seg"]
-    base = df.select(*segment, F.col(key).alias("_k"), F.col(value).alias("_v"), ordc.alias("_ord"))
-    w = Window.partitionBy(*segment).orderBy("_ord")
-    a = base.withColumn("_prev", F.lag("_k").over(w))
-    inner_start = F.col("_prev").isNotNull() & (F.col("_prev") != F.col("_k"))
+    # One struct column per row: both consumers below (the runs and the per-segment
+    # summary) read it whole, so column pruning leaves their inputs identical and
+    # Spark runs the scan, parse and shuffle once and reuses that exchange.
+    base = df.select(*segment, F.struct(F.col(key).alias("k"), F.col(value).alias("v"), ordc.alias("o")).alias("_row"))
+    k, o = F.col("_row.k"), F.col("_row.o")
+    w = Window.partitionBy(*segment).orderBy(o)
+    a = base.withColumn("_prev", F.lag(k).over(w))
+    inner_start = F.col("_prev").isNotNull() & (F.col("_prev") != k)
     a = a.withColumn(
         "_start_local",
-        F.max(F.when(inner_start, F.col("_ord"))).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
+        F.max(F.when(inner_start, o)).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
     )
     segs = a.groupBy(*segment).agg(
-        F.min("_ord").alias("first_ord"),
-        F.min_by("_k", "_ord").alias("first_key"),
-        F.max_by("_k", "_ord").alias("last_key"),
-        F.max(F.when(inner_start, F.col("_ord"))).alias("inner_last"),
+        F.min_by("_row", o).alias("_first"),
+        F.max_by("_row", o).alias("_last"),
+        F.max("_start_local").alias("inner_last"),
     )
     # one row per segment: the segments are walked in order on this small table only
     ws = Window.orderBy(*segment)
-    prev_last = F.lag("last_key").over(ws)
-    segs = segs.withColumn("first_is_start", prev_last.isNull() | (prev_last != F.col("first_key")))
-    segs = segs.withColumn("own_tail", F.coalesce("inner_last", F.when(F.col("first_is_start"), F.col("first_ord"))))
+    prev_last = F.lag(F.col("_last.k")).over(ws)
+    segs = segs.withColumn("first_is_start", prev_last.isNull() | (prev_last != F.col("_first.k")))
+    segs = segs.withColumn("own_tail", F.coalesce("inner_last", F.when(F.col("first_is_start"), F.col("_first.o"))))
     segs = segs.withColumn("tail", F.last("own_tail", ignorenulls=True).over(ws.rowsBetween(Window.unboundedPreceding, 0)))
     segs = segs.withColumn(
-        "carry", F.when(F.col("first_is_start"), F.col("first_ord")).otherwise(F.lag("tail").over(ws))
+        "carry", F.when(F.col("first_is_start"), F.col("_first.o")).otherwise(F.lag("tail").over(ws))
     ).select(*segment, "carry")
     runs = a.join(segs, list(segment), "inner").withColumn("_run", F.coalesce("_start_local", "carry"))
-    return runs.groupBy(F.col("_k").alias(key), F.col("_run").alias("run_start")).agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_ord", "_v"))), lambda x: x["_v"]), sep).alias(value),
+    return runs.groupBy(k.alias(key), F.col("_run").alias("run_start")).agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(o.alias("o"), F.col("_row.v").alias("v")))), lambda x: x["v"]), sep).alias(value),
         F.count(F.lit(1)).alias("n"),
     )
 
