@@ -122,14 +122,30 @@ def _gid_of(keep: Sequence[str], dims: Sequence[str]) -> int:
     return sum(1 << (len(dims) - 1 - i) for i, d in enumerate(dims) if d not in keep)
 
 
-def cuboid_stats(df: DataFrame, dims: Sequence[str]) -> DataFrame:
-    """Number of rows of every cuboid, by ``gid`` and the list of its dimensions."""
+def cuboid_stats(df: DataFrame, dims: Sequence[str], exact: bool | None = None) -> DataFrame:
+    """Number of rows of every cuboid, by ``gid`` and the list of its dimensions.
+
+    Exact (distinct groups of ``cube`` over the base cuboid) up to
+    ``EXPAND_MAX_DIMS`` dimensions; wider cubes get HyperLogLog estimates, one
+    sketch per cuboid in a single pass over the base cuboid (no 2^n row expansion),
+    as cube builders do for their cuboid statistics."""
+    if exact is None:
+        exact = len(dims) <= EXPAND_MAX_DIMS
     base = df.groupBy(*dims).agg(F.count(F.lit(1)).alias("n"))
-    groups = base.cube(*dims).agg(F.grouping_id().alias("gid"))
-    stats = groups.groupBy("gid").agg(F.count(F.lit(1)).alias("rows"))
     names = F.array_compact(
         F.array(*[F.when(F.col("gid").bitwiseAND(F.lit(1 << (len(dims) - 1 - i))) == 0, F.lit(d)) for i, d in enumerate(dims)])
     )
+    if exact:
+        groups = base.cube(*dims).agg(F.grouping_id().alias("gid"))
+        stats = groups.groupBy("gid").agg(F.count(F.lit(1)).alias("rows"))
+    else:
+        n = len(dims)
+        aggs = []
+        for gid in range(1 << n):
+            keep = [d for i, d in enumerate(dims) if not gid & (1 << (n - 1 - i))]
+            key = F.xxhash64(*[F.col(d) for d in keep]) if keep else F.lit(0)
+            aggs.append(F.struct(F.lit(gid).cast("bigint").alias("gid"), F.approx_count_distinct(key).alias("rows")))
+        stats = base.agg(F.array(*aggs).alias("_s")).select(F.explode("_s").alias("_s")).select("_s.gid", "_s.rows")
     return stats.select("gid", F.array_join(names, ",").alias("dims"), "rows")
 
 
@@ -162,15 +178,14 @@ def query_cube(cube: DataFrame, dims: Sequence[str], want: Sequence[str], measur
     """C11: answer ``sum(measure)`` by ``want`` from the matching cuboid (the filter
     may only use ``want`` columns). If the cube has no such cuboid and ``fallback`` is
     set, aggregate the base table instead; else raise."""
-    gid = _gid_of(want, dims)
-    cub = cube.filter(F.col("gid") == gid)
-    if where is not None:
-        cub = cub.filter(where)
-    if cub.limit(1).count() == 0 and not set(want) <= set(dims):
+    if not set(want) <= set(dims):
         if not fallback or base is None:
             raise ValueError(f"no cuboid for {list(want)} and fallback is off")
         b = base if where is None else base.filter(where)
         return b.groupBy(*want).agg(F.sum(measure).alias(measure))
+    cub = cube.filter(F.col("gid") == _gid_of(want, dims))
+    if where is not None:
+        cub = cub.filter(where)
     return cub.select(*want, measure)
 
 

@@ -297,3 +297,26 @@ def test_time_functions_ignore_session_zone(spark):
         assert ms == 1494432000000
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_c5_cuboid_stats_exact_and_sketched(spark):
+    from pushlake.operators import cube as CB
+
+    rows = [(f"a{i % 7}", f"b{i % 5}", f"c{i % 3}") for i in range(500)]
+    df = spark.createDataFrame(rows, "a string, b string, c string")
+    exact = {r.gid: r.rows for r in CB.cuboid_stats(df, ["a", "b", "c"], exact=True).collect()}
+    approx = {r.gid: r.rows for r in CB.cuboid_stats(df, ["a", "b", "c"], exact=False).collect()}
+    assert exact[0] == 105 and exact[7] == 1 and set(exact) == set(approx)
+    assert all(abs(approx[g] - exact[g]) <= max(2, 0.1 * exact[g]) for g in exact)
+
+
+def test_c11_query_cube_fallback(spark):
+    from pushlake.operators import cube as CB
+
+    df = spark.createDataFrame([("x", "p", 1), ("x", "q", 2), ("y", "p", 4)], "a string, b string, v int")
+    cube = CB.build_cube(df, ["a"], {"v": F.sum("v")})
+    assert sorted(map(tuple, CB.query_cube(cube, ["a"], ["a"], "v").collect())) == [("x", 3), ("y", 4)]
+    with pytest.raises(ValueError):
+        CB.query_cube(cube, ["a"], ["b"], "v")
+    got = CB.query_cube(cube, ["a"], ["b"], "v", base=df, fallback=True)
+    assert sorted(map(tuple, got.collect())) == [("p", 5), ("q", 2)]
