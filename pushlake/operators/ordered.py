@@ -16,24 +16,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def range_segments(df: DataFrame, order_col: str, n: int, rel_err: float = 0.001, out: str = "_seg") -> DataFrame:
-    """Add ``out``: the index of the quantile range of ``order_col`` (contiguous,
-    about equal sized; ``n`` ranges). Boundaries come from one distributed
-    ``approxQuantile`` pass; rows are bucketed by binary search on the JVM."""
-    from pyspark.ml.feature import Bucketizer
-
-    probs = [i / n for i in range(1, n)]
-    tmp = f"{out}_x"
-    with_x = df.withColumn(tmp, F.col(order_col).cast("double"))
-    bounds = sorted(set(with_x.approxQuantile(tmp, probs, rel_err))) if n > 1 else []
-    splits = [float("-inf")] + [b for b in bounds if b not in (float("-inf"), float("inf"))] + [float("inf")]
-    if len(splits) < 3:
-        return df.withColumn(out, F.lit(0))
-    b = Bucketizer(splits=splits, inputCol=tmp, outputCol=f"{out}_d", handleInvalid="keep")
-    # an int id: a double key would be NaN-normalised and break partitioning reuse
-    # non-null (null order values land in segment 0), so joins on it infer no filters
-    seg = F.coalesce(F.col(f"{out}_d").cast("int"), F.lit(0))
-    return b.transform(with_x).withColumn(out, seg).drop(tmp, f"{out}_d")
+def range_segments(df: DataFrame, order: Sequence[str], n: int | None = None, out: str = "_seg") -> DataFrame:
+    """Add ``out``: the index of a contiguous range of ``order``. Spark's range
+    partitioner samples the keys and cuts them into ``n`` ranges of about equal
+    size (default: the session's shuffle partitions), so every segment is bounded
+    by the data size over ``n``; the segment is the range partition id."""
+    if n is None:
+        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartitionByRange(n, *order).withColumn(out, F.spark_partition_id())
 
 
 def dense_index(df: DataFrame, order: Sequence[str], n_ranges: int, out: str = "idx") -> DataFrame:
@@ -66,7 +56,7 @@ def group_runs(
     order: Sequence[str],
     segment: Sequence[str] | None = None,
     sep: str = "|",
-    n_segments: int = 64,
+    n_segments: int | None = None,
 ) -> DataFrame:
     """Runs of consecutive rows (in ``order``) with equal ``key`` ->
     (key, run_start, values joined by ``sep`` in order, n).
@@ -79,7 +69,7 @@ def group_runs(
     and no key is routed to a single task."""
     ordc = F.struct(*[F.col(c) for c in order])
     if segment is None:
-        df = range_segments(df, order[0], n_segments)
+        df = range_segments(df, order, n_segments)
         segment = ["_seg"]
     # One struct column per row: both consumers below (the runs and the per-segment
     # summary) read it whole, so column pruning leaves their inputs identical and

@@ -27,7 +27,7 @@ runs AS (SELECT imei, min(event_id) AS run_start, string_agg(pkg, '|' ORDER BY e
 
 def pair_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = P.accepted(P.parse_pairs(fx.pair_lines(spark, sf_dir), keep=["event_id"]))
-    runs = O.group_runs(pairs, "imei", "pkg", ["event_id"], n_segments=8)
+    runs = O.group_runs(pairs, "imei", "pkg", ["event_id"])
     return runs.select("imei", F.col("run_start.event_id").alias("run_start"), "pkg", "n")
 
 
