@@ -89,8 +89,11 @@ def lookup_reversed(keys: DataFrame, key_col: str, cells: DataFrame, qualifiers:
     """J1 + P10: rows stored under the reversed key; key set made distinct, misses
     omitted, the original key restored."""
     probe = keys.select(F.col(key_col).cast("string").alias("uid")).distinct().withColumn("rowkey", X.reverse_key("uid"))
+    # one join brings the original key along; rowkey and uid are 1:1, so pivoting by
+    # uid is pivoting by row
     hit = cells.filter(F.col("qualifier").isin(*qualifiers)).join(probe, "rowkey", "inner")
-    return pivot_user(hit, qualifiers).join(probe, "rowkey", "inner").select("uid", *qualifiers)
+    aggs = [F.max(F.when(F.col("qualifier") == q, F.struct("ts", "value")))["value"].alias(q) for q in qualifiers]
+    return hit.groupBy("uid").agg(*aggs)
 
 
 def lookup_sum(

@@ -320,3 +320,49 @@ def test_c11_query_cube_fallback(spark):
         CB.query_cube(cube, ["a"], ["b"], "v")
     got = CB.query_cube(cube, ["a"], ["b"], "v", base=df, fallback=True)
     assert sorted(map(tuple, got.collect())) == [("p", 5), ("q", 2)]
+
+
+def test_w1_text_runs_across_many_splits(spark, tmp_path):
+    """Runs read from text files cut into many small splits (segments = splits)."""
+    from pushlake.sources.readers import read_lines
+
+    keys = (["a"] * 40 + ["b"] * 7 + ["a"] * 25 + ["c"] * 60 + ["a"] * 3) * 3
+    path = str(tmp_path / "pairs")
+    spark.createDataFrame([(i, f"{k} p{i}") for i, k in enumerate(keys)], "n long, line string") \
+        .repartitionByRange(3, "n").sortWithinPartitions("n").select("line").write.text(path)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "200")
+        lines = read_lines(spark, path)
+        assert lines.select("_file", "_block").distinct().count() > 10
+        pairs = P.accepted(P.parse_pairs(lines, keep=["_file", "_block", "_pos"]))
+        runs = O.group_runs(pairs, "imei", "pkg", ["_file", "_block", "_pos"], segment=["_file", "_block"])
+        got = sorted((r.imei, r.n, r.pkg.split("|")[0]) for r in runs.collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    expect, i = [], 0
+    while i < len(keys):
+        j = i
+        while j < len(keys) and keys[j] == keys[i]:
+            j += 1
+        expect.append((keys[i], j - i, f"p{i}"))
+        i = j
+    assert got == sorted(expect)
+
+
+@pytest.mark.parametrize("files_per_trigger", [1, 3])
+def test_r2_stream_equals_batch(spark, tmp_path, files_per_trigger):
+    """Draining a file stream gives the batch transform's rows, whatever the
+    batch size; a restart from the checkpoint adds nothing."""
+    from pushlake.streaming import consume as ST
+
+    bodies = [_ev(msg_id=i, uid=i % 7) for i in range(2, 60)] + ['{"rows":[' + _ev(msg_id=100) + "," + _ev(msg_id=1) + "]}", "junk"]
+    src = str(tmp_path / "src")
+    spark.createDataFrame([(b,) for b in bodies], "value string").repartition(5).write.parquet(src)
+    batch = sorted(map(tuple, ST.push_records(spark.read.parquet(src)).collect()))
+    out, ck = str(tmp_path / "out"), str(tmp_path / "ck")
+    stream = lambda: spark.readStream.schema("value string").option("maxFilesPerTrigger", files_per_trigger).parquet(src)
+    ST.drain(stream(), ST.push_records, ST.idempotent_writer(out), ck).awaitTermination()
+    ST.drain(stream(), ST.push_records, ST.idempotent_writer(out), ck).awaitTermination()
+    got = sorted(map(tuple, spark.read.parquet(out).select(*P.PUSH_COLUMNS).collect()))
+    assert got == batch and len(got) == 59
