@@ -12,18 +12,26 @@ from pyspark.sql import functions as F
 from pushlake.functions._cols import ColumnOrName, as_col
 
 # Fixed value: Java String.trim() removes every char from U+0000 to U+0020.
-_JAVA_BLANKS = r"[\x00-\x20]"
+JAVA_BLANKS = "".join(chr(i) for i in range(0x21))
+_REGEX_META = set(".$|()[]{}^?*+\\")
 
 
 def java_trim(s: ColumnOrName) -> Column:
-    """Java ``String.trim``: strips every char <= U+0020 (tabs, CR, NUL...)."""
-    return F.regexp_replace(as_col(s), rf"^{_JAVA_BLANKS}+|{_JAVA_BLANKS}+$", "")
+    """Java ``String.trim``: strips every char <= U+0020 (tabs, CR, NUL...).
+    Spark's ``trim`` with an explicit character set (no regex)."""
+    return F.trim(as_col(s), F.lit(JAVA_BLANKS))
 
 
 def java_split(s: ColumnOrName, sep: str) -> Column:
     """Java ``String.split(sep)``: like Spark ``split`` but trailing empty fields
-    are dropped. ``sep`` is a regular expression, as in Java."""
-    return F.split(F.regexp_replace(as_col(s), f"(?:{sep})+$", ""), sep)
+    are dropped (so a text of separators only gives no field, an empty text one
+    empty field). ``sep`` is a regular expression, as in Java; a one-character
+    literal separator takes the fast path (``rtrim`` of it, no regex scan)."""
+    c = as_col(s)
+    if len(sep) == 1 and sep not in _REGEX_META:
+        r = F.rtrim(c, F.lit(sep))
+        return F.when((F.length(r) == 0) & (F.length(c) > 0), F.array().cast("array<string>")).otherwise(F.split(r, sep))
+    return F.split(F.regexp_replace(c, f"(?:{sep})+$", ""), sep)
 
 
 def reverse_key(s: ColumnOrName) -> Column:
