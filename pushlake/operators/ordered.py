@@ -99,7 +99,7 @@ def group_runs(
     ).select(*segment, "carry")
     runs = a.join(segs, list(segment), "inner").withColumn("_run", F.coalesce("_start_local", "carry"))
     return runs.groupBy(k.alias(key), F.col("_run").alias("run_start")).agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(o.alias("o"), F.col("_row.v").alias("v")))), lambda x: x["v"]), sep).alias(value),
+        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(o.alias("o"), F.col("_row.v").alias("v")))), lambda x: x["v"]), sep).alias(value),
         F.count(F.lit(1)).alias("n"),
     )
 

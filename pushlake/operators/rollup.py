@@ -38,16 +38,16 @@ def applist_by_imei(df: DataFrame, salt_buckets: int = 0) -> DataFrame:
     if salt_buckets and salt_buckets > 1:
         salted = src.withColumn("_salt", F.pmod(F.xxhash64("app", "itime"), F.lit(salt_buckets)))
         part = salted.groupBy("imei", "_salt").agg(
-            F.array_sort(F.collect_list("app")).alias("apps"),
+            F.sort_array(F.collect_list("app")).alias("apps"),
             F.max(F.when((F.length(F.col("itime").cast("string")) == 10) & (F.col("itime") > 0), F.col("itime"))).alias("t"),
         )
         return part.groupBy("imei").agg(
             (F.max("t") * 1000).cast("bigint").alias("itime_ms"),
-            F.to_json(F.array_sort(F.flatten(F.collect_list("apps")))).alias("applist"),
+            F.to_json(F.sort_array(F.flatten(F.collect_list("apps")))).alias("applist"),
         )
     return src.groupBy("imei").agg(
         applist_time("itime").alias("itime_ms"),
-        F.to_json(F.array_sort(F.collect_list("app"))).alias("applist"),
+        F.to_json(F.sort_array(F.collect_list("app"))).alias("applist"),
     )
 
 
