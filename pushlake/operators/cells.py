@@ -67,13 +67,62 @@ def latest_ts(cells: DataFrame, family: str | None = None, qualifier: str | Colu
     return c.groupBy("rowkey", "qualifier").agg(F.floor(F.max("ts") / 1000).cast("bigint").alias("ts_s"))
 
 
-def sum_versions(cells: DataFrame, n: int = MAX_VERSIONS) -> DataFrame:
+def _rank(d: DataFrame, part: Sequence[str], order: str, n: int) -> DataFrame:
+    w = Window.partitionBy(*part).orderBy(F.col(order).desc())
+    return d.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
+
+
+def _salted_rank(rows: DataFrame, keys: Sequence[str], order: str, n: int) -> DataFrame:
+    """Top ``n`` per group in three levels: salt over ``s1`` buckets (about four per
+    core of the cluster), then ``sqrt(s1)`` buckets, then the group itself. A level
+    ranks at most one salt bucket of a group, and every later level at most
+    ``n`` rows per bucket it merges, so no task sorts a whole hot group."""
+    s1 = max(2, 4 * rows.sparkSession.sparkContext.defaultParallelism)
+    s2 = max(2, int(s1 ** 0.5))
+    out = rows.withColumn("_s", F.pmod(F.xxhash64(*rows.columns), F.lit(s1)))
+    out = _rank(out, list(keys) + ["_s"], order, n).withColumn("_s", F.pmod(F.col("_s"), F.lit(s2)))
+    return _rank(_rank(out, list(keys) + ["_s"], order, n), keys, order, n).drop("_s")
+
+
+def _use_salt(df: DataFrame, n: int, salted: bool | None) -> bool:
+    if salted is not None:
+        return salted
+    # up to this threshold Spark cuts every group to n rows per map task itself
+    return n > int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+
+
+def top_n_per_group(df: DataFrame, keys: Sequence[str], order: str, n: int, salted: bool | None = None) -> DataFrame:
+    """The ``n`` rows with the largest ``order`` of every group of ``keys``.
+
+    Up to the session's ``spark.sql.optimizer.windowGroupLimitThreshold`` Spark cuts
+    each group to ``n`` rows on every map task before the shuffle, so one window is
+    enough. Above it a hot group would be sorted whole in one task, so groups are
+    counted first (a partial aggregate): groups with at most ``n`` rows are kept as
+    they are, and only the rows of larger groups are ranked, in salted levels."""
+    if not _use_salt(df, n, salted):
+        return _rank(df, keys, order, n)
+    heavy_keys = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c")).filter(F.col("_c") > n).select(*keys)
+    light = df.join(heavy_keys, list(keys), "left_anti")
+    heavy = df.join(heavy_keys, list(keys), "left_semi")
+    return light.unionByName(_salted_rank(heavy, keys, order, n))
+
+
+def sum_versions(cells: DataFrame, n: int = MAX_VERSIONS, salted: bool | None = None) -> DataFrame:
     """A5: per cell, the sum of the newest ``n`` versions read as ints, as bigint
-    (no 32-bit wrap, D8). ``row_number() <= n`` lets Spark cut each cell to ``n`` rows
-    per map task before the shuffle (window group limit)."""
-    w = Window.partitionBy(*CELL_KEY).orderBy(F.col("ts").desc())
-    top = cells.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n)
-    return top.groupBy(*CELL_KEY).agg(F.sum(F.col("value").try_cast("int").cast("bigint")).alias("total"))
+    (no 32-bit wrap, D8).
+
+    Skew-safe without sorting ordinary cells: one partial aggregate gives every
+    cell's version count and full sum, which is the answer for cells with at most
+    ``n`` versions. Only the rows of cells with more versions are read again and
+    ranked in salted levels (``top_n_per_group``)."""
+    val = F.col("value").try_cast("int").cast("bigint")
+    if not _use_salt(cells, n, salted):
+        return _rank(cells, CELL_KEY, "ts", n).groupBy(*CELL_KEY).agg(F.sum(val).alias("total"))
+    per = cells.groupBy(*CELL_KEY).agg(F.count(F.lit(1)).alias("_c"), F.sum(val).alias("total"))
+    light = per.filter(F.col("_c") <= n).select(*CELL_KEY, "total")
+    heavy_keys = per.filter(F.col("_c") > n).select(*CELL_KEY)
+    heavy = _salted_rank(cells.join(heavy_keys, CELL_KEY, "left_semi"), CELL_KEY, "ts", n)
+    return light.unionByName(heavy.groupBy(*CELL_KEY).agg(F.sum(val).alias("total")))
 
 
 def pivot_user(cells: DataFrame, qualifiers: Sequence[str] = USER_QUALIFIERS) -> DataFrame:
@@ -180,8 +229,6 @@ def to_cells(
     )
 
 
-def newest_versions(cells: DataFrame, n: int) -> DataFrame:
-    """The newest ``n`` versions of every cell (per-task group limit before the
-    shuffle, then the final window)."""
-    w = Window.partitionBy(*CELL_KEY).orderBy(F.col("ts").desc())
-    return cells.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
+def newest_versions(cells: DataFrame, n: int, salted: bool | None = None) -> DataFrame:
+    """The newest ``n`` versions of every cell (see ``top_n_per_group``)."""
+    return top_n_per_group(cells, CELL_KEY, "ts", n, salted)

@@ -366,3 +366,13 @@ def test_r2_stream_equals_batch(spark, tmp_path, files_per_trigger):
     ST.drain(stream(), ST.push_records, ST.idempotent_writer(out), ck).awaitTermination()
     got = sorted(map(tuple, spark.read.parquet(out).select(*P.PUSH_COLUMNS).collect()))
     assert got == batch and len(got) == 59
+
+
+@pytest.mark.parametrize("salted", [False, True])
+def test_top_n_versions_salted_and_plain(spark, salted):
+    rows = [("hot", "A", "c", t, str(t % 97)) for t in range(3000)] + [("cold", "A", "c", t, "1") for t in range(5)]
+    cells = spark.createDataFrame(rows, CELLS).repartition(7)
+    got = {r.rowkey: r.total for r in C.sum_versions(cells, 100, salted=salted).collect()}
+    assert got == {"hot": sum(t % 97 for t in range(2900, 3000)), "cold": 5}
+    top = C.newest_versions(cells, 3, salted=salted)
+    assert sorted((r.rowkey, r.ts) for r in top.collect()) == [("cold", 2), ("cold", 3), ("cold", 4), ("hot", 2997), ("hot", 2998), ("hot", 2999)]
