@@ -107,9 +107,12 @@ def write_in_batches(df: DataFrame, send: Callable[[list[dict]], Iterable[str] |
 
 
 def sorted_cells(df: DataFrame, n: int) -> DataFrame:
-    """K8: cells range-partitioned by rowkey into ``n`` parts and sorted inside each
-    (rowkey, family, qualifier, newest first): bulk-load order."""
-    return df.repartitionByRange(n, "rowkey").sortWithinPartitions("rowkey", "family", "qualifier", F.col("ts").desc())
+    """K8: cells in bulk-load order: range-partitioned into ``n`` parts and sorted
+    inside each by (rowkey, family, qualifier, newest first). The range bounds use
+    the whole sort key, so a row key with a huge number of cells is split across
+    parts instead of filling one; part i still holds only keys before part i+1."""
+    order = ["rowkey", "family", "qualifier", F.col("ts").desc()]
+    return df.repartitionByRange(n, *order).sortWithinPartitions(*order)
 
 
 def to_sorted_cells(df: DataFrame, n: int, path: str, mode: str = "overwrite") -> None:

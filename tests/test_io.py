@@ -102,3 +102,12 @@ def test_s3_s5_s9_readers(spark, tmp_path):
     keys = str(tmp_path / "keys")
     spark.createDataFrame([(" k1\t",), ("k1",), ("",)], "v string").write.text(keys)
     assert sorted(r.key for r in S.read_keys(spark, keys, trim=True).collect()) == ["", "k1", "k1"]
+
+
+def test_k8_total_order_splits_hot_rowkey(spark, tmp_path):
+    rows = [("hot", "A", f"q{i % 50}", i, "v") for i in range(4000)] + [(f"k{i:03d}", "A", "q", i, "v") for i in range(200)]
+    cells = spark.createDataFrame(rows, "rowkey string, family string, qualifier string, ts long, value string")
+    parts = K.sorted_cells(cells, 8).rdd.glom().map(lambda p: [(r.rowkey, r.family, r.qualifier, -r.ts) for r in p]).collect()
+    flat = [r for p in parts for r in p]
+    assert flat == sorted(flat) and len(flat) == 4200
+    assert sum(1 for p in parts if any(r[0] == "hot" for r in p)) > 1
