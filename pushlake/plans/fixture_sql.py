@@ -182,7 +182,7 @@ msg_key_lines AS (
 
 STAR = """
 star AS (
-  SELECT r_name, c_mktsegment, o_orderstatus, o_orderpriority, c_nationkey, year(o_orderdate) AS o_year,
+  SELECT r_name, c_mktsegment, o_orderstatus, o_orderpriority, c_nationkey, CAST(year(o_orderdate) AS INTEGER) AS o_year,
          CAST(l_extendedprice AS DECIMAL(18,2)) AS price
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
        JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)"""
