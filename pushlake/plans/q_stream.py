@@ -101,7 +101,7 @@ def r5_hour_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     base, _, _ = write_hour_dirs(spark, sf_dir)
     out = scratch_path(spark, "r5_out")
     aggs = [F.count(F.lit(1)).alias("n_msgs"), F.countDistinct("appkey").alias("n_appkeys"), F.countDistinct("msgid").alias("n_msgids")]
-    per_batch = ST.hour_stats_stream(None, aggs)
+    per_batch = ST.hour_stats_stream(aggs)
 
     def commit(batch: DataFrame, batch_id: int) -> None:
         stats = per_batch(batch.select(F.col("value").alias("line")), batch_id).filter(F.col("grain") == "hour")

@@ -75,7 +75,8 @@ def to_topic(df: DataFrame, servers: str, topic: str, line_col: str = "line") ->
 
 def to_jdbc(df: DataFrame, url: str, table: str, batchsize: int = 1000, mode: str = "append", properties: dict | None = None) -> None:
     """K5: relational sink with batched statements. Replace-into: build the table
-    with ``merge.replace_into`` and write it with ``mode='overwrite'``."""
+    with ``merge.replace_into`` and write it with ``mode='overwrite'``, which is
+    also what makes a rerun after a failed job safe (appends are not idempotent)."""
     df.write.option("batchsize", batchsize).jdbc(url, table, mode=mode, properties=properties or {})
 
 
@@ -87,7 +88,10 @@ def index_docs(runs: DataFrame, id_col: str, pkg_col: str, itime: int | Column)
 
 def write_in_batches(df: DataFrame, send: Callable[[list[dict]], Iterable[str] | None], batch: int = INDEX_BULK) -> None:
     """K7: call ``send(docs)`` with at most ``batch`` documents at a time, on the
-    executors (``foreachPartition``); ids that ``send`` returns as failed are logged."""
+    executors (``foreachPartition``); ids that ``send`` returns as failed are logged.
+
+    A lost executor re-runs its partition, so a batch may be sent twice: ``send``
+    must write by document id (an upsert), as an index keyed by id does."""
     import logging
 
     def run(rows):

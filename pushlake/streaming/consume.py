@@ -90,8 +90,9 @@ def push_stream(messages: DataFrame) -> DataFrame:
     return ctrl_a_lines(push_records(messages), P.PUSH_COLUMNS)
 
 
-def hour_stats_stream(lines: DataFrame, aggs, tz: str = "Asia/Shanghai") -> Callable[[DataFrame, int], DataFrame]:
-    """The hourly stats job applied to each micro-batch of newly arrived hour files."""
+def hour_stats_stream(aggs, tz: str = "Asia/Shanghai") -> Callable[[DataFrame, int], DataFrame]:
+    """The hourly stats job as a function of one micro-batch of lines (column
+    ``line``) and its batch id."""
     from pushlake.operators.rollup import hour_day_stats
 
     def per_batch(batch: DataFrame, batch_id: int) -> DataFrame:

@@ -36,11 +36,17 @@ def rows_of(cols, rows):
     return sorted(tuple(norm(r[i]) for i in order) for r in rows)
 
 
+TYPE_NAMES = {"INTEGER": "int", "BIGINT": "bigint", "VARCHAR": "string", "DOUBLE": "double", "BOOLEAN": "boolean", "DATE": "date"}
+
+
 def compare(df, con, sql):
     scols, srows = df.columns, df.collect()
     rel = con.sql(sql)
     dcols, drows = rel.columns, rel.fetchall()
     assert sorted(scols) == sorted(dcols), (scols, dcols)
+    stypes = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    dtypes = {c: TYPE_NAMES.get(str(t), str(t)) for c, t in zip(dcols, rel.types)}
+    assert stypes == dtypes, {c: (stypes[c], dtypes[c]) for c in stypes if stypes[c] != dtypes.get(c)}
     a, b = rows_of(scols, srows), rows_of(dcols, drows)
     assert len(a) == len(b), (len(a), len(b))
     assert a == b, (sorted(set(a) - set(b))[:3], sorted(set(b) - set(a))[:3])
