@@ -4,7 +4,7 @@ The reference walks a file line by line. Spark has no line numbers and must not
 pull all rows into one task, so order is an explicit, totally ordered key (for
 text: file, block, position; see ``sources.readers.read_lines``) and all
 sequential work is done per *segment*: a contiguous range of that order whose
-size is bounded by the input split or by a quantile range. Only a per-segment
+size is bounded by the input split or by a range partition. Only a per-segment
 summary (one row per segment) crosses segment borders.
 """
 
@@ -63,8 +63,8 @@ def group_runs(
 
     Rows given here are the accepted ones: a rejected line between two equal keys
     does not break their run. ``segment`` names columns that cut ``order`` into
-    contiguous ranges (for text: file and block); without it, quantile ranges of the
-    first order column are used. Runs may span segments: a one-row-per-segment table
+    contiguous ranges (for text: file and block); without it, ``n_segments`` range
+    partitions of ``order`` are used (one range shuffle). Runs may span segments: a one-row-per-segment table
     carries the open run across borders, so no task ever sees more than a segment
     and no key is routed to a single task."""
     ordc = F.struct(*[F.col(c) for c in order])

@@ -33,7 +33,7 @@ def pair_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("w1_group_runs", sql=f"WITH {RUNS_SQL} SELECT * FROM runs")
 def w1_group_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """W1 over pair lines in event order (quantile segments of the order key)."""
+    """W1 over pair lines in event order (range-partition segments of the order key)."""
     return pair_runs(spark, sf_dir)
 
 
