@@ -24,7 +24,6 @@ _MIN_MS = -62135596800000
 _MAX_MS = 253402300799999
 
 GRAIN_FORMATS = {"month": "yyyyMM", "day": "yyyyMMdd", "hour": "yyyyMMddHH"}
-_GRAIN_BY_LENGTH = {6: "month", 8: "day", 10: "hour"}
 
 
 def epoch_ms_of_text(itime: ColumnOrName) -> Column:

@@ -24,8 +24,6 @@ from pyspark.sql import functions as F
 from pushlake.session import checkpoint_root
 
 EXPAND_MAX_DIMS = 6
-# Fixed value: segment names are start_end in yyyyMMddHHmmss.
-SEGMENT_FORMAT = "yyyyMMddHHmmss"
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -115,8 +115,3 @@ def last_write_wins(df: DataFrame, key: str, order: Sequence[str] | str, fields:
     order = [order] if isinstance(order, str) else list(order)
     pick = F.max(F.struct(*[F.col(c) for c in order], F.struct(*[F.col(f) for f in fields]).alias("_f")))
     return df.groupBy(key).agg(pick.alias("_p")).select(key, *[F.col(f"_p._f.{f}").alias(f) for f in fields])
-
-
-def order_of(*cols: str) -> Column:
-    """A sortable struct of order columns."""
-    return F.struct(*[F.col(c) for c in cols])

@@ -13,10 +13,6 @@ from pyspark.sql import functions as F
 
 from pushlake.functions._cols import ColumnOrName, as_col
 
-# Fixed value: the reference runs the app-list job with 20 reducers.
-APPLIST_REDUCERS = 20
-
-
 def applist_time(itime: ColumnOrName) -> Column:
     """A2: group timestamp: a positive 10-digit itime times 1000, else null (the store's
     own time). Several candidates: the largest wins (D7)."""

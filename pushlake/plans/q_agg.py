@@ -75,8 +75,9 @@ def a9_global_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH {HTTP_LINES}, {HTTP_RECORDS}
 SELECT appkey, msgid, itime, msg_type, receiver_type, errno, platform, imon, iday, ihour FROM http_records""")
 def a10_observe_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A10: accepted / rejected totals observed while the parse runs (no extra pass);
-    read ``observation.get`` after an action on the returned DataFrame."""
+    """A10: the parsed records with total / accepted / rejected counters attached as
+    the ``Observation`` "http_api"; the action that runs this DataFrame fills them,
+    with no extra pass over the lines."""
     parsed = P.parse_http_api(fx.http_lines(spark, sf_dir))
     obs = Observation("http_api")
     seen = R.observe_counts(parsed, obs)

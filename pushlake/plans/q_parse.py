@@ -68,7 +68,7 @@ def a11_hour_day_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 from pushlake.functions import text as X  # noqa: E402
 from pushlake.functions import timekeys as TK  # noqa: E402
 from pushlake.plans.fixture_sql import (  # noqa: E402
-    APPLIST_ROWS, JOBS, PAIR_LINES, PROFILE_APP_LIST, PROFILE_APP_TAGS, PROFILE_DEVICE_INFO,
+    APPLIST_ROWS, PAIR_LINES, PROFILE_APP_LIST, PROFILE_APP_TAGS, PROFILE_DEVICE_INFO,
     PUSH_EVENTS, PUSH_OBJECTS, PUSH_ROWS, TIME_KEYS, VERSION_LINES,
 )
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pushlake.operators import alerts as AL
 from pushlake.operators import parse as P
 from pushlake.plans import fixtures as fx
-from pushlake.plans.fixture_sql import HTTP_LINES, HTTP_RECORDS, JOBS, PUSH_EVENTS, PUSH_OBJECTS, PUSH_ROWS
+from pushlake.plans.fixture_sql import JOBS, PUSH_EVENTS, PUSH_OBJECTS, PUSH_ROWS
 from pushlake.plans.q_io import PUSH_LINES_SQL, write_hour_dirs
 from pushlake.plans.q_parse import HOUR_STATS_SQL
 from pushlake.plans.registry import register
