@@ -190,3 +190,21 @@ def u3_rerun_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     K.to_day_partitions(rows, path)
     K.to_day_partitions(rows, path)
     return spark.read.schema(DAY_SCHEMA).parquet(path)
+
+
+BY_APP_SQL = "SELECT user_id % 7 AS app, count(*) AS n, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total FROM {view} GROUP BY user_id % 7"
+
+
+@register("s6_run_stats", sql=BY_APP_SQL.format(view="events"))
+def s6_run_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Arbitrary SQL text run on the warehouse tables through the job template;
+    the result is saved by the caller's ``save`` (here: kept as the DataFrame)."""
+    view = "pushlake_events_by_app"
+    saved = []
+    out = S.run_stats(
+        spark,
+        mk_sql=lambda: BY_APP_SQL.format(view=view),
+        prepare=lambda: fx.table(spark, sf_dir, "events").createOrReplaceTempView(view),
+        save=saved.append,
+    )
+    return saved[0] if saved else out

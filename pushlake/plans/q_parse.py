@@ -336,3 +336,16 @@ parsed_{flag} AS (
 
 PARSED_APKVER = _version_cte("apkver")
 PARSED_SDKVER = _version_cte("sdkver")
+
+
+@register("f8_strict_time_key", sql=f"""
+WITH {TIME_KEYS}
+SELECT o_orderkey, key FROM time_keys
+WHERE CASE {GRAIN_SQL}
+    WHEN 'month' THEN try_strptime(key || '01', '%Y%m%d') IS NOT NULL
+    WHEN 'day' THEN try_strptime(key, '%Y%m%d') IS NOT NULL
+    WHEN 'hour' THEN try_strptime(key, '%Y%m%d%H') IS NOT NULL END""")
+def f8_strict_time_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F8: keep only keys that are real calendar times for the grain of their length."""
+    tk = fx.time_key_rows(spark, sf_dir)
+    return tk.filter(TK.key_is_valid("key", TK.grain_of("key")))
