@@ -132,7 +132,7 @@ def nominal_parts(ts_ntz: ColumnOrName) -> Column:
 def add_interval(d: ColumnOrName, n: ColumnOrName, unit: str) -> Column:
     """date/timestamp plus ``floor(n)`` whole units (second .. year)."""
     base = as_col(d)
-    k = F.floor(as_col(n)).cast("int")
+    k = F.floor(as_col(n)).try_cast("int")
     unit = unit.lower()
     if unit == "day":
         return F.date_add(base, k)

@@ -55,13 +55,13 @@ def dim_values(df: DataFrame, dims: Sequence[str]) -> DataFrame:
 
 
 def encode_dim(df: DataFrame, col: str, n_ranges: int = 16, out: str | None = None) -> DataFrame:
-    """C4: dictionary code of a dimension: dense 0-based rank of its value among the
-    distinct values (nulls get no code), joined back to the rows."""
+    """C4: dictionary code of a dimension: dense 0-based rank (bigint) of its value
+    among the distinct values (nulls get no code), joined back to the rows."""
     from pushlake.operators.ordered import dense_index
 
     out = out or f"{col}_code"
     values = df.select(col).filter(F.col(col).isNotNull()).distinct()
-    coded = dense_index(values, [col], n_ranges, out="_code").select(col, F.col("_code").cast("int").alias(out))
+    coded = dense_index(values, [col], n_ranges, out="_code").select(col, F.col("_code").alias(out))
     return df.join(coded, col, "left")
 
 

@@ -118,7 +118,7 @@ def c3_dim_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("c4_encode_dim", sql=f"""
 WITH {STAR}
-SELECT c_mktsegment, CAST(dense_rank() OVER (ORDER BY c_mktsegment) - 1 AS INTEGER) AS c_mktsegment_code FROM (SELECT DISTINCT c_mktsegment FROM star) t""")
+SELECT c_mktsegment, CAST(dense_rank() OVER (ORDER BY c_mktsegment) - 1 AS BIGINT) AS c_mktsegment_code FROM (SELECT DISTINCT c_mktsegment FROM star) t""")
 def c4_encode_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return CB.encode_dim(fx.star(spark, sf_dir), "c_mktsegment", n_ranges=4).select("c_mktsegment", "c_mktsegment_code").distinct()
 
