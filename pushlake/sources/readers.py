@@ -121,9 +121,25 @@ def topic_values(df: DataFrame) -> DataFrame:
     return df.select(F.col("value").cast("string").alias("body")).filter(F.col("body").isNotNull())
 
 
+def kafka_available(spark: SparkSession) -> bool:
+    """True when the Kafka connector is on the session's classpath."""
+    try:
+        spark.sparkContext._jvm.java.lang.Class.forName("org.apache.spark.sql.kafka010.KafkaSourceProvider")
+        return True
+    except Exception:  # noqa: BLE001 - py4j wraps ClassNotFoundException
+        return False
+
+
+def require_kafka(spark: SparkSession) -> None:
+    if not kafka_available(spark):
+        raise RuntimeError("the Kafka connector (spark-sql-kafka) is not on the classpath; "
+                           "feed the same transforms from any DataFrame with a 'value' column")
+
+
 def read_topic(spark: SparkSession, servers: str, topic: str, group: str, starting: str = "latest") -> DataFrame:
     """A Structured Streaming source of one topic and consumer group, payload only.
     Needs the Kafka connector on the classpath."""
+    require_kafka(spark)
     raw = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)

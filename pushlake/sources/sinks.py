@@ -63,6 +63,9 @@ def topic_records(df: DataFrame, line_col: str = "line") -> DataFrame:
 
 def to_topic(df: DataFrame, servers: str, topic: str, line_col: str = "line") -> None:
     """K4: lines to a topic, waiting for all replicas (needs the Kafka connector)."""
+    from pushlake.sources.readers import require_kafka
+
+    require_kafka(df.sparkSession)
     (
         topic_records(df, line_col)
         .write.format("kafka")

@@ -111,3 +111,12 @@ def test_k8_total_order_splits_hot_rowkey(spark, tmp_path):
     flat = [r for p in parts for r in p]
     assert flat == sorted(flat) and len(flat) == 4200
     assert sum(1 for p in parts if any(r[0] == "hot" for r in p)) > 1
+
+
+def test_topic_wrappers_need_the_connector(spark):
+    if S.kafka_available(spark):
+        pytest.skip("connector present")
+    with pytest.raises(RuntimeError):
+        S.read_topic(spark, "localhost:1", "t", "g")
+    with pytest.raises(RuntimeError):
+        K.to_topic(spark.createDataFrame([("a",)], "line string"), "localhost:1", "t")
