@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pushlake.functions import text as X
+from pushlake.functions._cols import pin
 
 # Fixed value: declared schema of the app-list ORC files (S3).
 APPLIST_SCHEMA = "imei string, pkg string, name string, itime bigint"
@@ -155,8 +156,7 @@ def read_cells_tsv(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame
     """Five TAB fields per line: rowkey, itime (ms), val, family, qualifier -> cells.
     Lines without five fields or with a bad time are dropped."""
     lines = spark.read.text(_path_list(paths))
-    arr = X.java_split(F.col("value"), "\t")
-    parts = lines.select(arr.alias("_a")).filter(F.size("_a") >= 5)
+    parts = pin(lines, _a=X.java_split(F.col("value"), "\t")).filter(F.size("_a") >= 5)
     return parts.select(
         F.get("_a", 0).alias("rowkey"),
         F.get("_a", 3).alias("family"),
