@@ -113,6 +113,19 @@ def write_in_batches(df: DataFrame, send: Callable[[list[dict]], Iterable[str] |
     df.foreachPartition(run)
 
 
+def to_index_docs(
+    runs: DataFrame,
+    id_col: str,
+    pkg_col: str,
+    itime: int | Column,
+    send: Callable[[list[dict]], Iterable[str] | None],
+    batch: int = INDEX_BULK,
+) -> None:
+    """K7: index documents (id, pkg, itime), one per id, sent in bulk requests of at
+    most ``batch`` documents by ``send`` on the executors."""
+    write_in_batches(index_docs(runs, id_col, pkg_col, itime), send, batch)
+
+
 def sorted_cells(df: DataFrame, n: int) -> DataFrame:
     """K8: cells in bulk-load order: range-partitioned into ``n`` parts and sorted
     inside each by (rowkey, family, qualifier, newest first). The range bounds use

@@ -120,3 +120,22 @@ def test_topic_wrappers_need_the_connector(spark):
         S.read_topic(spark, "localhost:1", "t", "g")
     with pytest.raises(RuntimeError):
         K.to_topic(spark.createDataFrame([("a",)], "line string"), "localhost:1", "t")
+
+
+def test_k7_to_index_docs(spark, tmp_path):
+    from pushlake.operators import ordered as O
+
+    out = str(tmp_path / "docs")
+    os.makedirs(out)
+
+    def send(docs):
+        import uuid
+
+        with open(os.path.join(out, uuid.uuid4().hex), "w") as f:
+            json.dump(docs, f)
+
+    lines = spark.createDataFrame([(i, s) for i, s in enumerate(["a x", "a y", "b z", "a w"])], "n long, line string")
+    runs = O.group_runs(P.accepted(P.parse_pairs(lines, keep=["n"])), "imei", "pkg", ["n"])
+    K.to_index_docs(O.last_run(runs, "imei", "pkg"), "imei", "pkg", 7, send)
+    docs = sorted((d["id"], d["pkg"], d["itime"]) for f in os.listdir(out) for d in json.load(open(os.path.join(out, f))))
+    assert docs == [("a", "w", 7), ("b", "z", 7)]
