@@ -143,9 +143,9 @@ version_lines AS (
 
 DOCS = """
 docs AS (
-  SELECT CAST(c.c_custkey % 200 AS VARCHAR) AS uid, c_mktsegment AS appkey, CAST(NULL AS VARCHAR) AS apkver,
+  SELECT CAST(c_custkey AS VARCHAR) AS uid, c_mktsegment AS appkey, CAST(NULL AS VARCHAR) AS apkver,
          '1.0.0' AS sdkver, 'c' || CAST(c_nationkey AS VARCHAR) AS channel
-  FROM customer c JOIN (SELECT min(c_custkey) AS k FROM customer GROUP BY c_custkey % 200) f ON c.c_custkey = f.k)"""
+  FROM customer WHERE c_acctbal > 0)"""
 
 USER_CELLS = """
 user_cells AS (

@@ -161,13 +161,11 @@ def version_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents (uid, appkey, apkver, sdkver, channel) from customer:
-    uid = c_custkey % 200, first customer per uid."""
-    c = table(spark, sf_dir, "customer")
-    first = c.groupBy((F.col("c_custkey") % 200).alias("u")).agg(F.min("c_custkey").alias("c_custkey"))
-    d = c.join(first, "c_custkey")
+    """Documents (uid, appkey, apkver, sdkver, channel), one per customer with a
+    positive balance (uid = c_custkey), so some users have none yet."""
+    d = table(spark, sf_dir, "customer").filter(F.col("c_acctbal") > 0)
     return d.select(
-        _s(F.col("u")).alias("uid"),
+        _s(F.col("c_custkey")).alias("uid"),
         F.col("c_mktsegment").alias("appkey"),
         F.lit(None).cast("string").alias("apkver"),
         F.lit("1.0.0").alias("sdkver"),
