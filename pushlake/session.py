@@ -41,6 +41,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
+        # a local session (tests): a fresh temporary folder is shared by definition
         configured = tempfile.mkdtemp(prefix="pushlake-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
