@@ -159,8 +159,12 @@ def lookup_sum(
     cells gets ``default``. ``qualifier=None`` sums every qualifier of the family."""
     c = cells.filter(F.col("family") == family)
     if qualifier is not None:
-        c = c.filter(F.col("qualifier") == qualifier)
-    per_row = latest_cells(c).groupBy("rowkey").agg(F.sum(F.col("value").try_cast("double")).alias("total"))
+        # one column per row is left, so the newest version per row key is the answer:
+        # one aggregate (one shuffle) instead of newest-per-cell then sum-per-row
+        newest = c.filter(F.col("qualifier") == qualifier).groupBy("rowkey").agg(F.max(F.struct("ts", "value")).alias("_v"))
+        per_row = newest.select("rowkey", F.col("_v.value").try_cast("double").alias("total"))
+    else:
+        per_row = latest_cells(c).groupBy("rowkey").agg(F.sum(F.col("value").try_cast("double")).alias("total"))
     probe = keys.select(F.col(key_col).cast("string").alias("key")).distinct().withColumn("rowkey", key_fn(F.col("key")))
     return fill_missing(probe, per_row, "rowkey", "total", default).select("key", "total")
 
