@@ -29,8 +29,6 @@ SDKVER_PATTERN = "^[0-9]+.[0-9]+.[0-9]+$"
 # Profile kinds -> (JSON key, cell qualifier); all cells go to family C.
 PROFILE_KINDS = {"app_tags": "apptag", "app_list": "applist", "device_info": "devinfo"}
 PROFILE_FAMILY = "C"
-# Fixed value: field separator of the \u0001-delimited warehouse rows.
-CTRL_A = "\u0001"
 
 
 def _first_reason(*checks: tuple[Column, str]) -> Column:
@@ -96,7 +94,6 @@ def parse_http_api(lines: DataFrame, line_col: str = "line", tz: str = DEFAULT_T
     return out.withColumn(REJECT, reason).drop("_n", "_h")
 
 
-
 # ---- P2 / P3 / F1-F3: push events -----------------------------------------------------------
 
 def explode_rows(events: DataFrame, body_col: str = "body", out_col: str = "obj") -> DataFrame:
@@ -168,11 +165,6 @@ def project_push(objs: DataFrame, obj_col: str = "obj") -> DataFrame:
 PUSH_COLUMNS = ["appkey", "platform", "msg_id", "uid", "itime"]
 
 
-def push_line(df: DataFrame) -> Column:
-    """The \u0001-delimited warehouse row of a projected push event (K3 layout)."""
-    return F.concat_ws(CTRL_A, *[F.col(c).cast("string") for c in PUSH_COLUMNS])
-
-
 # ---- P4-P6: user-profile lines -> cells ------------------------------------------------------
 
 def profile_cells(lines: DataFrame, kind: str, ts: ColumnOrName, line_col: str = "line") -> DataFrame:

@@ -17,6 +17,7 @@ _WIDEN_TO_INT = (T.ByteType, T.ShortType)
 _PARQUET_OK = (T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.BooleanType, T.StringType)
 # Fixed value: documents per bulk request of the index sink (K7).
 INDEX_BULK = 3000
+# Fixed value: field separator of the warehouse text rows.
 CTRL_A = "\u0001"
 
 
