@@ -11,8 +11,13 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
+import os
+import sys
 from typing import Callable, Iterable
 
+if __package__ in (None, ""):  # run as a script: spark-submit pushlake/jobs.py <job> ...
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
