@@ -65,45 +65,59 @@ def encode_dim(df: DataFrame, col: str, n_ranges: int = 16, out: str | None = No
     return df.join(coded, col, "left")
 
 
-def base_cuboid(df: DataFrame, dims: Sequence[str], measures: dict[str, Column]) -> DataFrame:
-    """C6 + C8: all dimensions, ``n`` = row count and one sum per measure."""
-    return df.groupBy(*dims).agg(F.count(F.lit(1)).alias("n"), *[m.alias(k) for k, m in measures.items()])
+HLL_LG_K = 12
 
 
-def _rollup(parent: DataFrame, keep: Sequence[str], dims: Sequence[str], sums: Sequence[str]) -> DataFrame:
+def base_cuboid(df: DataFrame, dims: Sequence[str], measures: dict[str, Column],
+                distinct: dict[str, str] | None = None) -> DataFrame:
+    """C6 + C8: all dimensions, ``n`` = row count, one sum per measure, and one
+    mergeable HLL sketch per ``distinct`` measure (name -> column)."""
+    sketches = [F.hll_sketch_agg(c, HLL_LG_K).alias(k) for k, c in (distinct or {}).items()]
+    return df.groupBy(*dims).agg(F.count(F.lit(1)).alias("n"), *[m.alias(k) for k, m in measures.items()], *sketches)
+
+
+def _merged(sums: Sequence[str], sketches: Sequence[str]) -> list[Column]:
+    """Roll-up aggregates: counts and sums add, sketches union."""
+    return [F.sum("n").alias("n"), *[F.sum(s).alias(s) for s in sums], *[F.hll_union_agg(s).alias(s) for s in sketches]]
+
+
+def _rollup(parent: DataFrame, keep: Sequence[str], dims: Sequence[str], sums: Sequence[str], sketches: Sequence[str] = ()) -> DataFrame:
     gid = sum(1 << (len(dims) - 1 - i) for i, d in enumerate(dims) if d not in keep)
-    return parent.groupBy(*keep).agg(F.sum("n").alias("n"), *[F.sum(s).alias(s) for s in sums]).select(
+    return parent.groupBy(*keep).agg(*_merged(sums, sketches)).select(
         *[F.col(d) if d in keep else F.lit(None).cast(parent.schema[d].dataType).alias(d) for d in dims],
         F.lit(gid).cast("bigint").alias("gid"),
         "n",
         *sums,
+        *sketches,
     )
 
 
-def build_cube(df: DataFrame, dims: Sequence[str], measures: dict[str, Column], by_layer: bool | None = None) -> DataFrame:
-    """Every cuboid of ``dims`` with ``n`` and the measure sums, plus ``gid``."""
-    base = base_cuboid(df, dims, measures)
-    sums = list(measures)
+def build_cube(df: DataFrame, dims: Sequence[str], measures: dict[str, Column], by_layer: bool | None = None,
+               distinct: dict[str, str] | None = None) -> DataFrame:
+    """Every cuboid of ``dims`` with ``n``, the measure sums and the
+    ``distinct`` sketches (read them with ``hll_sketch_estimate``), plus ``gid``."""
+    base = base_cuboid(df, dims, measures, distinct)
+    sums, sketches = list(measures), list(distinct or {})
     if by_layer is None:
         by_layer = len(dims) > EXPAND_MAX_DIMS
     if not by_layer:
-        return base.cube(*dims).agg(
-            F.grouping_id().alias("gid"), F.sum("n").alias("n"), *[F.sum(s).alias(s) for s in sums]
-        ).select(*dims, "gid", "n", *sums)
-    return _cube_by_layer(base, dims, sums)
+        return base.cube(*dims).agg(F.grouping_id().alias("gid"), *_merged(sums, sketches)).select(
+            *dims, "gid", "n", *sums, *sketches
+        )
+    return _cube_by_layer(base, dims, sums, sketches)
 
 
-def _cube_by_layer(base: DataFrame, dims: Sequence[str], sums: Sequence[str]) -> DataFrame:
+def _cube_by_layer(base: DataFrame, dims: Sequence[str], sums: Sequence[str], sketches: Sequence[str] = ()) -> DataFrame:
     """Layer k (k dimensions) is rolled up from layer k+1; each layer is
     checkpointed (written to the shared checkpoint folder)."""
     checkpoint_root(base.sparkSession)
-    layers: dict[tuple[str, ...], DataFrame] = {tuple(dims): _rollup(base, dims, dims, sums).checkpoint()}
+    layers: dict[tuple[str, ...], DataFrame] = {tuple(dims): _rollup(base, dims, dims, sums, sketches).checkpoint()}
     out = [layers[tuple(dims)]]
     for k in range(len(dims) - 1, -1, -1):
         layer_parts = []
         for keep in itertools.combinations(dims, k):
             parent_key = next(p for p in layers if set(keep) <= set(p) and len(p) == k + 1)
-            layer_parts.append((keep, _rollup(layers[parent_key], keep, dims, sums)))
+            layer_parts.append((keep, _rollup(layers[parent_key], keep, dims, sums, sketches)))
         merged = layer_parts[0][1]
         for _, p in layer_parts[1:]:
             merged = merged.unionByName(p)

@@ -228,3 +228,15 @@ def c12_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
         y = years[-1]
         CB.drop_segment(spark, path, f"{y}0101000000", f"{y + 1}0101000000")
     return spark.read.parquet(path).select("segment", *SEG_DIMS, "gid", "n", "price")
+
+
+@register("c10_cube_distinct_nations", sql=f"""
+WITH {STAR}
+SELECT {CUBE_DIMS_SQL}, CAST(GROUPING({CUBE_DIMS_SQL}) AS BIGINT) AS gid, count(*) AS n, count(DISTINCT c_nationkey) AS nations
+FROM star GROUP BY CUBE ({CUBE_DIMS_SQL})""")
+def c10_cube_distinct_nations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C7 + C10: a cube with a mergeable distinct-count measure: HLL sketches of the
+    nation key built in the base cuboid and unioned up every cuboid; read with
+    ``hll_sketch_estimate`` (exact while a sketch holds few values, as here)."""
+    cube = CB.build_cube(fx.star(spark, sf_dir), DIMS, {}, distinct={"nations": "c_nationkey"})
+    return cube.select(*DIMS, "gid", "n", F.hll_sketch_estimate("nations").alias("nations"))

@@ -376,3 +376,17 @@ def test_top_n_versions_salted_and_plain(spark, salted):
     assert got == {"hot": sum(t % 97 for t in range(2900, 3000)), "cold": 5}
     top = C.newest_versions(cells, 3, salted=salted)
     assert sorted((r.rowkey, r.ts) for r in top.collect()) == [("cold", 2), ("cold", 3), ("cold", 4), ("hot", 2997), ("hot", 2998), ("hot", 2999)]
+
+
+@pytest.mark.parametrize("by_layer", [False, True])
+def test_cube_distinct_sketches_roll_up(spark, by_layer):
+    from pushlake.operators import cube as CB
+
+    rows = [(f"a{i % 3}", f"b{i % 4}", i % 50, 1.0) for i in range(600)]
+    df = spark.createDataFrame(rows, "a string, b string, u int, v double")
+    cube = CB.build_cube(df, ["a", "b"], {"v": F.sum("v")}, by_layer=by_layer, distinct={"users": "u"})
+    est = {r.gid: r.e for r in cube.filter(F.col("gid") == 3).select("gid", F.hll_sketch_estimate("users").alias("e")).collect()}
+    assert est == {3: 50}
+    per_a = {r.a: r.e for r in cube.filter(F.col("gid") == 1).select("a", F.hll_sketch_estimate("users").alias("e")).collect()}
+    exact = {f"a{k}": len({i % 50 for i in range(600) if i % 3 == k}) for k in range(3)}
+    assert per_a == exact
