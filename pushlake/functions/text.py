@@ -71,13 +71,12 @@ def qualifier_of(family_col: ColumnOrName) -> Column:
 
 
 def form_encode(m: ColumnOrName) -> Column:
-    """``k=v&k=v&`` from a map: values URL-encoded, keys raw, trailing ``&``.
-    Keys are sorted so the text is deterministic."""
+    """``k=v&k=v&`` from a map: values URL-encoded, keys raw, trailing ``&``; a
+    null value is the text ``null`` (Java's ``String.valueOf``). Keys are sorted so
+    the text is deterministic."""
     entries = F.array_sort(F.map_entries(as_col(m)))
-    return F.array_join(
-        F.transform(entries, lambda e: F.concat(e["key"], F.lit("="), F.url_encode(e["value"].cast("string")), F.lit("&"))),
-        "",
-    )
+    value = lambda e: F.url_encode(F.coalesce(e["value"].cast("string"), F.lit("null")))
+    return F.array_join(F.transform(entries, lambda e: F.concat(e["key"], F.lit("="), value(e), F.lit("&"))), "")
 
 
 def form_decode(s: ColumnOrName) -> Column:

@@ -390,3 +390,10 @@ def test_cube_distinct_sketches_roll_up(spark, by_layer):
     per_a = {r.a: r.e for r in cube.filter(F.col("gid") == 1).select("a", F.hll_sketch_estimate("users").alias("e")).collect()}
     exact = {f"a{k}": len({i % 50 for i in range(600) if i % 3 == k}) for k in range(3)}
     assert per_a == exact
+
+
+def test_x8_form_encode(spark):
+    df = spark.sql("select map('b', 'x y&z', 'a', cast(null as string), 'c', '1') m")
+    r = df.select(X.form_encode("m").alias("f")).first().f
+    assert r == "a=null&b=x+y%26z&c=1&"
+    assert df.select(X.form_decode(F.lit("x+y%26z")).alias("d")).first().d == "x y&z"
