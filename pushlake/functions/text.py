@@ -108,14 +108,18 @@ def int_array_or(s: ColumnOrName, default: list[int]) -> Column:
     return F.when(c.isNull() | F.exists(parts, lambda x: x.isNull()), dflt).otherwise(parts)
 
 
-def bool_array(s: ColumnOrName) -> Column:
-    """CSV -> boolean array (only ``true``, any case, is true)."""
-    return F.transform(_csv(as_col(s)), lambda x: F.lower(x) == F.lit("true"))
+def bool_array(s: ColumnOrName, default: list[bool] | None = None) -> Column:
+    """CSV -> boolean array (only ``true``, any case, is true); absent text gives
+    ``default``."""
+    out = F.transform(_csv(as_col(s)), lambda x: F.lower(x) == F.lit("true"))
+    return out if default is None else F.coalesce(out, F.array(*[F.lit(bool(v)) for v in default]).cast("array<boolean>"))
 
 
-def string_array(s: ColumnOrName) -> Column:
-    """CSV -> string array (trailing empty entries dropped)."""
-    return _csv(as_col(s))
+def string_array(s: ColumnOrName, default: list[str] | None = None) -> Column:
+    """CSV -> string array (trailing empty entries dropped); absent text gives
+    ``default``."""
+    out = _csv(as_col(s))
+    return out if default is None else F.coalesce(out, F.array(*[F.lit(str(v)) for v in default]).cast("array<string>"))
 
 
 def kv_map(s: ColumnOrName) -> Column:
@@ -129,7 +133,9 @@ def kv_map(s: ColumnOrName) -> Column:
         indexed,
         lambda e: ~F.exists(indexed, lambda o: (o["key"] == e["key"]) & (o["i"] > e["i"])),
     )
-    return F.map_from_entries(F.array_sort(F.transform(kept, lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value")))))
+    m = F.map_from_entries(F.array_sort(F.transform(kept, lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value")))))
+    # absent text: an empty map, as the reference's caught NPE leaves it
+    return F.coalesce(m, F.create_map().cast("map<string,string>"))
 
 
 def truncate(s: ColumnOrName, n: int = 300) -> Column:

@@ -397,3 +397,10 @@ def test_x8_form_encode(spark):
     r = df.select(X.form_encode("m").alias("f")).first().f
     assert r == "a=null&b=x+y%26z&c=1&"
     assert df.select(X.form_decode(F.lit("x+y%26z")).alias("d")).first().d == "x y&z"
+
+
+def test_x12_x13_absent_text(spark):
+    df = spark.createDataFrame([(None,), ("a,TRUE,",)], "s string")
+    got = df.select(X.bool_array("s", [True]).alias("b"), X.string_array("s", ["d"]).alias("a"), X.kv_map("s").alias("m")).collect()
+    assert (got[0].b, got[0].a, got[0].m) == ([True], ["d"], {})
+    assert (got[1].b, got[1].a, got[1].m) == ([False, True], ["a", "TRUE"], {})
