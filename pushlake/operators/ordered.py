@@ -15,6 +15,19 @@ from typing import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pushlake.session import checkpoint_root
+
+
+def _shared(df: DataFrame) -> DataFrame:
+    """``df`` is read by two branches that must see the same range partitions.
+    Spark reuses the one exchange for both (identical subtrees); if the session
+    turned exchange reuse off, each branch would sample its own range bounds, so
+    the rows are checkpointed to the shared checkpoint folder instead."""
+    if df.sparkSession.conf.get("spark.sql.exchange.reuse", "true").lower() == "true":
+        return df
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint()
+
 
 def range_segments(df: DataFrame, order: Sequence[str], n: int | None = None, out: str = "_seg") -> DataFrame:
     """Add ``out``: the index of a contiguous range of ``order``. Spark's range
@@ -34,9 +47,9 @@ def dense_index(df: DataFrame, order: Sequence[str], n_ranges: int, out: str = "
     the partition, and partition offsets from a one-row-per-partition count table."""
     ranged = df.repartitionByRange(n_ranges, *order).sortWithinPartitions(*order)
     ranged = ranged.withColumn("_mid", F.monotonically_increasing_id())
-    ranged = ranged.withColumn("_part", F.shiftright("_mid", 33)).withColumn(
+    ranged = _shared(ranged.withColumn("_part", F.shiftright("_mid", 33)).withColumn(
         "_local", F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))
-    )
+    ))
     counts = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_cnt"))
     # one row per range partition: n_ranges rows, a proven bound
     offsets = counts.select(
@@ -69,7 +82,7 @@ def group_runs(
     and no key is routed to a single task."""
     ordc = F.struct(*[F.col(c) for c in order])
     if segment is None:
-        df = range_segments(df, order, n_segments)
+        df = _shared(range_segments(df, order, n_segments))
         segment = ["_seg"]
     # One struct column per row: both consumers below (the runs and the per-segment
     # summary) read it whole, so column pruning leaves their inputs identical and

@@ -404,3 +404,18 @@ def test_x12_x13_absent_text(spark):
     got = df.select(X.bool_array("s", [True]).alias("b"), X.string_array("s", ["d"]).alias("a"), X.kv_map("s").alias("m")).collect()
     assert (got[0].b, got[0].a, got[0].m) == ([True], ["d"], {})
     assert (got[1].b, got[1].a, got[1].m) == ([False, True], ["a", "TRUE"], {})
+
+
+def test_range_segments_without_exchange_reuse(spark):
+    """Runs and dense indexes stay right when the session disables exchange reuse."""
+    old = spark.conf.get("spark.sql.exchange.reuse")
+    try:
+        spark.conf.set("spark.sql.exchange.reuse", "false")
+        keys = ["a"] * 30 + ["b"] * 11 + ["a"] * 20
+        pairs = spark.createDataFrame([(i, k, f"p{i}") for i, k in enumerate(keys)], "n long, imei string, pkg string")
+        runs = O.group_runs(pairs, "imei", "pkg", ["n"], n_segments=6)
+        assert sorted((r.imei, r.n) for r in runs.collect()) == [("a", 20), ("a", 30), ("b", 11)]
+        df = spark.range(0, 5000).select((F.col("id") * 13 % 5000).alias("k"))
+        assert all(r.k == r.idx for r in O.dense_index(df, ["k"], 7).collect())
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", old)
