@@ -84,21 +84,29 @@ def _salted_rank(rows: DataFrame, keys: Sequence[str], order: str, n: int) -> Da
     return _rank(_rank(out, list(keys) + ["_s"], order, n), keys, order, n).drop("_s")
 
 
+# Largest n ranked with one window: Spark cuts each group to n rows per map task,
+# so a hot group reaches one reducer with n rows per task (n * tasks rows in all).
+PLAIN_TOP_N = 100
+
+
 def _use_salt(df: DataFrame, n: int, salted: bool | None) -> bool:
     if salted is not None:
         return salted
-    # up to this threshold Spark cuts every group to n rows per map task itself
-    return n > int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    # the per-task group limit exists only up to the session's threshold
+    threshold = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    return n > min(threshold, PLAIN_TOP_N)
 
 
 def top_n_per_group(df: DataFrame, keys: Sequence[str], order: str, n: int, salted: bool | None = None) -> DataFrame:
     """The ``n`` rows with the largest ``order`` of every group of ``keys``.
 
-    Up to the session's ``spark.sql.optimizer.windowGroupLimitThreshold`` Spark cuts
-    each group to ``n`` rows on every map task before the shuffle, so one window is
-    enough. Above it a hot group would be sorted whole in one task, so groups are
-    counted first (a partial aggregate): groups with at most ``n`` rows are kept as
-    they are, and only the rows of larger groups are ranked, in salted levels."""
+    For small ``n`` (``PLAIN_TOP_N``, and within the session's
+    ``spark.sql.optimizer.windowGroupLimitThreshold``) Spark cuts each group to ``n``
+    rows on every map task before the shuffle, so one window is enough. For larger
+    ``n`` a hot group would reach one task with ``n`` rows per map task or all its
+    rows, so groups are counted first (a partial aggregate): groups with at most
+    ``n`` rows are kept as they are, and only the rows of larger groups are ranked,
+    in salted levels."""
     if not _use_salt(df, n, salted):
         return _rank(df, keys, order, n)
     heavy_keys = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c")).filter(F.col("_c") > n).select(*keys)
