@@ -23,7 +23,7 @@ def overtime_minutes(duration_s) -> "F.Column":
 def alert_items(jobs: DataFrame, jobs_per_cube: int = JOBS_PER_CUBE) -> DataFrame:
     """F9 + W7: the first ``jobs_per_cube`` jobs of each cube (by name); RUNNING over
     60 whole minutes -> ``<tok0>_<tok2> cost N min``; ERROR -> the job name."""
-    paged = first_n_per_group(jobs, ["cube"], [F.col("name")], jobs_per_cube)
+    paged = first_n_per_group(jobs, ["cube"], "name", jobs_per_cube)
     mins = overtime_minutes("duration")
     return paged.select(
         "cube",

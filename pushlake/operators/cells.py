@@ -67,12 +67,12 @@ def latest_ts(cells: DataFrame, family: str | None = None, qualifier: str | Colu
     return c.groupBy("rowkey", "qualifier").agg(F.floor(F.max("ts") / 1000).cast("bigint").alias("ts_s"))
 
 
-def _rank(d: DataFrame, part: Sequence[str], order: str, n: int) -> DataFrame:
-    w = Window.partitionBy(*part).orderBy(F.col(order).desc())
+def _rank(d: DataFrame, part: Sequence[str], order: str, n: int, ascending: bool = False) -> DataFrame:
+    w = Window.partitionBy(*part).orderBy(F.col(order).asc() if ascending else F.col(order).desc())
     return d.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
 
 
-def _salted_rank(rows: DataFrame, keys: Sequence[str], order: str, n: int) -> DataFrame:
+def _salted_rank(rows: DataFrame, keys: Sequence[str], order: str, n: int, ascending: bool = False) -> DataFrame:
     """Top ``n`` per group in three levels: salt over ``s1`` buckets (about four per
     core of the cluster), then ``sqrt(s1)`` buckets, then the group itself. A level
     ranks at most one salt bucket of a group, and every later level at most
@@ -80,8 +80,8 @@ def _salted_rank(rows: DataFrame, keys: Sequence[str], order: str, n: int) -> Da
     s1 = max(2, 4 * rows.sparkSession.sparkContext.defaultParallelism)
     s2 = max(2, int(s1 ** 0.5))
     out = rows.withColumn("_s", F.pmod(F.xxhash64(*rows.columns), F.lit(s1)))
-    out = _rank(out, list(keys) + ["_s"], order, n).withColumn("_s", F.pmod(F.col("_s"), F.lit(s2)))
-    return _rank(_rank(out, list(keys) + ["_s"], order, n), keys, order, n).drop("_s")
+    out = _rank(out, list(keys) + ["_s"], order, n, ascending).withColumn("_s", F.pmod(F.col("_s"), F.lit(s2)))
+    return _rank(_rank(out, list(keys) + ["_s"], order, n, ascending), keys, order, n, ascending).drop("_s")
 
 
 # Largest n ranked with one window: Spark cuts each group to n rows per map task,
@@ -97,8 +97,10 @@ def _use_salt(df: DataFrame, n: int, salted: bool | None) -> bool:
     return n > min(threshold, PLAIN_TOP_N)
 
 
-def top_n_per_group(df: DataFrame, keys: Sequence[str], order: str, n: int, salted: bool | None = None) -> DataFrame:
-    """The ``n`` rows with the largest ``order`` of every group of ``keys``.
+def top_n_per_group(df: DataFrame, keys: Sequence[str], order: str, n: int, salted: bool | None = None,
+                    ascending: bool = False) -> DataFrame:
+    """The ``n`` rows with the largest ``order`` (smallest with ``ascending``) of
+    every group of ``keys``. ``order`` must be unique within a group.
 
     For small ``n`` (``PLAIN_TOP_N``, and within the session's
     ``spark.sql.optimizer.windowGroupLimitThreshold``) Spark cuts each group to ``n``
@@ -108,11 +110,11 @@ def top_n_per_group(df: DataFrame, keys: Sequence[str], order: str, n: int, salt
     ``n`` rows are kept as they are, and only the rows of larger groups are ranked,
     in salted levels."""
     if not _use_salt(df, n, salted):
-        return _rank(df, keys, order, n)
+        return _rank(df, keys, order, n, ascending)
     heavy_keys = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c")).filter(F.col("_c") > n).select(*keys)
     light = df.join(heavy_keys, list(keys), "left_anti")
     heavy = df.join(heavy_keys, list(keys), "left_semi")
-    return light.unionByName(_salted_rank(heavy, keys, order, n))
+    return light.unionByName(_salted_rank(heavy, keys, order, n, ascending))
 
 
 def sum_versions(cells: DataFrame, n: int = MAX_VERSIONS, salted: bool | None = None) -> DataFrame:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pushlake.functions._cols import ColumnOrName, as_col
@@ -90,11 +90,12 @@ def page(df: DataFrame, order: Sequence[ColumnOrName], limit: int = 0, offset: i
     return out
 
 
-def first_n_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column], n: int) -> DataFrame:
-    """The first ``n`` rows of each group (Spark plans a per-partition group limit
-    before the shuffle for this pattern)."""
-    w = Window.partitionBy(*group).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
+def first_n_per_group(df: DataFrame, group: Sequence[str], order: str, n: int) -> DataFrame:
+    """The first ``n`` rows of each group in ascending ``order`` (unique within a
+    group); skew-safe for large ``n`` (``cells.top_n_per_group``)."""
+    from pushlake.operators.cells import top_n_per_group
+
+    return top_n_per_group(df, group, order, n, ascending=True)
 
 
 def observe_counts(parsed: DataFrame, observation, reason_col: str = "reject_reason") -> DataFrame:

@@ -116,7 +116,7 @@ def w6_page(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH {JOBS}
 SELECT cube, name, job_status, duration FROM (SELECT *, row_number() OVER (PARTITION BY cube ORDER BY name) AS rn FROM jobs) t WHERE rn <= 1000""")
 def w7_first_n_per_group(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return R.first_n_per_group(fx.jobs(spark, sf_dir), ["cube"], [F.col("name")], 1000)
+    return R.first_n_per_group(fx.jobs(spark, sf_dir), ["cube"], "name", 1000)
 
 
 @register("k5_replace_into", sql=f"""

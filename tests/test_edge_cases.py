@@ -419,3 +419,11 @@ def test_range_segments_without_exchange_reuse(spark):
         assert all(r.k == r.idx for r in O.dense_index(df, ["k"], 7).collect())
     finally:
         spark.conf.set("spark.sql.exchange.reuse", old)
+
+
+def test_w7_first_n_salted_ascending(spark):
+    rows = [("hot", f"j{i:05d}") for i in range(2500)] + [("cold", f"j{i:05d}") for i in range(3)]
+    df = spark.createDataFrame(rows, "cube string, name string").repartition(5)
+    got = R.first_n_per_group(df, ["cube"], "name", 1000)
+    names = sorted((r.cube, r.name) for r in got.collect())
+    assert names == sorted([("cold", f"j{i:05d}") for i in range(3)] + [("hot", f"j{i:05d}") for i in range(1000)])
