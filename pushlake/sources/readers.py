@@ -153,10 +153,11 @@ def read_topic(spark: SparkSession, servers: str, topic: str, group: str, starti
 
 
 def read_cells_tsv(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Five TAB fields per line: rowkey, itime (ms), val, family, qualifier -> cells.
-    Lines without five fields or with a bad time are dropped."""
+    """Five TAB fields per trimmed line: rowkey, itime (ms), val, family,
+    qualifier -> cells. A line without five fields or with a bad time is dropped on
+    its own (the reference lost the whole batch)."""
     lines = spark.read.text(_path_list(paths))
-    parts = pin(lines, _a=X.java_split(F.col("value"), "\t")).filter(F.size("_a") >= 5)
+    parts = pin(lines, _a=X.java_split(X.java_trim(F.col("value")), "\t")).filter(F.size("_a") >= 5)
     return parts.select(
         F.get("_a", 0).alias("rowkey"),
         F.get("_a", 3).alias("family"),

@@ -139,3 +139,9 @@ def test_k7_to_index_docs(spark, tmp_path):
     K.to_index_docs(O.last_run(runs, "imei", "pkg"), "imei", "pkg", 7, send)
     docs = sorted((d["id"], d["pkg"], d["itime"]) for f in os.listdir(out) for d in json.load(open(os.path.join(out, f))))
     assert docs == [("a", "w", 7), ("b", "z", 7)]
+
+
+def test_s8_cells_tsv_lines(spark, tmp_path):
+    path = str(tmp_path / "tsv")
+    spark.createDataFrame([(" r1\t5\t1.5\tA\tq\t",), ("r2\tx\t1\tA\tq",), ("r3\t1\t2",)], "v string").write.text(path)
+    assert [tuple(r) for r in S.read_cells_tsv(spark, path).collect()] == [("r1", "A", "q", 5, "1.5")]
