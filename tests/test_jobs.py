@@ -104,3 +104,17 @@ def test_hourly_stats(spark, tmp_path):
         jobs.hourly_stats(spark, base, dt.datetime(2017, 5, 11, 0), dt.datetime(2017, 5, 12, 0), out)
     got = sorted((r.grain, r.ihour, r.n_msgs, r.n_msgids) for r in spark.read.parquet(out).collect())
     assert got == [("day", None, 2, 2), ("hour", 2017051117, 2, 2)]
+
+
+def test_push_events_stream(spark, tmp_path):
+    src = str(tmp_path / "msgs")
+    body = json.dumps({"msg_id": 9, "step": "seg-to-apns", "appkey": " k ", "itime": 5, "uid": 3})
+    spark.createDataFrame([(body,), ("junk",), ('{"rows":[' + body.replace("9", "10") + "]}",)], "value string").write.parquet(src)
+    stream = spark.readStream.schema("value string").option("maxFilesPerTrigger", 1).parquet(src)
+    q = jobs.push_events_stream(stream, str(tmp_path / "out"), str(tmp_path / "ck"), 1)
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    got = sorted(r.value for r in spark.read.text(str(tmp_path / "out")).collect())
+    assert got == ["k\u0001null\u000110\u00013\u00015", "k\u0001null\u00019\u00013\u00015"]
