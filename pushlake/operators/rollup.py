@@ -21,16 +21,29 @@ def applist_time(itime: ColumnOrName) -> Column:
     return (F.max(F.when(ok, t)) * 1000).cast("bigint")
 
 
-def applist_by_imei(df: DataFrame, salt_buckets: int = 0) -> DataFrame:
+def applist_by_imei(df: DataFrame, salt_buckets: int = 0, max_items: int | None = None) -> DataFrame:
     """A1 + A2: group app rows by imei -> (imei, itime_ms, applist JSON of sorted
     ``{name, pkg}``); empty imei dropped.
 
     The list is the output, so one imei's rows end in one value. ``collect_list``
     aggregates partially on every map task; with ``salt_buckets`` > 0 a second
-    salted stage splits the sort of very hot imeis before the final merge."""
+    salted stage splits the sort of very hot imeis before the final merge. With
+    ``max_items`` no value holds more than about that many apps: an imei's list is
+    cut into ``part`` rows (``parts`` of them), hash-assigned after a distributed
+    count, each sorted; their union is the imei's list."""
     src = df.filter(F.length("imei") > 0).select(
         "imei", F.struct(F.col("name"), F.col("pkg")).alias("app"), "itime"
     )
+    if max_items:
+        per = src.groupBy("imei").agg(
+            applist_time("itime").alias("itime_ms"),
+            F.ceil(F.count(F.lit(1)) / F.lit(max_items)).cast("int").alias("parts"),
+        )
+        tagged = src.join(per.select("imei", "parts"), "imei").withColumn(
+            "part", F.pmod(F.xxhash64("app", "itime"), F.col("parts")).cast("int")
+        )
+        lists = tagged.groupBy("imei", "part", "parts").agg(F.to_json(F.sort_array(F.collect_list("app"))).alias("applist"))
+        return lists.join(per.select("imei", "itime_ms"), "imei").select("imei", "part", "parts", "itime_ms", "applist")
     if salt_buckets and salt_buckets > 1:
         salted = src.withColumn("_salt", F.pmod(F.xxhash64("app", "itime"), F.lit(salt_buckets)))
         part = salted.groupBy("imei", "_salt").agg(

@@ -427,3 +427,17 @@ def test_w7_first_n_salted_ascending(spark):
     got = R.first_n_per_group(df, ["cube"], "name", 1000)
     names = sorted((r.cube, r.name) for r in got.collect())
     assert names == sorted([("cold", f"j{i:05d}") for i in range(3)] + [("hot", f"j{i:05d}") for i in range(1000)])
+
+
+def test_a1_parts_for_huge_lists(spark):
+    rows = [("big", f"p{i:04d}", f"n{i:04d}", 1494496411) for i in range(2000)] + [("small", "p", "n", 5)]
+    df = spark.createDataFrame(rows, "imei string, pkg string, name string, itime long")
+    out = R.applist_by_imei(df, max_items=300).collect()
+    big = [r for r in out if r.imei == "big"]
+    assert len(big) == big[0].parts == 7 and all(r.itime_ms == 1494496411000 for r in big)
+    items = [a for r in big for a in json.loads(r.applist)]
+    assert sorted(a["pkg"] for a in items) == [f"p{i:04d}" for i in range(2000)]
+    assert max(len(json.loads(r.applist)) for r in big) < 600
+    small = [r for r in out if r.imei == "small"]
+    assert len(small) == 1 and small[0].part == 0 and small[0].itime_ms is None
+    assert json.loads(small[0].applist) == [{"name": "n", "pkg": "p"}]
