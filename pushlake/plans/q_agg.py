@@ -240,3 +240,16 @@ def c10_cube_distinct_nations(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``hll_sketch_estimate`` (exact while a sketch holds few values, as here)."""
     cube = CB.build_cube(fx.star(spark, sf_dir), DIMS, {}, distinct={"nations": "c_nationkey"})
     return cube.select(*DIMS, "gid", "n", F.hll_sketch_estimate("nations").alias("nations"))
+
+
+@register("a1_applist_parts", sql=f"""
+WITH {APPLIST_ROWS},
+r AS (SELECT * FROM applist_rows WHERE imei IS NOT NULL AND pkg IS NOT NULL AND name IS NOT NULL AND itime IS NOT NULL AND length(imei) > 0),
+t AS (SELECT imei, CAST(max(CASE WHEN length(CAST(itime AS VARCHAR)) = 10 AND itime > 0 THEN itime END) * 1000 AS BIGINT) AS itime_ms FROM r GROUP BY imei)
+SELECT r.imei, t.itime_ms, r.name, r.pkg FROM r JOIN t ON r.imei = t.imei""")
+def a1_applist_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1 with bounded parts (at most about 16 apps per value): exploding the parts
+    gives back every app row of every imei, with the imei's group time."""
+    parts = R.applist_by_imei(fx.applist_rows(spark, sf_dir).dropna(), max_items=16)
+    items = parts.select("imei", "itime_ms", F.explode(F.from_json("applist", "array<struct<name:string,pkg:string>>")).alias("a"))
+    return items.select("imei", "itime_ms", "a.name", "a.pkg")
