@@ -70,6 +70,7 @@ def group_runs(
     segment: Sequence[str] | None = None,
     sep: str = "|",
     n_segments: int | None = None,
+    pieces: bool = False,
 ) -> DataFrame:
     """Runs of consecutive rows (in ``order``) with equal ``key`` ->
     (key, run_start, values joined by ``sep`` in order, n).
@@ -79,7 +80,11 @@ def group_runs(
     contiguous ranges (for text: file and block); without it, ``n_segments`` range
     partitions of ``order`` are used (one range shuffle). Runs may span segments: a one-row-per-segment table
     carries the open run across borders, so no task ever sees more than a segment
-    and no key is routed to a single task."""
+    and no key is routed to a single task.
+
+    With ``pieces`` a run is returned as one row per segment it touches
+    (``piece_start`` = its first order value): no value is larger than a segment,
+    and the pieces of a run joined in ``piece_start`` order give its value."""
     ordc = F.struct(*[F.col(c) for c in order])
     if segment is None:
         df = _shared(range_segments(df, order, n_segments))
@@ -111,10 +116,13 @@ def group_runs(
         "carry", F.when(F.col("first_is_start"), F.col("_first.o")).otherwise(F.lag("tail").over(ws))
     ).select(*segment, "carry")
     runs = a.join(segs, list(segment), "inner").withColumn("_run", F.coalesce("_start_local", "carry"))
-    return runs.groupBy(k.alias(key), F.col("_run").alias("run_start")).agg(
+    keys = [k.alias(key), F.col("_run").alias("run_start")] + ([F.col(c) for c in segment] if pieces else [])
+    out = runs.groupBy(*keys).agg(
         F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(o.alias("o"), F.col("_row.v").alias("v")))), lambda x: x["v"]), sep).alias(value),
         F.count(F.lit(1)).alias("n"),
+        F.min(o).alias("piece_start"),
     )
+    return out.select(key, "run_start", value, "n", "piece_start") if pieces else out.drop("piece_start")
 
 
 def last_run(runs: DataFrame, key: str, value: str) -> DataFrame:

@@ -19,9 +19,11 @@ from pushlake.session import scratch_path
 from pushlake.sources import readers as S
 from pushlake.sources.sinks import index_docs, sorted_cells
 
-RUNS_SQL = f"""
+NUMBERED_SQL = f"""
 {PAIR_LINES}, {PAIRS_SQL},
-numbered AS (SELECT *, row_number() OVER (ORDER BY event_id) - row_number() OVER (PARTITION BY imei ORDER BY event_id) AS grp FROM pairs),
+numbered AS (SELECT *, row_number() OVER (ORDER BY event_id) - row_number() OVER (PARTITION BY imei ORDER BY event_id) AS grp FROM pairs)"""
+
+RUNS_SQL = f"""{NUMBERED_SQL},
 runs AS (SELECT imei, min(event_id) AS run_start, string_agg(pkg, '|' ORDER BY event_id) AS pkg, count(*) AS n FROM numbered GROUP BY imei, grp)"""
 
 
@@ -131,3 +133,16 @@ def k5_replace_into(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     latest = O.last_write_wins(parsed_apkver(spark, sf_dir), "uid", "event_id", ["appkey", "apkver"])
     return replace_into(fx.docs(spark, sf_dir), latest, ["uid"]).select("uid", "appkey", "apkver", "sdkver", "channel")
+
+
+@register("w1_group_runs_pieces", sql=f"""
+WITH {NUMBERED_SQL},
+starts AS (SELECT imei, grp, min(event_id) AS run_start FROM numbered GROUP BY imei, grp)
+SELECT n.imei, s.run_start, n.pkg FROM numbered n JOIN starts s ON n.imei = s.imei AND n.grp = s.grp""")
+def w1_group_runs_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W1 returning each run as bounded pieces (one per segment it touches); the
+    pieces' values, split again, are exactly the run's lines."""
+    pairs = P.accepted(P.parse_pairs(fx.pair_lines(spark, sf_dir), keep=["event_id"]))
+    runs = O.group_runs(pairs, "imei", "pkg", ["event_id"], pieces=True)
+    items = runs.select("imei", F.col("run_start.event_id").alias("run_start"), F.explode(F.split("pkg", "[|]")).alias("pkg"))
+    return items

@@ -441,3 +441,15 @@ def test_a1_parts_for_huge_lists(spark):
     small = [r for r in out if r.imei == "small"]
     assert len(small) == 1 and small[0].part == 0 and small[0].itime_ms is None
     assert json.loads(small[0].applist) == [{"name": "n", "pkg": "p"}]
+
+
+def test_w1_pieces_rebuild_runs(spark):
+    keys = ["a"] * 40 + ["b"] * 3 + ["a"] * 9
+    pairs = spark.createDataFrame([(i, k, f"p{i}") for i, k in enumerate(keys)], "n long, imei string, pkg string")
+    pieces = O.group_runs(pairs, "imei", "pkg", ["n"], n_segments=5, pieces=True).collect()
+    whole = {}
+    for r in sorted(pieces, key=lambda r: (r.imei, r.run_start.n, r.piece_start.n)):
+        whole.setdefault((r.imei, r.run_start.n), []).append(r.pkg)
+    assert {k: "|".join(v) for k, v in whole.items()} == {
+        ("a", 0): "|".join(f"p{i}" for i in range(40)), ("b", 40): "p40|p41|p42", ("a", 43): "|".join(f"p{i}" for i in range(43, 52))}
+    assert len(pieces) > 3
