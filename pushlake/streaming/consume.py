@@ -92,7 +92,9 @@ def push_stream(messages: DataFrame) -> DataFrame:
 
 def hour_stats_stream(aggs, tz: str = "Asia/Shanghai") -> Callable[[DataFrame, int], DataFrame]:
     """The hourly stats job as a function of one micro-batch of lines (column
-    ``line``) and its batch id."""
+    ``line``) and its batch id. Like the reference's scheduler, which starts an
+    hour's run once its directory exists, it expects an hour's files to arrive
+    together: an hour split across micro-batches gives one partial row per batch."""
     from pushlake.operators.rollup import hour_day_stats
 
     def per_batch(batch: DataFrame, batch_id: int) -> DataFrame:
