@@ -120,3 +120,20 @@ def observe_counts(parsed: DataFrame, observation, reason_col: str = "reject_rea
         F.count(F.when(F.col(reason_col).isNull(), 1)).alias("accepted"),
         F.count(F.col(reason_col)).alias("rejected"),
     )
+
+
+def hour_day_stats_sketched(df: DataFrame, day: str, hour: str, distinct: dict[str, str], count: str = "n",
+                            lg_k: int = 12) -> DataFrame:
+    """A11 at scale with approximate distinct counts: hour rows aggregate the input
+    once (a count and one HLL sketch per ``distinct`` entry, name -> column); day
+    rows are rolled up from the hour rows (counts add, sketches union), so the
+    input is read and shuffled once and no distinct-count Expand is needed. Same
+    output shape as ``hour_day_stats``, with estimated distinct counts."""
+    hours = df.groupBy(day, hour).agg(
+        F.count(F.lit(1)).alias(count), *[F.hll_sketch_agg(c, lg_k).alias(f"_{k}") for k, c in distinct.items()]
+    )
+    days = hours.groupBy(day).agg(F.sum(count).alias(count), *[F.hll_union_agg(f"_{k}").alias(f"_{k}") for k in distinct])
+    est = [F.hll_sketch_estimate(f"_{k}").alias(k) for k in distinct]
+    return hours.select(day, hour, F.lit("hour").alias("grain"), count, *est).unionByName(
+        days.select(day, F.lit(None).cast(df.schema[hour].dataType).alias(hour), F.lit("day").alias("grain"), count, *est)
+    )

@@ -349,3 +349,11 @@ def f8_strict_time_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F8: keep only keys that are real calendar times for the grain of their length."""
     tk = fx.time_key_rows(spark, sf_dir)
     return tk.filter(TK.key_is_valid("key", TK.grain_of("key")))
+
+
+@register("a11_hour_day_stats_sketched")
+def a11_hour_day_stats_sketched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A11 with mergeable HLL sketches: hour rows from one pass, day rows rolled up
+    from them; distinct counts are estimates, so there is no exact SQL oracle."""
+    return R.hour_day_stats_sketched(http_records(spark, sf_dir), "iday", "ihour",
+                                     {"n_appkeys": "appkey", "n_msgids": "msgid"}, count="n_msgs")

@@ -453,3 +453,14 @@ def test_w1_pieces_rebuild_runs(spark):
     assert {k: "|".join(v) for k, v in whole.items()} == {
         ("a", 0): "|".join(f"p{i}" for i in range(40)), ("b", 40): "p40|p41|p42", ("a", 43): "|".join(f"p{i}" for i in range(43, 52))}
     assert len(pieces) > 3
+
+
+def test_hour_day_stats_sketched_matches_exact(spark):
+    rows = [(20170511, 2017051100 + h, f"k{i % 7}", i) for h in range(24) for i in range(h * 40, h * 40 + 40 + h)]
+    df = spark.createDataFrame(rows, "iday int, ihour int, appkey string, msgid long")
+    exact = {(r.grain, r.ihour): (r.n, r.a, r.m) for r in R.hour_day_stats(
+        df, "iday", "ihour", [F.count(F.lit(1)).alias("n"), F.countDistinct("appkey").alias("a"), F.countDistinct("msgid").alias("m")]).collect()}
+    est = {(r.grain, r.ihour): (r.n, r.a, r.m) for r in R.hour_day_stats_sketched(df, "iday", "ihour", {"a": "appkey", "m": "msgid"}).collect()}
+    assert set(est) == set(exact)
+    for k, (n, a, m) in exact.items():
+        assert est[k][0] == n and est[k][1] == a and abs(est[k][2] - m) <= 0.05 * m
