@@ -148,6 +148,22 @@ def main(argv: list[str] | None = None) -> None:
     d.add_argument("output")
     d.add_argument("--start", required=True, help="yyyyMMddHH")
     d.add_argument("--end", required=True, help="yyyyMMddHH (exclusive)")
+    m = sub.add_parser("merge-versions", help="merge version lines into a Parquet document table")
+    m.add_argument("docs")
+    m.add_argument("inputs")
+    m.add_argument("output")
+    m.add_argument("--flag", required=True, choices=["apkver", "sdkver"])
+    s = sub.add_parser("send-time-values", help="key file -> (msgid, ts, value) as Parquet")
+    s.add_argument("keys")
+    s.add_argument("report_cells")
+    s.add_argument("offline_cells")
+    s.add_argument("output")
+    s.add_argument("--appkey", required=True)
+    s.add_argument("--column", required=True)
+    u = sub.add_parser("user-dims", help="uid file -> user dimensions as Parquet")
+    u.add_argument("uids")
+    u.add_argument("user_cells")
+    u.add_argument("output")
     args = p.parse_args(argv)
     spark = SparkSession.builder.appName(f"pushlake-{args.job}").getOrCreate()
     if args.job == "http-api-to-orc":
@@ -159,6 +175,14 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "hourly-stats":
         fmt = "%Y%m%d%H"
         hourly_stats(spark, args.base, dt.datetime.strptime(args.start, fmt), dt.datetime.strptime(args.end, fmt), args.output)
+    elif args.job == "merge-versions":
+        merge_versions(spark, spark.read.parquet(args.docs), args.inputs, args.flag).write.mode("overwrite").parquet(args.output)
+    elif args.job == "send-time-values":
+        out = send_time_values(spark, args.keys, spark.read.parquet(args.report_cells), spark.read.parquet(args.offline_cells),
+                               args.appkey, args.column)
+        out.write.mode("overwrite").parquet(args.output)
+    elif args.job == "user-dims":
+        user_dims(spark, args.uids, spark.read.parquet(args.user_cells)).write.mode("overwrite").parquet(args.output)
 
 
 if __name__ == "__main__":

@@ -118,3 +118,12 @@ def test_push_events_stream(spark, tmp_path):
         q.stop()
     got = sorted(r.value for r in spark.read.text(str(tmp_path / "out")).collect())
     assert got == ["k\u0001null\u000110\u00013\u00015", "k\u0001null\u00019\u00013\u00015"]
+
+
+def test_cli_merge_versions(spark, tmp_path):
+    docs = str(tmp_path / "docs")
+    spark.createDataFrame([("u", "a", "1.0", "s", "c")], "uid string, appkey string, apkver string, sdkver string, channel string").write.parquet(docs)
+    src = write_lines(spark, str(tmp_path / "in"), ["u\t9.9"])
+    jobs.main(["merge-versions", docs, src, str(tmp_path / "out"), "--flag", "apkver"])
+    r = spark.read.parquet(str(tmp_path / "out")).first()
+    assert (r.uid, r.appkey, r.apkver, r.sdkver) == ("u", None, "9.9", "s")
