@@ -464,3 +464,12 @@ def test_hour_day_stats_sketched_matches_exact(spark):
     assert set(est) == set(exact)
     for k, (n, a, m) in exact.items():
         assert est[k][0] == n and est[k][1] == a and abs(est[k][2] - m) <= 0.05 * m
+
+
+def test_hour_day_stats_extra_keys(spark):
+    df = spark.createDataFrame([("k1", 20170511, 2017051101), ("k1", 20170511, 2017051102), ("k2", 20170511, 2017051101)],
+                               "appkey string, iday int, ihour int")
+    out = R.hour_day_stats(df, "iday", "ihour", [F.count(F.lit(1)).alias("n")], extra_keys=["appkey"])
+    got = sorted((r.appkey, r.grain, r.ihour, r.n) for r in out.collect())
+    assert got == [("k1", "day", None, 2), ("k1", "hour", 2017051101, 1), ("k1", "hour", 2017051102, 1),
+                   ("k2", "day", None, 1), ("k2", "hour", 2017051101, 1)]
