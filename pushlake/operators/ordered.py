@@ -72,7 +72,8 @@ def group_runs(
     n_segments: int | None = None,
     pieces: bool = False,
 ) -> DataFrame:
-    """Runs of consecutive rows (in ``order``) with equal ``key`` ->
+    """Runs of consecutive rows (in ``order``, which must be unique, as the text
+    reader's (file, block, position) is) with equal ``key`` ->
     (key, run_start, values joined by ``sep`` in order, n).
 
     Rows given here are the accepted ones: a rejected line between two equal keys
