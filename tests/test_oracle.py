@@ -34,3 +34,16 @@ def test_query(spark, con, name):
         compare(df, con, SQLS[name])
     else:
         assert df.count() >= 0
+
+
+@pytest.mark.parametrize("name", ["w1_group_runs", "a5_sum_versions", "c4_encode_dim", "w7_first_n_per_group"])
+def test_query_without_adaptive_execution(spark, con, name):
+    """Results do not depend on AQE (static plans, odd shuffle partition count)."""
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "13")
+        compare(QUERIES[name](spark, SF_SMALL), con, SQLS[name])
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
