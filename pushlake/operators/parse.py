@@ -172,9 +172,14 @@ def profile_cells(lines: DataFrame, kind: str, ts: ColumnOrName, line_col: str =
 
     ``app_tags``: ``imei TAB {"app_tags": ...}``, exactly two fields.
     ``app_list`` / ``device_info``: a JSON object with ``imei`` and the kind's key.
-    A present key with a null value rejects the row (F5), so does a blank imei (F4)."""
+    A present key with a null value rejects the row (F5), so does a blank imei (F4).
+    An unknown ``kind`` logs a warning and gives no rows, as the reference's job did."""
     if kind not in PROFILE_KINDS:
-        raise ValueError(f"unknown profile type: {kind}")
+        import logging
+
+        logging.getLogger("pushlake.parse").warning("unknown profile type: %s", kind)
+        empty = lines.sparkSession.createDataFrame([], "rowkey string, family string, qualifier string, ts bigint, value string")
+        return empty.withColumn(line_col, F.lit(None).cast("string")).withColumn(REJECT, F.lit(None).cast("string"))
     line = F.col(line_col)
     if kind == "app_tags":
         split = lines.select(F.col(line_col), X.java_split(line, "\t").alias("_arr"))
