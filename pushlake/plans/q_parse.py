@@ -357,3 +357,22 @@ def a11_hour_day_stats_sketched(spark: SparkSession, sf_dir: str) -> DataFrame:
     from them; distinct counts are estimates, so there is no exact SQL oracle."""
     return R.hour_day_stats_sketched(http_records(spark, sf_dir), "iday", "ihour",
                                      {"n_appkeys": "appkey", "n_msgids": "msgid"}, count="n_msgs")
+
+
+@register("a11_event_stats", sql="""
+WITH e AS (SELECT user_id, value, strftime(ts + INTERVAL 8 HOUR, '%Y%m%d%H') AS h FROM events)
+SELECT CAST(substr(h, 1, 8) AS INTEGER) AS iday, CASE WHEN GROUPING(h) = 1 THEN NULL ELSE CAST(h AS INTEGER) END AS ihour,
+       CASE WHEN GROUPING(h) = 1 THEN 'day' ELSE 'hour' END AS grain,
+       count(*) AS n, count(DISTINCT user_id) AS users, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total
+FROM e GROUP BY GROUPING SETS ((substr(h, 1, 8), h), (substr(h, 1, 8)))""")
+def a11_event_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A11 with the decided metrics (D9): per hour and per day of the event time in
+    the job's zone, the event count, distinct users and the value sum."""
+    ev = fx.table(spark, sf_dir, "events")
+    h = TK.hour_key(TK.ms_of_ntz("ts"))
+    keyed = ev.select("user_id", "value", F.substring(h, 1, 8).try_cast("int").alias("iday"), h.try_cast("int").alias("ihour"))
+    stats = R.hour_day_stats(keyed, "iday", "ihour", [
+        F.count(F.lit(1)).alias("n"), F.countDistinct("user_id").alias("users"),
+        F.sum(F.col("value").cast("decimal(18,2)")).cast("double").alias("total"),
+    ])
+    return stats
