@@ -137,19 +137,26 @@ def require_kafka(spark: SparkSession) -> None:
                            "feed the same transforms from any DataFrame with a 'value' column")
 
 
-def read_topic(spark: SparkSession, servers: str, topic: str, group: str, starting: str = "latest") -> DataFrame:
+# Fixed value: the reference drains a topic in batches of 500 messages (R2).
+DRAIN_BATCH = 500
+
+
+def read_topic(spark: SparkSession, servers: str, topic: str, group: str, starting: str = "latest",
+               max_per_trigger: int | None = None) -> DataFrame:
     """A Structured Streaming source of one topic and consumer group, payload only.
-    Needs the Kafka connector on the classpath."""
+    ``max_per_trigger`` caps the messages of one micro-batch (``DRAIN_BATCH`` for a
+    drain, R2). Needs the Kafka connector on the classpath."""
     require_kafka(spark)
-    raw = (
+    r = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
         .option("kafka.group.id", group)
         .option("startingOffsets", starting)
-        .load()
     )
-    return topic_values(raw)
+    if max_per_trigger:
+        r = r.option("maxOffsetsPerTrigger", max_per_trigger)
+    return topic_values(r.load())
 
 
 def read_cells_tsv(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
