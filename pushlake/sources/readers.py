@@ -68,15 +68,17 @@ def hourly_paths(base: str, start: dt.datetime, end: dt.datetime, template: str
 
 
 def existing_paths(spark: SparkSession, paths: Iterable[str]) -> list[str]:
-    """The paths that exist (an existing hour directory counts as ready)."""
+    """The paths that exist (an existing hour directory counts as ready). Each
+    parent directory is listed once (one call per day for hourly inputs)."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    out = []
-    for p in paths:
-        hp = jvm.org.apache.hadoop.fs.Path(p)
-        if hp.getFileSystem(conf).exists(hp):
-            out.append(p)
-    return out
+    paths = list(paths)
+    children: dict[str, set[str]] = {}
+    for parent in dict.fromkeys(os.path.dirname(p.rstrip("/")) for p in paths):
+        hp = jvm.org.apache.hadoop.fs.Path(parent)
+        fs = hp.getFileSystem(conf)
+        children[parent] = {s.getPath().getName() for s in fs.listStatus(hp)} if fs.exists(hp) else set()
+    return [p for p in paths if os.path.basename(p.rstrip("/")) in children[os.path.dirname(p.rstrip("/"))]]
 
 
 def read_hours(spark: SparkSession, base: str, start: dt.datetime, end: dt.datetime, fmt: str = "text",
