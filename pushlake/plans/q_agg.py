@@ -23,6 +23,7 @@ FROM r GROUP BY imei"""
 
 @register("a1_applist_by_imei", sql=APPLIST_SQL)
 def a1_applist_by_imei(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1 + A2: app rows (null fields dropped, as the ORC reader does) grouped per imei into a sorted JSON list and a group time."""
     return R.applist_by_imei(fx.applist_rows(spark, sf_dir).dropna())
 
 
@@ -37,12 +38,14 @@ WITH {APPLIST_ROWS}
 SELECT imei, CAST(max(CASE WHEN length(CAST(itime AS VARCHAR)) = 10 AND itime > 0 THEN itime END) * 1000 AS BIGINT) AS itime_ms
 FROM applist_rows WHERE name IS NOT NULL AND length(imei) > 0 GROUP BY imei""")
 def a2_applist_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2: the group time per imei: the largest positive 10-digit itime in ms, else null."""
     rows = fx.applist_rows(spark, sf_dir).dropna().filter(F.length("imei") > 0)
     return rows.groupBy("imei").agg(R.applist_time("itime").alias("itime_ms"))
 
 
 @register("a6_row_count", sql=f"WITH {STAR} SELECT count(*) AS n FROM star")
 def a6_row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row count of the flat star table."""
     return R.row_count(fx.star(spark, sf_dir))
 
 
@@ -51,6 +54,7 @@ WITH {STAR}
 SELECT r_name, o_year, CAST(sum(price) AS DOUBLE) AS sum_price FROM star GROUP BY r_name, o_year
 ORDER BY sum(price) DESC, r_name, o_year LIMIT 10""")
 def a7_top_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Price sum by region and order year, the ten largest groups."""
     top = R.top_groups(fx.star(spark, sf_dir), ["r_name", "o_year"], "price", 10,
                        order=[F.col("sum_price").desc(), F.col("r_name"), F.col("o_year")])
     return top.withColumn("sum_price", F.col("sum_price").cast("double"))
@@ -58,12 +62,14 @@ def a7_top_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("a8_count_rows", sql="SELECT count(*) AS n FROM events")
 def a8_count_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Global row count (0 on empty input, unlike sum(1))."""
     return R.row_count(fx.table(spark, sf_dir, "events"))
 
 
 @register("a9_global_agg", sql="""
 SELECT count(*) AS n, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total, min(event_id) AS first_id, max(event_id) AS last_id FROM events""")
 def a9_global_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One global row of count, decimal sum and id range, with no grouping."""
     ev = fx.table(spark, sf_dir, "events")
     return R.global_agg(
         ev, F.count(F.lit(1)).alias("n"), F.sum(F.col("value").cast("decimal(18,2)")).cast("double").alias("total"),
@@ -100,11 +106,13 @@ def _cube_out(df: DataFrame, dims=DIMS) -> DataFrame:
 
 @register("c1_flat_table", sql=f"WITH {STAR} SELECT r_name, c_mktsegment, o_orderstatus, o_orderpriority, c_nationkey, o_year, CAST(price AS DOUBLE) AS price FROM star")
 def c1_flat_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The star flat table (fact joined with four dimensions, projected)."""
     return fx.star(spark, sf_dir).withColumn("price", F.col("price").cast("double"))
 
 
 @register("c2_redistribute", sql=f"WITH {STAR} SELECT r_name, c_mktsegment, o_orderstatus, o_orderpriority, CAST(price AS DOUBLE) AS price FROM star")
 def c2_redistribute(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flat table spread round-robin over 8 partitions; same rows."""
     return CB.redistribute(fx.star(spark, sf_dir), 8).select(*DIMS, F.col("price").cast("double").alias("price"))
 
 
@@ -113,6 +121,7 @@ WITH {STAR}
 SELECT DISTINCT 'r_name' AS dim, r_name AS value FROM star UNION SELECT DISTINCT 'c_mktsegment', c_mktsegment FROM star
 UNION SELECT DISTINCT 'o_orderstatus', o_orderstatus FROM star UNION SELECT DISTINCT 'o_orderpriority', o_orderpriority FROM star""")
 def c3_dim_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The distinct values of the four cube dimensions."""
     return CB.dim_values(fx.star(spark, sf_dir), DIMS)
 
 
@@ -120,6 +129,7 @@ def c3_dim_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH {STAR}
 SELECT c_mktsegment, CAST(dense_rank() OVER (ORDER BY c_mktsegment) - 1 AS BIGINT) AS c_mktsegment_code FROM (SELECT DISTINCT c_mktsegment FROM star) t""")
 def c4_encode_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C4: dense dictionary codes of the market segment."""
     return CB.encode_dim(fx.star(spark, sf_dir), "c_mktsegment", n_ranges=4).select("c_mktsegment", "c_mktsegment_code").distinct()
 
 
@@ -134,12 +144,14 @@ WITH {STAR},
 g AS (SELECT GROUPING({CUBE_DIMS_SQL}) AS gid FROM star GROUP BY CUBE ({CUBE_DIMS_SQL}))
 SELECT CAST(gid AS BIGINT) AS gid, {_dims_text_sql(DIMS)} AS dims, count(*) AS rows FROM g GROUP BY gid""")
 def c5_cuboid_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per cuboid of the four-dimension cube."""
     return CB.cuboid_stats(fx.star(spark, sf_dir), DIMS)
 
 
 @register("c6_base_cuboid", sql=f"""
 WITH {STAR} SELECT {CUBE_DIMS_SQL}, count(*) AS n, CAST(sum(price) AS DOUBLE) AS price FROM star GROUP BY {CUBE_DIMS_SQL}""")
 def c6_base_cuboid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C6 + C8: the base cuboid with row count and exact price sum."""
     b = CB.base_cuboid(fx.star(spark, sf_dir), DIMS, measures())
     return b.select(*DIMS, "n", F.col("price").cast("double").alias("price"))
 
@@ -152,6 +164,7 @@ FROM star GROUP BY CUBE ({CUBE_DIMS_SQL})"""
 
 @register("c7_build_cube", sql=CUBE_SQL)
 def c7_build_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C7 + C8: all 16 cuboids rolled up from the base cuboid."""
     return _cube_out(CB.build_cube(fx.star(spark, sf_dir), DIMS, measures()))
 
 
@@ -176,6 +189,7 @@ WITH {STAR}
 SELECT o_orderstatus, n_name, count(*) AS n, CAST(sum(price) AS DOUBLE) AS price
 FROM star JOIN nation ON c_nationkey = n_nationkey GROUP BY o_orderstatus, n_name""")
 def c9_with_derived(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nation names derived after the roll-up and re-aggregated by status."""
     dims = ["c_nationkey", "o_orderstatus", "o_orderpriority"]
     cube = CB.build_cube(fx.star(spark, sf_dir), dims, measures())
     out = CB.with_derived(cube, dims, fx.table(spark, sf_dir, "nation"), "c_nationkey", "n_nationkey", "n_name", ["o_orderstatus"], ["price"])
@@ -192,6 +206,7 @@ def c10_cardinalities(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH {STAR}
 SELECT r_name, o_orderstatus, CAST(sum(price) AS DOUBLE) AS price FROM star WHERE o_orderstatus = 'F' GROUP BY r_name, o_orderstatus""")
 def c11_query_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C11 + F10: price by region and status answered from its cuboid, status filtered."""
     cube = CB.build_cube(fx.star(spark, sf_dir), DIMS, measures())
     out = CB.query_cube(cube, DIMS, ["r_name", "o_orderstatus"], "price", where=F.col("o_orderstatus") == "F")
     return out.withColumn("price", F.col("price").cast("double"))
@@ -201,6 +216,7 @@ def c11_query_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH {STAR}
 SELECT o_orderstatus, count(*) AS n FROM star WHERE c_mktsegment = 'BUILDING' GROUP BY o_orderstatus""")
 def f10_dim_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """equality filter on a dimension before an aggregate."""
     s = fx.star(spark, sf_dir).filter(F.col("c_mktsegment") == "BUILDING")
     return s.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
 

@@ -24,6 +24,7 @@ def _ev(spark, sf_dir):
 
 @register("x1_java_trim", sql=f"WITH {HTTP_LINES} SELECT event_id, {_jt('line')} AS trimmed FROM http_lines")
 def x1_java_trim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Java trim of every HTTP line."""
     return fx.http_lines(spark, sf_dir).select("event_id", X.java_trim("line").alias("trimmed"))
 
 
@@ -31,23 +32,27 @@ def x1_java_trim(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH {HTTP_LINES}, s AS (SELECT event_id, string_split(regexp_replace(line, '(\t)+$', ''), chr(9)) AS arr FROM http_lines)
 SELECT event_id, CAST(len(arr) AS INTEGER) AS n, arr[1] AS first, arr[-1] AS last FROM s""")
 def x2_java_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Java split of every HTTP line."""
     s = fx.http_lines(spark, sf_dir).select("event_id", X.java_split("line", "\t").alias("arr"))
     return s.select("event_id", F.size("arr").alias("n"), F.get("arr", 0).alias("first"), F.element_at("arr", -1).alias("last"))
 
 
 @register("x3_reverse_key", sql="SELECT c_custkey, reverse(CAST(c_custkey AS VARCHAR)) AS rowkey FROM customer")
 def x3_reverse_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reversed customer keys."""
     return fx.table(spark, sf_dir, "customer").select("c_custkey", X.reverse_key(F.col("c_custkey").cast("string")).alias("rowkey"))
 
 
 @register("x4_md5_key", sql="SELECT event_id, md5(CAST(user_id AS VARCHAR)) AS rowkey FROM events")
 def x4_md5_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """md5 keys of user ids."""
     return _ev(spark, sf_dir).select("event_id", X.md5_key("user_id").alias("rowkey"))
 
 
 @register("x5_concat_key", sql="""
 SELECT event_id, CAST(user_id AS VARCHAR) || 'app1' || CAST(epoch_us(ts) // 1000000 AS VARCHAR) AS rowkey FROM events""")
 def x5_concat_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """User + app + seconds composite keys."""
     from pushlake.functions.timekeys import secs_of_ntz
 
     return _ev(spark, sf_dir).select("event_id", X.concat_key("user_id", F.lit("app1"), secs_of_ntz("ts")).alias("rowkey"))
@@ -59,6 +64,7 @@ SELECT o_orderkey, substr(key, 1, 4) AS year, substr(key, 5, 2) AS month,
        CASE WHEN length(key) >= 8 THEN substr(key, 7, 2) END AS day, substr(key, 1, 8) AS day_key
 FROM time_keys""")
 def x6_split_time_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Year, month, day of time keys."""
     tk = fx.time_key_rows(spark, sf_dir)
     return tk.select("o_orderkey", X.split_time_key("key").alias("p"), X.day_of_hour("key").alias("day_key")).select(
         "o_orderkey", "p.year", "p.month", "p.day", "day_key"
@@ -69,6 +75,7 @@ def x6_split_time_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH {USER_CELLS}
 SELECT rowkey, ts, string_split(family || ':' || qualifier, ':')[2] AS qualifier FROM user_cells""")
 def x7_qualifier_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Qualifier of family:qualifier names."""
     c = fx.user_cells(spark, sf_dir)
     return c.select("rowkey", "ts", X.qualifier_of(F.concat("family", F.lit(":"), "qualifier")).alias("qualifier"))
 
@@ -78,6 +85,7 @@ SELECT event_id, 'type=' || replace(url_encode(event_type), '%20', '+') || '&use
        || '&v=' || replace(url_encode(CAST(value AS VARCHAR)), '%20', '+') || '&' AS form
 FROM events""")
 def x8_form_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Form encoding of an event map."""
     m = F.create_map(
         F.lit("user"), F.col("user_id").cast("string"),
         F.lit("type"), F.col("event_type"),
@@ -96,6 +104,7 @@ def _x9_src():
 
 @register("x9_int_or", sql=f"SELECT event_id, coalesce(TRY_CAST({_X9_SRC} AS INTEGER), 7) AS v FROM events")
 def x9_int_or(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Int property values with a default."""
     return _ev(spark, sf_dir).select("event_id", X.int_or(_x9_src(), 7).alias("v"))
 
 
@@ -104,6 +113,7 @@ SELECT event_id, coalesce(lower(s) = 'true', true) AS v FROM (
   SELECT event_id, CASE event_type WHEN 'click' THEN 'TRUE' WHEN 'view' THEN 'true' WHEN 'error' THEN NULL ELSE event_type END AS s
   FROM events) t""")
 def x10_bool_or(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Boolean property values with a default."""
     t = F.col("event_type")
     s = F.when(t == "click", "TRUE").when(t == "view", "true").when(t == "error", F.lit(None)).otherwise(t)
     return _ev(spark, sf_dir).select("event_id", X.bool_or(s, True).alias("v"))
@@ -118,6 +128,7 @@ SELECT event_id, CASE WHEN list_bool_or(list_transform(parts, lambda x: TRY_CAST
                       ELSE array_to_string(list_transform(parts, lambda x: CAST(TRY_CAST(x AS INTEGER) AS VARCHAR)), ',') END AS v
 FROM (SELECT event_id, string_split(regexp_replace({_X11_SRC}, '(,)+$', ''), ',') AS parts FROM events) t""")
 def x11_int_array_or(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X11: CSV int arrays; one bad element gives the default."""
     e = F.col("event_id")
     s = F.concat(
         F.col("user_id").cast("string"), F.lit(","), e.cast("string"),
@@ -136,6 +147,7 @@ SELECT event_id,
   array_to_string(parts, '|') AS strings
 FROM (SELECT event_id, string_split(regexp_replace({_X12_SRC}, '(,)+$', ''), ',') AS parts FROM events) t""")
 def x12_csv_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV boolean and string arrays."""
     s = F.concat(F.col("event_type"), F.lit(","), F.upper("event_type"), F.lit(",true,TRUE,"), F.col("user_id").cast("string"))
     return _ev(spark, sf_dir).select(
         "event_id",
@@ -156,6 +168,7 @@ ok AS (SELECT event_id, i, a[1] AS k, a[2] AS v FROM kv WHERE len(a) > 1),
 last AS (SELECT event_id, k, v FROM (SELECT *, row_number() OVER (PARTITION BY event_id, k ORDER BY i DESC) AS rn FROM ok) t WHERE rn = 1)
 SELECT event_id, string_agg(k || '=' || v, ';' ORDER BY k) AS m FROM last GROUP BY event_id""")
 def x13_kv_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K:v maps with the last duplicate winning."""
     e, t = F.col("event_id"), F.col("event_type")
     s = F.concat(
         t, F.lit(":"), F.col("user_id").cast("string"), F.lit(",x,k:"), (e % 5).cast("string"), F.lit(":z,"),
@@ -169,6 +182,7 @@ def x13_kv_map(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("x14_truncate", sql="SELECT event_id, substr(props || event_type, 1, 12) AS short FROM events")
 def x14_truncate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text cut to 12 characters."""
     return _ev(spark, sf_dir).select("event_id", X.truncate(F.concat("props", "event_type"), 12).alias("short"))
 
 
@@ -176,11 +190,13 @@ def x14_truncate(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH {JOBS}
 SELECT name, string_split(name, ' ')[1] || '_' || string_split(name, ' ')[3] AS seg FROM jobs""")
 def x15_name_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Job name tokens 0 and 2 joined."""
     return fx.jobs(spark, sf_dir).select("name", X.name_tokens_0_2("name").alias("seg"))
 
 
 @register("x16_json_text", sql="SELECT event_id, json_extract_string(props, '$.k') AS k FROM events")
 def x16_json_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A JSON member as text."""
     return _ev(spark, sf_dir).select("event_id", X.json_text("props", "k").alias("k"))
 
 
@@ -189,6 +205,7 @@ WITH {APPLIST_ROWS}
 SELECT imei, itime, '[{{' || CASE WHEN name IS NULL THEN '' ELSE '"name":' || to_json(name) || ',' END || '"pkg":' || to_json(pkg) || '}}]' AS js
 FROM applist_rows""")
 def x17_to_json_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One-element app lists as JSON (null fields omitted)."""
     a = fx.applist_rows(spark, sf_dir)
     return a.select("imei", "itime", X.to_json_list(F.array(F.struct("name", "pkg"))).alias("js"))
 
@@ -276,6 +293,7 @@ _geo_query("g5_wgs84_to_bd09", G.wgs84_to_bd09, _geo_sql(_gcj_to_bd(_wgs_to_gcj(
 WITH {POINTS}
 SELECT id, round({_tlat('lng - 105.0', 'lat - 35.0')}, 6) AS dlat, round({_tlng('lng - 105.0', 'lat - 35.0')}, 6) AS dlng FROM points""")
 def g6_offset_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latitude and longitude offset series."""
     p = fx.points(spark, sf_dir)
     x, y = F.col("lng") - 105.0, F.col("lat") - 35.0
     return p.select("id", F.round(G.transform_lat(x, y), 6).alias("dlat"), F.round(G.transform_lng(x, y), 6).alias("dlng"))
@@ -283,4 +301,5 @@ def g6_offset_series(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("g7_out_of_china", sql=f"WITH {POINTS} SELECT id, {_out('lng', 'lat')} AS outside FROM points")
 def g7_out_of_china(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Points outside the box."""
     return fx.points(spark, sf_dir).select("id", G.out_of_china("lng", "lat").alias("outside"))

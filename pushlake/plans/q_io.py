@@ -32,6 +32,7 @@ def write_lines(df: DataFrame, path: str, order: str | None = None) -> str:
 
 @register("s1_read_lines", sql=RECORDS_SQL)
 def s1_read_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 + P1: HTTP lines written as text and parsed back line by line."""
     path = write_lines(fx.http_lines(spark, sf_dir), scratch_path(spark, "http_lines"), "event_id")
     return P.accepted(P.parse_http_api(S.read_lines(spark, path))).select(*P.HTTP_API_COLUMNS)
 
@@ -40,6 +41,7 @@ def s1_read_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH {HTTP_LINES}, {PAIR_LINES}
 SELECT line AS value FROM http_lines UNION ALL SELECT line AS value FROM pair_lines""")
 def s2_read_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two text inputs read as one."""
     a = write_lines(fx.http_lines(spark, sf_dir), scratch_path(spark, "http_lines"))
     b = write_lines(fx.pair_lines(spark, sf_dir), scratch_path(spark, "pair_lines"))
     return S.read_many(spark, f"{a},{b}", "text")
@@ -49,6 +51,7 @@ def s2_read_many(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH {APPLIST_ROWS}
 SELECT imei, pkg, name, itime FROM applist_rows WHERE imei IS NOT NULL AND pkg IS NOT NULL AND name IS NOT NULL AND itime IS NOT NULL""")
 def s3_read_applist_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3: app rows written as ORC, read back with the declared schema; null rows dropped."""
     path = scratch_path(spark, "applist_orc")
     K.to_orc(fx.applist_rows(spark, sf_dir), path)
     return S.read_applist_orc(spark, path)
@@ -71,6 +74,7 @@ def write_hour_dirs(spark: SparkSession, sf_dir: str) -> tuple[str, dt.datetime,
 
 @register("s4_read_hours", sql=RECORDS_SQL)
 def s4_read_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """HTTP lines in hour directories, read for the events' hour range."""
     base, start, end = write_hour_dirs(spark, sf_dir)
     lines = S.read_hours(spark, base, start, end, template=HOUR_TEMPLATE)
     return P.accepted(P.parse_http_api(lines)).select(*P.HTTP_API_COLUMNS)
@@ -78,6 +82,7 @@ def s4_read_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("s5_scan_two_as_text", sql="SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, coalesce(c_name, 'null') AS c_name FROM customer")
 def s5_scan_two_as_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first two customer columns as text."""
     return S.scan_two_as_text(fx.table(spark, sf_dir, "customer"))
 
 
@@ -105,6 +110,7 @@ def s7_topic_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("s8_read_cells_tsv", sql=f"WITH {STATS_CELLS} SELECT * FROM stats_cells")
 def s8_read_cells_tsv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells written as five-field TSV lines and read back."""
     path = scratch_path(spark, "cells_tsv")
     c = fx.stats_cells(spark, sf_dir)
     c.select(F.concat_ws("\t", "rowkey", F.col("ts").cast("string"), "value", "family", "qualifier").alias("line")).write.text(path)
@@ -113,12 +119,14 @@ def s8_read_cells_tsv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("s9_read_keys", sql=f"WITH {MSG_KEY_LINES} SELECT {_jt('line')} AS key FROM msg_key_lines")
 def s9_read_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A key file read back with Java trim."""
     path = write_lines(fx.msg_key_lines(spark, sf_dir), scratch_path(spark, "keys"))
     return S.read_keys(spark, path, trim=True)
 
 
 @register("k1_to_orc", sql=RECORDS_SQL)
 def k1_to_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1: parsed records through ORC."""
     path = scratch_path(spark, "http_orc")
     K.to_orc(http_records(spark, sf_dir).select(*P.HTTP_API_COLUMNS), path)
     return spark.read.orc(path)
@@ -126,6 +134,7 @@ def k1_to_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("k2_to_parquet_typed", sql=RECORDS_SQL)
 def k2_to_parquet_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2: parsed records through the typed GZIP Parquet writer."""
     path = scratch_path(spark, "http_parquet")
     K.to_parquet_typed(http_records(spark, sf_dir).select(*P.HTTP_API_COLUMNS), path)
     return spark.read.parquet(path)
@@ -139,6 +148,7 @@ FROM push_rows"""
 
 @register("k3_to_ctrl_a_text", sql=PUSH_LINES_SQL)
 def k3_to_ctrl_a_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3: push rows written as \\u0001 text."""
     from pushlake.streaming.consume import push_records
 
     path = scratch_path(spark, "push_text")
@@ -148,11 +158,13 @@ def k3_to_ctrl_a_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("k4_topic_records", sql=f"WITH {HTTP_LINES} SELECT {_jt('line')} AS value FROM http_lines")
 def k4_topic_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K4: lines as topic values (trimmed)."""
     return K.topic_records(fx.http_lines(spark, sf_dir))
 
 
 @register("k8_to_sorted_cells", sql=f"WITH {USER_CELLS} SELECT * FROM user_cells")
 def k8_to_sorted_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K8: user cells through the sorted bulk-load writer."""
     path = scratch_path(spark, "sorted_cells")
     K.to_sorted_cells(fx.user_cells(spark, sf_dir), 4, path)
     return spark.read.parquet(path)
@@ -177,6 +189,7 @@ def _day_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("k9_to_day_partitions", sql=DAY_SQL)
 def k9_to_day_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K9: day stats written to month/day partitions."""
     path = scratch_path(spark, "day_stats")
     K.to_day_partitions(_day_rows(spark, sf_dir), path)
     return spark.read.schema(DAY_SCHEMA).parquet(path)

@@ -56,6 +56,7 @@ LAST_RUN_SQL = "last AS (SELECT imei, arg_max(pkg, run_start) AS pkg FROM runs G
 
 @register("w2_last_run", sql=f"WITH {RUNS_SQL}, {LAST_RUN_SQL} SELECT * FROM last")
 def w2_last_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last run of each imei wins."""
     return O.last_run(pair_runs(spark, sf_dir), "imei", "pkg")
 
 
@@ -65,6 +66,7 @@ INDEX_ITIME = 1704038400
 
 @register("k7_index_docs", sql=f"WITH {RUNS_SQL}, {LAST_RUN_SQL} SELECT imei AS id, pkg, CAST({INDEX_ITIME} AS BIGINT) AS itime FROM last")
 def k7_index_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K7: index documents of the last runs."""
     return index_docs(O.last_run(pair_runs(spark, sf_dir), "imei", "pkg"), "imei", "pkg", INDEX_ITIME)
 
 
@@ -72,6 +74,7 @@ def k7_index_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH {PARSED_APKVER}
 SELECT uid, appkey, apkver FROM (SELECT *, row_number() OVER (PARTITION BY uid ORDER BY event_id DESC) AS rn FROM parsed_apkver) t WHERE rn = 1""")
 def w3_last_write_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last version line per uid wins."""
     return O.last_write_wins(parsed_apkver(spark, sf_dir), "uid", "event_id", ["appkey", "apkver"])
 
 
@@ -90,11 +93,13 @@ FROM docs d FULL OUTER JOIN u ON d.uid = u.uid"""
 
 @register("u1_merge_docs", sql=_merge_sql(PARSED_APKVER, "appkey", "apkver"))
 def u1_merge_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Apkver lines merged into documents (null overwrites; unmatched inserted)."""
     return merge_docs(fx.docs(spark, sf_dir), parsed_apkver(spark, sf_dir), "uid", ["appkey", "apkver"], "event_id")
 
 
 @register("u1_merge_docs_sdkver", sql=_merge_sql(PARSED_SDKVER, "channel", "sdkver"))
 def u1_merge_docs_sdkver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sdkver lines merged into documents."""
     ups = P.accepted(P.parse_versions(fx.version_lines(spark, sf_dir), "sdkver", keep=["event_id"])).drop("line")
     return merge_docs(fx.docs(spark, sf_dir), ups, "uid", ["channel", "sdkver"], "event_id")
 
@@ -110,6 +115,7 @@ WITH {STAR}
 SELECT r_name, o_orderstatus, CAST(sum(price) AS DOUBLE) AS price FROM star GROUP BY r_name, o_orderstatus
 ORDER BY r_name, o_orderstatus LIMIT 10 OFFSET 3""")
 def w6_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ordered groups, offset 3, limit 10."""
     g = fx.star(spark, sf_dir).groupBy("r_name", "o_orderstatus").agg(F.sum("price").cast("double").alias("price"))
     return R.page(g, ["r_name", "o_orderstatus"], limit=10, offset=3)
 
@@ -118,6 +124,7 @@ def w6_page(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH {JOBS}
 SELECT cube, name, job_status, duration FROM (SELECT *, row_number() OVER (PARTITION BY cube ORDER BY name) AS rn FROM jobs) t WHERE rn <= 1000""")
 def w7_first_n_per_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 1,000 jobs of each cube by name."""
     return R.first_n_per_group(fx.jobs(spark, sf_dir), ["cube"], "name", 1000)
 
 

@@ -21,6 +21,7 @@ WITH {HTTP_LINES}, {HTTP_RECORDS}
 SELECT event_id, appkey, msgid, itime, msg_type, receiver_type, errno, platform, imon, iday, ihour
 FROM http_records""")
 def p1_parse_http_api(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P1 + T1: accepted HTTP-API records with their time keys."""
     return http_records(spark, sf_dir).drop("line")
 
 
@@ -33,6 +34,7 @@ SELECT line, CASE WHEN len(arr) < 7 THEN 'fields'
 FROM s
 WHERE len(arr) < 7 OR TRY_CAST(arr[2] AS BIGINT) IS NULL OR TRY_CAST(arr[3] AS BIGINT) IS NULL""")
 def p11_rejects_http_api(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejected HTTP lines with the first rule they broke."""
     return P.rejects(P.parse_http_api(fx.http_lines(spark, sf_dir)))
 
 
@@ -83,6 +85,7 @@ def _jt(c: str) -> str:
 WITH {PUSH_EVENTS}, {PUSH_OBJECTS}
 SELECT json_extract_string(obj, '$.msg_id') AS msg_id, json_extract_string(obj, '$.step') AS step FROM push_objects""")
 def p2_explode_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Message payloads flattened to event objects."""
     objs = P.explode_rows(fx.push_messages(spark, sf_dir), "value", "obj")
     return objs.select(X.json_text("obj", "msg_id").alias("msg_id"), X.json_text("obj", "step").alias("step"))
 
@@ -94,6 +97,7 @@ SINGLE_OBJECTS = "push_objects AS (SELECT obj FROM push_events)"
 WITH {PUSH_EVENTS}, {SINGLE_OBJECTS}, {PUSH_ROWS}
 SELECT appkey, platform, msg_id, uid, itime FROM push_rows""")
 def p3_project_push(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P3 + F1-F3: push events projected; sentinel, foreign steps and bad longs dropped."""
     return P.accepted(P.project_push(fx.push_events(spark, sf_dir))).drop("obj")
 
 
@@ -133,6 +137,7 @@ def _push_fields(spark, sf_dir):
 WITH {PUSH_EVENTS}
 SELECT event_id FROM push_events WHERE TRY_CAST(json_extract_string(obj, '$.msg_id') AS BIGINT) <> 1""")
 def f1_not_sentinel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """message 1 removed."""
     return _push_fields(spark, sf_dir).filter(P.is_not_sentinel("msg_id")).select("event_id")
 
 
@@ -141,6 +146,7 @@ WITH {PUSH_EVENTS}
 SELECT event_id, json_extract_string(obj, '$.step') AS step FROM push_events
 WHERE {_jt("json_extract_string(obj, '$.step')")} IN ('seg-to-pushtask','seg-to-apns','seg-to-mpns','seg-to-mipns','seg-to-hpns','seg-to-mzpns')""")
 def f2_step_is_target(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """events of the six push channels."""
     return _push_fields(spark, sf_dir).filter(P.step_is_target("step")).select("event_id", "step")
 
 
@@ -151,6 +157,7 @@ WHERE TRY_CAST(json_extract_string(obj, '$.msg_id') AS BIGINT) IS NOT NULL
   AND TRY_CAST(json_extract_string(obj, '$.itime') AS BIGINT) IS NOT NULL
   AND TRY_CAST(json_extract_string(obj, '$.uid') AS BIGINT) IS NOT NULL""")
 def f3_longs_present(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """events whose required longs parse."""
     return _push_fields(spark, sf_dir).filter(P.longs_present("msg_id", "itime", "uid")).select("event_id")
 
 
@@ -158,6 +165,7 @@ def f3_longs_present(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH {APPLIST_ROWS}
 SELECT imei, pkg, itime FROM applist_rows WHERE length(imei) > 0""")
 def f4_imei_present(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """app rows with a non-empty imei."""
     return fx.applist_rows(spark, sf_dir).filter(P.imei_present("imei", trim=False)).select("imei", "pkg", "itime")
 
 
@@ -165,6 +173,7 @@ def f4_imei_present(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH {PROFILE_APP_LIST}
 SELECT line FROM profile_lines WHERE list_contains(json_keys(line), 'imei') AND list_contains(json_keys(line), 'app_list')""")
 def f5_json_keys_present(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """profile lines that carry both keys."""
     return fx.profile_lines(spark, sf_dir, "app_list").filter(P.json_keys_present("line", "imei", "app_list"))
 
 
@@ -223,6 +232,7 @@ SELECT event_id, {_jt('arr[1]')} AS uid,
   CASE WHEN len(arr) = 2 THEN CASE WHEN contains({_jt('arr[2]')}, '.') THEN {_jt('arr[2]')} END ELSE {_jt('arr[3]')} END AS apkver
 FROM s WHERE len(arr) > 1""")
 def p7_parse_versions_apkver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Version lines under the apkver flag."""
     return P.accepted(P.parse_versions(fx.version_lines(spark, sf_dir), "apkver", keep=["event_id"])).drop("line")
 
 
@@ -233,6 +243,7 @@ SELECT event_id, {_jt('arr[1]')} AS uid,
   CASE WHEN len(arr) = 2 THEN CASE WHEN regexp_matches({_jt('arr[2]')}, '^[0-9]+.[0-9]+.[0-9]+$') THEN {_jt('arr[2]')} END ELSE {_jt('arr[3]')} END AS sdkver
 FROM s WHERE len(arr) > 1""")
 def p8_parse_versions_sdkver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Version lines under the sdkver flag."""
     return P.accepted(P.parse_versions(fx.version_lines(spark, sf_dir), "sdkver", keep=["event_id"])).drop("line")
 
 
@@ -245,6 +256,7 @@ pairs AS (SELECT event_id, {_jt('arr[1]')} AS imei, {_jt('arr[2]')} AS pkg FROM
 WITH {PAIR_LINES}, {PAIRS_SQL}
 SELECT event_id, imei, pkg FROM pairs""")
 def p9_parse_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """imei/pkg pair lines."""
     return P.accepted(P.parse_pairs(fx.pair_lines(spark, sf_dir), keep=["event_id"])).drop("line")
 
 
@@ -258,6 +270,7 @@ def _sh_hour(ms: str) -> str:
 SELECT event_id, CAST(substr(h, 1, 6) AS INTEGER) AS imon, CAST(substr(h, 1, 8) AS INTEGER) AS iday, CAST(h AS INTEGER) AS ihour
 FROM (SELECT event_id, {_sh_hour('CASE WHEN event_id % 2 = 0 THEN (epoch_us(ts) // 1000000) * 1000 ELSE epoch_us(ts) // 1000 END')} AS h FROM events) t""")
 def t1_time_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Month, day and hour keys of epoch texts of both widths."""
     ev = fx.table(spark, sf_dir, "events")
     txt = F.when(F.col("event_id") % 2 == 0, TK.secs_of_ntz("ts")).otherwise(TK.ms_of_ntz("ts")).cast("string")
     k = TK.time_keys(txt)
@@ -271,6 +284,7 @@ GRAIN_SQL = "CASE length(key) WHEN 6 THEN 'month' WHEN 8 THEN 'day' WHEN 10 THEN
 WITH {TIME_KEYS}
 SELECT o_orderkey, key, {GRAIN_SQL} AS grain FROM time_keys""")
 def t2_grain_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The grain of each time key by its length."""
     tk = fx.time_key_rows(spark, sf_dir)
     return tk.select("o_orderkey", "key", TK.grain_of("key").alias("grain"))
 
@@ -293,6 +307,7 @@ WITH {TIME_KEYS}
 SELECT o_orderkey, key, coalesce(epoch_ms(try_strptime(key, '%Y%m%d')) - 28800000, 0) AS ms
 FROM time_keys WHERE length(key) = 8""")
 def t4_day_to_ms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T4: epoch ms of local midnight of day keys."""
     tk = fx.time_key_rows(spark, sf_dir).filter(F.length("key") == 8)
     return tk.select("o_orderkey", "key", TK.day_to_ms("key").alias("ms"))
 
@@ -302,6 +317,7 @@ SELECT event_id, strftime(ts, '%Y%m%d%H') AS yyyymmddhh, strftime(ts, '%Y') AS y
        strftime(ts, '%d') AS dd, strftime(ts, '%H') AS hh, 'hour_' || strftime(ts, '%H') AS hour_hh
 FROM events""")
 def t5_nominal_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T5: text parts of a nominal time."""
     ev = fx.table(spark, sf_dir, "events")
     return ev.select("event_id", TK.nominal_parts("ts").alias("p")).select("event_id", "p.*")
 
@@ -311,6 +327,7 @@ SELECT o_orderkey, strftime(CAST(o_orderdate AS DATE) + CAST(floor(o_totalprice
        strftime(CAST(o_orderdate AS DATE) + INTERVAL (CAST(floor(o_totalprice / 100000.0) AS INTEGER)) MONTH, '%Y-%m-%d') AS due_month
 FROM orders""")
 def t6_add_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dates plus floor(n) days and months."""
     o = fx.table(spark, sf_dir, "orders")
     d = F.to_date("o_orderdate")
     return o.select(

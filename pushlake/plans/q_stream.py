@@ -126,6 +126,7 @@ items AS (
 
 @register("f9_alert_items", sql=f"WITH {ALERT_ITEMS_SQL} SELECT cube, name, kind, item FROM items WHERE kind IS NOT NULL")
 def f9_alert_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F9 + W7: overtime and error items of the first 1,000 jobs per cube."""
     return AL.alert_items(fx.jobs(spark, sf_dir))
 
 
@@ -136,6 +137,7 @@ l AS (SELECT string_agg('''' || item || '''', ', ' ORDER BY cube, name, item) FI
 m AS (SELECT substr(coalesce('Error-Cube:[' || e || ']  ', '') || coalesce(' [' || o || ']', ''), 1, 300) AS message FROM l)
 SELECT message FROM m WHERE length(message) > 0""")
 def o1_job_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O1: the alert message (at most 300 characters)."""
     return AL.job_alerts(fx.jobs(spark, sf_dir))
 
 
