@@ -27,9 +27,11 @@ EXPAND_MAX_DIMS = 6
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Broadcast hint only behind a measured bound: ``limit(max_rows + 1).count()``
-    reads at most that many rows; larger inputs are joined without a hint."""
-    n = df.limit(max_rows + 1).count()
+    """Broadcast hint only behind a measured bound: at most ``max_rows + 1`` rows of
+    one constant column are taken (``take`` scans partitions incrementally and stops
+    as soon as it has them, so a huge table costs about one partition); larger
+    inputs are joined without a hint."""
+    n = len(df.select(F.lit(1)).limit(max_rows + 1).take(max_rows + 1))
     return F.broadcast(df) if n <= max_rows else df
 
 
