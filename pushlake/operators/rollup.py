@@ -85,7 +85,10 @@ def hour_day_stats(df: DataFrame, day: str, hour: str, aggs: Sequence[Column], e
     """Hour stats and day stats of the same input in one pass
     (GROUPING SETS ((keys, day, hour), (keys, day))), with ``grain`` = hour / day.
 
-    One scan and one shuffle serve both grains; the hour rows are not re-read."""
+    One scan serves both grains. Exact distinct counts expand each row once per
+    distinct column and grain before the partial aggregate; for near-unique columns
+    at large scale use ``hour_day_stats_sketched`` (days rolled up from hour
+    sketches)."""
     keys = list(extra_keys) + [day, hour]
     # Column-API grouping sets: one Expand + one partial aggregate, one shuffle.
     return df.groupingSets([keys, list(extra_keys) + [day]], *keys).agg(
