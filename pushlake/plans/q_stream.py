@@ -107,7 +107,7 @@ def r5_hour_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         stats = per_batch(batch.select(F.col("value").alias("line")), batch_id).filter(F.col("grain") == "hour")
         ST.idempotent_writer(out)(stats, batch_id)
 
-    stream = spark.readStream.option("maxFilesPerTrigger", 200).text(f"{base}/*/*/*/*")
+    stream = spark.readStream.option("maxFilesPerTrigger", 400).text(f"{base}/*/*/*/*")
     q = ST.drain(stream, lambda s: s.select("value"), commit, scratch_path(spark, "r5_checkpoint"))
     q.awaitTermination()
     return spark.read.parquet(out).select("iday", "ihour", "n_msgs", "n_appkeys", "n_msgids")
