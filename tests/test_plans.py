@@ -56,3 +56,18 @@ def test_scans_read_only_needed_columns(spark):
     schemas = re.findall(r"ReadSchema: struct<([^>]*)>", plan)
     assert schemas and all(len(s.split(",")) <= 4 for s in schemas)
     assert "PushedFilters: [IsNotNull(event_type), EqualTo(event_type,purchase)]" in plan
+
+
+PYTHON_HOOKS = {"p12_python_parser", "e2_transform_hook"}
+
+
+def test_no_python_outside_the_user_hooks(spark):
+    """Only the two user-hook examples evaluate Python; every other query stays on
+    the JVM (plans planned, not executed)."""
+    offenders = []
+    for name, build in QUERIES.items():
+        plan = build(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+        uses_python = bool(re.search(r"EvalPython|MapInPandas|FlatMapGroupsInPandas|PythonUDF", plan))
+        if uses_python != (name in PYTHON_HOOKS):
+            offenders.append(name)
+    assert offenders == []
