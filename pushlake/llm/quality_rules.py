@@ -114,6 +114,7 @@ def extra_rules(text: Column) -> list[Rule]:
     text = F.coalesce(text, F.lit(""))
     return [
         ("symbol_noise", lambda m: m["n_symbols"] > 1.5 * m["n_words"]),
+        ("separator_list", lambda m: let(F.size(F.split(text, "\\|", -1)) - 1, lambda n: n > 0.3 * m["n_words"])),
         ("word_length", lambda m: (m["word_chars"] < 2 * m["n_words"]) | (m["word_chars"] > 25 * m["n_words"])),
         ("repeated_lines", lambda m: 2 * m["n_dup_lines"] > F.size(F.split(text, "\n"))),
         ("shouting", lambda m: upper_share(text) > 0.7),
