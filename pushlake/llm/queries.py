@@ -8,7 +8,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pushlake.llm import bpe_stream, chat_format, pii, quality_rules, token_counts
+from pushlake.llm import bpe_stream, chat_format, near_dup, ngram_lm, pii, quality_rules, token_counts
 from pushlake.llm._util import table
 
 BYTE_VOCABULARY = "byte_bpe_50k.json"
@@ -36,6 +36,16 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "_quality.n_words", *[f"_quality.{n}" for n in names], "base_failed", "kept", "failed_rule")
 
 
+def op4_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate component of every document."""
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of every document under a model of the rows that are not held out."""
+    return ngram_lm.train_and_score(table(spark, sf_dir, "documents"))
+
+
 def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests, read back from the formatted windows, of every conversation."""
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
