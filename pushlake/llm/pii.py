@@ -205,10 +205,10 @@ def _features(s: Column, around: Column) -> list[Column]:
     ]
 
 
-def detect(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows (id, base, loose): array<struct<start, end, kind>> of base spans and
-    array<struct<start, end, kind, votes, features>> of the other candidates."""
-    text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
+def _found(text: Column) -> Column:
+    """Struct (base, loose) of a text: array<struct<start, end, kind>> of base spans
+    and array<struct<start, end, kind, votes, features>> of the other candidates."""
+    text = F.coalesce(text.cast("string"), F.lit(""))
     base_type = F.array().cast("array<struct<start:int,end:int,kind:string,match:string>>")
 
     def tag(found: Column, kind: str) -> Column:
@@ -240,7 +240,12 @@ def detect(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
         return let(_find(t, CARD), with_cards)
 
-    found = docs.select(docs[id_col].alias("id"), F.inline(F.array(F.struct(let(text, all_of).alias("found")))))
+    return let(text, all_of)
+
+
+def detect(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Rows (id, base, loose) of every text."""
+    found = docs.select(docs[id_col].alias("id"), F.inline(F.array(F.struct(_found(docs[text_col]).alias("found")))))
     return found.select("id", "found.base", "found.loose")
 
 
@@ -301,22 +306,33 @@ def train(found: DataFrame) -> dict[tuple[str, int, str], float]:
     return out
 
 
-def classify(found: DataFrame, model: dict[tuple[str, int, str], float]) -> DataFrame:
-    """(id, base, added): the loose spans that the trained classifier accepts."""
+def added(loose: Column, model: dict[tuple[str, int, str], float]) -> Column:
+    """The loose spans that the trained classifier accepts."""
     if not model:
-        return found.select("id", "base", F.slice("base", 1, 0).alias("added"))
+        return F.array().cast("array<struct<start:int,end:int,kind:string>>")
     table = F.create_map(*[F.lit(x) for (kind, i, value), w in sorted(model.items()) for x in (f"{kind}/{i}/{value}", float(w))])
     odds = lambda kind, i, value: F.coalesce(F.try_element_at(table, F.concat(kind, F.lit("/"), i.cast("string"), F.lit("/"), value)), F.lit(0.0))
     score = lambda s: F.aggregate(F.transform(s["features"], lambda f, i: odds(s["kind"], i, f)), odds(s["kind"], F.lit(-1), F.lit("")), lambda a, x: a + x)
-    accepted = F.filter("loose", lambda s: score(s) >= math.log(ACCEPT / (1 - ACCEPT)))
-    return found.select("id", "base", F.transform(accepted, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))).alias("added"))
+    accepted = F.filter(loose, lambda s: score(s) >= math.log(ACCEPT / (1 - ACCEPT)))
+    return F.transform(accepted, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))
 
 
 def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, base, added) for every row. The spans (no text) are written once, so the
     texts are scanned once although training and classification both read them."""
     found = materialize(detect(docs, id_col, text_col), "pii-spans")
-    return classify(found, train(found))
+    return found.select("id", "base", added(F.col("loose"), train(found)).alias("added"))
+
+
+def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """``docs`` with every span in the text column replaced by ``[KIND]``. Rows are
+    written once with their candidates, so texts are scanned once and never shuffled."""
+    packed = docs.select(F.struct("*").alias("row"), F.inline(F.array(F.struct(_found(docs[text_col]).alias("found")))))
+    packed = materialize(packed, "pii-rows")
+    model = train(packed.select("found.loose"))
+    out = packed.withColumn("spans", F.concat("found.base", added(F.col("found.loose"), model)))
+    masked = mask(F.col(f"row.`{text_col}`").cast("string"), F.col("spans")).alias(text_col)
+    return out.select(*[masked if c == text_col else F.col(f"row.`{c}`") for c in docs.columns])
 
 
 def joined(spans: Column) -> Column:

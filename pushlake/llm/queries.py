@@ -8,7 +8,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pushlake.llm import bpe_stream, chat_format, near_dup, ngram_lm, pii, quality_rules, token_counts
+from pushlake.llm import bpe_stream, chat_format, crf_language, decontam, near_dup, ngram_lm, pii, quality_rules, site_quality, token_counts
 from pushlake.llm._util import table
 
 BYTE_VOCABULARY = "byte_bpe_50k.json"
@@ -29,6 +29,11 @@ def op1_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_stream.round_trip(table(spark, sf_dir, "documents"), vocabulary_path(BYTE_VOCABULARY))
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a passage of a benchmark item, with the item and place."""
+    return decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base measures and the cascade's verdict of every document."""
     out = quality_rules.apply_rules(table(spark, sf_dir, "documents"))
@@ -60,6 +65,19 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find_pii(table(spark, sf_dir, "documents")))
 
 
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posterior quality of every document; the host is its source, the path its
+    language section there."""
+    out = site_quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), F.col("source"), F.col("lang"))
+    return out.select("doc_id", "p", "host_rate", "path_rate", "posterior", "kept")
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document."""
+    out = crf_language.train_and_identify(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "held_out", "lang_pred", "score", "n_words", "n_switches")
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token count of every document."""
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary_path(WORD_VOCABULARY), TOKEN_LIMIT)
