@@ -62,3 +62,25 @@ def local_path(uri: str) -> str | None:
     if uri.startswith("file:"):
         return "/" + uri[5:].lstrip("/")
     return uri if os.path.isabs(uri) else None
+
+
+#: Rows of an Arrow batch that are turned into Python objects at a time.
+SLICE_ROWS = 512
+_CACHES: dict[str, object] = {}
+
+
+def slices(batches, rows: int = SLICE_ROWS):
+    """Small slices of Arrow batches, so that no task holds a batch as Python objects."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
+def only_cache(name: str, cache):
+    """Register a worker's cache and empty those of other operators: a Python worker
+    that serves several operators in turn holds one cache at a time."""
+    for other, held in _CACHES.items():
+        if other != name:
+            held.clear()
+    _CACHES[name] = cache
+    return cache

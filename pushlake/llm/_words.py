@@ -5,9 +5,11 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
+from pushlake.llm._util import only_cache
+
 #: Hash of the end-of-text token (no word is empty).
 END_HASH = xxhash.xxh64_intdigest(b"")
-MAX_CACHED = 400_000
+MAX_CACHED = 300_000
 SHINGLE_WORDS = 5
 _MULTIPLIERS = np.random.default_rng(20240501).integers(1, 1 << 63, SHINGLE_WORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -35,6 +37,11 @@ def hashes(ws: list[bytes]) -> np.ndarray:
     return np.fromiter(map(_HASHES.__getitem__, ws), np.uint64, len(ws))
 
 
+def claim() -> None:
+    """Called once per task by operators that hash words."""
+    only_cache("word hashes", _HASHES)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finaliser (splitmix)."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

@@ -26,7 +26,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from pushlake.llm._util import broadcast_bytes
+from pushlake.llm._util import broadcast_bytes, only_cache, slices
 from pushlake.llm.bpe import MergeList, merge
 
 #: Fixed split pattern of byte-level vocabularies.
@@ -34,7 +34,7 @@ BYTE_LEVEL_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p
 
 SEGMENT_CHARS = 1 << 16
 CACHED_PIECE_CHARS = 48
-CACHED_PIECES = 400_000
+CACHED_PIECES = 300_000
 
 
 def sufficient_lookahead(merges: MergeList) -> int:
@@ -169,6 +169,7 @@ def _transducer(shared) -> Transducer:
     if key not in _TRANSDUCERS:
         _TRANSDUCERS.clear()
         _TRANSDUCERS[key] = Transducer(shared.value)
+    only_cache("pieces", _TRANSDUCERS[key].cache)
     return _TRANSDUCERS[key]
 
 
@@ -178,7 +179,7 @@ def encode_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", t
 
     def run(batches):
         t = _transducer(shared)
-        for batch in batches:
+        for batch in slices(batches):
             ids = [list(chain.from_iterable(t.encode(x or ""))) for x in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], names=["id", "ids"])
 
@@ -192,7 +193,7 @@ def decode_ids(encoded: DataFrame, vocabulary: str) -> DataFrame:
 
     def run(batches):
         t = _transducer(shared)
-        for batch in batches:
+        for batch in slices(batches):
             texts = ["".join(t.decode([x or []])) for x in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["id", "text"])
 
@@ -208,7 +209,7 @@ def round_trip(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_co
     def run(batches):
         t = _transducer(shared)
         text_of = t.text_of
-        for batch in batches:
+        for batch in slices(batches):
             counts, id_hash, text_hash, same = [], [], [], []
             for x in batch.column(1).to_pylist():
                 x = x or ""

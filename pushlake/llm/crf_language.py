@@ -29,7 +29,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pushlake.llm._util import crc_remainder
+from pushlake.llm._util import crc_remainder, only_cache, slices
 
 ROWS_PER_LANGUAGE = 400
 #: Characters of one sampled document that the fit may use.
@@ -41,8 +41,10 @@ SEQUENCE = 32
 BATCH = 64
 EPOCHS = 2
 LEARNING_RATE = 0.5
-BLOCK_WORDS = 400_000
-CACHED_WORDS = 300_000
+BLOCK_WORDS = 200_000
+#: Rows of a batch that advance together, longest first.
+SLICE_ROWS = 3000
+CACHED_WORDS = 250_000
 HELD_OUT_MODULUS, HELD_OUT_REMAINDER = 5, 0
 UNDETERMINED = "und"
 _WORDS = regex.compile(r"\p{L}+")
@@ -71,9 +73,9 @@ class Field:
         self.weights = np.zeros((BUCKETS, n), np.float32)
         self.moves = np.zeros((n, n))
         self.start = np.zeros(n)
-        self._clear()
+        self.clear()
 
-    def _clear(self) -> None:
+    def clear(self) -> None:
         self._at: dict[str, int] = {}
         self._scores = np.zeros((1024, len(self.languages)), np.float32)
 
@@ -82,7 +84,7 @@ class Field:
 
     def __setstate__(self, state):
         self.languages, self.weights, self.moves, self.start = state
-        self._clear()
+        self.clear()
 
     def _score(self, word: str) -> int:
         f = word_features(word)
@@ -97,7 +99,7 @@ class Field:
     def potentials(self, ws: list[str]) -> np.ndarray:
         """Scaled emission potentials (words x languages)."""
         if len(self._at) > CACHED_WORDS:
-            self._clear()
+            self.clear()
         get = self._at.get
         at = np.fromiter((i if (i := get(w)) is not None else self._score(w) for w in ws), np.int64, len(ws))
         return self._scores[at]
@@ -213,7 +215,7 @@ def fit(rows: list[tuple[str, str]]) -> Field | None:
             g = error[:, 0].sum(axis=0)
             gs += g * g
             field.start -= LEARNING_RATE * g / np.sqrt(gs)
-    field._clear()
+    field.clear()
     return field
 
 
@@ -263,7 +265,9 @@ def identify(docs: DataFrame, field: Field | None, id_col: str = "doc_id", text_
     """(id, lang_pred, score, n_words, n_switches) of every text; reads the text only."""
 
     def run(batches):
-        for batch in batches:
+        if field is not None:
+            only_cache("word potentials", field)
+        for batch in slices(batches, SLICE_ROWS):
             got = label_texts(field, batch.column(1).to_pylist())
             best = [m.argmax(axis=1) if len(m) else np.empty(0, int) for _, _, m, _ in got]
             yield pa.RecordBatch.from_arrays(

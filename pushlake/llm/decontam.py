@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pushlake.llm._util import broadcast_bytes
+from pushlake.llm._util import broadcast_bytes, slices
 
 Q = 12
 WINDOW = 80
@@ -215,7 +215,7 @@ def _scan(batches, shared):
     items = pickle.loads(shared.value)
     block = _Block(items)
     names = [i for i, _ in items]
-    for batch in batches:
+    for batch in slices(batches):
         ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
         rows, at = [], 0
         while at < len(texts):

@@ -32,8 +32,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pushlake.llm._util import materialize
-from pushlake.llm._words import hashes, shingles, words
+from pushlake.llm._util import materialize, slices
+from pushlake.llm._words import claim, hashes, shingles, words
 from pushlake.llm.components import connected_components
 
 PERCENT = 75
@@ -81,22 +81,21 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     and minwise values. No shuffle; one pass over the texts."""
 
     def run(batches):
-        for batch in batches:
-            ids, texts = batch.column(0), batch.column(1)
-            for at in range(0, batch.num_rows, 1000):
-                sets = [shingles(hashes(words(x))) for x in texts.slice(at, 1000).to_pylist()]
-                n = np.array([len(s) for s in sets], np.int64)
-                mins = np.zeros((len(sets), COORDINATES), np.uint32)
-                full = np.flatnonzero(n)
-                if len(full):
-                    mins[full] = _minwise([sets[i] for i in full])
-                digest = [(int(np.bitwise_xor.reduce(s * _A[0] ^ (s >> np.uint64(7)))), int(np.add.reduce((s ^ _B[1]) * _A[2] ^ (s >> np.uint64(11))))) if len(s) else (0, 0) for s in sets]
-                v = np.array(digest, np.uint64).view(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [ids.slice(at, 1000), pa.array(n), pa.array(v[:, 0]), pa.array(v[:, 1]), *map(pa.array, _sketch(mins))]
-                    + [pa.FixedSizeListArray.from_arrays(pa.array(mins.view(np.int32).ravel()), COORDINATES).cast(pa.list_(pa.int32()))],
-                    names=["id", "n", "v1", "v2", *SKETCH, "mins"],
-                )
+        claim()
+        for batch in slices(batches):
+            sets = [shingles(hashes(words(x))) for x in batch.column(1).to_pylist()]
+            n = np.array([len(s) for s in sets], np.int64)
+            mins = np.zeros((len(sets), COORDINATES), np.uint32)
+            full = np.flatnonzero(n)
+            if len(full):
+                mins[full] = _minwise([sets[i] for i in full])
+            digest = [(int(np.bitwise_xor.reduce(s * _A[0] ^ (s >> np.uint64(7)))), int(np.add.reduce((s ^ _B[1]) * _A[2] ^ (s >> np.uint64(11))))) if len(s) else (0, 0) for s in sets]
+            v = np.array(digest, np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(n), pa.array(v[:, 0]), pa.array(v[:, 1]), *map(pa.array, _sketch(mins))]
+                + [pa.FixedSizeListArray.from_arrays(pa.array(mins.view(np.int32).ravel()), COORDINATES).cast(pa.list_(pa.int32()))],
+                names=["id", "n", "v1", "v2", *SKETCH, "mins"],
+            )
 
     kind = dict(docs.dtypes)[id_col]
     return docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text")).mapInArrow(
@@ -108,10 +107,10 @@ def shingle_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """(id, set: array<long>) of every text."""
 
     def run(batches):
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                sets = [shingles(hashes(words(x))).view(np.int64) for x in batch.column(1).slice(at, 1000).to_pylist()]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, 1000), pa.array(sets, pa.list_(pa.int64()))], names=["id", "set"])
+        claim()
+        for batch in slices(batches):
+            sets = [shingles(hashes(words(x))).view(np.int64) for x in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["id", "set"])
 
     kind = dict(docs.dtypes)[id_col]
     return docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text")).mapInArrow(run, f"id {kind}, set array<long>")

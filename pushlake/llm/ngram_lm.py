@@ -33,14 +33,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pushlake.llm._util import crc_remainder, materialize
-from pushlake.llm._words import END_HASH, hashes, words
+from pushlake.llm._util import crc_remainder, materialize, slices
+from pushlake.llm._words import END_HASH, claim, hashes, words
 from pushlake.llm.arrays import Shard, SortedArrays, write_array
 from pushlake.session import scratch_path
 
 HELD_OUT_MODULUS, HELD_OUT_REMAINDER = 7, 2
 SHARD_TOKENS = 4_000_000
 BLOCK_TOKENS = 500_000
+#: Rows of a batch that are turned into Python objects at a time (some 1 million words).
+SLICE_ROWS = 2000
 SHIFT = np.uint64(32)
 LOW = np.uint64(0xFFFFFFFF)
 
@@ -127,7 +129,8 @@ def _count_words(texts: DataFrame, folder: str, n_shards: int) -> tuple[SortedAr
     """Sorted word hashes with counts; number of tokens; number of types."""
 
     def count(batches):
-        for batch in batches:
+        claim()
+        for batch in slices(batches, SLICE_ROWS):
             for _, flat, _ in _blocks(batch.column(0).to_pylist()):
                 keys, counts = np.unique(flat, return_counts=True)
                 shard = (keys >> SHIFT) * np.uint64(n_shards) >> SHIFT
@@ -164,7 +167,8 @@ def _count_bigrams(texts: DataFrame, folder: str, model: Model, n_shards: int):
     heavy = _heavy(vocab, model.tokens, n_shards, start)
 
     def count(batches):
-        for batch in batches:
+        claim()
+        for batch in slices(batches, SLICE_ROWS):
             for _, flat, lengths in _blocks(batch.column(0).to_pylist()):
                 distinct, back = np.unique(flat, return_inverse=True)
                 ids = vocab.find(distinct, ["position"])["position"][back].astype(np.uint64)
@@ -306,7 +310,8 @@ def score(docs: DataFrame, model: Model, heavy: dict, id_col: str = "doc_id", te
     """(id, n_tokens, n_known, base_score, score, perplexity) of every text."""
 
     def run(batches):
-        for batch in batches:
+        claim()
+        for batch in slices(batches, SLICE_ROWS):
             texts = batch.column(1).to_pylist()
             for at, flat, lengths in _blocks(texts):
                 got = _score_block(model, heavy, flat, lengths)

@@ -21,26 +21,30 @@ empty result; extra columns are ignored.
 from __future__ import annotations
 
 import zlib
-from collections import Counter
-
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pushlake.llm._util import materialize
+from pushlake.llm._util import materialize, only_cache, slices
 
 #: Bound of the labelled sample.
-LABELLED_ROWS = 4000
-BUCKETS = 1 << 16
-STATISTICS = 11
-EPOCHS = 30
-LEARNING_RATE = 0.3
-DECAY = 1e-5
+LABELLED_ROWS = 6000
+BUCKETS = 1 << 18
+PREFIXES = (4, 5)
+#: A bucket is a feature when its share differs between good and other documents by
+#: this many standard errors.
+SIGNIFICANT = 4.5
+#: Steps of the text statistics that are shares.
+SHARE_EDGES = (0.05, 0.2, 0.4, 0.7)
+STATISTICS = 4 + 8 * (1 + len(SHARE_EDGES))
+EPOCHS = 12
+LEARNING_RATE = 0.1
+DECAY = 1e-3
 #: A document goes when its posterior probability of being good is below this.
 THRESHOLD = 0.5
-CACHED_WORDS = 400_000
+CACHED_WORDS = 300_000
 _WORDS = regex.compile(r"\p{L}+")
 _SYMBOLS = regex.compile(r"[#*$%&<>|]")
 
@@ -50,10 +54,13 @@ def _bucket(word: str) -> int:
 
 
 class _Buckets(dict):
-    def __missing__(self, word: str) -> int:
+    """Buckets of a word and of its prefixes of 4 and 5 letters."""
+
+    def __missing__(self, word: str) -> tuple[int, ...]:
         if len(self) >= CACHED_WORDS:
             self.clear()
-        b = self[word] = _bucket(word)
+        names = [word, *[f"{word[:k]}-" for k in PREFIXES if len(word) >= k]]
+        b = self[word] = tuple(map(_bucket, names))
         return b
 
 
@@ -70,22 +77,24 @@ def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     symbols = len(_SYMBOLS.findall(text))
     pipes = text.count("|")
     upper = sum(map(str.isupper, words))
-    stats = np.array(
-        [
-            1.0,
-            min(np.log1p(len(words)) / 8, 2.0),
-            float(len(words) < 10),
-            min((symbols - pipes) / n, 2.0),
-            min(pipes / n, 2.0),
-            min(text.count("!") / n, 2.0),
-            upper / n,
-            len(set(words)) / n,
-            1 - len(set(lines)) / max(1, len(lines)),
-            min(sum(map(len, words)) / n / 10, 3.0),
-            sum(1 for w in words if w[0].isdigit()) / n,
-        ]
-    )
-    found = np.unique(np.fromiter(map(_BUCKETS.__getitem__, letters), np.int64, len(letters)))
+    again = sum(a == b for a, b in zip(words, words[1:])) / n
+    shares = [
+        min((symbols - pipes) / n, 1.0),
+        min(pipes / n, 1.0),
+        min(text.count("!") / n, 1.0),
+        upper / n,
+        1 - len(set(words)) / n,
+        1 - len(set(lines)) / max(1, len(lines)),
+        again,
+        sum(1 for w in words if w[0].isdigit()) / n,
+    ]
+    # a share counts as it is and by the steps it passes
+    steps = [float(x > edge) for x in shares for edge in SHARE_EDGES]
+    stats = np.array([1.0, min(np.log1p(len(words)) / 8, 2.0), float(len(words) < 10), min(sum(map(len, words)) / n / 10, 3.0), *shares, *steps])
+    buckets = set()
+    for word in set(letters):
+        buckets.update(_BUCKETS[word])
+    found = np.fromiter(buckets, np.int64, len(buckets))
     return found, stats
 
 
@@ -97,15 +106,18 @@ def fit(rows: list[tuple[str | None, int]]) -> tuple[np.ndarray, np.ndarray, flo
         return None
     feats = [features(t) for t, _ in rows]
     y = np.array([v for _, v in rows], float)
-    df = Counter(int(b) for f, _ in feats for b in f)
-    rare = np.ones(BUCKETS, bool)
-    rare[[b for b, n in df.items() if n >= 4]] = False
+    in_good, in_rest = np.zeros(BUCKETS), np.zeros(BUCKETS)
+    for (f, _), v in zip(feats, y):
+        (in_good if v else in_rest)[f] += 1
+    rest = len(rows) - good
+    share = (in_good + in_rest) / len(rows)
+    error = np.sqrt(np.maximum(share * (1 - share), 1 / len(rows)) * (1 / good + 1 / rest))
+    rare = np.abs(in_good / good - in_rest / rest) < SIGNIFICANT * error
     words = np.zeros(BUCKETS)
     stats = np.zeros(STATISTICS)
     gw, gs = np.full(BUCKETS, 1e-2), np.full(STATISTICS, 1e-2)
     dense = np.array([s for _, s in feats])
     kept = [f[~rare[f]] for f, _ in feats]
-    scale = np.array([1 / np.sqrt(max(1, len(f))) for f in kept])
     rng = np.random.default_rng(11)
     for _ in range(EPOCHS):
         order = rng.permutation(len(rows))
@@ -114,11 +126,12 @@ def fit(rows: list[tuple[str | None, int]]) -> tuple[np.ndarray, np.ndarray, flo
             flat = np.concatenate([kept[i] for i in part])
             size = np.array([len(kept[i]) for i in part])
             owner = np.repeat(np.arange(len(part)), size)
-            z = np.bincount(owner, words[flat], len(part)) * 4 * scale[part] + dense[part] @ stats
+            z = np.bincount(owner, words[flat], len(part)) + dense[part] @ stats
             error = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[part]
-            g = np.bincount(flat, (error * 4 * scale[part])[owner], BUCKETS) + DECAY * words
-            gw += g * g
-            words -= LEARNING_RATE * g / np.sqrt(gw)
+            flat_buckets = np.unique(flat)
+            g = np.bincount(flat, error[owner], BUCKETS)[flat_buckets] + DECAY * words[flat_buckets]
+            gw[flat_buckets] += g * g
+            words[flat_buckets] -= LEARNING_RATE * g / np.sqrt(gw[flat_buckets])
             g = error @ dense[part] + DECAY * stats
             gs += g * g
             stats -= LEARNING_RATE * g / np.sqrt(gs)
@@ -131,8 +144,7 @@ def probability(model, text: str | None) -> float:
         return 0.5
     words, stats, _ = model
     f, s = features(text)
-    f = f[words[f] != 0]
-    z = words[f].sum() * 4 / np.sqrt(max(1, len(f))) + s @ stats
+    z = words[f].sum() + s @ stats
     return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
@@ -149,7 +161,8 @@ def evidence(docs: DataFrame, model, host: Column, path: Column, id_col: str = "
     """(id, host, path, p): the classifier's probability of every document."""
 
     def run(batches):
-        for batch in batches:
+        only_cache("word buckets", _BUCKETS)
+        for batch in slices(batches):
             p = [probability(model, x) for x in batch.column(3).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(p, pa.float64())], names=["id", "host", "path", "p"])
 

@@ -21,7 +21,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pushlake.llm._util import broadcast_bytes
+from pushlake.llm._util import broadcast_bytes, only_cache, slices
 from pushlake.llm.bpe import MergeList, merge
 
 #: Fixed word pattern of this vocabulary family.
@@ -83,7 +83,8 @@ def count_tokens(docs: DataFrame, vocabulary: str, limit: int, id_col: str = "do
             _COUNTERS.clear()
             _COUNTERS[key] = TokenCounter(shared.value)
         counter = _COUNTERS[key]
-        for batch in batches:
+        only_cache("word counts", counter.cache)
+        for batch in slices(batches):
             counts = [counter.count(x) if x else 0 for x in batch.column(1).to_pylist()]
             sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(1)), 0).cast(pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0), sizes, pa.array(counts, pa.int64())], names=["id", "n_bytes", "n_tokens"])
