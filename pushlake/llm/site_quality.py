@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pushlake.llm._util import materialize, only_cache, slices
 
 #: Bound of the labelled sample.
-LABELLED_ROWS = 6000
+LABELLED_ROWS = 5000
 BUCKETS = 1 << 18
 PREFIXES = (4, 5)
 #: A bucket is a feature when its share differs between good and other documents by
@@ -94,7 +94,7 @@ def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     buckets = set()
     for word in set(letters):
         buckets.update(_BUCKETS[word])
-    found = np.fromiter(buckets, np.int64, len(buckets))
+    found = np.fromiter(buckets, np.int32, len(buckets))
     return found, stats
 
 
@@ -105,6 +105,7 @@ def fit(rows: list[tuple[str | None, int]]) -> tuple[np.ndarray, np.ndarray, flo
     if not rows or good in (0, len(rows)):
         return None
     feats = [features(t) for t, _ in rows]
+    _BUCKETS.clear()  # the driver keeps no word cache
     y = np.array([v for _, v in rows], float)
     in_good, in_rest = np.zeros(BUCKETS), np.zeros(BUCKETS)
     for (f, _), v in zip(feats, y):
