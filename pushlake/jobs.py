@@ -106,10 +106,10 @@ def cube_job_alert(jobs: DataFrame) -> str | None:
 
 
 def hourly_stats(spark: SparkSession, base: str, start: dt.datetime, end: dt.datetime, output: str,
-                 template: str = readers.HOUR_TEMPLATE, tz: str = DEFAULT_TZ) -> None:
-    """Hour directories of [start, end) -> HTTP-API records -> hour and day stats in
+                 template: str = readers.HOUR_TEMPLATE, tz: str = DEFAULT_TZ, absent: str = "raise") -> None:
+    """Hour directories of [start, end) (all of them, unless ``absent="skip"``) -> HTTP-API records -> hour and day stats in
     one pass -> ``month=/day=`` partitions, replaced on rerun (S4 + P1 + A11 + K9)."""
-    recs = parse.accepted(parse.parse_http_api(readers.read_hours(spark, base, start, end, template=template), tz=tz))
+    recs = parse.accepted(parse.parse_http_api(readers.read_hours(spark, base, start, end, template=template, absent=absent), tz=tz))
     stats = rollup.hour_day_stats(
         recs, "iday", "ihour",
         [F.count(F.lit(1)).alias("n_msgs"), F.countDistinct("appkey").alias("n_appkeys"), F.countDistinct("msgid").alias("n_msgids")],

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pushlake.functions import text as X
@@ -10,7 +10,6 @@ from pushlake.operators.rollup import first_n_per_group
 
 # Fixed values of the alert rule.
 OVERTIME_MINUTES = 60
-JOBS_PER_CUBE = 1000
 MAX_MESSAGE = 300
 ERROR_PREFIX = "Error-Cube:"
 
@@ -20,12 +19,9 @@ def overtime_minutes(duration_s) -> "F.Column":
     return F.floor(F.col(duration_s) / 60).cast("bigint") if isinstance(duration_s, str) else F.floor(duration_s / 60).cast("bigint")
 
 
-def alert_items(jobs: DataFrame, jobs_per_cube: int = JOBS_PER_CUBE) -> DataFrame:
-    """F9 + W7: the first ``jobs_per_cube`` jobs of each cube (by name); RUNNING over
-    60 whole minutes -> ``<tok0>_<tok2> cost N min``; ERROR -> the job name."""
-    paged = first_n_per_group(jobs, ["cube"], "name", jobs_per_cube)
+def _items(jobs: DataFrame) -> DataFrame:
     mins = overtime_minutes("duration")
-    return paged.select(
+    return jobs.select(
         "cube",
         "name",
         F.when(F.col("job_status") == "ERROR", F.lit("error"))
@@ -37,24 +33,33 @@ def alert_items(jobs: DataFrame, jobs_per_cube: int = JOBS_PER_CUBE) -> DataFram
     ).filter(F.col("kind").isNotNull())
 
 
+def alert_items(jobs: DataFrame, jobs_per_cube: int | None = None) -> DataFrame:
+    """every job that is RUNNING over 60 whole minutes -> ``<tok0>_<tok2> cost N
+    min``, or ERROR -> the job name; one scan, no shuffle. Jobs without such a text
+    (a name of under three tokens) are in ``alert_rejects``. ``jobs_per_cube`` asks
+    for a page of each cube's jobs by name instead (W7)."""
+    paged = jobs if jobs_per_cube is None else first_n_per_group(jobs, ["cube"], "name", jobs_per_cube)
+    return _items(paged).filter(F.col("item").isNotNull())
+
+
+def alert_rejects(jobs: DataFrame) -> DataFrame:
+    """Jobs that call for an alert but have no item text, with the reason."""
+    return _items(jobs).filter(F.col("item").isNull()).select("cube", "name", "kind", F.lit("name").alias("reject_reason"))
+
+
 def _py_list(items) -> "F.Column":
     """Text of a list of strings as Python prints it: ['a', 'b']."""
     return F.concat(F.lit("["), F.array_join(F.transform(items, lambda s: F.concat(F.lit("'"), s, F.lit("'"))), ", "), F.lit("]"))
 
 
-def job_alerts(jobs: DataFrame, jobs_per_cube: int = JOBS_PER_CUBE, max_len: int = MAX_MESSAGE) -> DataFrame:
+def job_alerts(jobs: DataFrame, jobs_per_cube: int | None = None, max_len: int = MAX_MESSAGE) -> DataFrame:
     """O1: one alert message (at most ``max_len`` chars), or no row when there is
     nothing to report. Items are sorted by (cube, name) so the text is
-    deterministic. Every listed item adds at least 4 characters, so only the first
-    ``max_len // 4 + 2`` items of each kind can reach the message: each kind is cut
-    to that many with a top-k (per-task top-k, then a merge) before the collect."""
-    items = alert_items(jobs, jobs_per_cube)
-    k = max_len // 4 + 2
-
-    def first_items(kind: str):
-        return items.filter(F.col("kind") == kind).orderBy("cube", "name", "item").limit(k)
-
-    both = first_items("error").unionByName(first_items("overtime"))
+    deterministic. Every item is a text and adds at least 4 characters, so only the
+    first ``max_len // 4 + 2`` items of each kind can reach the message: each kind is
+    cut to that many per task and then overall (a window group limit, one scan)."""
+    w = Window.partitionBy("kind").orderBy("cube", "name", "item")
+    both = alert_items(jobs, jobs_per_cube).withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= max_len // 4 + 2)
     agg = both.agg(
         F.array_sort(F.collect_list(F.when(F.col("kind") == "error", F.struct("cube", "name", "item")))).alias("err"),
         F.array_sort(F.collect_list(F.when(F.col("kind") == "overtime", F.struct("cube", "name", "item")))).alias("over"),

@@ -26,22 +26,13 @@ from pushlake.session import checkpoint_root
 EXPAND_MAX_DIMS = 6
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Broadcast hint only behind a measured bound: at most ``max_rows + 1`` rows of
-    one constant column are taken (``take`` scans partitions incrementally and stops
-    as soon as it has them, so a huge table costs about one partition); larger
-    inputs are joined without a hint."""
-    n = len(df.select(F.lit(1)).limit(max_rows + 1).take(max_rows + 1))
-    return F.broadcast(df) if n <= max_rows else df
-
-
-def flat_table(fact: DataFrame, joins: Sequence[tuple[DataFrame, str, str]], columns: Sequence[str | Column], small_rows: int = 100_000) -> DataFrame:
+def flat_table(fact: DataFrame, joins: Sequence[tuple[DataFrame, str, str]], columns: Sequence[str | Column]) -> DataFrame:
     """Fact joined with dimension tables (each ``(dim, fact_key, dim_key)``),
-    projected to ``columns``. Dimensions under ``small_rows`` rows are broadcast."""
+    projected to ``columns``. Spark broadcasts a dimension when its size in bytes, as
+    planned or as measured at run time, is under the session's threshold."""
     out = fact
     for dim, fk, dk in joins:
-        d = broadcast_if_small(dim, small_rows)
-        out = out.join(d, out[fk] == d[dk], "inner") if fk != dk else out.join(d, fk, "inner")
+        out = out.join(dim, out[fk] == dim[dk], "inner") if fk != dk else out.join(dim, fk, "inner")
     return out.select(*columns)
 
 
@@ -56,7 +47,7 @@ def dim_values(df: DataFrame, dims: Sequence[str]) -> DataFrame:
     return long.select("_p.dim", "_p.value").distinct()
 
 
-def encode_dim(df: DataFrame, col: str, n_ranges: int = 16, out: str | None = None) -> DataFrame:
+def encode_dim(df: DataFrame, col: str, n_ranges: int | None = None, out: str | None = None) -> DataFrame:
     """C4: dictionary code of a dimension: dense 0-based rank (bigint) of its value
     among the distinct values (nulls get no code), joined back to the rows."""
     from pushlake.operators.ordered import dense_index
@@ -64,7 +55,10 @@ def encode_dim(df: DataFrame, col: str, n_ranges: int = 16, out: str | None = No
     out = out or f"{col}_code"
     values = df.select(col).filter(F.col(col).isNotNull()).distinct()
     coded = dense_index(values, [col], n_ranges, out="_code").select(col, F.col("_code").alias(out))
-    return df.join(coded, col, "left")
+    known = df.filter(F.col(col).isNotNull()).join(coded, col, "left")
+    # rows without a value need no code: they stay out of the join and its hash key
+    missing = df.filter(F.col(col).isNull()).withColumn(out, F.lit(None).cast("bigint"))
+    return known.unionByName(missing)
 
 
 HLL_LG_K = 12
@@ -136,15 +130,12 @@ def _gid_of(keep: Sequence[str], dims: Sequence[str]) -> int:
     return sum(1 << (len(dims) - 1 - i) for i, d in enumerate(dims) if d not in keep)
 
 
-def cuboid_stats(df: DataFrame, dims: Sequence[str], exact: bool | None = None) -> DataFrame:
+def cuboid_stats(df: DataFrame, dims: Sequence[str], exact: bool = True) -> DataFrame:
     """Number of rows of every cuboid, by ``gid`` and the list of its dimensions.
 
-    Exact (distinct groups of ``cube`` over the base cuboid) up to
-    ``EXPAND_MAX_DIMS`` dimensions; wider cubes get HyperLogLog estimates, one
-    sketch per cuboid in a single pass over the base cuboid (no 2^n row expansion),
-    as cube builders do for their cuboid statistics."""
-    if exact is None:
-        exact = len(dims) <= EXPAND_MAX_DIMS
+    Exact by default (column ``rows``: distinct groups of ``cube`` over the base
+    cuboid). ``exact=False`` asks for HyperLogLog estimates instead (column
+    ``rows_estimate``): one sketch per cuboid in a single pass over the base cuboid."""
     base = df.groupBy(*dims).agg(F.count(F.lit(1)).alias("n"))
     names = F.array_compact(
         F.array(*[F.when(F.col("gid").bitwiseAND(F.lit(1 << (len(dims) - 1 - i))) == 0, F.lit(d)) for i, d in enumerate(dims)])
@@ -158,9 +149,9 @@ def cuboid_stats(df: DataFrame, dims: Sequence[str], exact: bool | None = None)
         for gid in range(1 << n):
             keep = [d for i, d in enumerate(dims) if not gid & (1 << (n - 1 - i))]
             key = F.xxhash64(*[F.col(d) for d in keep]) if keep else F.lit(0)
-            aggs.append(F.struct(F.lit(gid).cast("bigint").alias("gid"), F.approx_count_distinct(key).alias("rows")))
-        stats = base.agg(F.array(*aggs).alias("_s")).select(F.explode("_s").alias("_s")).select("_s.gid", "_s.rows")
-    return stats.select("gid", F.array_join(names, ",").alias("dims"), "rows")
+            aggs.append(F.struct(F.lit(gid).cast("bigint").alias("gid"), F.approx_count_distinct(key).alias("rows_estimate")))
+        stats = base.agg(F.array(*aggs).alias("_s")).select(F.explode("_s").alias("_s")).select("_s.gid", "_s.rows_estimate")
+    return stats.select("gid", F.array_join(names, ",").alias("dims"), "rows" if exact else "rows_estimate")
 
 
 def with_derived(cube: DataFrame, dims: Sequence[str], dim_table: DataFrame, key: str, table_key: str, derived: str, group: Sequence[str], sums: Sequence[str]) -> DataFrame:
@@ -169,7 +160,7 @@ def with_derived(cube: DataFrame, dims: Sequence[str], dim_table: DataFrame, key
     cuboid of ``group`` + ``key`` is re-aggregated by ``group`` + ``derived``."""
     need = list(group) + [key]
     cub = cube.filter(F.col("gid") == _gid_of(need, dims))
-    d = broadcast_if_small(dim_table.select(F.col(table_key).alias(key), derived))
+    d = dim_table.select(F.col(table_key).alias(key), derived)
     joined = cub.join(d, key, "inner")
     return joined.groupBy(*group, derived).agg(F.sum("n").alias("n"), *[F.sum(s).alias(s) for s in sums])
 

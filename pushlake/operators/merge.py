@@ -37,7 +37,13 @@ def merge_docs(docs: DataFrame, updates: DataFrame, key: str, fields: Sequence[s
     return j.select(*out)
 
 
-def replace_into(table: DataFrame, rows: DataFrame, key: Sequence[str]) -> DataFrame:
-    """K5 replace-into: rows replace table rows with the same key, others appended."""
+def replace_into(table: DataFrame, rows: DataFrame, key: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:
+    """K5 replace-into: rows replace table rows with the same key, others appended.
+    Of several rows with one key the last in ``order`` wins (default: the largest by
+    all other columns, so the result does not depend on row order). Write the result
+    to a new table and swap it in: the plan still reads ``table``."""
+    rest = [c for c in rows.columns if c not in key]
+    by = F.struct(*(order or rest or key))
+    rows = rows.groupBy(*key).agg(F.max_by(F.struct(*rows.columns), by).alias("_last")).select(*[F.col(f"_last.`{c}`") for c in rows.columns])
     kept = table.join(rows.select(*key), list(key), "left_anti")
     return kept.unionByName(rows, allowMissingColumns=True)

@@ -19,12 +19,9 @@ from pushlake.session import checkpoint_root
 
 
 def _shared(df: DataFrame) -> DataFrame:
-    """``df`` is read by two branches that must see the same range partitions.
-    Spark reuses the one exchange for both (identical subtrees); if the session
-    turned exchange reuse off, each branch would sample its own range bounds, so
-    the rows are checkpointed to the shared checkpoint folder instead."""
-    if df.sparkSession.conf.get("spark.sql.exchange.reuse", "true").lower() == "true":
-        return df
+    """``df`` is read by two branches that must see the same range partitions. Range
+    bounds are sampled anew for every plan that is not the very same, so the rows are
+    written once to the shared checkpoint folder and both branches read that."""
     checkpoint_root(df.sparkSession)
     return df.checkpoint()
 
@@ -39,12 +36,14 @@ def range_segments(df: DataFrame, order: Sequence[str], n: int | None = None, ou
     return df.repartitionByRange(n, *order).withColumn(out, F.spark_partition_id())
 
 
-def dense_index(df: DataFrame, order: Sequence[str], n_ranges: int, out: str = "idx") -> DataFrame:
+def dense_index(df: DataFrame, order: Sequence[str], n_ranges: int | None = None, out: str = "idx") -> DataFrame:
     """0-based dense position of every row in ``order`` (which must be unique).
 
-    One range shuffle sorts rows into ``n_ranges`` ordered partitions; the position
+    One range shuffle sorts rows into ``n_ranges`` ordered partitions (default: the
+    session's shuffle partitions), which are checkpointed; the position
     inside a partition comes from ``monotonically_increasing_id`` after a sort within
     the partition, and partition offsets from a one-row-per-partition count table."""
+    n_ranges = n_ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(n_ranges, *order).sortWithinPartitions(*order)
     ranged = ranged.withColumn("_mid", F.monotonically_increasing_id())
     ranged = _shared(ranged.withColumn("_part", F.shiftright("_mid", 33)).withColumn(

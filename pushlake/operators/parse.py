@@ -96,12 +96,23 @@ def parse_http_api(lines: DataFrame, line_col: str = "line", tz: str = DEFAULT_T
 
 # ---- P2 / P3 / F1-F3: push events -----------------------------------------------------------
 
+def _bad_envelope(body_col: str) -> Column:
+    rows = F.from_json(F.col(body_col), "rows array<string>")["rows"]
+    return F.get_json_object(F.col(body_col), "$.rows").isNotNull() & rows.isNull()
+
+
+def bad_envelopes(events: DataFrame, body_col: str = "body") -> DataFrame:
+    """P11 for P2: messages whose ``rows`` is not an array, with the reason."""
+    return events.filter(_bad_envelope(body_col)).withColumn(REJECT, F.lit("rows"))
+
+
 def explode_rows(events: DataFrame, body_col: str = "body", out_col: str = "obj") -> DataFrame:
     """An envelope ``{"rows": [...]}`` gives one row per element; a body without
-    ``rows`` (or with ``rows: null``) is the object itself. Elements stay JSON text, so
+    ``rows`` (or with ``rows: null``) is the object itself; ``rows`` of any other JSON
+    type fails the message (``bad_envelopes``). Elements stay JSON text, so
     a bad element is rejected later on its own and never loses its siblings (D1)."""
     rows = F.from_json(F.col(body_col), "rows array<string>")["rows"]
-    return events.select(
+    return events.filter(~_bad_envelope(body_col)).select(
         *[c for c in events.columns if c != body_col],
         F.explode(F.coalesce(rows, F.array(F.col(body_col)))).alias(out_col),
     )

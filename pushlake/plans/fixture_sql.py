@@ -145,16 +145,16 @@ DOCS = """
 docs AS (
   SELECT CAST(c_custkey AS VARCHAR) AS uid, c_mktsegment AS appkey, CAST(NULL AS VARCHAR) AS apkver,
          '1.0.0' AS sdkver, 'c' || CAST(c_nationkey AS VARCHAR) AS channel
-  FROM customer WHERE c_acctbal > 0)"""
+  FROM customer)"""
 
 USER_CELLS = """
 user_cells AS (
   SELECT reverse(CAST(c_custkey AS VARCHAR)) AS rowkey, 'u' AS family, q AS qualifier, t AS ts, v AS value FROM (
-    SELECT c_custkey, 'appkey' AS q, c_custkey * 1000 + 10 AS t, c_mktsegment AS v FROM customer WHERE c_acctbal > 0
-    UNION ALL SELECT c_custkey, 'appkey', c_custkey * 1000, 'old' FROM customer WHERE c_acctbal > 0
-    UNION ALL SELECT c_custkey, 'apkver', c_custkey * 1000, 'v' || CAST(c_nationkey % 3 AS VARCHAR) FROM customer WHERE c_acctbal > 0
-    UNION ALL SELECT c_custkey, 'sdkver', c_custkey * 1000, '2.' || CAST(c_nationkey AS VARCHAR) || '.0' FROM customer WHERE c_acctbal > 0
-    UNION ALL SELECT c_custkey, 'channel', c_custkey * 1000, 'c' || CAST(c_nationkey AS VARCHAR) FROM customer WHERE c_acctbal > 0 AND c_custkey % 5 <> 0
+    SELECT c_custkey, 'appkey' AS q, c_custkey * 1000 + 10 AS t, c_mktsegment AS v FROM customer
+    UNION ALL SELECT c_custkey, 'appkey', c_custkey * 1000, 'old' FROM customer
+    UNION ALL SELECT c_custkey, 'apkver', c_custkey * 1000, 'v' || CAST(c_nationkey % 3 AS VARCHAR) FROM customer
+    UNION ALL SELECT c_custkey, 'sdkver', c_custkey * 1000, '2.' || CAST(c_nationkey AS VARCHAR) || '.0' FROM customer
+    UNION ALL SELECT c_custkey, 'channel', c_custkey * 1000, 'c' || CAST(c_nationkey AS VARCHAR) FROM customer WHERE c_custkey % 5 <> 0
   ) t)"""
 
 STATS_CELLS = f"""
@@ -166,14 +166,14 @@ stats_cells AS (
 REPORT_CELLS = f"""
 report_cells AS (
   SELECT CAST(user_id AS VARCHAR) AS rowkey, 'A' AS family, 'app1' AS qualifier, {MS.format(c='ts')} AS ts, '1' AS value
-  FROM events WHERE event_type = 'signup')"""
+  FROM events)"""
 
 OFFLINE_CELLS = f"""
 offline_cells AS (
   SELECT CAST(user_id AS VARCHAR) || 'app1' || CAST({SECS.format(c='ts')} - CASE WHEN user_id % 2 = 1 THEN 1 ELSE 0 END AS VARCHAR) AS rowkey,
          'A' AS family, 'clicks' AS qualifier, {MS.format(c='ts')} - j AS ts,
          CAST(CAST(floor(value) AS BIGINT) + j AS VARCHAR) AS value
-  FROM (SELECT *, unnest(range(0, event_id % 4 + 1)) AS j FROM events WHERE event_type = 'signup') t)"""
+  FROM (SELECT *, unnest(range(0, event_id % 4 + 1)) AS j FROM events) t)"""
 
 MSG_KEY_LINES = """
 msg_key_lines AS (

@@ -161,9 +161,9 @@ def version_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents (uid, appkey, apkver, sdkver, channel), one per customer with a
-    positive balance (uid = c_custkey), so some users have none yet."""
-    d = table(spark, sf_dir, "customer").filter(F.col("c_acctbal") > 0)
+    """Documents (uid, appkey, apkver, sdkver, channel), one per customer
+    (uid = c_custkey)."""
+    d = table(spark, sf_dir, "customer")
     return d.select(
         _s(F.col("c_custkey")).alias("uid"),
         F.col("c_mktsegment").alias("appkey"),
@@ -174,10 +174,10 @@ def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def user_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """User cells under the reversed customer key, customers with c_acctbal > 0 only:
+    """User cells under the reversed customer key:
     appkey (plus an older version), apkver, sdkver, channel (absent when
     c_custkey % 5 = 0)."""
-    c = table(spark, sf_dir, "customer").filter(F.col("c_acctbal") > 0)
+    c = table(spark, sf_dir, "customer")
     k = F.reverse(_s(F.col("c_custkey")))
     ts = F.col("c_custkey") * 1000
     items = F.array(
@@ -206,8 +206,8 @@ def stats_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def report_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Report cells: each signup event is a version of (user_id, A:app1) at its ms."""
-    ev = table(spark, sf_dir, "events").filter(F.col("event_type") == "signup")
+    """Report cells: each event is a version of (user_id, A:app1) at its ms."""
+    ev = table(spark, sf_dir, "events")
     return ev.select(
         _s(F.col("user_id")).alias("rowkey"), F.lit("A").alias("family"), F.lit("app1").alias("qualifier"),
         ms_of_ntz("ts").alias("ts"), F.lit("1").alias("value"),
@@ -215,10 +215,10 @@ def report_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def offline_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Offline cells: each signup event gives 1 + event_id % 4 int versions of
-    (user_id + app1 + signup seconds, A:clicks); for odd users the key is one second
+    """Offline cells: each event gives 1 + event_id % 4 int versions of
+    (user_id + app1 + event seconds, A:clicks); for odd users the key is one second
     off, so their lookups miss."""
-    ev = table(spark, sf_dir, "events").filter(F.col("event_type") == "signup")
+    ev = table(spark, sf_dir, "events")
     secs = secs_of_ntz("ts") - F.when(F.col("user_id") % 2 == 1, F.lit(1)).otherwise(F.lit(0))
     x = ev.select(
         F.concat(_s(F.col("user_id")), F.lit("app1"), _s(secs)).alias("rowkey"),

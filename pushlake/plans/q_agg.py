@@ -133,6 +133,14 @@ def c4_encode_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return CB.encode_dim(fx.star(spark, sf_dir), "c_mktsegment", n_ranges=4).select("c_mktsegment", "c_mktsegment_code").distinct()
 
 
+@register("c4_encode_rows", sql="""
+SELECT event_id, user_id, CAST(dense_rank() OVER (ORDER BY user_id) - 1 AS BIGINT) AS user_code FROM events WHERE user_id IS NOT NULL
+UNION ALL SELECT event_id, user_id, NULL FROM events WHERE user_id IS NULL""")
+def c4_encode_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C4: every event with the dense code of its user (a high-cardinality dimension)."""
+    return CB.encode_dim(fx.table(spark, sf_dir, "events"), "user_id", out="user_code").select("event_id", "user_id", "user_code")
+
+
 def _dims_text_sql(dims) -> str:
     n = len(dims)
     parts = ", ".join(f"CASE WHEN gid & {1 << (n - 1 - i)} = 0 THEN '{d}' END" for i, d in enumerate(dims))

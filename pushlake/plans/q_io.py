@@ -76,7 +76,7 @@ def write_hour_dirs(spark: SparkSession, sf_dir: str) -> tuple[str, dt.datetime,
 def s4_read_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """HTTP lines in hour directories, read for the events' hour range."""
     base, start, end = write_hour_dirs(spark, sf_dir)
-    lines = S.read_hours(spark, base, start, end, template=HOUR_TEMPLATE)
+    lines = S.read_hours(spark, base, start, end, template=HOUR_TEMPLATE, absent="skip")
     return P.accepted(P.parse_http_api(lines)).select(*P.HTTP_API_COLUMNS)
 
 

@@ -115,18 +115,17 @@ def r5_hour_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ALERT_ITEMS_SQL = f"""
 {JOBS},
-paged AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY cube ORDER BY name) AS rn FROM jobs) t WHERE rn <= 1000),
 items AS (
   SELECT cube, name,
     CASE WHEN job_status = 'ERROR' THEN 'error' WHEN job_status = 'RUNNING' AND duration // 60 > 60 THEN 'overtime' END AS kind,
     CASE WHEN job_status = 'ERROR' THEN name
          ELSE string_split(name, ' ')[1] || '_' || string_split(name, ' ')[3] || ' cost ' || CAST(duration // 60 AS VARCHAR) || ' min' END AS item
-  FROM paged)"""
+  FROM jobs)"""
 
 
 @register("f9_alert_items", sql=f"WITH {ALERT_ITEMS_SQL} SELECT cube, name, kind, item FROM items WHERE kind IS NOT NULL")
 def f9_alert_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F9 + W7: overtime and error items of the first 1,000 jobs per cube."""
+    """overtime and error items of all jobs."""
     return AL.alert_items(fx.jobs(spark, sf_dir))
 
 

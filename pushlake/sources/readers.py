@@ -82,9 +82,15 @@ def existing_paths(spark: SparkSession, paths: Iterable[str]) -> list[str]:
 
 
 def read_hours(spark: SparkSession, base: str, start: dt.datetime, end: dt.datetime, fmt: str = "text",
-               template: str = HOUR_TEMPLATE, schema: str | None = None) -> DataFrame:
-    """Read the hour directories of [start, end) that exist; absent hours are skipped."""
-    paths = existing_paths(spark, hourly_paths(base, start, end, template))
+               template: str = HOUR_TEMPLATE, schema: str | None = None, absent: str = "raise") -> DataFrame:
+    """Read the hour directories of [start, end). The instance is complete only when
+    every hour is there, so an absent hour raises and is named; ``absent="skip"`` reads
+    the hours that exist."""
+    wanted = hourly_paths(base, start, end, template)
+    paths = existing_paths(spark, wanted)
+    missing = sorted(set(wanted) - set(paths))
+    if missing and absent != "skip":
+        raise FileNotFoundError(f"{len(missing)} of {len(wanted)} hour directories are absent: {', '.join(missing[:24])}")
     if not paths:
         raise FileNotFoundError(f"no hour directory under {base} in [{start}, {end})")
     if fmt == "text":

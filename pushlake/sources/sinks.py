@@ -78,9 +78,10 @@ def to_topic(df: DataFrame, servers: str, topic: str, line_col: str = "line") ->
 
 
 def to_jdbc(df: DataFrame, url: str, table: str, batchsize: int = 1000, mode: str = "append", properties: dict | None = None) -> None:
-    """K5: relational sink with batched statements. Replace-into: build the table
-    with ``merge.replace_into`` and write it with ``mode='overwrite'``, which is
-    also what makes a rerun after a failed job safe (appends are not idempotent)."""
+    """K5: relational sink with batched statements. Replace-into: build the
+    table with ``merge.replace_into`` and write it to a staging table that is then
+    swapped in. Overwriting the table itself would truncate what the plan still has
+    to read; appends are not safe to rerun."""
     df.write.option("batchsize", batchsize).jdbc(url, table, mode=mode, properties=properties or {})
 
 

@@ -51,7 +51,9 @@ def test_s4_hour_paths_and_missing_hours(spark, tmp_path):
     assert [p[len(base) + 1:] for p in paths] == [
         "2017/05/11/2017051122", "2017/05/11/2017051123", "2017/05/12/2017051200"]
     spark.createDataFrame([("a",)], "line string").write.text(paths[1])
-    lines = S.read_hours(spark, base, dt.datetime(2017, 5, 11, 22), dt.datetime(2017, 5, 12, 1))
+    with pytest.raises(FileNotFoundError, match="absent"):
+        S.read_hours(spark, base, dt.datetime(2017, 5, 11, 22), dt.datetime(2017, 5, 12, 1))
+    lines = S.read_hours(spark, base, dt.datetime(2017, 5, 11, 22), dt.datetime(2017, 5, 12, 1), absent="skip")
     assert [r.line for r in lines.collect()] == ["a"]
     with pytest.raises(FileNotFoundError):
         S.read_hours(spark, base, dt.datetime(2018, 1, 1), dt.datetime(2018, 1, 2))

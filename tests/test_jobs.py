@@ -101,7 +101,7 @@ def test_hourly_stats(spark, tmp_path):
     spark.createDataFrame([(line,), (line.replace("\t5\t", "\t6\t"),)], "line string").write.text(os.path.join(base, "2017/05/11/2017051109"))
     out = str(tmp_path / "out")
     for _ in range(2):
-        jobs.hourly_stats(spark, base, dt.datetime(2017, 5, 11, 0), dt.datetime(2017, 5, 12, 0), out)
+        jobs.hourly_stats(spark, base, dt.datetime(2017, 5, 11, 0), dt.datetime(2017, 5, 12, 0), out, absent="skip")
     got = sorted((r.grain, r.ihour, r.n_msgs, r.n_msgids) for r in spark.read.parquet(out).collect())
     assert got == [("day", None, 2, 2), ("hour", 2017051117, 2, 2)]
 
