@@ -6,10 +6,12 @@ of copies cost one row. Then independent trees branch the classes: the root spli
 by one minwise token; every node's classes are compared with a pivot, and the links
 found are contracted, so a group of near copies becomes one component at a cost in
 proportion to its size. From there only classes of different components are
-compared, and nodes inside one component end: a node of at most ``LEAF`` classes is
-compared exhaustively; a larger node branches again by ``BRANCHES`` minwise tokens
-that it selects. What is still larger at the last level is compared exhaustively
-across components, so nothing is capped.
+compared, and nodes inside one component end. A node is small when at most ``LEAF`` of
+its classes lie outside its largest component: each of its classes is compared with
+those, so a small node costs its size times ``LEAF`` at most. A larger node branches
+again by ``BRANCHES`` minwise tokens that it selects (their four bits in the sketch, so
+no values are joined back). What is still larger at the last level is compared in the
+same way, so nothing is capped.
 
 A pair of similarity 0.75 meets in a small root child with probability 0.75 a tree;
 where nodes are large, its branching process survives with probability 0.89. Over
@@ -41,7 +43,7 @@ from pushlake.llm.components import connected_components
 PERCENT = 75
 COORDINATES = 128
 TREES = 10
-LEAF = 32
+LEAF = 128
 BRANCHES = 2
 LEVELS = 7
 PIVOTS = 3
@@ -79,8 +81,8 @@ def _sketch(mins: np.ndarray) -> list[np.ndarray]:
 
 
 def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n, v1, v2, k0-k3, mins): size and 128-bit hash of the shingle set, sketch
-    and minwise values. No shuffle; one pass over the texts."""
+    """(id, n, v1, v2, k0-k7, mins): size and 128-bit hash of the shingle set, sketch
+    and the minwise values of the roots. No shuffle; one pass over the texts."""
 
     def run(batches):
         claim()
@@ -95,7 +97,7 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             v = np.array(digest, np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n), pa.array(v[:, 0]), pa.array(v[:, 1]), *map(pa.array, _sketch(mins))]
-                + [pa.FixedSizeListArray.from_arrays(pa.array(mins.view(np.int32).ravel()), COORDINATES).cast(pa.list_(pa.int32()))],
+                + [pa.FixedSizeListArray.from_arrays(pa.array(mins[:, :TREES].ravel().view(np.int32)), TREES).cast(pa.list_(pa.int32()))],
                 names=["id", "n", "v1", "v2", *SKETCH, "mins"],
             )
 
@@ -134,14 +136,23 @@ def _pairs(a: str, b: str) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
+def _roots(classes: DataFrame) -> DataFrame:
+    """Rows (key, id, comp, n, sketch) of the root children that hold several classes.
+    Only ids and keys are grouped; sketches join what is left."""
+    base = classes.select("id", F.posexplode("mins").alias("tree", "token"))
+    base = base.select(F.xxhash64("tree", "token").alias("key"), "id")
+    shared = base.groupBy("key").agg(F.min("id").alias("i0"), F.max("id").alias("i1")).filter("i0 <> i1").select("key")
+    return base.join(shared, "key").join(classes.select("id", "n", *SKETCH), "id").select("key", "id", F.col("id").alias("comp"), "n", *SKETCH)
+
+
 def _inside(rows: DataFrame, level: int) -> DataFrame:
-    """Rows of the nodes that hold several components, with the size ``m`` of their
-    node and its pivot. ``rows``: (key, id, comp, n, sketch)."""
+    """Rows of the nodes that hold several components, with their node's pivot, its
+    largest component ``top`` and the number ``outside`` of its classes outside that.
+    ``rows``: (key, id, comp, n, sketch)."""
     order = F.xxhash64("id", F.pmod("key", F.lit(PIVOTS)), F.lit(level))
-    nodes = rows.groupBy("key").agg(
-        F.count(F.lit(1)).alias("m"), F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.min(F.struct(order.alias("o"), "id", "comp", "n", *SKETCH)).alias("p")
-    )
-    nodes = nodes.filter("c0 <> c1").select("key", "m", *[F.col(f"p.{c}").alias(f"p_{c}") for c in ["id", "comp", "n", *SKETCH]])
+    parts = rows.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("k"), F.min(F.struct(order.alias("o"), "id", "comp", "n", *SKETCH)).alias("p"))
+    nodes = parts.groupBy("key").agg(F.sum("k").alias("m"), F.max(F.struct("k", "comp")).alias("t"), F.min("p").alias("p")).filter("m > t.k")
+    nodes = nodes.select("key", (F.col("m") - F.col("t.k")).alias("outside"), F.col("t.comp").alias("top"), *[F.col(f"p.{c}").alias(f"p_{c}") for c in ["id", "comp", "n", *SKETCH]])
     return materialize(rows.join(nodes, "key"), f"nodes{level}")
 
 
@@ -150,16 +161,22 @@ def _stars(inside: DataFrame) -> DataFrame:
     return inside.filter((F.col("comp") != F.col("p_comp")) & _plausible("", "p_")).select(*_pairs("id", "p_id")).distinct()
 
 
-def _leaves(inside: DataFrame) -> DataFrame:
-    """Pairs of different components inside small nodes."""
-    leaf = inside.filter(F.col("m") <= LEAF).select("key", "id", "comp", "n", *SKETCH)
-    other = leaf.select("key", *[F.col(c).alias(f"o_{c}") for c in ["id", "comp", "n", *SKETCH]])
-    both = leaf.join(other, "key").filter((F.col("id") < F.col("o_id")) & (F.col("comp") != F.col("o_comp")) & _plausible("", "o_"))
-    return both.select(*_pairs("id", "o_id")).distinct()
+def _small(inside: DataFrame) -> DataFrame:
+    return inside.filter(F.col("outside") <= LEAF)
 
 
 def _large(inside: DataFrame) -> DataFrame:
-    return inside.filter(F.col("m") > LEAF).select("key", "id", "comp", "n", *SKETCH)
+    return inside.filter(F.col("outside") > LEAF)
+
+
+def _compare(inside: DataFrame) -> DataFrame:
+    """Pairs of different components inside nodes: every class against the classes
+    outside its node's largest component."""
+    rows = inside.select("key", "top", "id", "comp", "n", *SKETCH)
+    other = rows.filter(F.col("comp") != F.col("top")).select("key", *[F.col(c).alias(f"o_{c}") for c in ["id", "comp", "n", *SKETCH]])
+    once = (F.col("comp") == F.col("top")) | (F.col("id") < F.col("o_id"))
+    both = rows.join(other, "key").filter(once & (F.col("comp") != F.col("o_comp")) & _plausible("", "o_"))
+    return both.select(*_pairs("id", "o_id")).distinct()
 
 
 def _contract(rows: DataFrame, links: DataFrame) -> DataFrame:
@@ -167,13 +184,14 @@ def _contract(rows: DataFrame, links: DataFrame) -> DataFrame:
     return rows.drop("comp").join(found, "id", "left").select("key", "id", F.coalesce("c", "id").alias("comp"), "n", *SKETCH)
 
 
-def _across(rows: DataFrame) -> DataFrame:
-    """Candidate pairs between components inside nodes that the trees left large."""
-    nodes = rows.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).filter("c0 <> c1").select("key")
-    rows = rows.join(nodes, "key")
-    other = rows.select("key", *[F.col(c).alias(f"o_{c}") for c in ["id", "comp", "n", *SKETCH]])
-    both = rows.join(other, "key").filter((F.col("id") < F.col("o_id")) & (F.col("comp") != F.col("o_comp")) & _plausible("", "o_"))
-    return both.select(*_pairs("id", "o_id")).distinct()
+def _branch(rows: DataFrame, level: int) -> DataFrame:
+    """The rows in the children of their nodes: branch j of a node takes the value of
+    a sketch coordinate that the node selects, beyond those of the roots."""
+    rows = rows.withColumn("j", F.explode(F.array(*[F.lit(j) for j in range(BRANCHES)])))
+    rows = rows.withColumn("at", (F.pmod(F.xxhash64("key", "j", F.lit(level)), F.lit(COORDINATES - TREES)) + TREES).cast("int"))
+    word = F.element_at(F.array(*SKETCH), (F.floor(F.col("at") / 16) + 1).cast("int"))
+    value = F.call_function("shiftrightunsigned", word, 4 * (F.col("at") % 16)).bitwiseAND(F.lit(15))
+    return rows.select(F.xxhash64("key", "at", value).alias("key"), "id", "comp", "n", *SKETCH)
 
 
 def confirm(docs: DataFrame, pairs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -197,24 +215,18 @@ def links_and_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         F.min("id").alias("id"), F.count(F.lit(1)).alias("size"), *[F.first(c).alias(c) for c in ["n", *SKETCH, "mins"]]
     )
     classes = materialize(classes, "classes")
-    base = classes.select("id", "n", *SKETCH, F.col("id").alias("comp"), F.posexplode(F.slice("mins", 1, TREES)).alias("tree", "token"))
-    rows = base.select(F.xxhash64("tree", "token").alias("key"), "id", "comp", "n", *SKETCH)
     check = lambda pairs: materialize(confirm(docs, materialize(pairs, "pairs"), id_col, text_col), "links")
-    inside = _inside(rows, 0)
+    inside = _inside(_roots(classes), 0)
     links = check(_stars(inside))
     inside = _inside(_contract(inside.select("key", "id", "comp", "n", *SKETCH), links), 1)
-    more, large = _leaves(inside).unionByName(_stars(inside)), _large(inside)
+    more, large = _compare(_small(inside)), _large(inside)
     for level in range(2, LEVELS + 1):
         if large.isEmpty():
             break
-        branch = F.explode(F.array(*[F.lit(j) for j in range(BRANCHES)]))
-        tokens = large.join(classes.select("id", "mins"), "id").select("*", branch.alias("j"))
-        # the coordinate that this node selects for its j-th branch
-        at = (F.pmod(F.xxhash64("key", "j", F.lit(level)), F.lit(COORDINATES - TREES)) + TREES + 1).cast("int")
-        inside = _inside(tokens.select(F.xxhash64("key", at, F.element_at("mins", at)).alias("key"), "id", "comp", "n", *SKETCH), level)
-        more, large = more.unionByName(_leaves(inside)).unionByName(_stars(inside)), _large(inside)
+        inside = _inside(_branch(large, level), level)
+        more, large = more.unionByName(_compare(_small(inside))), _large(inside)
     else:
-        more = more.unionByName(_across(large))
+        more = more.unionByName(_compare(large))
     late = check(more.distinct())
     return sigs, classes, links.unionByName(late).distinct()
 
