@@ -5,7 +5,7 @@ Documents with equal shingle sets are one class first (a grouped minimum), so gr
 of copies cost one row. Then independent trees branch the classes: the root splits
 by one minwise token; every node's classes are compared with a pivot, and the links
 found are contracted, so a group of near copies becomes one component at a cost in
-proportion to its size. From there only classes of different components are
+proportion to its size (again after each of the first levels). From there only classes of different components are
 compared, and nodes inside one component end. A node is small when at most ``LEAF`` of
 its classes lie outside its largest component: each of its classes is compared with
 those, so a small node costs its size times ``LEAF`` at most. A larger node branches
@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pushlake.llm._util import materialize, slices
+from pushlake.llm._util import MAX_BROADCAST_BYTES, materialize, slices
 from pushlake.llm._words import claim, hashes, shingles, words
 from pushlake.llm.components import connected_components
 
@@ -47,6 +47,10 @@ LEAF = 128
 BRANCHES = 2
 LEVELS = 7
 PIVOTS = 3
+#: Levels whose links are confirmed and contracted before the next one.
+CONTRACTED = 3
+#: Bytes that an id takes in a broadcast besides its text.
+ID_OVERHEAD = 56
 SKETCH_MATCHES = 80
 SKETCH = [f"k{i}" for i in range(COORDINATES // 16)]
 
@@ -196,9 +200,11 @@ def _branch(rows: DataFrame, level: int) -> DataFrame:
 
 def confirm(docs: DataFrame, pairs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The pairs (a, b) whose full shingle sets reach the threshold."""
-    ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    wanted = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).join(ids, "id", "left_semi")
-    sets = shingle_sets(wanted, "id", "text")
+    ids = materialize(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct(), "ids")
+    # ids of a checked size go to the texts; beyond that the texts are shuffled once
+    few = ids.agg(F.coalesce(F.sum(F.length(F.col("id").cast("string")) + ID_OVERHEAD), F.lit(0))).first()[0] <= MAX_BROADCAST_BYTES
+    wanted = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).join(F.broadcast(ids) if few else ids, "id", "left_semi")
+    sets = materialize(shingle_sets(wanted, "id", "text"), "sets")
     left = pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("sa")), "a")
     both = left.join(sets.select(F.col("id").alias("b"), F.col("set").alias("sb")), "b")
     common = F.size(F.array_intersect("sa", "sb"))
@@ -215,20 +221,26 @@ def links_and_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         F.min("id").alias("id"), F.count(F.lit(1)).alias("size"), *[F.first(c).alias(c) for c in ["n", *SKETCH, "mins"]]
     )
     classes = materialize(classes, "classes")
-    check = lambda pairs: materialize(confirm(docs, materialize(pairs, "pairs"), id_col, text_col), "links")
+    check = lambda pairs: materialize(confirm(docs, pairs, id_col, text_col), "links")
     inside = _inside(_roots(classes), 0)
-    links = check(_stars(inside))
+    tried = materialize(_stars(inside), "pairs")
+    links = check(tried)
     inside = _inside(_contract(inside.select("key", "id", "comp", "n", *SKETCH), links), 1)
-    more, large = _compare(_small(inside)), _large(inside)
-    for level in range(2, LEVELS + 1):
-        if large.isEmpty():
+    late = None
+    for level in range(1, LEVELS + 1):
+        large = _large(inside)
+        last = level == LEVELS or large.isEmpty()
+        pairs = _compare(inside) if last else _compare(_small(inside)).unionByName(_stars(large))
+        late = pairs if late is None else late.unionByName(pairs)
+        if last or level < CONTRACTED:
+            fresh = materialize(late.distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
+            links, tried, late = links.unionByName(check(fresh)), tried.unionByName(fresh), None
+        if last:
             break
-        inside = _inside(_branch(large, level), level)
-        more, large = more.unionByName(_compare(_small(inside))), _large(inside)
-    else:
-        more = more.unionByName(_compare(large))
-    late = check(more.distinct())
-    return sigs, classes, links.unionByName(late).distinct()
+        if level < CONTRACTED:
+            large = _contract(large, links)
+        inside = _inside(_branch(large, level + 1), level + 1)
+    return sigs, classes, links.distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
