@@ -27,6 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pushlake.llm._util import materialize
 from pushlake.llm.quality_rules import words_of
 
 START, END = "<|im_start|>", "<|im_end|>\n"
@@ -71,7 +72,8 @@ def format_windows(conversations: DataFrame, budget: int = 1024, history: int =
         F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     ).withColumns({"tokens": (F.size(words_of(F.col("text"))) + TURN_OVERHEAD).cast("long"), "chunk": F.coalesce(F.floor(F.col("turn") / CHUNK_TURNS), F.lit(-(1 << 62)))})
-    placed = _placed(turns)
+    # written once: what follows reads it four times, mostly without the texts
+    placed = materialize(_placed(turns), "turns")
     system = (
         placed.filter(F.col("role") == SYSTEM_ROLE)
         .groupBy(F.col("conv_id").alias("s_conv"))
@@ -88,15 +90,18 @@ def format_windows(conversations: DataFrame, budget: int = 1024, history: int =
     # the turns of the last ``history`` tokens before a window's first: its start
     # falls in a turn's own bucket of the token axis or in the next one
     bucket = F.floor(F.col("at") / history)
-    near = placed.withColumn("bucket", F.explode(F.array(bucket, bucket + 1)))
+    near = placed.select("conv_id", "idx", "at", "sys_idx", F.explode(F.array(bucket, bucket + 1)).alias("bucket"))
     starts = windows.withColumn("w_bucket", F.floor(F.col("w_at") / history))
-    repeated = near.join(starts, F.col("conv_id").eqNullSafe(F.col("w_conv")) & (F.col("bucket") == F.col("w_bucket"))).filter(
+    again = near.join(starts, F.col("conv_id").eqNullSafe(F.col("w_conv")) & (F.col("bucket") == F.col("w_bucket"))).filter(
         (F.col("at") < F.col("w_at")) & (F.col("w_at") - F.col("at") <= history) & ~F.col("idx").eqNullSafe(F.col("sys_idx"))
     )
+    # found without the texts, which join what is repeated
+    again = again.select(F.col("conv_id").alias("r_conv"), F.col("idx").alias("r_idx"), F.col("w").alias("r_w"))
+    repeated = placed.join(again, F.col("conv_id").eqNullSafe(F.col("r_conv")) & (F.col("idx") == F.col("r_idx")))
     head = windows.join(system, F.col("w_conv").eqNullSafe(F.col("s_conv"))).filter(F.col("sys.idx") < F.col("w_idx"))
     rows = (
         placed.select("conv_id", "window", row(True))
-        .unionByName(repeated.select("conv_id", F.col("w").alias("window"), row(False)))
+        .unionByName(repeated.select("conv_id", F.col("r_w").alias("window"), row(False)))
         .unionByName(head.select(F.col("w_conv").alias("conv_id"), F.col("w").alias("window"), F.struct("sys.idx", F.lit(False).alias("new"), "sys.role", "sys.text", "sys.tokens").alias("row")))
     )
     # bounded by the token budget (one oversized turn apart)
