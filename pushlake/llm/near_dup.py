@@ -17,8 +17,11 @@ A pair of similarity 0.75 meets in a small root child with probability 0.75 a tr
 where nodes are large, its branching process survives with probability 0.89. Over
 ``TREES`` trees the recall is 0.99998 or more. Candidate pairs pass a sketch test
 (128 four-bit minwise values, at least ``SKETCH_MATCHES`` equal: a pair at the
-threshold fails with probability 5e-5) and a size test, and every link is confirmed
-on the full shingle sets.
+threshold fails with probability 5e-5), a size test and a parity test, and every link
+is confirmed on the full shingle sets. The parity test loses nothing: each set has
+``PARITY_BITS`` bits, each the parity of the shingles hashed to it, so two sets differ
+in at least as many shingles as bits, and linked sets in a seventh of their sizes at
+most. It turns away the many pairs of a large group that are just under the threshold.
 
 Cost is bounded by rows x TREES at the first level; no group is collected in one
 task; nodes are grouped with map-side combine and joined by key (splittable).
@@ -53,6 +56,10 @@ CONTRACTED = 3
 ID_OVERHEAD = 56
 SKETCH_MATCHES = 80
 SKETCH = [f"k{i}" for i in range(COORDINATES // 16)]
+PARITY_BITS = 512
+PARITY = [f"x{i}" for i in range(PARITY_BITS // 64)]
+#: Columns of a set that node rows carry besides its size.
+CARRIED = [*SKETCH, *PARITY]
 
 _rng = np.random.default_rng(7251)
 _A = _rng.integers(1, 1 << 63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -84,9 +91,15 @@ def _sketch(mins: np.ndarray) -> list[np.ndarray]:
     return [np.bitwise_or.reduce(low[:, 16 * w : 16 * w + 16] << shifts, axis=1).view(np.int64) for w in range(len(SKETCH))]
 
 
+def _parities(s: np.ndarray) -> np.ndarray:
+    """64-bit words of the parities of a shingle set."""
+    odd = np.bincount((s % np.uint64(PARITY_BITS)).astype(np.int64), minlength=PARITY_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n, v1, v2, k0-k7, mins): size and 128-bit hash of the shingle set, sketch
-    and the minwise values of the roots. No shuffle; one pass over the texts."""
+    """(id, n, v1, v2, k0-k7, x0-x7, mins): size and 128-bit hash of the shingle set,
+    sketch, parities and the minwise values of the roots. No shuffle; one pass over the texts."""
 
     def run(batches):
         claim()
@@ -99,15 +112,16 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                 mins[full] = _minwise([sets[i] for i in full])
             digest = [(int(np.bitwise_xor.reduce(s * _A[0] ^ (s >> np.uint64(7)))), int(np.add.reduce((s ^ _B[1]) * _A[2] ^ (s >> np.uint64(11))))) if len(s) else (0, 0) for s in sets]
             v = np.array(digest, np.uint64).view(np.int64)
+            odd = np.array([_parities(s) for s in sets])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n), pa.array(v[:, 0]), pa.array(v[:, 1]), *map(pa.array, _sketch(mins))]
+                [batch.column(0), pa.array(n), pa.array(v[:, 0]), pa.array(v[:, 1]), *map(pa.array, _sketch(mins)), *[pa.array(odd[:, w]) for w in range(len(PARITY))]]
                 + [pa.FixedSizeListArray.from_arrays(pa.array(mins[:, :TREES].ravel().view(np.int32)), TREES).cast(pa.list_(pa.int32()))],
-                names=["id", "n", "v1", "v2", *SKETCH, "mins"],
+                names=["id", "n", "v1", "v2", *CARRIED, "mins"],
             )
 
     kind = dict(docs.dtypes)[id_col]
     return docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text")).mapInArrow(
-        run, f"id {kind}, n long, v1 long, v2 long, {', '.join(k + ' long' for k in SKETCH)}, mins array<int>"
+        run, f"id {kind}, n long, v1 long, v2 long, {', '.join(k + ' long' for k in CARRIED)}, mins array<int>"
     )
 
 
@@ -125,7 +139,7 @@ def shingle_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def _plausible(a: str, b: str) -> Column:
-    """Size and sketch test of two rows given by their column prefixes."""
+    """Size, sketch and parity test of two rows given by their column prefixes."""
     n1, n2 = F.col(f"{a}n"), F.col(f"{b}n")
     differ = F.lit(0)
     for k in SKETCH:
@@ -133,7 +147,9 @@ def _plausible(a: str, b: str) -> Column:
         x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
         x = x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(0x1111111111111111))
         differ = differ + F.bit_count(x)
-    return (100 * F.least(n1, n2) >= PERCENT * F.greatest(n1, n2)) & (differ <= COORDINATES - SKETCH_MATCHES)
+    odd = sum((F.bit_count(F.col(f"{a}{x}").bitwiseXOR(F.col(f"{b}{x}"))) for x in PARITY), F.lit(0))
+    apart = (100 + PERCENT) * odd <= (100 - PERCENT) * (n1 + n2)
+    return (100 * F.least(n1, n2) >= PERCENT * F.greatest(n1, n2)) & (differ <= COORDINATES - SKETCH_MATCHES) & apart
 
 
 def _pairs(a: str, b: str) -> list[Column]:
@@ -146,7 +162,7 @@ def _roots(classes: DataFrame) -> DataFrame:
     base = classes.select("id", F.posexplode("mins").alias("tree", "token"))
     base = base.select(F.xxhash64("tree", "token").alias("key"), "id")
     shared = base.groupBy("key").agg(F.min("id").alias("i0"), F.max("id").alias("i1")).filter("i0 <> i1").select("key")
-    return base.join(shared, "key").join(classes.select("id", "n", *SKETCH), "id").select("key", "id", F.col("id").alias("comp"), "n", *SKETCH)
+    return base.join(shared, "key").join(classes.select("id", "n", *CARRIED), "id").select("key", "id", F.col("id").alias("comp"), "n", *CARRIED)
 
 
 def _inside(rows: DataFrame, level: int) -> DataFrame:
@@ -154,9 +170,9 @@ def _inside(rows: DataFrame, level: int) -> DataFrame:
     largest component ``top`` and the number ``outside`` of its classes outside that.
     ``rows``: (key, id, comp, n, sketch)."""
     order = F.xxhash64("id", F.pmod("key", F.lit(PIVOTS)), F.lit(level))
-    parts = rows.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("k"), F.min(F.struct(order.alias("o"), "id", "comp", "n", *SKETCH)).alias("p"))
+    parts = rows.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("k"), F.min(F.struct(order.alias("o"), "id", "comp", "n", *CARRIED)).alias("p"))
     nodes = parts.groupBy("key").agg(F.sum("k").alias("m"), F.max(F.struct("k", "comp")).alias("t"), F.min("p").alias("p")).filter("m > t.k")
-    nodes = nodes.select("key", (F.col("m") - F.col("t.k")).alias("outside"), F.col("t.comp").alias("top"), *[F.col(f"p.{c}").alias(f"p_{c}") for c in ["id", "comp", "n", *SKETCH]])
+    nodes = nodes.select("key", (F.col("m") - F.col("t.k")).alias("outside"), F.col("t.comp").alias("top"), *[F.col(f"p.{c}").alias(f"p_{c}") for c in ["id", "comp", "n", *CARRIED]])
     return materialize(rows.join(nodes, "key"), f"nodes{level}")
 
 
@@ -176,8 +192,8 @@ def _large(inside: DataFrame) -> DataFrame:
 def _compare(inside: DataFrame) -> DataFrame:
     """Pairs of different components inside nodes: every class against the classes
     outside its node's largest component."""
-    rows = inside.select("key", "top", "id", "comp", "n", *SKETCH)
-    other = rows.filter(F.col("comp") != F.col("top")).select("key", *[F.col(c).alias(f"o_{c}") for c in ["id", "comp", "n", *SKETCH]])
+    rows = inside.select("key", "top", "id", "comp", "n", *CARRIED)
+    other = rows.filter(F.col("comp") != F.col("top")).select("key", *[F.col(c).alias(f"o_{c}") for c in ["id", "comp", "n", *CARRIED]])
     once = (F.col("comp") == F.col("top")) | (F.col("id") < F.col("o_id"))
     both = rows.join(other, "key").filter(once & (F.col("comp") != F.col("o_comp")) & _plausible("", "o_"))
     return both.select(*_pairs("id", "o_id")).distinct()
@@ -185,7 +201,7 @@ def _compare(inside: DataFrame) -> DataFrame:
 
 def _contract(rows: DataFrame, links: DataFrame) -> DataFrame:
     found = materialize(connected_components(links), "contracted").select("id", F.col("component").alias("c"))
-    return rows.drop("comp").join(found, "id", "left").select("key", "id", F.coalesce("c", "id").alias("comp"), "n", *SKETCH)
+    return rows.drop("comp").join(found, "id", "left").select("key", "id", F.coalesce("c", "id").alias("comp"), "n", *CARRIED)
 
 
 def _branch(rows: DataFrame, level: int) -> DataFrame:
@@ -195,7 +211,7 @@ def _branch(rows: DataFrame, level: int) -> DataFrame:
     rows = rows.withColumn("at", (F.pmod(F.xxhash64("key", "j", F.lit(level)), F.lit(COORDINATES - TREES)) + TREES).cast("int"))
     word = F.element_at(F.array(*SKETCH), (F.floor(F.col("at") / 16) + 1).cast("int"))
     value = F.call_function("shiftrightunsigned", word, 4 * (F.col("at") % 16)).bitwiseAND(F.lit(15))
-    return rows.select(F.xxhash64("key", "at", value).alias("key"), "id", "comp", "n", *SKETCH)
+    return rows.select(F.xxhash64("key", "at", value).alias("key"), "id", "comp", "n", *CARRIED)
 
 
 def confirm(docs: DataFrame, pairs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -218,14 +234,14 @@ def links_and_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     component that its other links already connect need not be listed."""
     sigs = materialize(signatures(docs, id_col, text_col), "signatures")
     classes = sigs.filter("n > 0 and id is not null").groupBy("v1", "v2").agg(
-        F.min("id").alias("id"), F.count(F.lit(1)).alias("size"), *[F.first(c).alias(c) for c in ["n", *SKETCH, "mins"]]
+        F.min("id").alias("id"), F.count(F.lit(1)).alias("size"), *[F.first(c).alias(c) for c in ["n", *CARRIED, "mins"]]
     )
     classes = materialize(classes, "classes")
     check = lambda pairs: materialize(confirm(docs, pairs, id_col, text_col), "links")
     inside = _inside(_roots(classes), 0)
     tried = materialize(_stars(inside), "pairs")
     links = check(tried)
-    inside = _inside(_contract(inside.select("key", "id", "comp", "n", *SKETCH), links), 1)
+    inside = _inside(_contract(inside.select("key", "id", "comp", "n", *CARRIED), links), 1)
     late = None
     for level in range(1, LEVELS + 1):
         large = _large(inside)
