@@ -6,7 +6,7 @@ import os
 import uuid
 from typing import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from pushlake.session import scratch_path
@@ -41,6 +41,13 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def measured(df: DataFrame, name: str, **metrics: Column) -> tuple[DataFrame, dict]:
+    """``materialize`` and aggregates of the rows, taken while they are written."""
+    seen = Observation()
+    out = materialize(df.observe(seen, *[c.alias(k) for k, c in metrics.items()]), name)
+    return out, seen.get
+
+
 def crc_remainder(column: str, modulus: int) -> Column:
     """crc32 of an id's decimal text, modulo ``modulus`` (null id: null)."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % modulus

@@ -8,27 +8,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pushlake.llm._util import materialize
+from pushlake.llm._util import measured
 
 
-def _state(edges: DataFrame):
-    return edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
+def _write(edges: DataFrame) -> tuple[DataFrame, dict]:
+    """The written edges, their number and a digest of them all."""
+    return measured(edges, "cc", n=F.count(F.lit(1)), digest=F.bit_xor(F.xxhash64("u", "v")))
 
 
 def connected_components(links: DataFrame) -> DataFrame:
     """``links`` (a, b) -> (id, component): the smallest id reachable, for every id
     in a link. No links: no rows."""
     edges = links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    edges = materialize(edges, "cc")
-    state = _state(edges)
-    while state[0]:
+    edges, state = _write(edges)
+    while state["n"]:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = materialize(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "cc")
-        before, state = state, _state(edges)
+        before = state
+        edges, state = _write(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
         if state == before:
             break
     found = edges.select(F.col("u").alias("id"), F.col("v").alias("component"))

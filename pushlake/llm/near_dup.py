@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pushlake.llm._util import MAX_BROADCAST_BYTES, materialize, slices
+from pushlake.llm._util import MAX_BROADCAST_BYTES, materialize, measured, slices
 from pushlake.llm._words import claim, hashes, shingles, words
 from pushlake.llm.components import connected_components
 
@@ -165,15 +165,16 @@ def _roots(classes: DataFrame) -> DataFrame:
     return base.join(shared, "key").join(classes.select("id", "n", *CARRIED), "id").select("key", "id", F.col("id").alias("comp"), "n", *CARRIED)
 
 
-def _inside(rows: DataFrame, level: int) -> DataFrame:
+def _inside(rows: DataFrame, level: int) -> tuple[DataFrame, bool]:
     """Rows of the nodes that hold several components, with their node's pivot, its
-    largest component ``top`` and the number ``outside`` of its classes outside that.
-    ``rows``: (key, id, comp, n, sketch)."""
+    largest component ``top`` and the number ``outside`` of its classes outside that;
+    and whether any node is large. ``rows``: (key, id, comp, n, sketch)."""
     order = F.xxhash64("id", F.pmod("key", F.lit(PIVOTS)), F.lit(level))
     parts = rows.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("k"), F.min(F.struct(order.alias("o"), "id", "comp", "n", *CARRIED)).alias("p"))
     nodes = parts.groupBy("key").agg(F.sum("k").alias("m"), F.max(F.struct("k", "comp")).alias("t"), F.min("p").alias("p")).filter("m > t.k")
     nodes = nodes.select("key", (F.col("m") - F.col("t.k")).alias("outside"), F.col("t.comp").alias("top"), *[F.col(f"p.{c}").alias(f"p_{c}") for c in ["id", "comp", "n", *CARRIED]])
-    return materialize(rows.join(nodes, "key"), f"nodes{level}")
+    inside, seen = measured(rows.join(nodes, "key"), f"nodes{level}", most=F.max("outside"))
+    return inside, (seen["most"] or 0) > LEAF
 
 
 def _stars(inside: DataFrame) -> DataFrame:
@@ -216,9 +217,10 @@ def _branch(rows: DataFrame, level: int) -> DataFrame:
 
 def confirm(docs: DataFrame, pairs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The pairs (a, b) whose full shingle sets reach the threshold."""
-    ids = materialize(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct(), "ids")
+    ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
+    ids, size = measured(ids, "ids", bytes=F.coalesce(F.sum(F.length(F.col("id").cast("string")) + ID_OVERHEAD), F.lit(0)))
     # ids of a checked size go to the texts; beyond that the texts are shuffled once
-    few = ids.agg(F.coalesce(F.sum(F.length(F.col("id").cast("string")) + ID_OVERHEAD), F.lit(0))).first()[0] <= MAX_BROADCAST_BYTES
+    few = size["bytes"] <= MAX_BROADCAST_BYTES
     wanted = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).join(F.broadcast(ids) if few else ids, "id", "left_semi")
     sets = materialize(shingle_sets(wanted, "id", "text"), "sets")
     left = pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("sa")), "a")
@@ -238,14 +240,14 @@ def links_and_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     )
     classes = materialize(classes, "classes")
     check = lambda pairs: materialize(confirm(docs, pairs, id_col, text_col), "links")
-    inside = _inside(_roots(classes), 0)
+    inside, _ = _inside(_roots(classes), 0)
     tried = materialize(_stars(inside), "pairs")
     links = check(tried)
-    inside = _inside(_contract(inside.select("key", "id", "comp", "n", *CARRIED), links), 1)
+    inside, grows = _inside(_contract(inside.select("key", "id", "comp", "n", *CARRIED), links), 1)
     late = None
     for level in range(1, LEVELS + 1):
         large = _large(inside)
-        last = level == LEVELS or large.isEmpty()
+        last = level == LEVELS or not grows
         pairs = _compare(inside) if last else _compare(_small(inside)).unionByName(_stars(large))
         late = pairs if late is None else late.unionByName(pairs)
         if last or level < CONTRACTED:
@@ -255,7 +257,7 @@ def links_and_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
             break
         if level < CONTRACTED:
             large = _contract(large, links)
-        inside = _inside(_branch(large, level + 1), level + 1)
+        inside, grows = _inside(_branch(large, level + 1), level + 1)
     return sigs, classes, links.distinct()
 
 
