@@ -349,16 +349,29 @@ def digest(spans: DataFrame, id_col: str = "doc_id") -> DataFrame:
     )
 
 
+def _reached(ends: Column) -> Column:
+    """The furthest of the ends before each (0 before the first), by blocks as in
+    ``_find``: a running maximum over blocks, then one inside each."""
+    grow = lambda ms: lambda at: F.aggregate(
+        ms,
+        F.struct(at.alias("at"), F.array().cast("array<int>").alias("out")),
+        lambda a, m: F.struct(F.greatest(a["at"], m).alias("at"), F.concat(a["out"], F.array(a["at"])).alias("out")),
+        lambda a: a["out"],
+    )
+    starts = F.transform(F.sequence(F.lit(0), F.floor((F.size(ends) - 1) / BLOCK).cast("int")), lambda b: b * BLOCK + 1)
+    cut = let(ends, lambda es: F.transform(starts, lambda b: F.slice(es, b, BLOCK)))
+    return let(cut, lambda bs: F.flatten(F.zip_with(bs, grow(F.transform(bs, F.array_max))(F.lit(0)), lambda block, at: grow(block)(at))))
+
+
 def mask(text: Column, spans: Column) -> Column:
     """``text`` with every span replaced by ``[KIND]``; overlapping spans merge into
-    the first of them. Built from pieces, in one pass over sorted spans."""
+    the first of them. Built from pieces, in one pass over sorted spans; a piece starts
+    at the furthest end so far, so that a span nested in another reopens nothing."""
     order = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
-    parts = lambda ss: F.transform(
-        ss,
-        lambda s, i: F.concat(
-            let(F.when(i == 0, F.lit(0)).otherwise(F.get(ss, i - 1)["end"]), lambda at: F.when(s["start"] > at, F.substring(text, at + 1, s["start"] - at)).otherwise(F.lit(""))),
-            F.when((i > 0) & (s["start"] < F.get(ss, i - 1)["end"]), F.lit("")).otherwise(F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))),
-        ),
+    piece = lambda s, at: F.concat(
+        F.when(s["start"] > at, F.substring(text, at + 1, s["start"] - at)).otherwise(F.lit("")),
+        F.when(s["start"] < at, F.lit("")).otherwise(F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))),
     )
+    parts = lambda ss: F.zip_with(ss, _reached(F.transform(ss, lambda s: s["end"])), piece)
     tail = lambda ss: F.substring(text, F.array_max(F.transform(ss, lambda s: s["end"])) + 1, F.length(text))
     return F.when(F.size(spans) == 0, text).otherwise(let(order, lambda ss: F.concat(F.array_join(parts(ss), ""), tail(ss))))

@@ -351,6 +351,16 @@ def test_pii_redaction(spark, edge):
     assert pii.redact(edge).columns == edge.columns
 
 
+def test_pii_redaction_of_nested_spans(spark):
+    """A span inside a longer one, followed by another, reopens no masked text."""
+    many = " ".join(f"x{i}+12025550147.s@ex.com" for i in range(600))
+    rows = [(1, "mail a+12025550147.smith@ex.com or 10.0.0.1"), (2, "mail a10.0.0.1.smith@ex.com or 10.0.0.1 or +12025550147 end"), (3, many)]
+    got = by_id(pii.redact(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert got[1].text == "mail [EMAIL] or [IP]"
+    assert got[2].text == "mail [EMAIL] or [IP] or [PHONE] end"
+    assert got[3].text == " ".join(["[EMAIL]"] * 600)
+
+
 def test_em_finds_the_reliable_labelers():
     patterns = [("name", (1, 1, 1, 0), 80), ("name", (-1, -1, -1, 0), 80), ("name", (1, 1, 1, 1), 20), ("name", (-1, -1, -1, 1), 20)]
     post, reliability = pii._em(patterns)
