@@ -1,4 +1,4 @@
-"""Operator 5: an interpolated modified Kneser-Ney bigram model, counted in Spark,
+"""Operator 5: an interpolated modified Kneser-Ney model of order 2 or 3, counted in Spark,
 kept as sorted hash arrays and memory-mapped by the workers that score.
 
 1. Words (64-bit hashes) are counted with map-side combine; each hash range becomes
@@ -9,12 +9,15 @@ kept as sorted hash arrays and memory-mapped by the workers that score.
    tokens is spread over shards by its second word, and its totals are added up.
 3. Contexts get their total and the number of followers seen once, twice and more;
    second words get their number of distinct contexts (the unigram level).
+   Order 3 counts trigrams in one such pass instead, with compact arrays: bigrams then
+   count their distinct words before (those at the start of a text their occurrences).
 4. Scoring maps the arrays and looks up the sorted distinct keys of a block of texts.
 
+P(w|uv) = max(c(uvw) - D(c), 0) / c(uv.) + g(uv) P(w|v) in order 3;
 P(w|v) = max(c(vw) - D(c), 0) / c(v.) + g(v) P(w); P(w) is the same over numbers of
 distinct contexts, interpolated with 1 / (V + 1). Discounts follow from the counts of
 counts of each level. The driver holds shard names, counts of counts and the totals
-of at most one heavy context per shard; the model grows with the corpus in the
+of at most one heavy context and two hot bigrams per shard; the model grows with the corpus in the
 shared folder only.
 
 Edge cases: null and empty texts are one end token; a null id is trained on and not
@@ -35,7 +38,7 @@ from pyspark.sql import functions as F
 
 from pushlake.llm._util import crc_remainder, materialize, slices
 from pushlake.llm._words import END_HASH, claim, hashes, words
-from pushlake.llm.arrays import Shard, SortedArrays, write_array
+from pushlake.llm.arrays import Shard, SortedArrays, SplitArrays, write_array, write_compact, write_split
 from pushlake.session import scratch_path
 
 HELD_OUT_MODULUS, HELD_OUT_REMAINDER = 7, 2
@@ -56,6 +59,11 @@ class Model:
     tokens: int = 0
     types: int = 0
     bigram_types: int = 0
+    order: int = 2
+    pasts: SplitArrays | None = None  # order 3: totals of (word, word before it)
+    hot: np.ndarray | None = None  # order 3: bigrams spread over shards, sorted
+    hot_counts: np.ndarray | None = None  # their numbers of distinct words before
+    hot_trigrams: SplitArrays | None = None  # (number of the hot bigram, word before)
     discounts: dict = field(default_factory=dict)  # level -> (D1, D2, D3)
     uniform: float = 1.0  # weight of 1 / (V + 1) at the unigram level
 
@@ -108,11 +116,12 @@ def _merge(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return keys[first], np.add.reduceat(counts, first)
 
 
-def _shards(rows: list, columns: list[tuple[str, str]]) -> SortedArrays:
-    """Shard table from rows (first, last, count, files) in key order."""
+def _shards(rows: list, columns: list[tuple[str, str]], named: bool = False) -> SortedArrays:
+    """Shard table from rows (first, last, count, files) in key order; the names of
+    compact files (``named``) begin with their columns."""
     out, base = [], 0
     for r in sorted((r for r in rows if r["count"]), key=lambda r: int(r["first"])):
-        files = tuple((n, k, u) for (n, k), u in zip(columns, r["files"]))
+        files = tuple((u.rpartition("/")[2].partition(".")[0], "", u) for u in r["files"]) if named else tuple((n, k, u) for (n, k), u in zip(columns, r["files"]))
         out.append(Shard(base, r["count"], int(r["first"]), int(r["last"]), files))
         base += r["count"]
     return SortedArrays(out)
@@ -243,8 +252,212 @@ def _discounts(n: list[int]) -> tuple[float, float, float]:
     return tuple(min(max(d, 0.05), k + 0.95) for k, d in enumerate(raw))
 
 
-def train(docs: DataFrame, text_col: str = "text") -> tuple[Model, dict]:
-    """Model of all rows of ``docs``, and the totals of its heavy contexts."""
+def _hot_pairs(texts: DataFrame, model: Model, n_shards: int, heavy: np.ndarray) -> np.ndarray:
+    """Bigrams of heavy words with about a shard's share of the tokens, from a sample:
+    fewer than 2 * ``n_shards`` of them. They only decide which shards count what."""
+    heavy = heavy[heavy < model.types]
+    if not len(heavy):
+        return np.empty(0, np.uint64)
+    vocab = model.vocab
+    share = min(1.0, max(0.01, 1e6 / model.tokens))
+
+    def count(batches):
+        claim()
+        for batch in slices(batches, SLICE_ROWS):
+            for _, flat, lengths in _blocks(batch.column(0).to_pylist()):
+                distinct, back = np.unique(flat, return_inverse=True)
+                ids = vocab.find(distinct, ["position"])["position"][back].astype(np.uint64)
+                before = _previous(ids, lengths, model.types)
+                pairs = (before << SHIFT | ids)[np.isin(ids, heavy) & np.isin(before, heavy)]
+                keys, counts = np.unique(pairs, return_counts=True)
+                total = np.array([len(ids)])
+                columns = [np.append(keys >> SHIFT, 0), np.append(keys & LOW, 0), np.append(counts, total), np.append(np.ones(len(keys), bool), False)]
+                yield pa.RecordBatch.from_arrays([pa.array(columns[0].astype(np.int64)), pa.array(columns[1].astype(np.int64)), pa.array(columns[2].astype(np.int64)), pa.array(columns[3].astype(bool))], names=["v", "w", "n", "pair"])
+
+    found = texts.sample(share, 1).mapInArrow(count, "v long, w long, n long, pair boolean").groupBy("pair", "v", "w").agg(F.sum("n").alias("n"))
+    rows = found.orderBy("pair", F.desc("n")).limit(2 * n_shards + 1).collect()  # the total, then the largest
+    total = sum(r["n"] for r in rows if not r["pair"])
+    return np.array(sorted(r["v"] << 32 | r["w"] for r in rows if r["pair"] and r["n"] * 2 * n_shards > total), np.uint64)
+
+
+def _sums(keys: np.ndarray, columns: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Columns summed by key, in key order."""
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.empty(0, np.int64)
+    return keys[first], [np.add.reduceat(x[order], first) if len(keys) else x for x in columns]
+
+
+def _marks(counts: np.ndarray) -> list[np.ndarray]:
+    return [counts, (counts == 1).astype(np.int64), (counts == 2).astype(np.int64), (counts >= 3).astype(np.int64)]
+
+
+def _tally(counts: np.ndarray) -> list[int]:
+    return [int((counts == k).sum()) for k in (1, 2, 3, 4)]
+
+
+def _split_shards(rows: list) -> SplitArrays:
+    return SplitArrays(_shards([r for r in rows if r["count"]], [], named=True).shards)
+
+
+def _write_pasts(folder: str, keys: np.ndarray, totals: list[np.ndarray]) -> list[str]:
+    """Contexts of two words; equal rows of (total, n1, n2, n3) are kept once."""
+    code = np.zeros(len(keys), np.uint64)
+    for x in totals:
+        code = np.unique(code << SHIFT | x.astype(np.uint64), return_inverse=True)[1].astype(np.uint64)
+    rows = np.unique(code, return_index=True)[1]
+    names = ("total", "n1", "n2", "n3")
+    return write_split(folder, keys, code=code) + [write_compact(folder, n, x[rows]) for n, x in zip(names, totals)]
+
+
+def _count_trigrams(texts: DataFrame, folder: str, model: Model, n_shards: int):
+    """All levels of order 3 from one pass. A trigram (u, v, w) is counted where the
+    bigram (v, w) lies, which gives the bigram's distinct words before it and, as all
+    of v lies there, the totals of the context (u, v). Heavy v are spread by w, hot
+    (v, w) by u; their partial totals are added up."""
+    vocab, start = model.vocab, model.types
+    span = np.uint64(start + 1)
+    heavy = _heavy(vocab, model.tokens, n_shards, start)
+    hot = _hot_pairs(texts, model, n_shards, heavy)
+    shard_of = lambda ids: ids * np.uint64(n_shards) // span
+
+    def count(batches):
+        claim()
+        for batch in slices(batches, SLICE_ROWS):
+            for _, flat, lengths in _blocks(batch.column(0).to_pylist()):
+                distinct, back = np.unique(flat, return_inverse=True)
+                ids = vocab.find(distinct, ["position"])["position"][back].astype(np.uint64)
+                before = _previous(ids, lengths, start)
+                pairs, which = np.unique(before << SHIFT | ids, return_inverse=True)
+                keys, counts = np.unique(which.astype(np.uint64) << SHIFT | _previous(before, lengths, start), return_counts=True)
+                place = shard_of(np.where(np.isin(pairs >> SHIFT, heavy), pairs & LOW, pairs >> SHIFT))
+                pair = (keys >> SHIFT).astype(np.int64)
+                shard = np.where(np.isin(pairs, hot)[pair], shard_of(keys & LOW), place[pair])
+                order = np.argsort(shard, kind="stable")
+                keys, counts, shard = keys[order], counts[order], shard[order]
+                cut = np.searchsorted(shard, np.arange(n_shards + 1, dtype=np.uint64))
+                used = [s for s in range(n_shards) if cut[s] < cut[s + 1]]
+                blobs = []
+                for s in used:
+                    mine, inverse = np.unique(keys[cut[s] : cut[s + 1]] >> SHIFT, return_inverse=True)
+                    head = _pack(pairs[mine.astype(np.int64)], np.zeros(len(mine)))
+                    tail = _pack(inverse.astype(np.uint64) << SHIFT | keys[cut[s] : cut[s + 1]] & LOW, counts[cut[s] : cut[s + 1]])
+                    blobs.append(len(head).to_bytes(8, "little") + head + tail)
+                yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(blobs, pa.binary())], names=["shard", "blob"])
+
+    schema = pa.schema([("kind", pa.string()), ("shard", pa.int32()), ("blob", pa.binary()), ("files", pa.list_(pa.string())), ("first", pa.string()), ("last", pa.string()), ("count", pa.int64()), ("numbers", pa.list_(pa.int64()))])
+
+    def build(t: pa.Table) -> pa.Table:
+        parts = []
+        for blob in t.column("blob").to_pylist():
+            n = 8 + int.from_bytes(blob[:8], "little")
+            parts.append((_unpack(blob[8:n])[0], *_unpack(blob[n:])))
+        keys = np.unique(np.concatenate([p for p, _, _ in parts]))
+        trigrams = np.concatenate([np.searchsorted(keys, p)[(k >> SHIFT).astype(np.int64)].astype(np.uint64) << SHIFT | k & LOW for p, k, _ in parts])
+        trigrams, (times,) = _sums(trigrams, [np.concatenate([c for _, _, c in parts]).astype(np.int64)])
+        del parts
+        local, past = (trigrams >> SHIFT).astype(np.int64), trigrams & LOW
+        first = keys >> SHIFT
+        inner = first[local] != start
+        rows = [{"kind": "trigrams", "numbers": _tally(times[inner])}]
+        # contexts of two words: whole here for light v, partial for heavy v
+        contexts, totals = _sums((first[local] << SHIFT | past)[inner], _marks(times[inner]))
+        shared = np.isin(contexts >> SHIFT, heavy)
+        light = [x[~shared] for x in totals]
+        rows.append(_meta(contexts[~shared], _write_pasts(folder, contexts[~shared], light)) | {"kind": "pasts"})
+        target = shard_of(contexts & LOW)
+        for s in np.unique(target[shared]):
+            mine = shared & (target == s)
+            packed = [_pack(contexts[mine], x[mine]) for x in totals]
+            rows.append({"kind": "shared", "shard": int(s), "blob": b"".join(len(b).to_bytes(8, "little") + b for b in packed)})
+        # hot bigrams: the words before them that fall to this shard
+        is_hot = np.isin(keys, hot)
+        for k in np.flatnonzero(is_hot):
+            rank, mine = int(np.searchsorted(hot, keys[k])), local == k
+            own = np.uint64(rank) << SHIFT | past[mine]
+            rows.append(_meta(own, write_split(folder, own, count=times[mine])) | {"kind": "hot", "numbers": [rank, int(mine.sum())]})
+        number = np.bincount(local, minlength=len(keys))
+        counts = np.where(first == start, np.bincount(local, times, len(keys)).astype(np.int64), number)
+        spread = np.isin(first, heavy) & ~is_hot
+        for part in [~spread & ~is_hot, *[spread & (first == c) for c in np.unique(first[spread])]]:
+            mine = part[local]
+            files = write_split(folder, keys[part], count=counts[part], members=np.append(0, np.cumsum(number[part])))
+            files += [write_compact(folder, "member", past[mine]), write_compact(folder, "times", times[mine])]
+            rows.append(_meta(keys[part], files) | {"kind": "bigrams", "numbers": _tally(counts[part])})
+        keys, counts = keys[~is_hot], counts[~is_hot]
+        owners, totals = _sums(keys >> SHIFT, _marks(counts))
+        whole = ~np.isin(owners, heavy)
+        rows.append(_meta(owners[whole], [write_array(folder, "contexts", owners[whole]), *[write_array(folder, "totals", x[whole]) for x in totals]]) | {"kind": "contexts"})
+        rows += [{"kind": "heavy", "numbers": [int(owners[i]), *[int(x[i]) for x in totals]]} for i in np.flatnonzero(~whole)]
+        seconds, n = np.unique(keys & LOW, return_counts=True)
+        rows += _heads(seconds, n)
+        return pa.Table.from_pylist(rows, schema)
+
+    def _heads(seconds: np.ndarray, n: np.ndarray) -> list[dict]:
+        cut = np.searchsorted(shard_of(seconds), np.arange(n_shards + 1, dtype=np.uint64))
+        return [{"kind": "heads", "shard": s, "blob": _pack(seconds[cut[s] : cut[s + 1]], n[cut[s] : cut[s + 1]])} for s in range(n_shards) if cut[s] < cut[s + 1]]
+
+    def build_second(t: pa.Table) -> pa.Table:
+        blobs, kind = t.column("blob").to_pylist(), t.column("kind")[0].as_py()
+        if kind == "heads":
+            keys, counts = _merge(blobs)
+            row = _meta(keys, [write_array(folder, "heads", keys), write_array(folder, "counts", counts)])
+            return pa.Table.from_pylist([row | {"kind": kind, "numbers": _tally(counts) + [int((counts >= 3).sum())]}], schema)
+        columns: list[list] = [[], [], [], [], []]
+        for blob in blobs:
+            at = 0
+            for k in range(4):
+                n = at + 8 + int.from_bytes(blob[at : at + 8], "little")
+                keys, values = _unpack(blob[at + 8 : n])
+                columns[k + 1].append(values.astype(np.int64))
+                at = n
+            columns[0].append(keys)
+        keys, totals = _sums(np.concatenate(columns[0]), [np.concatenate(c) for c in columns[1:]])
+        rows = []
+        for c in np.unique(keys >> SHIFT):
+            part = keys >> SHIFT == c
+            rows.append(_meta(keys[part], _write_pasts(folder, keys[part], [x[part] for x in totals])) | {"kind": "pasts"})
+        return pa.Table.from_pylist(rows, schema)
+
+    kinds = "kind string, shard int, blob binary, files array<string>, first string, last string, count long, numbers array<long>"
+    built = materialize(texts.mapInArrow(count, "shard int, blob binary").groupBy("shard").applyInArrow(build, kinds), "trigrams")
+    # shard names, counts of counts, heavy contexts and hot bigrams: a few rows per shard
+    rows = built.filter("kind not in ('heads', 'shared')").drop("blob").collect()
+    second = built.filter("kind in ('heads', 'shared')").select("kind", "shard", "blob")
+    before = np.zeros(len(hot), np.int64)
+    for r in rows:
+        if r["kind"] == "hot":
+            before[r["numbers"][0]] += r["numbers"][1]
+    seconds, n = np.unique(hot & LOW, return_counts=True)
+    if len(hot):
+        extra = [(r["kind"], r["shard"], bytearray(r["blob"])) for r in _heads(seconds, n)]
+        second = second.unionByName(texts.sparkSession.createDataFrame(extra, "kind string, shard int, blob binary"))
+    rows += second.groupBy("kind", "shard").applyInArrow(build_second, kinds).drop("blob").collect()
+    of = lambda kind: [r for r in rows if r["kind"] == kind]
+    model.bigrams, model.pasts, model.hot_trigrams = _split_shards(of("bigrams")), _split_shards(of("pasts")), _split_shards(of("hot"))
+    model.hot, model.hot_counts = hot, before
+    model.contexts = _shards(of("contexts"), [("key", "<u8"), *[(n, "<i8") for n in ("total", "n1", "n2", "n3")]])
+    model.heads = _shards(of("heads"), [("key", "<u8"), ("count", "<i8")])
+    model.bigram_types = sum(r["count"] for r in of("bigrams")) + len(hot)
+    totals: dict[int, np.ndarray] = {}
+    for r in of("heavy"):
+        totals[r["numbers"][0]] = totals.get(r["numbers"][0], 0) + np.array(r["numbers"][1:])
+    for k, x in zip(hot.tolist(), before):
+        totals[k >> 32] = totals.get(k >> 32, 0) + np.array([x, x == 1, x == 2, x >= 3], np.int64)
+    add = lambda kind, width: [sum(r["numbers"][k] for r in of(kind)) for k in range(width)]
+    low = add("heads", 5)
+    high = [a + b for a, b in zip(add("bigrams", 4), _tally(before))]
+    model.discounts = {"trigram": _discounts(add("trigrams", 4)), "bigram": _discounts(high), "unigram": _discounts(low[:4])}
+    d1, d2, d3 = model.discounts["unigram"]
+    model.uniform = (d1 * low[0] + d2 * low[1] + d3 * low[4]) / model.bigram_types
+    return totals
+
+
+def train(docs: DataFrame, text_col: str = "text", order: int = 2) -> tuple[Model, dict]:
+    """Model of order 2 or 3 of all rows of ``docs``, and the totals of its heavy
+    contexts."""
+    if order not in (2, 3):
+        raise ValueError(f"order {order}: the model has order 2 or 3")
     spark = docs.sparkSession
     texts = docs.select(docs[text_col].cast("string").alias("text"))
     folder = scratch_path(spark, "ngrams")
@@ -253,8 +466,9 @@ def train(docs: DataFrame, text_col: str = "text") -> tuple[Model, dict]:
     n_shards = max(8, math.ceil(chars / 6 / SHARD_TOKENS))
     vocab, tokens, types = _count_words(texts, folder, n_shards)
     empty = SortedArrays([])
-    model = Model(vocab, empty, empty, empty, tokens, types)
-    return model, (_count_bigrams(texts, folder, model, n_shards) if tokens else {})
+    model = Model(vocab, empty, empty, empty, tokens, types, order=order)
+    count = _count_trigrams if order == 3 else _count_bigrams
+    return model, (count(texts, folder, model, n_shards) if tokens else {})
 
 
 def _discounted(counts: np.ndarray, d: tuple[float, float, float]) -> np.ndarray:
@@ -280,7 +494,11 @@ def _score_block(model: Model, heavy: dict, flat: np.ndarray, lengths: np.ndarra
     word = ids[back]
     before = _previous(word, lengths, v)
     keys, inverse = np.unique(before << SHIFT | word, return_inverse=True)
-    pair = model.bigrams.find(keys, ["count"])["count"]
+    at = model.bigrams.find(keys, ["count", "position"])
+    pair = at["count"]
+    if model.hot is not None and len(model.hot):
+        rank, is_hot = _ranks(model.hot, keys)
+        pair[is_hot] = model.hot_counts[rank[is_hot]]
     context, which = np.unique(keys >> SHIFT, return_inverse=True)
     total = {c: x.astype(float) for c, x in model.contexts.find(context, ["total", "n1", "n2", "n3"]).items()}
     for k, t in heavy.items():
@@ -293,6 +511,10 @@ def _score_block(model: Model, heavy: dict, flat: np.ndarray, lengths: np.ndarra
     gamma = np.where(total["total"] > 0, (d[0] * total["n1"] + d[1] * total["n2"] + d[2] * total["n3"]) / seen, 1.0)
     high = (_discounted(pair, d) / seen[which])[inverse]
     p = high + gamma[which][inverse] * unigram[back]
+    if model.pasts is not None:
+        past = _previous(before, lengths, v)
+        inner = np.flatnonzero(before != v)  # the first word of a text has one word of context
+        p[inner] = _third(model, keys, at["position"], inverse[inner], before[inner], past[inner], p[inner])
     return {
         "n_known": np.add.reduceat((counts > 0).astype(np.int64)[back], rows),
         "base_score": np.add.reduceat(base[back], rows),
@@ -300,6 +522,33 @@ def _score_block(model: Model, heavy: dict, flat: np.ndarray, lengths: np.ndarra
     }
 
 
+def _ranks(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Place of each key in a sorted table, and whether it is there."""
+    rank = np.minimum(np.searchsorted(table, keys), len(table) - 1)
+    return rank, table[rank] == keys
+
+
+def _third(model: Model, pairs: np.ndarray, position: np.ndarray, which: np.ndarray, before: np.ndarray, past: np.ndarray, p: np.ndarray) -> np.ndarray:
+    """The trigram level over ``p``, of tokens that are bigram ``which`` after ``past``."""
+    contexts, back = np.unique(before << SHIFT | past, return_inverse=True)
+    total = {c: x.astype(float) for c, x in model.pasts.coded(contexts, ["total", "n1", "n2", "n3"]).items()}
+    # trigrams in the order of their bigram's place in the arrays
+    order = np.argsort(position, kind="stable")
+    place = np.empty_like(order)
+    place[order] = np.arange(len(order))
+    keys, inverse = np.unique(place[which].astype(np.uint64) << SHIFT | past, return_inverse=True)
+    pair, words_before = order[(keys >> SHIFT).astype(np.int64)], keys & LOW
+    times = model.bigrams.times(position[pair], words_before)
+    if len(model.hot):
+        rank, is_hot = _ranks(model.hot, pairs[pair])
+        hot = rank[is_hot].astype(np.uint64) << SHIFT | words_before[is_hot]
+        times[is_hot] = _on_sorted(model.hot_trigrams, hot, ["count"])["count"]
+    d = model.discounts["trigram"]
+    seen = np.maximum(total["total"], 1)
+    gamma = np.where(total["total"] > 0, (d[0] * total["n1"] + d[1] * total["n2"] + d[2] * total["n3"]) / seen, 1.0)
+    return _discounted(times, d)[inverse] / seen[back] + gamma[back] * p
+
+
 def _on_sorted(arrays: SortedArrays, keys: np.ndarray, columns: list[str]) -> dict[str, np.ndarray]:
     """``find`` for sorted keys that may repeat."""
     distinct, back = np.unique(keys, return_inverse=True)
@@ -330,8 +579,8 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(crc_remainder(id_col, HELD_OUT_MODULUS) == HELD_OUT_REMAINDER, F.lit(False))
 
 
-def train_and_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def train_and_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = 2) -> DataFrame:
     """Learn from the rows that are not held out, score all rows."""
-    model, heavy = train(docs.filter(~held_out(id_col)), text_col)
+    model, heavy = train(docs.filter(~held_out(id_col)), text_col, order)
     out = score(docs, model, heavy, id_col, text_col).withColumnRenamed("id", id_col)
     return out.select(id_col, held_out(id_col).alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score", "perplexity")

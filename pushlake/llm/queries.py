@@ -51,6 +51,11 @@ def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_lm.train_and_score(table(spark, sf_dir, "documents"))
 
 
+def op5_lm_trigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same under a model of order 3."""
+    return ngram_lm.train_and_score(table(spark, sf_dir, "documents"), order=3)
+
+
 def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests, read back from the formatted windows, of every conversation."""
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")

@@ -264,6 +264,52 @@ def test_language_model_against_brute_force(spark, docs):
     assert sum(got[d].score for d in unseen) > sum(got[d].base_score for d in unseen)
 
 
+@pytest.mark.parametrize("shards_of", [4_000_000, 40])
+def test_trigram_model_against_brute_force(spark, docs, edge, monkeypatch, shards_of):
+    """Order 3; with many small shards, heavy words and hot bigrams are spread."""
+    monkeypatch.setattr(ngram_lm, "SHARD_TOKENS", shards_of)
+    some = {d: r.text for d, r in sorted(docs.items())[: 300 if shards_of > 40 else 4]} | {-1: "a b " * 300 + "c a b", -2: "x a b y a b z a b", -3: None, -4: "a"}
+    tokens = {d: [*lower_words(t), None] for d, t in some.items()}
+    held = {d: zlib.crc32(str(d).encode()) % 7 == 2 for d in some}
+    past = lambda ws: zip(["start", "start", *ws[:-2]], ["start", *ws[:-1]], ws)
+    t = Counter(x for d, ws in tokens.items() if not held[d] for x in past(ws))
+    b = Counter()
+    for (_, x, w), k in t.items():
+        b[x, w] += k if x == "start" else 1
+    t = {k: n for k, n in t.items() if k[1] != "start"}
+    cont = Counter(w for _, w in b)
+    v = len(cont)
+    levels = {}
+    for name, counts in (("t", t), ("b", b), ("c", cont)):
+        k = Counter(x for x in counts.values() if x < 5)
+        d = [0, *ngram_lm._discounts([k[i] for i in (1, 2, 3, 4)])]
+        total, mass = Counter(), Counter()
+        for key, n in counts.items():
+            total[key[:-1] if name != "c" else ()] += n
+            mass[key[:-1] if name != "c" else ()] += d[min(n, 3)]
+        levels[name] = (counts, d, total, mass)
+
+    def level(name, key, context, lower):
+        counts, d, total, mass = levels[name]
+        n = counts.get(key, 0)
+        return (max(n - d[min(n, 3)], 0) + mass[context] * lower) / total[context] if total[context] else lower
+
+    def p(y, x, w):
+        two = level("b", (x, w), (x,), level("c", w, (), 1 / (v + 1)))
+        return two if x == "start" else level("t", (y, x, w), (y, x), two)
+
+    rows = spark.createDataFrame(list(some.items()), "doc_id long, text string").repartition(5)
+    got = by_id(ngram_lm.train_and_score(rows, order=3))
+    for d, ws in tokens.items():
+        assert math.isclose(got[d].score, sum(math.log10(p(*x)) for x in past(ws)), rel_tol=1e-6), d
+    if shards_of == 40:
+        assert len(ngram_lm.train(rows, order=3)[0].hot)
+    else:
+        assert ngram_lm.train_and_score(edge.limit(0), order=3).count() == 0
+        with pytest.raises(ValueError):
+            ngram_lm.train(edge, order=4)
+
+
 def test_language_model_edge_rows(spark, edge):
     got = by_id(ngram_lm.train_and_score(edge))
     assert got[1].n_tokens == got[2].n_tokens == got[3].n_tokens == 1
