@@ -60,14 +60,15 @@ def s3_read_applist_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
 HOUR_TEMPLATE = "y={yyyy}/m={MM}/d={dd}/h={yyyyMMddHH}"
 
 
-def write_hour_dirs(spark: SparkSession, sf_dir: str) -> tuple[str, dt.datetime, dt.datetime]:
-    """HTTP lines under one directory per (UTC) hour of their event, one file each."""
+def write_hour_dirs(spark: SparkSession, sf_dir: str, files: int = 1) -> tuple[str, dt.datetime, dt.datetime]:
+    """HTTP lines under one directory per (UTC) hour of their event, up to ``files`` files
+    each."""
     ev = fx.table(spark, sf_dir, "events").select("event_id", "ts")
     lines = fx.http_lines(spark, sf_dir).join(ev, "event_id")
     p = ntz_parts("ts")
     lines = lines.select("line", p["yyyy"].alias("y"), p["MM"].alias("m"), p["dd"].alias("d"), ntz_key("ts", "hour").alias("h"))
     path = scratch_path(spark, "hour_dirs")
-    lines.repartition("h").write.partitionBy("y", "m", "d", "h").text(path)
+    lines.repartition("h", *([F.pmod(F.xxhash64("line"), F.lit(files))] if files > 1 else [])).write.partitionBy("y", "m", "d", "h").text(path)
     lo, hi = ev.agg(F.min("ts"), F.max("ts")).first()
     return path, lo, hi + dt.timedelta(hours=1)
 

@@ -23,6 +23,8 @@ WITH {PUSH_EVENTS}, {PUSH_OBJECTS}, {PUSH_ROWS}
 SELECT appkey, platform, msg_id, uid, itime FROM push_rows"""
 
 MESSAGE_FILES = 8
+#: Files of an hour, and files of a micro-batch.
+HOUR_FILES, HOUR_FILES_PER_TRIGGER = 3, 300
 
 
 def write_messages(spark: SparkSession, sf_dir: str, wave: int | None = None) -> str:
@@ -96,21 +98,23 @@ def r4_push_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH s AS ({HOUR_STATS_SQL})
 SELECT iday, ihour, n_msgs, n_appkeys, n_msgids FROM s WHERE grain = 'hour'""")
 def r5_hour_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """New hour directories picked up by a file stream; each micro-batch runs the
-    hour stats of the hours it brings (one file per hour, so an hour never splits)."""
-    base, _, _ = write_hour_dirs(spark, sf_dir)
+    """Files of hour directories picked up by a file stream; each micro-batch runs
+    the hour stats of the days it touches, from all their records. Hours have several
+    files, spread over micro-batches."""
+    base, _, _ = write_hour_dirs(spark, sf_dir, HOUR_FILES)
     out = scratch_path(spark, "r5_out")
     aggs = [F.count(F.lit(1)).alias("n_msgs"), F.countDistinct("appkey").alias("n_appkeys"), F.countDistinct("msgid").alias("n_msgids")]
-    per_batch = ST.hour_stats_stream(aggs)
+    per_batch = ST.hour_stats_stream(aggs, scratch_path(spark, "r5_records"))
 
     def commit(batch: DataFrame, batch_id: int) -> None:
-        stats = per_batch(batch.select(F.col("value").alias("line")), batch_id).filter(F.col("grain") == "hour")
-        ST.idempotent_writer(out)(stats, batch_id)
+        stats = per_batch(batch.select(F.col("value").alias("line")), batch_id)
+        ST.replacing_writer(out, ["iday"])(stats, batch_id)
 
-    stream = spark.readStream.option("maxFilesPerTrigger", 400).text(f"{base}/*/*/*/*")
+    stream = spark.readStream.option("maxFilesPerTrigger", HOUR_FILES_PER_TRIGGER).text(f"{base}/*/*/*/*")
     q = ST.drain(stream, lambda s: s.select("value"), commit, scratch_path(spark, "r5_checkpoint"))
     q.awaitTermination()
-    return spark.read.parquet(out).select("iday", "ihour", "n_msgs", "n_appkeys", "n_msgids")
+    hours = spark.read.parquet(out).filter(F.col("grain") == "hour")
+    return hours.select("iday", "ihour", "n_msgs", "n_appkeys", "n_msgids")
 
 
 ALERT_ITEMS_SQL = f"""

@@ -369,6 +369,35 @@ def test_r2_stream_equals_batch(spark, tmp_path, files_per_trigger):
     assert got == batch and len(got) == 59
 
 
+def test_r5_hour_over_several_batches(spark, tmp_path):
+    """An hour split over files and micro-batches has one row, of all its records;
+    a replayed batch changes nothing."""
+    from pushlake.operators.rollup import hour_day_stats
+    from pushlake.plans import fixtures as fx
+    from pushlake.streaming import consume as ST
+    from tests.conftest import SF_SMALL
+
+    src, out = str(tmp_path / "src"), str(tmp_path / "out")
+    fx.http_lines(spark, SF_SMALL).select(F.col("line").alias("value")).repartition(3).write.text(src)
+    aggs = [F.count(F.lit(1)).alias("n"), F.countDistinct("appkey").alias("apps"), F.countDistinct("msgid").alias("ids")]
+    per_batch, write = ST.hour_stats_stream(aggs, str(tmp_path / "records")), ST.replacing_writer(out, ["iday"])
+    seen = []
+
+    def commit(batch, batch_id):
+        for _ in range(2):  # the second time as in a replay
+            write(per_batch(batch.select(F.col("value").alias("line")), batch_id), batch_id)
+        seen.append(batch_id)
+
+    stream = spark.readStream.option("maxFilesPerTrigger", 1).text(src)
+    ST.drain(stream, lambda s: s.select("value"), commit, str(tmp_path / "ck")).awaitTermination()
+    assert len(seen) == 3
+    recs = P.accepted(P.parse_http_api(spark.read.text(src).select(F.col("value").alias("line")), tz="Asia/Shanghai"))
+    want = hour_day_stats(recs, "iday", "ihour", aggs)
+    cols = ["grain", "iday", "ihour", "n", "apps", "ids"]
+    rows = lambda df: sorted(map(str, df.select(*cols).collect()))
+    assert rows(spark.read.parquet(out)) == rows(want)
+
+
 @pytest.mark.parametrize("salted", [False, True])
 def test_top_n_versions_salted_and_plain(spark, salted):
     rows = [("hot", "A", "c", t, str(t % 97)) for t in range(3000)] + [("cold", "A", "c", t, "1") for t in range(5)]
