@@ -29,6 +29,8 @@ from pushlake.streaming import consume
 # Cell family and qualifier of the app-list job's output.
 APPLIST_FAMILY = "C"
 APPLIST_QUALIFIER = "app"
+#: About the most apps of one cell of that job.
+APPLIST_MAX_ITEMS = 100_000
 
 
 def http_api_to_orc(spark: SparkSession, inputs: str, output: str, tz: str = DEFAULT_TZ, rejects: str | None = None) -> dict:
@@ -51,12 +53,14 @@ def lines_to_parquet(spark: SparkSession, inputs: str, output: str, parser: Call
     sinks.to_parquet_typed(parser(readers.read_lines(spark, inputs)), output, codec)
 
 
-def applist_orc_to_cells(spark: SparkSession, inputs: str, output: str, job_ts: int) -> None:
-    """App-list ORC -> one cell C:app per imei with the JSON list (S3 + A1 + A2 + K6).
-    The cell time is the group's 10-digit itime in ms, else the job's time."""
-    lists = rollup.applist_by_imei(readers.read_applist_orc(spark, inputs))
+def applist_orc_to_cells(spark: SparkSession, inputs: str, output: str, job_ts: int, max_items: int = APPLIST_MAX_ITEMS) -> None:
+    """App-list ORC -> cells C:app per imei with the JSON list (S3 + A1 + A2 + K6).
+    The cell time is the group's 10-digit itime in ms, else the job's time. A list of
+    more than ``max_items`` apps is written as one cell per part, C:app.<part>."""
+    lists = rollup.applist_by_imei(readers.read_applist_orc(spark, inputs), max_items=max_items)
     ts = F.coalesce(F.col("itime_ms"), F.lit(job_ts).cast("bigint"))
-    out = cells.to_cells(lists, F.col("imei"), APPLIST_FAMILY, APPLIST_QUALIFIER, F.col("applist"), ts)
+    qualifier = F.when(F.col("parts") == 1, F.lit(APPLIST_QUALIFIER)).otherwise(F.concat_ws(".", F.lit(APPLIST_QUALIFIER), F.col("part")))
+    out = cells.to_cells(lists, F.col("imei"), APPLIST_FAMILY, qualifier, F.col("applist"), ts)
     out.write.mode("overwrite").parquet(output)
 
 

@@ -46,6 +46,18 @@ def test_applist_orc_to_cells(spark, tmp_path):
     assert got["j"].ts == 42
 
 
+def test_applist_orc_to_cells_in_parts(spark, tmp_path):
+    """A long list is written as several cells that hold every app once."""
+    orc = str(tmp_path / "orc")
+    spark.createDataFrame([("i", f"p{k}", "n", 1494496411) for k in range(500)] + [("j", "p", "n", 5)],
+                          "imei string, pkg string, name string, itime long").write.orc(orc)
+    jobs.applist_orc_to_cells(spark, orc, str(tmp_path / "cells"), job_ts=42, max_items=100)
+    got = spark.read.parquet(str(tmp_path / "cells")).collect()
+    parts = [json.loads(r.value) for r in got if r.rowkey == "i"]
+    assert sorted(r.qualifier for r in got) == ["app", *[f"app.{k}" for k in range(5)]]
+    assert max(map(len, parts)) < 200 and sorted(a["pkg"] for p in parts for a in p) == sorted(f"p{k}" for k in range(500))
+
+
 def test_profile_to_sorted_cells(spark, tmp_path):
     src = write_lines(spark, str(tmp_path / "in"), ['{"imei": "b", "device_info": {"x": 1}}', '{"imei": "a", "device_info": "m"}', "junk"])
     jobs.profile_to_sorted_cells(spark, src, str(tmp_path / "out"), "device_info", "20170511", 2)
