@@ -48,6 +48,16 @@ def measured(df: DataFrame, name: str, **metrics: Column) -> tuple[DataFrame, di
     return out, seen.get
 
 
+def drop_tables(*tables: DataFrame) -> None:
+    """Delete tables that ``materialize`` wrote and nothing reads any more."""
+    for df in tables:
+        spark = df.sparkSession
+        for folder in {os.path.dirname(f) for f in df.inputFiles()}:
+            if "/scratch/" in folder:
+                path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def crc_remainder(column: str, modulus: int) -> Column:
     """crc32 of an id's decimal text, modulo ``modulus`` (null id: null)."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % modulus

@@ -8,7 +8,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pushlake.llm import bpe_stream, chat_format, crf_language, decontam, near_dup, ngram_lm, pii, quality_rules, site_quality, token_counts
+from pushlake.llm import bpe_stream, chat_format, crf_language, decontam, near_dup, ngram_lm, pii, quality_rules, site_quality, suffix_dedup, token_counts
 from pushlake.llm._util import table
 
 BYTE_VOCABULARY = "byte_bpe_50k.json"
@@ -88,6 +88,12 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary_path(WORD_VOCABULARY), TOKEN_LIMIT)
 
 
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without its repeated 200-byte strings."""
+    out = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
