@@ -8,7 +8,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pushlake.llm import bpe_stream, chat_format, crf_language, decontam, near_dup, ngram_lm, pii, quality_rules, site_quality, suffix_dedup, token_counts
+from pushlake.llm import bpe_stream, chat_format, conversation_repair, crf_language, decontam, near_dup, ngram_lm, pii, quality_rules, site_quality, suffix_dedup, token_counts
 from pushlake.llm._util import table
 
 BYTE_VOCABULARY = "byte_bpe_50k.json"
@@ -94,6 +94,12 @@ def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest repair and digest of every damaged conversation."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return conversation_repair.repair_report(rows, conversation_repair.damaged(rows))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
