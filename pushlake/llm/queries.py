@@ -8,7 +8,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pushlake.llm import bpe_stream, chat_format, conversation_repair, crf_language, decontam, near_dup, ngram_lm, pii, quality_rules, site_quality, suffix_dedup, token_counts
+from pushlake.llm import bpe_stream, chat_format, collocations, conversation_repair, crf_language, decontam, near_dup, ngram_lm, pii, quality_rules, site_quality, suffix_dedup, token_counts
 from pushlake.llm._util import table
 
 BYTE_VOCABULARY = "byte_bpe_50k.json"
@@ -88,6 +88,11 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary_path(WORD_VOCABULARY), TOKEN_LIMIT)
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first phrases of every language by association."""
+    return collocations.top_collocations(table(spark, sf_dir, "documents"))
+
+
 def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without its repeated 200-byte strings."""
     out = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
