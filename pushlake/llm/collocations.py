@@ -4,20 +4,24 @@ Texts are lower-cased (A-Z) and split at ``[.,;:!?\\x0A-\\x0D]`` into pieces and
 spaces and tabs into words. A phrase of up to ``MAX_WORDS`` words is frequent with at
 least ``MIN_COUNT`` occurrences inside pieces of its language.
 
-1. A sample of the documents (by a hash of id and text) is mined level by level at a
-   lowered threshold. Its phrases are the proposal.
-2. One pass over all documents counts every occurrence of a phrase that is proposed or
-   lies on the negative border: not proposed, but both phrases without its first and its
-   last word are. All single words are counted.
-3. A frequent border phrase is a failure of the sample. Phrases that overlap frequent ones
-   on all but one word and were not counted yet may be frequent as well: while there are
-   any, another pass counts them with the proposal grown by the failures.
-
-The proposal travels as a bitmap of hashes of at most ``MAX_BITMAP`` bytes, built by
-Spark. A false hit counts a phrase too much in scope and changes no count, so the result
-is exact at any size. Occurrences are counted inside tasks with dense integer names
-(exact, pair by pair), flushed as (language, phrase, count) rows in bounded portions and
-summed with map-side combine.
+1. A sample of the documents (by a hash of id and text) is mined at a lowered threshold.
+   Its phrases are the proposal.
+2. One pass over all documents counts the proposal and its negative border: phrases not
+   proposed, but without their first and without their last word they are (and all single
+   words). Proposed phrases are counted one by one. The border is much larger, so its
+   occurrences are counted in 2**36 hash buckets: a bucket under the threshold holds no
+   frequent phrase, and what is in the others is counted one by one by the next pass.
+3. Such a bucket is a failure of the sample. A further pass counts the border phrases in
+   these buckets, and with them all longer phrases that were out of scope and whose parts
+   are proposed, in such a bucket, or counted by this pass themselves. Every frequent
+   phrase is counted by then, so the search is closed.
+
+Proposal and buckets travel as bitmaps of at most ``MAX_BITMAP`` bytes, built by Spark. A
+false hit counts a phrase too much in scope and changes no count, so the result is exact at
+any size. Inside a task, occurrences are grouped by dense integer names (exact, pair by
+pair) and flushed as (language, phrase, count) rows in bounded portions, summed with
+map-side combine. Buckets are sorted arrays by range of the bucket number, and ranges are
+split further while one would be too large for a task.
 
 Cutting a phrase after k words scores floor(1000 * a * n / (l * r)); the least score
 counts, then the least k. Products are exact decimals of 38 digits. A phrase inside a
@@ -37,18 +41,27 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pushlake.llm._util import MAX_BROADCAST_BYTES, drop_tables, materialize, measured
+from pushlake.llm._words import mix
 
 MIN_COUNT = 100
 MAX_WORDS = 5
 TOP = 2000
 #: Share of the documents in the sample, and of the scaled threshold used there.
-SAMPLE = 0.2
+SAMPLE = 0.1
 LOWERED = 0.4
 MAX_BITMAP = MAX_BROADCAST_BYTES
-#: Bytes of texts that a task reads at a time; phrases it holds before it writes them.
+#: Bytes of texts that a task reads at a time; phrases and border occurrences it holds
+#: before it writes them.
 CHUNK = 1 << 21
-MAX_HELD = 400_000
+MAX_HELD = 200_000
+MAX_BORDER = 2_000_000
+#: A bucket is the top bits of a phrase hash; a range of buckets its top RANGE_BITS.
+BUCKET_BITS = 36
+RANGE_BITS = 8
+#: Most bucket entries that one task adds up.
+MAX_RANGE = 16_000_000
 _SALTS = 32
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 
 _TABLE = bytearray(range(256))
 _TABLE[0x41:0x5B] = range(0x61, 0x7B)
@@ -58,35 +71,28 @@ for _b in b".,;:!?\x0a\x0b\x0c\x0d":
 _TABLE = bytes(_TABLE)
 
 
-class Proposal:
-    """A bitmap of phrase hashes; ``bits`` is a power of two."""
+class Bitmap:
+    """A set of buckets, by their low bits."""
 
     def __init__(self, words: np.ndarray):
-        self.words, self.mask = words, len(words) * 64 - 1
+        self.words, self.mask = words, np.uint64(len(words) * 64 - 1)
 
-    def __contains__(self, key: bytes) -> bool:
-        h = xxhash.xxh64_intdigest(key, 42) & self.mask
-        return bool((int(self.words[h >> 6]) >> (h & 63)) & 1)
+    def holds(self, hashes: np.ndarray) -> np.ndarray:
+        at = (hashes >> np.uint64(64 - BUCKET_BITS)) & self.mask
+        return ((self.words[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1)).astype(bool)
 
 
-def _bitmap(phrases: DataFrame) -> np.ndarray:
-    """The bitmap of (lang, phrase): a grouped OR of hashed bits, of bounded size."""
-    count = phrases.count()
-    bits = 1 << min((MAX_BITMAP * 8).bit_length() - 1, max(16, (count * 32).bit_length()))
-    at = F.xxhash64(_key()).bitwiseAND(F.lit(bits - 1))
-    rows = phrases.select(F.shiftright(at, 6).alias("w"), at.bitwiseAND(F.lit(63)).cast("int").alias("b"))
-    rows = rows.groupBy("w").agg(F.bit_or(F.expr("shiftleft(1L, b)")).alias("v"))
+def _bitmap(buckets: DataFrame, count: int) -> np.ndarray:
+    """The bitmap of a column ``bucket``: a grouped OR of bits, of bounded size."""
+    bits = 1 << min((MAX_BITMAP * 8).bit_length() - 1, max(16, (count * 64).bit_length()))
+    at = F.col("bucket").bitwiseAND(F.lit(bits - 1))
+    rows = buckets.select(F.shiftright(at, 6).alias("w"), at.bitwiseAND(F.lit(63)).cast("int").alias("b"))
+    got = rows.groupBy("w").agg(F.bit_or(F.expr("shiftleft(1L, b)")).alias("v")).toArrow()
     out = np.zeros(bits // 64, np.int64)
-    got = rows.toArrow()
     out[got.column("w").to_numpy()] = got.column("v").to_numpy()
     return out.view(np.uint64)
 
 
-def _key():
-    """Language and phrase as one string; a false match of two only widens a pass."""
-    return F.concat_ws("\t", "lang", "phrase")
-
-
 def _words(texts: list[bytes]):
     """Words of all texts, the piece of each word and the text of each word."""
     data = b"\n".join(texts).translate(_TABLE)
@@ -100,64 +106,101 @@ def _words(texts: list[bytes]):
     return data.split(), piece, np.searchsorted(ends, at, side="right")
 
 
-def _count(batches, lengths: list[int], proposal: Proposal, before: Proposal | None):
-    """(lang, phrase, n) rows of phrases of ``lengths`` in scope: all phrases of one word
-    less are proposed (which holds for proposed ones and for the negative border). Those
-    in scope of ``before`` were counted by an earlier pass."""
-    held: dict[tuple[str, bytes], int] = {}
-    for texts, langs in _portions(batches):
-        words, piece, text = _words(texts)
-        if not words:
-            continue
-        names = sorted(set(langs))
-        lang = np.array([names.index(x) for x in langs], np.int64)[text]
+class _Chunk:
+    """The words of some texts, and their phrases level by level."""
+
+    def __init__(self, texts: list[bytes], langs: list[str]):
+        self.words, self.piece, text = _words(texts)
+        self.names = sorted(set(langs))
+        index = {x: i for i, x in enumerate(self.names)}
+        self.lang = np.array([index[x] for x in langs], np.int64)[text] if self.words else np.empty(0, np.int64)
         ids: dict[bytes, int] = {}
-        word = np.fromiter((ids.setdefault(w, len(ids)) for w in words), np.int64, len(words))
-        prefix = [f"{x}\t".encode() for x in names]
-        own = lang * len(ids) + word
-        # occurrences in scope of this pass and of the passes before it
-        scope, counted = np.ones(len(words), bool), np.full(len(words), before is not None)
-        for n in range(1, max(lengths) + 1):
-            at = np.flatnonzero(scope)
-            if not len(at):
-                break
-            _, first, inverse, counts = np.unique(own[at], return_index=True, return_inverse=True, return_counts=True)
-            heads = at[first]
-            phrases = [b" ".join(words[i : i + n]) for i in heads]
-            keys = [prefix[lang[i]] + p for i, p in zip(heads, phrases)]
-            if n in lengths:
-                for i in np.flatnonzero(~counted[heads]):
-                    k = (names[lang[heads[i]]], phrases[i])
-                    held[k] = held.get(k, 0) + int(counts[i])
-                if len(held) >= MAX_HELD:
-                    yield _rows(held)
-                    held.clear()
-            # a longer phrase is in scope when both phrases of one word less are proposed
-            rank = np.zeros(len(words), np.int64)
-            rank[at] = inverse
-            own = np.zeros(len(words), np.int64)
-            own[:-n] = rank[:-n] * len(ids) + word[n:]
-            scope = _longer(scope, proposal, keys, at, inverse, piece, n)
-            if before is not None:
-                counted = _longer(counted, before, keys, at, inverse, piece, n)
-    if held:
-        yield _rows(held)
-
-
-def _longer(scope: np.ndarray, proposal: Proposal, keys: list[bytes], at: np.ndarray, inverse: np.ndarray, piece: np.ndarray, n: int) -> np.ndarray:
-    """Starts of phrases of n + 1 words in one piece whose phrases without the last and
-    without the first word are in ``scope`` and proposed."""
-    proposed = np.zeros(len(scope), bool)
-    proposed[at] = np.fromiter((k in proposal for k in keys), bool, len(keys))[inverse]
-    proposed &= scope
-    out = np.zeros(len(scope), bool)
-    out[:-n] = proposed[:-n] & proposed[1 : len(scope) - n + 1] & (piece[:-n] == piece[n:])
-    return out
-
-
-def _rows(held) -> pa.RecordBatch:
-    columns = [pa.array([k[0] for k in held]), pa.array([k[1].decode() for k in held]), pa.array(list(held.values()), pa.int64())]
-    return pa.RecordBatch.from_arrays(columns, names=["lang", "phrase", "n"])
+        self.word = np.fromiter((ids.setdefault(w, len(ids)) for w in self.words), np.int64, len(self.words))
+        self.kinds = len(ids)
+        salts = np.array([xxhash.xxh64_intdigest(x.encode(), 1) for x in self.names], np.uint64)
+        own = np.fromiter(map(xxhash.xxh64_intdigest, ids), np.uint64, len(ids))
+        self.hash = mix(own[self.word] ^ salts[self.lang]) if self.words else np.empty(0, np.uint64)
+        self.count = len(self.words)
+
+    def longer(self, extend: np.ndarray, n: int) -> np.ndarray:
+        """Starts of phrases of n + 1 words in one piece whose phrases of n words, the
+        first and the last, are marked in ``extend``."""
+        out = np.zeros(self.count, bool)
+        out[:-n] = extend[:-n] & extend[1 : self.count - n + 1] & (self.piece[:-n] == self.piece[n:])
+        return out
+
+    def next_hash(self, hashes: np.ndarray, n: int) -> np.ndarray:
+        """Hashes of the phrases of n + 1 words from those of n (0 past the end)."""
+        out = np.zeros(self.count, np.uint64)
+        out[:-n] = mix(hashes[:-n] * _STEP + self.hash[n:])
+        return out
+
+
+class _Held:
+    """Counts of phrases by language, written in bounded portions."""
+
+    def __init__(self):
+        self.counts: dict[str, dict[bytes, list]] = {}
+        self.size = 0
+
+    def add(self, lang: str, phrase: bytes, hash_: int, n: int) -> None:
+        own = self.counts.setdefault(lang, {})
+        if phrase in own:
+            own[phrase][1] += n
+        else:
+            own[phrase] = [hash_, n]
+            self.size += 1
+
+    def rows(self) -> pa.RecordBatch:
+        flat = [(lang, p.decode(), h, n) for lang, own in self.counts.items() for p, (h, n) in own.items()]
+        self.__init__()
+        columns = [pa.array(list(x), t) for x, t in zip(zip(*flat) if flat else [()] * 4, (pa.string(), pa.string(), pa.int64(), pa.int64()))]
+        return pa.RecordBatch.from_arrays([*columns, pa.nulls(len(flat), pa.int32()), pa.nulls(len(flat), pa.binary())], names=_COLUMNS)
+
+
+_COLUMNS = ["lang", "phrase", "bucket", "n", "range", "entries"]
+_ROWS = "lang string, phrase string, bucket long, n long, range int, entries binary"
+
+
+def _entries(hashes: list[np.ndarray]):
+    """Rows (range, entries): bucket numbers and counts of border occurrences."""
+    buckets, counts = np.unique(np.concatenate(hashes) >> np.uint64(64 - BUCKET_BITS), return_counts=True)
+    yield from _ranges(buckets.astype(np.int64), counts, BUCKET_BITS - RANGE_BITS)
+
+
+def _ranges(buckets: np.ndarray, counts: np.ndarray, shift: int):
+    """Sorted buckets as one row for each value of their bits above ``shift``."""
+    parts = buckets >> shift
+    cuts = np.flatnonzero(np.diff(parts)) + 1
+    firsts = np.concatenate([[0], cuts])
+    packed = [_pack(b, c) for b, c in zip(np.split(buckets, cuts), np.split(counts, cuts))]
+    n = len(packed)
+    nothing = [pa.nulls(n, pa.string()), pa.nulls(n, pa.string()), pa.nulls(n, pa.int64())]
+    sizes = np.diff(np.append(firsts, len(buckets)))
+    yield pa.RecordBatch.from_arrays([*nothing, pa.array(sizes, pa.int64()), pa.array(parts[firsts], pa.int32()), pa.array(packed, pa.binary())], names=_COLUMNS)
+
+
+def _pack(buckets: np.ndarray, counts: np.ndarray) -> bytes:
+    """Gaps of sorted buckets and their counts, as little-endian byte planes, compressed."""
+    gaps = np.diff(buckets, prepend=0).astype("<u8")
+    planes = [gaps.view(np.uint8).reshape(-1, 8)[:, :5].T.tobytes(), counts.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()]
+    return len(gaps).to_bytes(8, "little") + pa.compress(b"".join(planes), codec="lz4", asbytes=True)
+
+
+def _unpack(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n = int.from_bytes(data[:8], "little")
+    raw = np.frombuffer(pa.decompress(data[8:], decompressed_size=9 * n, codec="lz4", asbytes=True), np.uint8)
+    gaps = np.zeros((n, 8), np.uint8)
+    gaps[:, :5] = raw[: 5 * n].reshape(5, n).T
+    counts = np.ascontiguousarray(raw[5 * n :].reshape(4, n).T).view("<u4").ravel()
+    return np.cumsum(gaps.view("<u8").ravel().astype(np.int64)), counts.astype(np.int64)
+
+
+def _added(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets and counts of several packed arrays, added up."""
+    both = [_unpack(p) for p in parts]
+    buckets, inverse = np.unique(np.concatenate([b for b, _ in both]), return_inverse=True)
+    return buckets, np.bincount(inverse, np.concatenate([c for _, c in both]), len(buckets)).astype(np.int64)
 
 
 def _portions(batches):
@@ -175,83 +218,170 @@ def _portions(batches):
         yield texts, langs
 
 
-def _pass(docs: DataFrame, lengths: list[int], proposal: np.ndarray, before: np.ndarray | None = None) -> DataFrame:
-    """Counts (lang, phrase, words, n) of the phrases in scope."""
-    spark = docs.sparkSession
-    sent = [None if x is None else spark.sparkContext.broadcast(x) for x in (proposal, before)]
-
-    def count(batches):
-        new, old = (None if x is None else Proposal(x.value) for x in sent)
-        yield from _count(batches, lengths, new, old)
-
-    rows = docs.select("lang", "text").mapInArrow(count, "lang string, phrase string, n long")
-    rows = rows.groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
-    return rows.withColumn("words", F.size(F.split("phrase", " ")))
-
-
-def _nothing() -> np.ndarray:
-    return np.zeros(1 << 10, np.uint64)
-
-
-def _sample(docs: DataFrame, min_count: int, share: float) -> DataFrame:
-    """Phrases (lang, phrase) that are frequent in the sample at a lowered threshold."""
+def _scan(docs: DataFrame, rule, totals: bool = False) -> DataFrame:
+    """One pass over the texts. ``rule(n, scope, hashes)`` tells of the phrases of n words
+    that are in scope: which are counted one by one, which in buckets, and which may be
+    part of longer phrases in scope. With ``totals`` also rows of an empty phrase with the
+    words of each language."""
+
+    def scan(batches):
+        decide = rule()
+        held, border, waiting = _Held(), [], 0
+        for texts, langs in _portions(batches):
+            chunk = _Chunk(texts, langs)
+            if not chunk.count:
+                continue
+            if totals:
+                for i, n in enumerate(np.bincount(chunk.lang)):
+                    held.add(chunk.names[i], b"", 0, int(n))
+            scope, hashes, names, state = np.ones(chunk.count, bool), chunk.hash, chunk.lang * chunk.kinds + chunk.word, None
+            for n in range(1, MAX_WORDS + 1):
+                at = np.flatnonzero(scope)
+                if not len(at):
+                    break
+                single, bucketed, extend, state = decide(chunk, n, at, hashes[at], state)
+                if bucketed.any():
+                    border.append(hashes[at[bucketed]])
+                    waiting += int(bucketed.sum())
+                keep = single | extend
+                rank = np.zeros(chunk.count, np.int64)
+                if keep.any():
+                    kinds, first, inverse, counts = np.unique(names[at[keep]], return_index=True, return_inverse=True, return_counts=True)
+                    rank[at[keep]] = inverse
+                    heads = at[keep][first]
+                    for i, c, wanted in zip(heads.tolist(), counts.tolist(), single[keep][first].tolist()):
+                        if wanted:
+                            held.add(chunk.names[chunk.lang[i]], b" ".join(chunk.words[i : i + n]), int(hashes[i] >> np.uint64(64 - BUCKET_BITS)), c)
+                if n == MAX_WORDS:
+                    break
+                marked = np.zeros(chunk.count, bool)
+                marked[at[extend]] = True
+                scope = chunk.longer(marked, n)
+                hashes = chunk.next_hash(hashes, n)
+                names = np.zeros(chunk.count, np.int64)
+                names[:-n] = rank[:-n] * chunk.kinds + chunk.word[n:]
+            if held.size >= MAX_HELD:
+                yield held.rows()
+            if waiting >= MAX_BORDER:
+                yield from _entries(border)
+                border, waiting = [], 0
+        if held.size:
+            yield held.rows()
+        if border:
+            yield from _entries(border)
+
+    return docs.select("lang", "text").mapInArrow(scan, _ROWS)
+
+
+def _counted(rows: DataFrame) -> DataFrame:
+    """(lang, phrase, bucket, words, n) of the phrases that were counted one by one."""
+    rows = rows.filter(F.col("phrase").isNotNull()).groupBy("lang", "phrase").agg(F.first("bucket").alias("bucket"), F.sum("n").alias("n"))
+    words = F.when(F.col("phrase") == "", 0).otherwise(F.size(F.split("phrase", " ")))
+    return rows.select("lang", "phrase", "bucket", words.alias("words"), "n")
+
+
+def _full_buckets(rows: DataFrame, least: int) -> tuple[np.ndarray, int]:
+    """Bitmap and number of the buckets with ``least`` occurrences or more. A range of more
+    than MAX_RANGE entries is split by the next bits of the bucket number, in tasks that
+    each add up some of its arrays."""
+    ranges = materialize(rows.filter(F.col("range").isNotNull()).select("range", "entries", "n"), "ranges")
+    shift = BUCKET_BITS - RANGE_BITS
+    while (ranges.groupBy("range").agg(F.sum("n").alias("n")).agg(F.max("n")).first()[0] or 0) > MAX_RANGE and shift > 0:
+        shift = max(0, shift - RANGE_BITS)
+
+        def split(batches, shift=shift):
+            for batch in batches:
+                for entries in batch.column(1):
+                    buckets, counts = _unpack(entries.as_py())
+                    for part in _ranges(buckets, counts, shift):
+                        yield part.select(["range", "entries", "n"])
+
+        ranges = materialize(ranges.mapInArrow(split, "range int, entries binary, n long"), "ranges")
+
+    def full(group):
+        buckets, counts = _added([e.as_py() for e in group.column("entries")])
+        return pa.table({"bucket": pa.array(buckets[counts >= least], pa.int64())})
+
+    found, size = measured(ranges.groupBy("range").applyInArrow(full, "bucket long"), "buckets", n=F.count(F.lit(1)))
+    return _bitmap(found, size["n"]), size["n"]
+
+
+def _sample(docs: DataFrame, min_count: int, share: float) -> tuple[np.ndarray, DataFrame]:
+    """The proposal: its bitmap and the counts of phrases that are frequent in the sample at
+    a lowered threshold. Words, then pairs of frequent words are found by buckets; then
+    all lengths are counted one by one where pairs are frequent."""
     drawn = F.pmod(F.xxhash64("id", "text", F.lit(11)), F.lit(1 << 20)) < int(share * (1 << 20))
-    drawn = materialize(docs.filter(drawn), "sample")
+    drawn = materialize(docs.filter(drawn).select("lang", "text"), "sample")
     least = max(2, int(min_count * share * LOWERED))
-    found, proposal = None, _nothing()
-    for n in range(1, MAX_WORDS + 1):
-        level, size = measured(_pass(drawn, [n], proposal).filter((F.col("n") >= least) & (F.col("words") == n)).select("lang", "phrase"), "level", n=F.count(F.lit(1)))
-        found = level if found is None else found.unionByName(level)
-        if not size["n"]:
-            break
-        proposal = _bitmap(found)
+    spark = docs.sparkSession
+    sent = []
+
+    def rule():
+        known = [Bitmap(x.value) for x in sent]
+
+        def decide(chunk, n, at, hashes, state):
+            none = np.zeros(len(at), bool)
+            if n > len(known):  # what this pass is for
+                return (~none, none, ~none, None) if len(known) == 2 else (none, ~none, none, None)
+            full = known[n - 1].holds(hashes)
+            return (full if len(known) == 2 else none), none, full, None
+
+        return decide
+
+    for _ in (1, 2):
+        full, _ = _full_buckets(_scan(drawn, rule), least)
+        sent.append(spark.sparkContext.broadcast(full))
+    counts = _counted(_scan(drawn, rule)).filter(F.col("n") >= least)
+    counts, size = measured(counts, "proposal", n=F.count(F.lit(1)))
+    proposal = _bitmap(counts.select("bucket"), size["n"])
     drop_tables(drawn)
-    return found
+    return proposal, counts
 
 
 def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: float = SAMPLE) -> tuple[DataFrame, DataFrame]:
     """(phrases, totals): exact counts (lang, phrase, words, n) of all phrases with at
     least ``min_count`` occurrences, and the words of each language (lang, total)."""
     docs = docs.select(docs[id_col].alias("id"), F.coalesce(docs[lang_col].cast("string"), F.lit("und")).alias("lang"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
-    proposed = _sample(docs, min_count, sample)
-    scope, before, totals, counted = _bitmap(proposed), None, None, None
-    while True:
-        counts = _pass(docs, list(range(1, MAX_WORDS + 1)), scope, before)
-        if totals is None:
-            counts = materialize(counts.filter((F.col("n") >= min_count) | (F.col("words") == 1)), "counts")
-            totals = materialize(counts.filter("words = 1").groupBy("lang").agg(F.sum("n").alias("total")), "totals")
-        found = materialize(counts.filter(F.col("n") >= min_count), "frequent")
-        counted = found if counted is None else counted.unionByName(found)
-        failed = counted.join(proposed, ["lang", "phrase"], "left_anti").select("lang", "phrase")
-        failed, size = measured(failed, "failed", n=F.count(F.lit(1)))
-        if not size["n"] or not _uncounted(counted, failed):
-            return counted, totals
-        before, proposed = scope, proposed.unionByName(failed)
-        scope = _grown(proposed, before)
-
-
-def _grown(proposed: DataFrame, before: np.ndarray) -> np.ndarray:
-    """The bitmap of a grown proposal; it has all bits of the one before."""
-    out = _bitmap(proposed)
-    if len(out) < len(before):
-        out = np.tile(out, len(before) // len(out))
-    return out | np.tile(before, len(out) // len(before))
-
-
-def _uncounted(counted: DataFrame, failed: DataFrame) -> bool:
-    """Whether a failure and a frequent phrase overlap on all but one word each, so that
-    a phrase of one more word may be frequent without having been counted."""
-    shorter = counted.filter(F.col("words") < MAX_WORDS).withColumn("w", F.split("phrase", " "))
-    body = shorter.select(
-        "lang", "words", "phrase",
-        F.array_join(F.slice("w", F.lit(2), F.col("words") - 1), " ").alias("tail"),
-        F.array_join(F.slice("w", F.lit(1), F.col("words") - 1), " ").alias("head"),
-    )
-    bad = body.join(failed, ["lang", "phrase"], "left_semi")
-    right = body.select("lang", "words", F.col("head").alias("tail"))
-    left = body.select("lang", "words", F.col("tail").alias("head"))
-    longer = bad.join(right, ["lang", "words", "tail"], "left_semi").select("lang").unionByName(bad.join(left, ["lang", "words", "head"], "left_semi").select("lang"))
-    return bool(longer.limit(1).count())
+    spark = docs.sparkSession
+    proposal, _ = _sample(docs, min_count, sample)
+    proposal = spark.sparkContext.broadcast(proposal)
+
+    def first():
+        proposed = Bitmap(proposal.value)
+
+        def decide(chunk, n, at, hashes, state):
+            mine = proposed.holds(hashes)
+            return mine, ~mine, mine, None
+
+        return decide
+
+    scanned = materialize(_scan(docs, first, totals=True), "scanned")
+    counts = materialize(_counted(scanned).filter(F.col("n") >= F.when(F.col("words") > 0, min_count).otherwise(0)), "counts")
+    totals = counts.filter("words = 0").select("lang", F.col("n").alias("total"))
+    phrases = counts.filter("words > 0").select("lang", "phrase", "words", "n")
+    failures, failed = _full_buckets(scanned, min_count)
+    drop_tables(scanned)
+    if not failed:  # no border phrase is frequent, so no longer one is
+        return phrases, totals
+    failures = spark.sparkContext.broadcast(failures)
+
+    def further():
+        proposed, full = Bitmap(proposal.value), Bitmap(failures.value)
+
+        def decide(chunk, n, at, hashes, state):
+            # state: starts in scope of the first pass
+            before = np.ones(len(at), bool) if state is None else state[at]
+            mine = proposed.holds(hashes)
+            extend = mine | full.holds(hashes) | ~before
+            counted = before & mine
+            was = np.zeros(chunk.count, bool)
+            was[at] = counted
+            return extend & ~counted, np.zeros(len(at), bool), extend, chunk.longer(was, n)
+
+        return decide
+
+    more = _counted(_scan(docs, further)).filter(F.col("n") >= min_count).select("lang", "phrase", "words", "n")
+    return phrases.unionByName(materialize(more, "further")), totals
 
 
 def scored(phrases: DataFrame, totals: DataFrame) -> DataFrame:
