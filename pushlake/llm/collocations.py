@@ -53,7 +53,7 @@ MAX_BITMAP = MAX_BROADCAST_BYTES
 #: Bytes of texts that a task reads at a time; phrases and border occurrences it holds
 #: before it writes them.
 CHUNK = 1 << 21
-MAX_HELD = 200_000
+MAX_HELD = 400_000
 MAX_BORDER = 2_000_000
 #: A bucket is the top bits of a phrase hash; a range of buckets its top RANGE_BITS.
 BUCKET_BITS = 36
@@ -93,34 +93,31 @@ def _bitmap(buckets: DataFrame, count: int) -> np.ndarray:
     return out.view(np.uint64)
 
 
-def _words(texts: list[bytes]):
-    """Words of all texts, the piece of each word and the text of each word."""
-    data = b"\n".join(texts).translate(_TABLE)
-    raw = np.frombuffer(data, np.uint8)
-    word = (raw != 0x20) & (raw != 0x0A)
-    start = word.copy()
-    start[1:] &= ~word[:-1]
-    at = np.flatnonzero(start)
-    piece = np.cumsum(raw == 0x0A, dtype=np.int32)[at]
-    ends = np.cumsum([len(t) + 1 for t in texts])
-    return data.split(), piece, np.searchsorted(ends, at, side="right")
-
-
 class _Chunk:
     """The words of some texts, and their phrases level by level."""
 
     def __init__(self, texts: list[bytes], langs: list[str]):
-        self.words, self.piece, text = _words(texts)
+        self.data = b"\n".join(texts).translate(_TABLE)
+        raw = np.frombuffer(self.data, np.uint8)
+        inside = np.zeros(len(raw) + 2, bool)
+        inside[1:-1] = (raw != 0x20) & (raw != 0x0A)
+        edges = np.flatnonzero(inside[1:] != inside[:-1])
+        self.start, self.end = edges[::2], edges[1::2]
+        self.count = len(self.start)
+        self.piece = np.cumsum(raw == 0x0A, dtype=np.int32)[self.start]
+        text = np.searchsorted(np.cumsum([len(t) + 1 for t in texts]), self.start, side="right")
+        # words before which more than one space stands, counted: phrases over them are no slice of the data
+        self.spaced = np.zeros(max(2, self.count + 1), np.int32)
+        self.spaced[2:] = np.cumsum(self.start[1:] - self.end[:-1] > 1)
         self.names = sorted(set(langs))
         index = {x: i for i, x in enumerate(self.names)}
-        self.lang = np.array([index[x] for x in langs], np.int64)[text] if self.words else np.empty(0, np.int64)
-        ids: dict[bytes, int] = {}
-        self.word = np.fromiter((ids.setdefault(w, len(ids)) for w in self.words), np.int64, len(self.words))
+        self.lang = np.array([index[x] for x in langs], np.int64)[text]
+        words = self.data.split()
+        ids = {w: i for i, w in enumerate(dict.fromkeys(words))}
+        self.word = np.fromiter(map(ids.__getitem__, words), np.int64, self.count)
         self.kinds = len(ids)
-        salts = np.array([xxhash.xxh64_intdigest(x.encode(), 1) for x in self.names], np.uint64)
-        own = np.fromiter(map(xxhash.xxh64_intdigest, ids), np.uint64, len(ids))
-        self.hash = mix(own[self.word] ^ salts[self.lang]) if self.words else np.empty(0, np.uint64)
-        self.count = len(self.words)
+        own = np.fromiter(map(xxhash.xxh64_intdigest, ids), np.uint64, self.kinds)
+        self.hash = mix(own[self.word] ^ np.array([_salt(x) for x in self.names], np.uint64)[self.lang])
 
     def longer(self, extend: np.ndarray, n: int) -> np.ndarray:
         """Starts of phrases of n + 1 words in one piece whose phrases of n words, the
@@ -132,34 +129,68 @@ class _Chunk:
     def next_hash(self, hashes: np.ndarray, n: int) -> np.ndarray:
         """Hashes of the phrases of n + 1 words from those of n (0 past the end)."""
         out = np.zeros(self.count, np.uint64)
-        out[:-n] = mix(hashes[:-n] * _STEP + self.hash[n:])
+        out[:-n] = _longer_hash(hashes[:-n], self.hash[n:])
+        return out
+
+    def phrases(self, heads: np.ndarray, n: int) -> list[bytes]:
+        """The phrases of n words at ``heads``, joined by one space."""
+        data = self.data
+        out = [data[a:b] for a, b in zip(self.start[heads].tolist(), self.end[heads + n - 1].tolist())]
+        for i in np.flatnonzero(self.spaced[heads + n] > self.spaced[heads + 1]).tolist():
+            out[i] = b" ".join(out[i].split())
         return out
 
 
+def _salt(lang: str) -> int:
+    return xxhash.xxh64_intdigest(lang.encode(), 1)
+
+
+def _longer_hash(hashes, word):
+    return mix(hashes * _STEP + word)
+
+
+def _buckets(phrases: DataFrame) -> DataFrame:
+    """The bucket of every (lang, phrase), as tasks number them."""
+
+    def number(batches):
+        for batch in batches:
+            out = []
+            for lang, phrase in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                own = mix(np.array([xxhash.xxh64_intdigest(w.encode()) for w in phrase.split(" ")], np.uint64) ^ np.uint64(_salt(lang)))
+                h = own[:1]
+                for i in range(1, len(own)):
+                    h = _longer_hash(h, own[i : i + 1])
+                out.append(int(h[0]) >> (64 - BUCKET_BITS))
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.int64())], names=["bucket"])
+
+    return phrases.select("lang", "phrase").mapInArrow(number, "bucket long")
+
+
 class _Held:
     """Counts of phrases by language, written in bounded portions."""
 
     def __init__(self):
-        self.counts: dict[str, dict[bytes, list]] = {}
-        self.size = 0
+        self.counts: dict[str, dict[bytes, int]] = {}
+
+    def size(self) -> int:
+        return sum(map(len, self.counts.values()))
 
-    def add(self, lang: str, phrase: bytes, hash_: int, n: int) -> None:
+    def add(self, lang: str, phrases: list[bytes], counts: list[int]) -> None:
         own = self.counts.setdefault(lang, {})
-        if phrase in own:
-            own[phrase][1] += n
-        else:
-            own[phrase] = [hash_, n]
-            self.size += 1
+        get = own.get
+        for p, c in zip(phrases, counts):
+            own[p] = get(p, 0) + c
 
-    def rows(self) -> pa.RecordBatch:
-        flat = [(lang, p.decode(), h, n) for lang, own in self.counts.items() for p, (h, n) in own.items()]
-        self.__init__()
-        columns = [pa.array(list(x), t) for x, t in zip(zip(*flat) if flat else [()] * 4, (pa.string(), pa.string(), pa.int64(), pa.int64()))]
-        return pa.RecordBatch.from_arrays([*columns, pa.nulls(len(flat), pa.int32()), pa.nulls(len(flat), pa.binary())], names=_COLUMNS)
+    def rows(self):
+        for lang, own in self.counts.items():
+            n = len(own)
+            columns = [pa.array([lang], pa.string()).take(pa.array(np.zeros(n, np.int32))), pa.array(own.keys(), pa.binary(), size=n).cast(pa.string()), pa.array(own.values(), pa.int64(), size=n)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names=_COLUMNS)
+        self.counts = {}
 
 
-_COLUMNS = ["lang", "phrase", "bucket", "n", "range", "entries"]
-_ROWS = "lang string, phrase string, bucket long, n long, range int, entries binary"
+_COLUMNS = ["lang", "phrase", "n", "range", "entries"]
+_ROWS = "lang string, phrase string, n long, range int, entries binary"
 
 
 def _entries(hashes: list[np.ndarray]):
@@ -175,7 +206,7 @@ def _ranges(buckets: np.ndarray, counts: np.ndarray, shift: int):
     firsts = np.concatenate([[0], cuts])
     packed = [_pack(b, c) for b, c in zip(np.split(buckets, cuts), np.split(counts, cuts))]
     n = len(packed)
-    nothing = [pa.nulls(n, pa.string()), pa.nulls(n, pa.string()), pa.nulls(n, pa.int64())]
+    nothing = [pa.nulls(n, pa.string()), pa.nulls(n, pa.string())]
     sizes = np.diff(np.append(firsts, len(buckets)))
     yield pa.RecordBatch.from_arrays([*nothing, pa.array(sizes, pa.int64()), pa.array(parts[firsts], pa.int32()), pa.array(packed, pa.binary())], names=_COLUMNS)
 
@@ -232,8 +263,8 @@ def _scan(docs: DataFrame, rule, totals: bool = False) -> DataFrame:
             if not chunk.count:
                 continue
             if totals:
-                for i, n in enumerate(np.bincount(chunk.lang)):
-                    held.add(chunk.names[i], b"", 0, int(n))
+                for i, c in enumerate(np.bincount(chunk.lang).tolist()):
+                    held.add(chunk.names[i], [b""], [c])
             scope, hashes, names, state = np.ones(chunk.count, bool), chunk.hash, chunk.lang * chunk.kinds + chunk.word, None
             for n in range(1, MAX_WORDS + 1):
                 at = np.flatnonzero(scope)
@@ -242,16 +273,16 @@ def _scan(docs: DataFrame, rule, totals: bool = False) -> DataFrame:
                 single, bucketed, extend, state = decide(chunk, n, at, hashes[at], state)
                 if bucketed.any():
                     border.append(hashes[at[bucketed]])
-                    waiting += int(bucketed.sum())
-                keep = single | extend
+                    waiting += len(border[-1])
+                keep = at[single | extend]
                 rank = np.zeros(chunk.count, np.int64)
-                if keep.any():
-                    kinds, first, inverse, counts = np.unique(names[at[keep]], return_index=True, return_inverse=True, return_counts=True)
-                    rank[at[keep]] = inverse
-                    heads = at[keep][first]
-                    for i, c, wanted in zip(heads.tolist(), counts.tolist(), single[keep][first].tolist()):
-                        if wanted:
-                            held.add(chunk.names[chunk.lang[i]], b" ".join(chunk.words[i : i + n]), int(hashes[i] >> np.uint64(64 - BUCKET_BITS)), c)
+                _, first, inverse, counts = np.unique(names[keep], return_index=True, return_inverse=True, return_counts=True)
+                rank[keep] = inverse
+                wanted = single[single | extend][first]
+                heads, counts = keep[first[wanted]], counts[wanted]
+                for i, name in enumerate(chunk.names):
+                    own = chunk.lang[heads] == i
+                    held.add(name, chunk.phrases(heads[own], n), counts[own].tolist())
                 if n == MAX_WORDS:
                     break
                 marked = np.zeros(chunk.count, bool)
@@ -260,13 +291,12 @@ def _scan(docs: DataFrame, rule, totals: bool = False) -> DataFrame:
                 hashes = chunk.next_hash(hashes, n)
                 names = np.zeros(chunk.count, np.int64)
                 names[:-n] = rank[:-n] * chunk.kinds + chunk.word[n:]
-            if held.size >= MAX_HELD:
-                yield held.rows()
+            if held.size() >= MAX_HELD:
+                yield from held.rows()
             if waiting >= MAX_BORDER:
                 yield from _entries(border)
                 border, waiting = [], 0
-        if held.size:
-            yield held.rows()
+        yield from held.rows()
         if border:
             yield from _entries(border)
 
@@ -274,10 +304,10 @@ def _scan(docs: DataFrame, rule, totals: bool = False) -> DataFrame:
 
 
 def _counted(rows: DataFrame) -> DataFrame:
-    """(lang, phrase, bucket, words, n) of the phrases that were counted one by one."""
-    rows = rows.filter(F.col("phrase").isNotNull()).groupBy("lang", "phrase").agg(F.first("bucket").alias("bucket"), F.sum("n").alias("n"))
+    """(lang, phrase, words, n) of the phrases that were counted one by one."""
+    rows = rows.filter(F.col("phrase").isNotNull()).groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
     words = F.when(F.col("phrase") == "", 0).otherwise(F.size(F.split("phrase", " ")))
-    return rows.select("lang", "phrase", "bucket", words.alias("words"), "n")
+    return rows.select("lang", "phrase", words.alias("words"), "n")
 
 
 def _full_buckets(rows: DataFrame, least: int) -> tuple[np.ndarray, int]:
@@ -333,7 +363,7 @@ def _sample(docs: DataFrame, min_count: int, share: float) -> tuple[np.ndarray,
         sent.append(spark.sparkContext.broadcast(full))
     counts = _counted(_scan(drawn, rule)).filter(F.col("n") >= least)
     counts, size = measured(counts, "proposal", n=F.count(F.lit(1)))
-    proposal = _bitmap(counts.select("bucket"), size["n"])
+    proposal = _bitmap(_buckets(counts), size["n"])
     drop_tables(drawn)
     return proposal, counts
 
