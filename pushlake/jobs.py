@@ -13,7 +13,7 @@ import argparse
 import datetime as dt
 import os
 import sys
-from typing import Callable, Iterable
+from typing import Callable
 
 if __package__ in (None, ""):  # run as a script: spark-submit pushlake/jobs.py <job> ...
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -36,13 +36,14 @@ APPLIST_MAX_ITEMS = 100_000
 def http_api_to_orc(spark: SparkSession, inputs: str, output: str, tz: str = DEFAULT_TZ, rejects: str | None = None) -> dict:
     """Text HTTP-API log lines -> typed ORC records (P1 + K1); bad lines are counted
     and, with ``rejects``, written as (line, reason) text. Returns the counters."""
-    parsed = parse.parse_http_api(readers.read_lines(spark, inputs), tz=tz)
     obs = Observation("http_api")
-    parsed = rollup.observe_counts(parsed, obs)
-    sinks.to_orc(parse.accepted(parsed).select(*parse.HTTP_API_COLUMNS), output)
+    parsed = rollup.observe_counts(parse.parse_http_api(readers.read_lines(spark, inputs), tz=tz), obs)
+    write = lambda rows: sinks.to_orc(rows.select(*parse.HTTP_API_COLUMNS), output)
     if rejects:
-        bad = parse.rejects(parse.parse_http_api(readers.read_lines(spark, inputs), tz=tz))
-        bad.select(F.concat_ws("\t", "reason", "line").alias("value")).write.mode("overwrite").text(rejects)
+        text = F.concat_ws("\t", parse.REJECT, "line").alias("value")
+        sinks.write_split(parsed, write, lambda rows: rows.select(text).write.mode("overwrite").text(rejects))
+    else:
+        write(parse.accepted(parsed))
     return obs.get
 
 
@@ -73,14 +74,15 @@ def profile_to_sorted_cells(spark: SparkSession, inputs: str, output: str, kind:
     sinks.to_sorted_cells(out, n_files, output)
 
 
-def pairs_to_index(spark: SparkSession, inputs: str, send: Callable[[list[dict]], Iterable[str] | None], itime: int,
-                   batch: int = sinks.INDEX_BULK) -> None:
+def pairs_to_index(spark: SparkSession, inputs: str, send: Callable[[list[dict]], sinks.Failures | None], itime: int,
+                   batch: int = sinks.INDEX_BULK, failures: str | None = None) -> int:
     """``imei pkg`` lines in file order -> runs of equal imei (rejects do not break a
-    run) -> the last run of each imei -> bulk index documents (P9 + W1 + W2 + K7)."""
+    run) -> the last run of each imei -> bulk index documents (P9 + W1 + W2 + K7). Returns
+    the number of failed documents; their ids and reasons go to ``failures``."""
     lines = readers.read_lines(spark, inputs)
     pairs = parse.accepted(parse.parse_pairs(lines, keep=["_file", "_block", "_pos"]))
     runs = ordered.group_runs(pairs, "imei", "pkg", ["_file", "_block", "_pos"], segment=["_file", "_block"])
-    sinks.to_index_docs(ordered.last_run(runs, "imei", "pkg"), "imei", "pkg", itime, send, batch)
+    return sinks.to_index_docs(ordered.last_run(runs, "imei", "pkg"), "imei", "pkg", itime, send, batch, failures)
 
 
 def merge_versions(spark: SparkSession, docs: DataFrame, inputs: str, flag: str) -> DataFrame:
@@ -114,10 +116,7 @@ def hourly_stats(spark: SparkSession, base: str, start: dt.datetime, end: dt.dat
     """Hour directories of [start, end) (all of them, unless ``absent="skip"``) -> HTTP-API records -> hour and day stats in
     one pass -> ``month=/day=`` partitions, replaced on rerun (S4 + P1 + A11 + K9)."""
     recs = parse.accepted(parse.parse_http_api(readers.read_hours(spark, base, start, end, template=template, absent=absent), tz=tz))
-    stats = rollup.hour_day_stats(
-        recs, "iday", "ihour",
-        [F.count(F.lit(1)).alias("n_msgs"), F.countDistinct("appkey").alias("n_appkeys"), F.countDistinct("msgid").alias("n_msgids")],
-    )
+    stats = rollup.hour_day_counts(recs, "iday", "ihour", "n_msgs", {"n_appkeys": "appkey", "n_msgids": "msgid"})
     stats = stats.withColumn("month", (F.col("iday") / 100).cast("bigint").cast("string")).withColumn(
         "day", F.lpad((F.col("iday") % 100).cast("string"), 2, "0")
     )
@@ -125,8 +124,9 @@ def hourly_stats(spark: SparkSession, base: str, start: dt.datetime, end: dt.dat
 
 
 def push_events_stream(messages: DataFrame, output: str, checkpoint: str, seconds: float):
-    """Message stream -> \\u0001 rows committed every ``seconds`` by batch id (R1 + R4)."""
-    return consume.consume(messages, consume.push_stream, consume.idempotent_writer(output, "text"), seconds, checkpoint)
+    """Message stream -> \\u0001 rows committed every ``seconds`` under the query's id and
+    batch id (R1 + R4); read them with ``consume.read_committed``."""
+    return consume.consume(messages, consume.push_stream, consume.committed_writer(output, checkpoint, "text"), seconds, checkpoint)
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -9,7 +9,7 @@ filter: no shuffle, no Python.
 
 from __future__ import annotations
 
-from typing import Callable, Iterable, Iterator
+from typing import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -306,92 +306,15 @@ def with_parser(df: DataFrame, fn: Callable[[DataFrame], DataFrame]) -> DataFram
     return df.transform(fn)
 
 
-def with_python_parser(
-    df: DataFrame,
-    fn: Callable[[Iterator["object"]], Iterator["object"]],
-    schema: str,
-) -> DataFrame:
-    """P12 fallback: a user parser that yields 0..n rows per input, run batch-wise on
-    Arrow with ``mapInPandas`` (keeps the input partitioning; no per-row Python calls
-    from the JVM)."""
-    return df.mapInPandas(fn, schema)
-
-
-def pandas_envelope_parser(batches):
-    """Example P12 hook: P2 + P3 in pandas, for users whose parser is Python code."""
-    import json
-
-    import pandas as pd
-
-    cols = ["appkey", "platform", "msg_id", "uid", "itime"]
-    for pdf in batches:
-        out = []
-        for body in pdf["body"]:
-            try:
-                obj = json.loads(body)
-            except (TypeError, ValueError):
-                continue
-            if not isinstance(obj, dict):
-                continue
-            items = obj.get("rows")
-            items = [obj] if items is None else items
-            if not isinstance(items, list):
-                continue
-            for it in items:
-                row = _python_project(it)
-                if row is not None:
-                    out.append(row)
-        yield pd.DataFrame(out, columns=cols).astype({"msg_id": "int64", "uid": "int64", "itime": "int64"})
-
-
-def _python_project(obj):
-    def as_long(v):
-        if isinstance(v, bool) or v is None:
-            return None
-        if isinstance(v, int):
-            return v
-        if isinstance(v, str):
-            try:
-                return int(v.strip())
-            except ValueError:
-                return None
-        return None
-
-    def text(v):
-        if isinstance(v, (dict, list)):
-            import json
-
-            return json.dumps(v, separators=(",", ":"))
-        if isinstance(v, bool):
-            return "true" if v else "false"
-        return None if v is None else str(v)
-
-    if not isinstance(obj, dict):
-        return None
-    msg_id = as_long(obj.get("msg_id"))
-    if msg_id is None or msg_id == SENTINEL_MSG_ID:
-        return None
-    step = obj.get("step")
-    if step is None or _java_strip(text(step)) not in TARGET_STEPS:
-        return None
-    appkey = "null"
-    if "appkey" in obj:
-        if obj["appkey"] is None:
-            return None
-        appkey = _java_strip(text(obj["appkey"]))
-    platform = "null"
-    if "platform" in obj and obj["platform"] is not None:
-        platform = text(obj["platform"])
-    itime, uid = as_long(obj.get("itime")), as_long(obj.get("uid"))
-    if itime is None or uid is None:
-        return None
-    return (appkey, platform, msg_id, uid, itime)
-
-
-def _java_strip(s: str) -> str:
-    i, j = 0, len(s)
-    while i < j and ord(s[i]) <= 0x20:
-        i += 1
-    while j > i and ord(s[j - 1]) <= 0x20:
-        j -= 1
-    return s[i:j]
+def with_table_function(df: DataFrame, parser: type, schema: str, arg: str, keep: Iterable[str] = ()) -> DataFrame:
+    """P12 fallback: a user parser in Python as a table function: a class whose
+    ``eval(value)`` yields 0..n rows of ``schema`` for the value of column ``arg``. It is
+    joined laterally, so each input's rows come beside the columns of ``keep``, and rows
+    travel in Arrow batches. A parser that tells rejects from records yields them with a
+    reason (``accepted``, ``rejects``)."""
+    table = F.udtf(parser, returnType=schema, useArrow=True)
+    # names of its own: the parser may return columns that the input has as well
+    inputs = df.select(F.col(arg).alias("_arg"), *[F.col(c).alias(f"_keep_{c}") for c in keep])
+    out = inputs.lateralJoin(table(F.col("_arg").outer()))
+    kept = [F.col(f"_keep_{c}").alias(c) for c in keep]
+    return out.select(*kept, *[c for c in out.columns if c != "_arg" and not c.startswith("_keep_")])

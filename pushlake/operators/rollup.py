@@ -8,10 +8,12 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pushlake.functions._cols import ColumnOrName, as_col
+from pushlake.session import scratch_path
+
 
 def applist_time(itime: ColumnOrName) -> Column:
     """A2: group timestamp: a positive 10-digit itime times 1000, else null (the store's
@@ -85,10 +87,10 @@ def hour_day_stats(df: DataFrame, day: str, hour: str, aggs: Sequence[Column], e
     """Hour stats and day stats of the same input in one pass
     (GROUPING SETS ((keys, day, hour), (keys, day))), with ``grain`` = hour / day.
 
-    One scan serves both grains. Exact distinct counts expand each row once per
-    distinct column and grain before the partial aggregate; for near-unique columns
-    at large scale use ``hour_day_stats_sketched`` (days rolled up from hour
-    sketches)."""
+    One scan serves both grains, for any aggregates. Exact distinct counts expand each
+    row once per distinct column and grain before the partial aggregate: use
+    ``hour_day_counts`` where counts are all that is wanted, or
+    ``hour_day_stats_sketched`` for estimates."""
     keys = list(extra_keys) + [day, hour]
     # Column-API grouping sets: one Expand + one partial aggregate, one shuffle.
     return df.groupingSets([keys, list(extra_keys) + [day]], *keys).agg(
@@ -96,13 +98,88 @@ def hour_day_stats(df: DataFrame, day: str, hour: str, aggs: Sequence[Column], e
     )
 
 
+HOURS = 24
+
+
+def hour_day_counts(df: DataFrame, day: str, hour: str, count: str, distinct: dict[str, str]) -> DataFrame:
+    """A11 with exact distinct counts from one partitioning: rows per hour and day
+    (``count``) and distinct values of each ``distinct`` entry (name -> column), as
+    (day, hour, grain, counts...). ``day`` is an int yyyyMMdd, ``hour`` yyyyMMddHH.
+
+    A record becomes one row per counted column, whatever the grains. These are grouped
+    once by (day, column, value) with a bit for every hour the value was seen in: the
+    groups of a day are its distinct values, and those with the bit of an hour are the
+    hour's. So there is no Expand by grain, both grains come from one shuffle with map-side
+    combine, and a hot day or hour is spread by value."""
+    kinds = {df.schema[c].dataType for c in distinct.values()}
+    value = (lambda c: F.col(c)) if len(kinds) == 1 else (lambda c: F.col(c).cast("string"))
+    nothing = F.lit(None).cast(kinds.pop() if len(kinds) == 1 else "string")
+    bit = F.expr(f"shiftleft(1L, cast(`{hour}` % 100 as int))")
+    # the rows of an hour are one group, told apart from values by its tag
+    parts = [F.struct((F.lit(-1) - F.col(hour) % 100).cast("int").alias("tag"), nothing.alias("value"))]
+    parts += [F.struct(F.lit(i).alias("tag"), value(c).alias("value")) for i, c in enumerate(distinct.values())]
+    rows = df.select(F.col(day).alias("day"), bit.alias("bit"), F.inline(F.array(*parts))).filter("tag < 0 or value is not null")
+    seen = rows.groupBy("day", "tag", "value").agg(F.count(F.lit(1)).alias("c"), F.bit_or("bit").alias("hours"))
+    # by day and column: one number for each hour and one for the day
+    adds = F.when(F.col("tag") < 0, F.col("c")).otherwise(1)
+    seen = seen.select("day", F.greatest("tag", F.lit(-1)).alias("tag"), adds.alias("adds"), "hours")
+    in_hour = [F.sum(F.when(F.shiftright("hours", h).bitwiseAND(F.lit(1)) == 1, F.col("adds")).otherwise(0)).alias(f"h{h}") for h in range(HOURS)]
+    days = seen.groupBy("day", "tag").agg(F.sum("adds").alias("all"), *in_hour)
+    slots = [F.struct(F.lit(h).alias("h"), F.col(f"h{h}").alias("x")) for h in range(HOURS)] + [F.struct(F.lit(HOURS).alias("h"), F.col("all").alias("x"))]
+    long = days.select("day", "tag", F.inline(F.array(*slots)))
+    names = [count, *distinct]
+    out = long.groupBy("day", "h").agg(*[F.coalesce(F.max(F.when(F.col("tag") == i - 1, F.col("x"))), F.lit(0)).alias(n) for i, n in enumerate(names)])
+    is_day = F.col("h") == HOURS
+    return out.filter(F.col(count) > 0).select(
+        F.col("day").alias(day),
+        F.when(~is_day, F.col("day") * 100 + F.col("h")).cast(df.schema[hour].dataType).alias(hour),
+        F.when(is_day, "day").otherwise("hour").alias("grain"),
+        *names,
+    )
+
+
 def page(df: DataFrame, order: Sequence[ColumnOrName], limit: int = 0, offset: int = 0) -> DataFrame:
-    """LIMIT / OFFSET paging over a total order; a limit or offset <= 0 means none."""
-    out = df.orderBy(*[as_col(c) for c in order])
-    if offset > 0:
-        out = out.offset(offset)
-    if limit > 0:
-        out = out.limit(limit)
+    """LIMIT / OFFSET paging over a total order; a limit or offset <= 0 means none.
+
+    With an offset the rows are written once in range partitions of ``order`` and counted
+    by partition; only the partitions that hold the page are read again, and only in
+    the first and the last of them are rows counted. So no task sorts or skips more
+    than one range, at any depth."""
+    keys = [as_col(c) for c in order]
+    if offset <= 0:
+        out = df.orderBy(*keys)
+        return out.limit(limit) if limit > 0 else out
+    path = scratch_path(df.sparkSession, "pages")
+    ranged = df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_part", F.spark_partition_id())
+    ranged.write.partitionBy("_part").parquet(path)
+    stored = df.sparkSession.read.schema(ranged.schema).parquet(path)
+    sizes = stored.groupBy("_part").agg(F.count(F.lit(1)).alias("n")).orderBy("_part").collect()  # one row per range
+    return _cut(stored, keys, [(r["_part"], r.n) for r in sizes], limit, offset).drop("_part").orderBy(*keys)
+
+
+def page_parts(sizes: Sequence[tuple[int, int]], limit: int, offset: int) -> list[tuple[int, int, int]]:
+    """(part, first, end) of the rows of a page, counted from 1 inside each of the ordered
+    parts (part, rows) that hold it."""
+    end = offset + limit if limit > 0 else sum(n for _, n in sizes)
+    out, before = [], 0
+    for part, n in sizes:
+        first, last = max(offset - before, 0), min(end - before, n)
+        if first < last:
+            out.append((part, first + 1, last))
+        before += n
+    return out
+
+
+def _cut(stored: DataFrame, keys: Sequence[Column], sizes: Sequence[tuple[int, int]], limit: int, offset: int) -> DataFrame:
+    whole = dict(sizes)
+    parts = page_parts(sizes, limit, offset)
+    inner = [p for p, first, last in parts if first == 1 and last == whole[p]]
+    out = stored.filter(F.col("_part").isin(inner)) if inner else stored.filter("false")
+    for p, first, last in parts:
+        if p not in inner:
+            place = F.row_number().over(Window.partitionBy("_part").orderBy(*keys))
+            edge = stored.filter(F.col("_part") == p).withColumn("_place", place)
+            out = out.unionByName(edge.filter(F.col("_place").between(first, last)).drop("_place"))
     return out
 
 

@@ -220,6 +220,43 @@ def c11_query_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("price", F.col("price").cast("double"))
 
 
+@register("c11_filter_outside", sql=f"""
+WITH {STAR}
+SELECT r_name, CAST(sum(price) AS DOUBLE) AS price, count(*) AS n FROM star
+WHERE o_orderpriority IN ('1-URGENT', '2-HIGH') AND c_mktsegment <> 'BUILDING' GROUP BY r_name""")
+def c11_filter_outside(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C11: price by region under a filter on two dimensions that are not grouped: rolled
+    up from the smallest cuboid that has all three."""
+    cube = CB.build_cube(fx.star(spark, sf_dir), DIMS, measures())
+    where = F.col("o_orderpriority").isin("1-URGENT", "2-HIGH") & (F.col("c_mktsegment") != "BUILDING")
+    out = CB.query_cube(cube, DIMS, ["r_name"], ["price", "n"], where=where)
+    return out.withColumn("price", F.col("price").cast("double"))
+
+
+@register("c11_partial_cube", sql=f"""
+WITH {STAR}
+SELECT 'rolled up' AS source, r_name AS value, CAST(sum(price) AS DOUBLE) AS price FROM star GROUP BY r_name
+UNION ALL SELECT 'filtered', o_orderstatus, CAST(sum(price) AS DOUBLE) FROM star WHERE r_name <> 'ASIA' GROUP BY o_orderstatus
+UNION ALL SELECT 'base', c_mktsegment, CAST(sum(price) AS DOUBLE) FROM star WHERE o_orderpriority = '5-LOW' GROUP BY c_mktsegment""")
+def c11_partial_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C11 on a cube of two stored cuboids: one query rolled up, one filtered outside its
+    group-by, and one that no stored cuboid covers, answered from the base table."""
+    star = fx.star(spark, sf_dir)
+    cube = CB.build_cube(star, DIMS, measures(), cuboids=[["r_name", "o_orderstatus"], ["o_orderstatus", "o_orderpriority"]])
+    rows = CB.cuboid_rows(cube)
+    asked = [
+        ("rolled up", "r_name", None),
+        ("filtered", "o_orderstatus", F.col("r_name") != "ASIA"),
+        ("base", "c_mktsegment", F.col("o_orderpriority") == "5-LOW"),
+    ]
+    out = None
+    for source, dim, where in asked:
+        found = CB.query_cube(cube, DIMS, [dim], "price", where=where, base=star, fallback=True, rows=rows)
+        found = found.select(F.lit(source).alias("source"), F.col(dim).alias("value"), F.col("price").cast("double").alias("price"))
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
 @register("f10_dim_filter", sql=f"""
 WITH {STAR}
 SELECT o_orderstatus, count(*) AS n FROM star WHERE c_mktsegment = 'BUILDING' GROUP BY o_orderstatus""")
@@ -239,21 +276,45 @@ c AS (SELECT o_year, r_name, o_orderstatus, CAST(GROUPING(r_name, o_orderstatus)
 SELECT CAST(o_year AS VARCHAR) || '0101000000_' || CAST(o_year + 1 AS VARCHAR) || '0101000000' AS segment, r_name, o_orderstatus, gid, n, price
 FROM c WHERE o_year < (SELECT max(o_year) FROM star)""")
 def c12_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One cube segment per order year, built and written one at a time; then
-    the last segment is dropped (a middle one may not be)."""
+    """One cube segment per order year, all built from one scan of the facts and
+    written at once; then the last segment is dropped (a middle one may not be)."""
     star = fx.star(spark, sf_dir)
     path = scratch_path(spark, "cube_segments")
-    years = [r[0] for r in star.select("o_year").distinct().orderBy("o_year").collect()]  # one row per segment
-    for y in years:
-        rows = star.filter(F.col("o_year") == y)
-        cube = CB.build_cube(rows, SEG_DIMS, measures())
-        CB.add_segment(_cube_out(cube, SEG_DIMS), path, f"{y}0101000000", f"{y + 1}0101000000")
-    if years:
-        y = years[-1]
-        CB.drop_segment(spark, path, f"{y}0101000000", f"{y + 1}0101000000")
+    # the range of years comes from the orders alone: two values
+    lo, hi = fx.table(spark, sf_dir, "orders").agg(F.min(F.year("o_orderdate")), F.max(F.year("o_orderdate"))).first()
+    years = [] if lo is None else [(f"{y}0101000000", f"{y + 1}0101000000") for y in range(lo, hi + 1)]
+    time_key = F.concat(F.col("o_year").cast("string"), F.lit("0101000000"))
+    CB.add_segments(star, path, time_key, years, SEG_DIMS, measures(), lambda cube: _cube_out(cube, ["segment", *SEG_DIMS]))
+    stored = CB.list_segments(spark, path)
+    CB.drop_segment(spark, path, *stored[-1].split("_"))
     return spark.read.parquet(path).select("segment", *SEG_DIMS, "gid", "n", "price")
 
 
+@register("c12_merged_segments", sql=f"""
+WITH {STAR},
+c AS (SELECT o_year // 2 AS pair, r_name, o_orderstatus, CAST(GROUPING(r_name, o_orderstatus) AS BIGINT) AS gid, count(*) AS n, CAST(sum(price) AS DOUBLE) AS price
+      FROM star GROUP BY o_year // 2, CUBE (r_name, o_orderstatus))
+SELECT CAST(2 * pair AS VARCHAR) || '0101000000_' || CAST(2 * pair + 2 AS VARCHAR) || '0101000000' AS segment, r_name, o_orderstatus, gid, n, price FROM c""")
+def c12_merged_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Yearly segments merged by pairs of years; merged rows add up the old ones."""
+    star = fx.star(spark, sf_dir)
+    path = scratch_path(spark, "cube_segments")
+    lo, hi = fx.table(spark, sf_dir, "orders").agg(F.min(F.year("o_orderdate")), F.max(F.year("o_orderdate"))).first()
+    key = lambda y: f"{y}0101000000"
+    time_key = F.concat(F.col("o_year").cast("string"), F.lit("0101000000"))
+    years = [(key(y), key(y + 1)) for y in range(lo, hi + 1)]
+    CB.add_segments(star, path, time_key, years, SEG_DIMS, measures())
+    stored = {n[:4] for n in CB.list_segments(spark, path)}
+    for y in range(lo - lo % 2, hi + 1, 2):
+        if str(y) in stored and str(y + 1) in stored:
+            CB.merge_segments(spark, path, key(y), key(y + 2), SEG_DIMS, ["price"])
+    rows = spark.read.parquet(path)
+    # a year without its partner stays a segment of its own; its pair is named by the range
+    pair = F.floor(F.substring("segment", 1, 4).cast("int") / 2) * 2
+    name = F.concat(pair.cast("string"), F.lit("0101000000_"), (pair + 2).cast("string"), F.lit("0101000000"))
+    return rows.select(name.alias("segment"), *SEG_DIMS, "gid", "n", F.col("price").cast("double").alias("price"))
+
+
 @register("c10_cube_distinct_nations", sql=f"""
 WITH {STAR}
 SELECT {CUBE_DIMS_SQL}, CAST(GROUPING({CUBE_DIMS_SQL}) AS BIGINT) AS gid, count(*) AS n, count(DISTINCT c_nationkey) AS nations

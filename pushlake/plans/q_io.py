@@ -57,6 +57,21 @@ def s3_read_applist_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.read_applist_orc(spark, path)
 
 
+@register("s3_rejects", sql=f"""
+WITH {APPLIST_ROWS}
+SELECT imei, pkg, name, itime, CASE WHEN imei IS NULL THEN 'imei' WHEN pkg IS NULL THEN 'pkg' WHEN name IS NULL THEN 'name' WHEN itime IS NULL THEN 'itime' ELSE 'accepted' END AS outcome
+FROM applist_rows""")
+def s3_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3 + P11: accepted and rejected app rows written from one evaluation; together they
+    are all rows."""
+    orc, good, bad = (scratch_path(spark, n) for n in ("applist_orc", "applist_good", "applist_bad"))
+    K.to_orc(fx.applist_rows(spark, sf_dir), orc)
+    K.write_split(S.checked_applist_orc(spark, orc), lambda rows: rows.write.orc(good), lambda rows: rows.write.orc(bad))
+    columns = ["imei", "pkg", "name", "itime"]
+    rejected = spark.read.orc(bad).select(*columns, F.col(P.REJECT).alias("outcome"))
+    return spark.read.schema(S.APPLIST_SCHEMA).orc(good).select(*columns, F.lit("accepted").alias("outcome")).unionByName(rejected)
+
+
 HOUR_TEMPLATE = "y={yyyy}/m={MM}/d={dd}/h={yyyyMMddHH}"
 
 
@@ -118,6 +133,23 @@ def s8_read_cells_tsv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.read_cells_tsv(spark, path)
 
 
+@register("s8_rejects", sql=f"""
+WITH {STATS_CELLS}
+SELECT ts % 3 AS k, CASE ts % 3 WHEN 1 THEN 'ts' WHEN 2 THEN 'fields' ELSE 'accepted' END AS outcome, count(*) AS n FROM stats_cells GROUP BY ts % 3""")
+def s8_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S8 + P11: cell lines, of which a third has no valid time and a third four fields:
+    rejects and cells from one evaluation add up to all lines."""
+    path, good, bad = (scratch_path(spark, n) for n in ("cells_tsv", "cells_good", "cells_bad"))
+    k, ts = F.col("ts") % 3, F.col("ts").cast("string")
+    time = F.when(k == 1, F.concat(F.lit("t"), ts)).otherwise(ts)
+    line = F.concat_ws("\t", F.concat_ws(":", k.cast("string"), "rowkey"), time, "value", "family", F.when(k != 2, F.col("qualifier")))
+    fx.stats_cells(spark, sf_dir).select(line.alias("line")).write.text(path)
+    K.write_split(S.checked_cells_tsv(spark, path), lambda rows: rows.drop("line").write.parquet(good), lambda rows: rows.select("line", P.REJECT).write.parquet(bad))
+    cells = spark.read.parquet(good).select(F.substring("rowkey", 1, 1).cast("long").alias("k"), F.lit("accepted").alias("outcome"))
+    rejected = spark.read.parquet(bad).select(F.substring("line", 1, 1).cast("long").alias("k"), F.col(P.REJECT).alias("outcome"))
+    return cells.unionByName(rejected).groupBy("k", "outcome").agg(F.count(F.lit(1)).alias("n"))
+
+
 @register("s9_read_keys", sql=f"WITH {MSG_KEY_LINES} SELECT {_jt('line')} AS key FROM msg_key_lines")
 def s9_read_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A key file read back with Java trim."""

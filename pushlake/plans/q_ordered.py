@@ -15,9 +15,9 @@ from pushlake.plans.fixture_sql import DOCS, JOBS, PAIR_LINES, STAR, USER_CELLS
 from pushlake.plans.q_cells import parsed_apkver
 from pushlake.plans.q_parse import PAIRS_SQL, PARSED_APKVER, PARSED_SDKVER
 from pushlake.plans.registry import register
-from pushlake.session import scratch_path
 from pushlake.sources import readers as S
-from pushlake.sources.sinks import index_docs, sorted_cells
+from pushlake.session import scratch_path
+from pushlake.sources.sinks import index_docs, sorted_cells, to_index_docs
 
 NUMBERED_SQL = f"""
 {PAIR_LINES}, {PAIRS_SQL},
@@ -70,6 +70,20 @@ def k7_index_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index_docs(O.last_run(pair_runs(spark, sf_dir), "imei", "pkg"), "imei", "pkg", INDEX_ITIME)
 
 
+def _refusing_index(docs: list[dict]) -> list[tuple[str, str]]:
+    """A stand-in for an index that refuses documents by their id."""
+    return [(d["id"], "mapping") for d in docs if len(d["id"]) % 2 == 0]
+
+
+@register("k7_failures", sql=f"""
+WITH {RUNS_SQL}, {LAST_RUN_SQL} SELECT imei AS id, 'mapping' AS reason FROM last WHERE length(imei) % 2 = 0""")
+def k7_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K7: the documents sent in bulk to a sender that refuses some; the table of failures."""
+    path = scratch_path(spark, "k7_failures")
+    to_index_docs(O.last_run(pair_runs(spark, sf_dir), "imei", "pkg"), "imei", "pkg", INDEX_ITIME, _refusing_index, failures=path)
+    return spark.read.parquet(path)
+
+
 @register("w3_last_write_wins", sql=f"""
 WITH {PARSED_APKVER}
 SELECT uid, appkey, apkver FROM (SELECT *, row_number() OVER (PARTITION BY uid ORDER BY event_id DESC) AS rn FROM parsed_apkver) t WHERE rn = 1""")
@@ -120,6 +134,23 @@ def w6_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.page(g, ["r_name", "o_orderstatus"], limit=10, offset=3)
 
 
+@register("w6_deep_page", sql="""
+SELECT l_orderkey, l_linenumber, l_shipdate, l_quantity FROM lineitem ORDER BY l_shipdate, l_orderkey, l_linenumber
+LIMIT 500 OFFSET (SELECT CAST(count(*) * 3 // 4 AS BIGINT) FROM lineitem)""")
+def w6_deep_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page deep in the lineitems by ship date; only its range partitions are read."""
+    items = fx.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate", "l_quantity")
+    return R.page(items, ["l_shipdate", "l_orderkey", "l_linenumber"], limit=500, offset=items.count() * 3 // 4)
+
+
+@register("w6_tail", sql="""
+SELECT event_id, user_id FROM events ORDER BY event_id DESC OFFSET (SELECT CAST(count(*) // 2 AS BIGINT) FROM events)""")
+def w6_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An offset without a limit: the older half of the events, newest first."""
+    ev = fx.table(spark, sf_dir, "events").select("event_id", "user_id")
+    return R.page(ev, [F.desc("event_id")], offset=ev.count() // 2)
+
+
 @register("w7_first_n_per_group", sql=f"""
 WITH {JOBS}
 SELECT cube, name, job_status, duration FROM (SELECT *, row_number() OVER (PARTITION BY cube ORDER BY name) AS rn FROM jobs) t WHERE rn <= 1000""")

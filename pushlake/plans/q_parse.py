@@ -39,16 +39,7 @@ def p11_rejects_http_api(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def hour_stats_of(records: DataFrame) -> DataFrame:
-    return R.hour_day_stats(
-        records,
-        day="iday",
-        hour="ihour",
-        aggs=[
-            F.count(F.lit(1)).alias("n_msgs"),
-            F.countDistinct("appkey").alias("n_appkeys"),
-            F.countDistinct("msgid").alias("n_msgids"),
-        ],
-    )
+    return R.hour_day_counts(records, "iday", "ihour", "n_msgs", {"n_appkeys": "appkey", "n_msgids": "msgid"})
 
 
 HOUR_STATS_SQL = f"""
@@ -59,6 +50,13 @@ FROM http_records
 GROUP BY GROUPING SETS ((iday, ihour), (iday))"""
 
 
+@register("a11_grouping_sets", sql=HOUR_STATS_SQL)
+def a11_grouping_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A11 for any aggregates: GROUPING SETS over hour and day."""
+    aggs = [F.count(F.lit(1)).alias("n_msgs"), F.countDistinct("appkey").alias("n_appkeys"), F.countDistinct("msgid").alias("n_msgids")]
+    return R.hour_day_stats(http_records(spark, sf_dir), "iday", "ihour", aggs)
+
+
 @register("a11_hour_day_stats", sql=HOUR_STATS_SQL)
 def a11_hour_day_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flagship: parse HTTP-API lines, then hour and day stats in one pass."""
@@ -105,21 +103,44 @@ def p3_project_push(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH {PUSH_EVENTS}, {PUSH_OBJECTS}, {PUSH_ROWS}
 SELECT appkey, platform, msg_id, uid, itime FROM push_rows""")
 def p12_python_parser(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A user parser in Python (pandas batches) for 0..n rows per message."""
-    msgs = fx.push_messages(spark, sf_dir).select(F.col("value").alias("body"))
-    return P.with_python_parser(msgs, P.pandas_envelope_parser, "appkey string, platform string, msg_id long, uid long, itime long")
+    """A user parser as a Python table function, 0..n rows per message."""
+    return P.accepted(_parsed_by_hook(fx.push_messages(spark, sf_dir)))
+
+
+def _parsed_by_hook(messages: DataFrame) -> DataFrame:
+    from pushlake.functions.parser_hooks import ENVELOPE_SCHEMA, EnvelopeParser
+
+    return P.with_table_function(messages, EnvelopeParser, ENVELOPE_SCHEMA, "value")
+
+
+@register("p12_rejects", sql="""
+WITH m AS (
+  SELECT event_id, event_id % 5 AS k FROM events)
+SELECT CASE k WHEN 0 THEN 'msg_id' WHEN 1 THEN 'rows' WHEN 2 THEN 'json' WHEN 3 THEN 'sentinel' ELSE 'accepted' END AS outcome, count(*) AS n,
+       CAST(sum(event_id) AS BIGINT) AS ids
+FROM m GROUP BY k""")
+def p12_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P12 + P11: rejects of the table function beside the message they came from, one of
+    five kinds by event: an id beyond 64 bits, ``rows`` of another type, no JSON, the
+    sentinel id, and a good message."""
+    ev = fx.table(spark, sf_dir, "events")
+    good = '{"msg_id":%s,"step":"seg-to-apns","itime":5,"uid":3}'
+    bodies = [good % (1 << 70), '{"rows":7}', "no json", good % 1, good % 9]
+    body = F.element_at(F.array(*[F.lit(b) for b in bodies]), (F.col("event_id") % 5 + 1).cast("int"))
+    from pushlake.functions.parser_hooks import ENVELOPE_SCHEMA, EnvelopeParser
+
+    parsed = P.with_table_function(ev.select("event_id", body.alias("value")), EnvelopeParser, ENVELOPE_SCHEMA, "value", keep=["event_id"])
+    return parsed.groupBy(F.coalesce(P.REJECT, F.lit("accepted")).alias("outcome")).agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").cast("long").alias("ids"))
 
 
 @register("e2_transform_hook", sql="""
 SELECT event_id, length(props) AS props_len, upper(event_type) AS kind FROM events""")
 def e2_transform_hook(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """User hooks are plain DataFrame transforms (here with a vectorised pandas UDF)."""
-    from pushlake.functions.pandas_hooks import text_length as text_len
-
+    """User hooks are plain DataFrame transforms."""
     def hook(df: DataFrame) -> DataFrame:
-        return df.select("event_id", text_len("props").alias("props_len"), F.upper("event_type").alias("kind"))
+        return df.select("event_id", F.length("props").cast("bigint").alias("props_len"), F.upper("event_type").alias("kind"))
 
-    return P.with_parser(fx.table(spark, sf_dir, "events"), hook).withColumn("props_len", F.col("props_len").cast("bigint"))
+    return P.with_parser(fx.table(spark, sf_dir, "events"), hook)
 
 
 def _push_fields(spark, sf_dir):
@@ -304,11 +325,11 @@ def t3_key_is_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("t4_day_to_ms", sql=f"""
 WITH {TIME_KEYS}
-SELECT o_orderkey, key, coalesce(epoch_ms(try_strptime(key, '%Y%m%d')) - 28800000, 0) AS ms
-FROM time_keys WHERE length(key) = 8""")
+SELECT o_orderkey, key, CASE WHEN length(key) = 8 THEN coalesce(epoch_ms(try_strptime(key, '%Y%m%d')) - 28800000, 0) ELSE 0 END AS ms
+FROM time_keys""")
 def t4_day_to_ms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T4: epoch ms of local midnight of day keys."""
-    tk = fx.time_key_rows(spark, sf_dir).filter(F.length("key") == 8)
+    """T4: epoch ms of local midnight of day keys; 0 for keys of any other form."""
+    tk = fx.time_key_rows(spark, sf_dir)
     return tk.select("o_orderkey", "key", TK.day_to_ms("key").alias("ms"))
 
 

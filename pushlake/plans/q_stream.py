@@ -42,16 +42,19 @@ def _message_stream(spark: SparkSession, path: str, files_per_trigger: int = 1)
     return spark.readStream.schema("value string").option("maxFilesPerTrigger", files_per_trigger).parquet(path)
 
 
+PUSH_SCHEMA = "appkey string, platform string, msg_id long, uid long, itime long"
+
+
 def _read_commits(spark: SparkSession, out: str, cols) -> DataFrame:
-    return spark.read.parquet(out).select(*cols)
+    return ST.read_committed(spark, out, PUSH_SCHEMA).select(*cols)
 
 
 @register("r1_consume", sql=PUSH_SQL)
 def r1_consume(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Micro-batches every second; each batch committed idempotently by id."""
     src = write_messages(spark, sf_dir)
-    out = scratch_path(spark, "r1_out")
-    q = ST.consume(_message_stream(spark, src), ST.push_records, ST.idempotent_writer(out), 1, scratch_path(spark, "r1_checkpoint"))
+    out, ck = scratch_path(spark, "r1_out"), scratch_path(spark, "r1_checkpoint")
+    q = ST.consume(_message_stream(spark, src), ST.push_records, ST.committed_writer(out, ck), 1, ck)
     try:
         q.processAllAvailable()
     finally:
@@ -63,8 +66,8 @@ def r1_consume(spark: SparkSession, sf_dir: str) -> DataFrame:
 def r2_drain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R2: drain everything available in bounded batches, then stop."""
     src = write_messages(spark, sf_dir)
-    out = scratch_path(spark, "r2_out")
-    q = ST.drain(_message_stream(spark, src, 2), ST.push_records, ST.idempotent_writer(out), scratch_path(spark, "r2_checkpoint"))
+    out, ck = scratch_path(spark, "r2_out"), scratch_path(spark, "r2_checkpoint")
+    q = ST.drain(_message_stream(spark, src, 2), ST.push_records, ST.committed_writer(out, ck), ck)
     q.awaitTermination()
     return _read_commits(spark, out, P.PUSH_COLUMNS)
 
@@ -80,7 +83,20 @@ def r3_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     for wave in (0, 1):
         part = msgs.filter(F.pmod(F.xxhash64("value"), F.lit(2)) == wave)
         part.repartition(4).write.mode("append").parquet(src)
-        ST.drain(_message_stream(spark, src, 2), ST.push_records, ST.idempotent_writer(out), ck).awaitTermination()
+        ST.drain(_message_stream(spark, src, 2), ST.push_records, ST.committed_writer(out, ck), ck).awaitTermination()
+    return _read_commits(spark, out, P.PUSH_COLUMNS)
+
+
+@register("r3_new_checkpoint", sql=PUSH_SQL)
+def r3_new_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R1 + R3: two waves of messages drained with a checkpoint each into one output
+    folder: the second query adds to the first one's commits, and after a compaction
+    of both the rows are the same."""
+    out = scratch_path(spark, "r3_out")
+    for wave in (0, 1):
+        src, ck = write_messages(spark, sf_dir, wave), scratch_path(spark, "r3_checkpoint")
+        ST.drain(_message_stream(spark, src, 3), ST.push_records, ST.committed_writer(out, ck), ck).awaitTermination()
+    ST.compact(spark, out)
     return _read_commits(spark, out, P.PUSH_COLUMNS)
 
 
@@ -88,32 +104,28 @@ def r3_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
 def r4_push_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Continuous JSON -> \\u0001 rows, written as text per batch."""
     src = write_messages(spark, sf_dir)
-    out = scratch_path(spark, "r4_out")
-    q = ST.drain(_message_stream(spark, src, 3), ST.push_stream, ST.idempotent_writer(out, "text"), scratch_path(spark, "r4_checkpoint"))
+    out, ck = scratch_path(spark, "r4_out"), scratch_path(spark, "r4_checkpoint")
+    q = ST.drain(_message_stream(spark, src, 3), ST.push_stream, ST.committed_writer(out, ck, "text"), ck)
     q.awaitTermination()
-    return spark.read.text(out).select("value")
+    return ST.read_committed(spark, out, "value string").select("value")
 
 
 @register("r5_hour_stream", sql=f"""
 WITH s AS ({HOUR_STATS_SQL})
 SELECT iday, ihour, n_msgs, n_appkeys, n_msgids FROM s WHERE grain = 'hour'""")
 def r5_hour_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files of hour directories picked up by a file stream; each micro-batch runs
-    the hour stats of the days it touches, from all their records. Hours have several
-    files, spread over micro-batches."""
+    """Files of hour directories picked up by a file stream; each micro-batch commits
+    what it adds to the counts of its hours and days, from its own records and the keyed
+    state of values seen. Hours have several files, spread over micro-batches; the
+    increments are compacted before they are read."""
     base, _, _ = write_hour_dirs(spark, sf_dir, HOUR_FILES)
-    out = scratch_path(spark, "r5_out")
-    aggs = [F.count(F.lit(1)).alias("n_msgs"), F.countDistinct("appkey").alias("n_appkeys"), F.countDistinct("msgid").alias("n_msgids")]
-    per_batch = ST.hour_stats_stream(aggs, scratch_path(spark, "r5_records"))
-
-    def commit(batch: DataFrame, batch_id: int) -> None:
-        stats = per_batch(batch.select(F.col("value").alias("line")), batch_id)
-        ST.replacing_writer(out, ["iday"])(stats, batch_id)
-
+    out, ck = scratch_path(spark, "r5_out"), scratch_path(spark, "r5_checkpoint")
+    distinct = {"n_appkeys": "appkey", "n_msgids": "msgid"}
     stream = spark.readStream.option("maxFilesPerTrigger", HOUR_FILES_PER_TRIGGER).text(f"{base}/*/*/*/*")
-    q = ST.drain(stream, lambda s: s.select("value"), commit, scratch_path(spark, "r5_checkpoint"))
+    q = ST.drain_hours(stream.select(F.col("value").alias("line")), out, ck, "n_msgs", distinct)
     q.awaitTermination()
-    hours = spark.read.parquet(out).filter(F.col("grain") == "hour")
+    ST.compact(spark, out, ST.add_increments)
+    hours = ST.hour_counts(spark, out, "n_msgs", distinct).filter(F.col("grain") == "hour")
     return hours.select("iday", "ihour", "n_msgs", "n_appkeys", "n_msgids")
 
 

@@ -52,3 +52,19 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the checkpoint root for a written table."""
     return os.path.join(checkpoint_root(spark), "scratch", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def _path_and_fs(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p, fs = _path_and_fs(spark, path)
+    return fs.exists(p)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the library's own (a replaced batch or a dropped segment)."""
+    p, fs = _path_and_fs(spark, path)
+    fs.delete(p, True)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from pushlake.functions import text as X
 from pushlake.functions._cols import pin
+from pushlake.operators.parse import REJECT, accepted
 
 # Fixed value: declared schema of the app-list ORC files (S3).
 APPLIST_SCHEMA = "imei string, pkg string, name string, itime bigint"
@@ -50,10 +51,17 @@ def read_many(spark: SparkSession, paths: str | Sequence[str], fmt: str = "parqu
     return r.load(_path_list(paths))
 
 
+def checked_applist_orc(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """S3 + P11: app-list rows of ORC with the declared struct, with the reason for which
+    the mapper skipped a row: the first field that is null."""
+    rows = spark.read.schema(APPLIST_SCHEMA).orc(_path_list(paths))
+    return rows.withColumn(REJECT, F.coalesce(*[F.when(F.col(c).isNull(), F.lit(c)) for c in rows.columns]))
+
+
 def read_applist_orc(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """S3: ORC with the declared app-list struct; rows with a null field are dropped
-    (the mapper skipped them)."""
-    return spark.read.schema(APPLIST_SCHEMA).orc(_path_list(paths)).dropna()
+    (the mapper skipped them; ``checked_applist_orc`` gives them)."""
+    return accepted(checked_applist_orc(spark, paths))
 
 
 def hourly_paths(base: str, start: dt.datetime, end: dt.datetime, template: str = HOUR_TEMPLATE) -> list[str]:
@@ -167,19 +175,28 @@ def read_topic(spark: SparkSession, servers: str, topic: str, group: str, starti
     return topic_values(r.load())
 
 
-def read_cells_tsv(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Five TAB fields per trimmed line: rowkey, itime (ms), val, family,
-    qualifier -> cells. A line without five fields or with a bad time is dropped on
-    its own (the reference lost the whole batch)."""
-    lines = spark.read.text(_path_list(paths))
-    parts = pin(lines, _a=X.java_split(X.java_trim(F.col("value")), "\t")).filter(F.size("_a") >= 5)
-    return parts.select(
+def checked_cells_tsv(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """S8 + P11: five TAB fields per trimmed line: rowkey, itime (ms), val, family,
+    qualifier -> cells beside their ``line``. A line without five fields (``fields``) or
+    with a bad time (``ts``) is rejected on its own (the reference lost the whole batch)."""
+    lines = spark.read.text(_path_list(paths)).select(F.col("value").alias("line"))
+    parts = pin(lines, _a=X.java_split(X.java_trim(F.col("line")), "\t"))
+    cells = parts.select(
+        "line",
         F.get("_a", 0).alias("rowkey"),
         F.get("_a", 3).alias("family"),
         F.get("_a", 4).alias("qualifier"),
         F.get("_a", 1).try_cast("bigint").alias("ts"),
         F.get("_a", 2).alias("value"),
-    ).filter(F.col("ts").isNotNull())
+        F.size("_a").alias("_n"),
+    )
+    reason = F.when(F.col("_n") < 5, "fields").when(F.col("ts").isNull(), "ts")
+    return cells.withColumn(REJECT, reason).drop("_n")
+
+
+def read_cells_tsv(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """The cells of the accepted lines (``checked_cells_tsv`` gives all)."""
+    return accepted(checked_cells_tsv(spark, paths)).drop("line")
 
 
 def read_keys(spark: SparkSession, paths: str | Sequence[str], trim: bool = False) -> DataFrame:

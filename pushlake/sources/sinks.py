@@ -5,7 +5,8 @@ from __future__ import annotations
 
 from typing import Callable, Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -91,28 +92,60 @@ def index_docs(runs: DataFrame, id_col: str, pkg_col: str, itime: int | Column)
     return runs.select(F.col(id_col).cast("string").alias("id"), F.col(pkg_col).alias("pkg"), it.cast("bigint").alias("itime"))
 
 
-def write_in_batches(df: DataFrame, send: Callable[[list[dict]], Iterable[str] | None], batch: int = INDEX_BULK) -> None:
-    """K7: call ``send(docs)`` with at most ``batch`` documents at a time, on the
-    executors (``foreachPartition``); ids that ``send`` returns as failed are logged.
+Failures = Iterable["str | tuple[str, str]"]
 
-    A lost executor re-runs its partition, so a batch may be sent twice: ``send``
-    must write by document id (an upsert), as an index keyed by id does."""
-    import logging
 
-    def run(rows):
-        log = logging.getLogger("pushlake.sink")
-        buf = []
-        for r in rows:
-            buf.append(r.asDict())
-            if len(buf) >= batch:
-                for bad in send(buf) or ():
-                    log.error("bulk item failed: %s", bad)
-                buf = []
-        if buf:
-            for bad in send(buf) or ():
-                log.error("bulk item failed: %s", bad)
+def send_in_batches(df: DataFrame, send: Callable[[list[dict]], Failures | None], batch: int = INDEX_BULK, attempts: int = 1) -> DataFrame:
+    """K7: ``send(docs)`` with at most ``batch`` documents at a time, on the executors; the
+    failures as rows (id, reason). ``send`` returns the failed ids, or (id, reason) pairs.
+    A request that raises is tried ``attempts`` times; then all its documents fail with the
+    error's text.
 
-    df.foreachPartition(run)
+    The documents are sent when the result is written or counted, so write it once
+    (``write_in_batches``). A lost executor re-runs its partition, so a batch may be sent
+    twice: ``send`` must write by document id (an upsert), as an index keyed by id does."""
+
+    def request(docs: list[dict]) -> list[tuple[str, str]]:
+        for attempt in range(1, attempts + 1):
+            try:
+                return [x if isinstance(x, tuple) else (x, "failed") for x in send(docs) or ()]
+            except Exception as e:  # noqa: BLE001 - any error of the index is a reason
+                if attempt == attempts:
+                    return [(d["id"], f"{type(e).__name__}: {e}") for d in docs]
+        return []
+
+    def run(batches):
+        import pyarrow as pa
+
+        held: list[dict] = []
+        for part in batches:
+            held += part.to_pylist()
+            while len(held) >= batch:
+                yield pa.RecordBatch.from_pylist(failed(held[:batch]), schema)
+                held = held[batch:]
+        if held:
+            yield pa.RecordBatch.from_pylist(failed(held), schema)
+
+    def failed(docs: list[dict]) -> list[dict]:
+        return [{"id": str(i), "reason": reason} for i, reason in request(docs)]
+
+    import pyarrow as pa
+
+    schema = pa.schema([("id", pa.string()), ("reason", pa.string())])
+    return df.mapInArrow(run, "id string, reason string")
+
+
+def write_in_batches(df: DataFrame, send: Callable[[list[dict]], Failures | None], failures: str | None = None,
+                     batch: int = INDEX_BULK, attempts: int = 1) -> int:
+    """K7: send all documents in bulk requests and return the number that failed. Their ids
+    and reasons are written as a Parquet table at ``failures``, through Spark's commit
+    protocol: a re-run partition gives its rows once."""
+    out = send_in_batches(df, send, batch, attempts)
+    if failures is None:
+        return out.count()
+    seen = Observation()
+    out.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(failures)
+    return seen.get["n"]
 
 
 def to_index_docs(
@@ -120,12 +153,27 @@ def to_index_docs(
     id_col: str,
     pkg_col: str,
     itime: int | Column,
-    send: Callable[[list[dict]], Iterable[str] | None],
+    send: Callable[[list[dict]], Failures | None],
     batch: int = INDEX_BULK,
-) -> None:
+    failures: str | None = None,
+) -> int:
     """K7: index documents (id, pkg, itime), one per id, sent in bulk requests of at
-    most ``batch`` documents by ``send`` on the executors."""
-    write_in_batches(index_docs(runs, id_col, pkg_col, itime), send, batch)
+    most ``batch`` documents by ``send`` on the executors; failed ids as a table."""
+    return write_in_batches(index_docs(runs, id_col, pkg_col, itime), send, failures, batch)
+
+
+def write_split(parsed: DataFrame, write_accepted: Callable[[DataFrame], None], write_rejected: Callable[[DataFrame], None]) -> None:
+    """Write the accepted rows (without their reason column) and the rejected ones
+    (with it) of one evaluation of ``parsed``: the parsed rows are kept on the executors'
+    disks between the two writes, so the input is read and parsed once."""
+    from pushlake.operators.parse import REJECT, accepted
+
+    kept = parsed.persist(StorageLevel.DISK_ONLY)
+    try:
+        write_accepted(accepted(kept))
+        write_rejected(kept.filter(F.col(REJECT).isNotNull()))
+    finally:
+        kept.unpersist()
 
 
 def sorted_cells(df: DataFrame, n: int) -> DataFrame:

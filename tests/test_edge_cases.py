@@ -363,39 +363,80 @@ def test_r2_stream_equals_batch(spark, tmp_path, files_per_trigger):
     batch = sorted(map(tuple, ST.push_records(spark.read.parquet(src)).collect()))
     out, ck = str(tmp_path / "out"), str(tmp_path / "ck")
     stream = lambda: spark.readStream.schema("value string").option("maxFilesPerTrigger", files_per_trigger).parquet(src)
-    ST.drain(stream(), ST.push_records, ST.idempotent_writer(out), ck).awaitTermination()
-    ST.drain(stream(), ST.push_records, ST.idempotent_writer(out), ck).awaitTermination()
-    got = sorted(map(tuple, spark.read.parquet(out).select(*P.PUSH_COLUMNS).collect()))
+    ST.drain(stream(), ST.push_records, ST.committed_writer(out, ck), ck).awaitTermination()
+    ST.drain(stream(), ST.push_records, ST.committed_writer(out, ck), ck).awaitTermination()
+    got = sorted(map(tuple, ST.read_committed(spark, out).select(*P.PUSH_COLUMNS).collect()))
     assert got == batch and len(got) == 59
 
 
+def test_r1_new_checkpoint_adds_and_replays_do_not(spark, tmp_path):
+    """A second checkpoint adds to the output folder; a batch that is written
+    twice counts once; one without its log row is not read; refusing is an option."""
+    from pushlake.streaming import consume as ST
+
+    out = str(tmp_path / "out")
+    for wave in ("a", "b"):
+        src, ck = str(tmp_path / f"src-{wave}"), str(tmp_path / f"ck-{wave}")
+        spark.createDataFrame([(f"{wave}{i}",) for i in range(4)], "value string").repartition(2).write.parquet(src)
+        write = ST.committed_writer(out, ck)
+
+        def twice(batch, batch_id):
+            write(batch, batch_id)
+            write(batch, batch_id)
+
+        stream = spark.readStream.schema("value string").option("maxFilesPerTrigger", 1).parquet(src)
+        ST.drain(stream, lambda s: s, twice, ck).awaitTermination()
+    values = lambda: sorted(r.value for r in ST.read_committed(spark, out, "value string").collect())
+    want = [f"{w}{i}" for w in "ab" for i in range(4)]
+    assert values() == want
+    spark.createDataFrame([("cut off",)], "value string").write.parquet(f"{out}/query_id=x/batch_id=0")
+    assert values() == want
+    with pytest.raises(RuntimeError):
+        ST.committed_writer(out, str(tmp_path / "ck-b"), on_new_query="refuse")(spark.createDataFrame([("no",)], "value string"), 9)
+    assert ST.compact(spark, out) >= 4 and values() == want and ST.compact(spark, out) == 0
+    # a replay of a compacted batch stays covered
+    ST.committed_writer(out, str(tmp_path / "ck-b"))(spark.createDataFrame([("b0",)], "value string"), 0)
+    assert values() == want
+
+
+def test_read_committed_without_rows(spark, tmp_path):
+    from pushlake.streaming import consume as ST
+
+    assert ST.read_committed(spark, str(tmp_path / "none"), "value string").count() == 0
+    with pytest.raises(ValueError):
+        ST.read_committed(spark, str(tmp_path / "none"))
+
+
 def test_r5_hour_over_several_batches(spark, tmp_path):
-    """An hour split over files and micro-batches has one row, of all its records;
-    a replayed batch changes nothing."""
+    """An hour split over files and micro-batches has one row, of all its records; a
+    second start on the same checkpoint adds only new files' records, and a batch's
+    increments are those of its own lines."""
     from pushlake.operators.rollup import hour_day_stats
     from pushlake.plans import fixtures as fx
     from pushlake.streaming import consume as ST
     from tests.conftest import SF_SMALL
 
-    src, out = str(tmp_path / "src"), str(tmp_path / "out")
-    fx.http_lines(spark, SF_SMALL).select(F.col("line").alias("value")).repartition(3).write.text(src)
-    aggs = [F.count(F.lit(1)).alias("n"), F.countDistinct("appkey").alias("apps"), F.countDistinct("msgid").alias("ids")]
-    per_batch, write = ST.hour_stats_stream(aggs, str(tmp_path / "records")), ST.replacing_writer(out, ["iday"])
-    seen = []
-
-    def commit(batch, batch_id):
-        for _ in range(2):  # the second time as in a replay
-            write(per_batch(batch.select(F.col("value").alias("line")), batch_id), batch_id)
-        seen.append(batch_id)
-
-    stream = spark.readStream.option("maxFilesPerTrigger", 1).text(src)
-    ST.drain(stream, lambda s: s.select("value"), commit, str(tmp_path / "ck")).awaitTermination()
-    assert len(seen) == 3
+    src, out, ck = str(tmp_path / "src"), str(tmp_path / "out"), str(tmp_path / "ck")
+    lines = fx.http_lines(spark, SF_SMALL).select(F.col("line").alias("value"))
+    distinct = {"apps": "appkey", "ids": "msgid"}
+    for wave in (0, 1):  # the second wave repeats some lines of the first
+        part = lines if wave == 0 else lines.filter(F.xxhash64("value") % 3 == 0)
+        part.repartition(2).write.mode("append").text(src)
+        stream = spark.readStream.option("maxFilesPerTrigger", 1).text(src).select(F.col("value").alias("line"))
+        ST.drain_hours(stream, out, ck, "n", distinct).awaitTermination()
     recs = P.accepted(P.parse_http_api(spark.read.text(src).select(F.col("value").alias("line")), tz="Asia/Shanghai"))
-    want = hour_day_stats(recs, "iday", "ihour", aggs)
+    aggs = [F.count(F.lit(1)).alias("n"), F.countDistinct("appkey").alias("apps"), F.countDistinct("msgid").alias("ids")]
     cols = ["grain", "iday", "ihour", "n", "apps", "ids"]
     rows = lambda df: sorted(map(str, df.select(*cols).collect()))
-    assert rows(spark.read.parquet(out)) == rows(want)
+    want = rows(hour_day_stats(recs, "iday", "ihour", aggs))
+    assert rows(ST.hour_counts(spark, out, "n", distinct)) == want
+    # the repeated lines brought no new values
+    late = [r.batch_id for r in ST.commits(spark, out).collect() if r.batch_id >= 2]
+    fresh = ST.read_committed(spark, out, ST.INCREMENT_SCHEMA).filter(F.col("batch_id").isin(late) & (F.col("metric") != "n"))
+    assert len(late) == 2 and fresh.count() == 0
+    ST.compact(spark, out, ST.add_increments)
+    assert rows(ST.hour_counts(spark, out, "n", distinct)) == want
+
 
 
 @pytest.mark.parametrize("salted", [False, True])

@@ -24,10 +24,12 @@ def test_k7_batches_bounded_and_complete(spark, tmp_path):
 
         with open(os.path.join(out, uuid.uuid4().hex), "w") as f:
             json.dump([d["id"] for d in docs], f)
-        return ["bad-id"] if docs and docs[0]["id"] == "0" else None
+        return ["bad-id"] if any(d["id"] == "0" for d in docs) else None
 
     df = spark.range(7000).select(F.col("id").cast("string").alias("id"), F.lit("p").alias("pkg"), F.lit(1).alias("itime")).repartition(3)
-    K.write_in_batches(df, send, batch=3000)
+    failures = str(tmp_path / "failures")
+    assert K.write_in_batches(df, send, failures, batch=3000) == 1
+    assert [tuple(r) for r in spark.read.parquet(failures).collect()] == [("bad-id", "failed")]
     batches = [json.load(open(os.path.join(out, f))) for f in os.listdir(out)]
     assert all(len(b) <= 3000 for b in batches)
     assert sorted(i for b in batches for i in b) == sorted(str(i) for i in range(7000))
