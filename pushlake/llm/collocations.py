@@ -8,13 +8,12 @@ least ``MIN_COUNT`` occurrences inside pieces of its language.
    Its phrases are the proposal.
 2. One pass over all documents counts the proposal and its negative border: phrases not
    proposed, but without their first and without their last word they are (and all single
-   words). Proposed phrases are counted one by one. The border is much larger, so its
-   occurrences are counted in 2**36 hash buckets: a bucket under the threshold holds no
-   frequent phrase, and what is in the others is counted one by one by the next pass.
-3. Such a bucket is a failure of the sample. A further pass counts the border phrases in
-   these buckets, and with them all longer phrases that were out of scope and whose parts
-   are proposed, in such a bucket, or counted by this pass themselves. Every frequent
-   phrase is counted by then, so the search is closed.
+   words). Most of these are rare, so their occurrences are counted in 2**36 hash buckets:
+   a bucket under the threshold holds no frequent phrase.
+3. A full bucket of the border is a failure of the sample. A further pass counts the
+   phrases in full buckets one by one, and with them all longer phrases that were out of
+   scope and whose parts are in a full bucket or counted by this pass themselves. Every
+   frequent phrase is counted by then, so the search is closed.
 
 Proposal and buckets travel as bitmaps of at most ``MAX_BITMAP`` bytes, built by Spark. A
 false hit counts a phrase too much in scope and changes no count, so the result is exact at
@@ -50,8 +49,8 @@ TOP = 2000
 SAMPLE = 0.1
 LOWERED = 0.4
 MAX_BITMAP = MAX_BROADCAST_BYTES
-#: Bytes of texts that a task reads at a time; phrases and border occurrences it holds
-#: before it writes them.
+#: Bytes of texts that a task reads at a time; phrases and bucket entries it holds before
+#: it writes them.
 CHUNK = 1 << 21
 MAX_HELD = 400_000
 MAX_BORDER = 2_000_000
@@ -129,7 +128,7 @@ class _Chunk:
     def next_hash(self, hashes: np.ndarray, n: int) -> np.ndarray:
         """Hashes of the phrases of n + 1 words from those of n (0 past the end)."""
         out = np.zeros(self.count, np.uint64)
-        out[:-n] = _longer_hash(hashes[:-n], self.hash[n:])
+        out[:-n] = mix(hashes[:-n] * _STEP + self.hash[n:])
         return out
 
     def phrases(self, heads: np.ndarray, n: int) -> list[bytes]:
@@ -145,27 +144,6 @@ def _salt(lang: str) -> int:
     return xxhash.xxh64_intdigest(lang.encode(), 1)
 
 
-def _longer_hash(hashes, word):
-    return mix(hashes * _STEP + word)
-
-
-def _buckets(phrases: DataFrame) -> DataFrame:
-    """The bucket of every (lang, phrase), as tasks number them."""
-
-    def number(batches):
-        for batch in batches:
-            out = []
-            for lang, phrase in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                own = mix(np.array([xxhash.xxh64_intdigest(w.encode()) for w in phrase.split(" ")], np.uint64) ^ np.uint64(_salt(lang)))
-                h = own[:1]
-                for i in range(1, len(own)):
-                    h = _longer_hash(h, own[i : i + 1])
-                out.append(int(h[0]) >> (64 - BUCKET_BITS))
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.int64())], names=["bucket"])
-
-    return phrases.select("lang", "phrase").mapInArrow(number, "bucket long")
-
-
 class _Held:
     """Counts of phrases by language, written in bounded portions."""
 
@@ -275,6 +253,8 @@ def _scan(docs: DataFrame, rule, totals: bool = False) -> DataFrame:
                     border.append(hashes[at[bucketed]])
                     waiting += len(border[-1])
                 keep = at[single | extend]
+                if not single.any() and not extend.any():
+                    break
                 rank = np.zeros(chunk.count, np.int64)
                 _, first, inverse, counts = np.unique(names[keep], return_index=True, return_inverse=True, return_counts=True)
                 rank[keep] = inverse
@@ -310,11 +290,11 @@ def _counted(rows: DataFrame) -> DataFrame:
     return rows.select("lang", "phrase", words.alias("words"), "n")
 
 
-def _full_buckets(rows: DataFrame, least: int) -> tuple[np.ndarray, int]:
-    """Bitmap and number of the buckets with ``least`` occurrences or more. A range of more
+def _full_buckets(rows: DataFrame, least: int) -> np.ndarray:
+    """The bitmap of the buckets with ``least`` occurrences or more. A range of more
     than MAX_RANGE entries is split by the next bits of the bucket number, in tasks that
-    each add up some of its arrays."""
-    ranges = materialize(rows.filter(F.col("range").isNotNull()).select("range", "entries", "n"), "ranges")
+    each split some of its arrays."""
+    ranges = materialize(rows.select("range", "entries", "n"), "ranges")
     shift = BUCKET_BITS - RANGE_BITS
     while (ranges.groupBy("range").agg(F.sum("n").alias("n")).agg(F.max("n")).first()[0] or 0) > MAX_RANGE and shift > 0:
         shift = max(0, shift - RANGE_BITS)
@@ -326,46 +306,52 @@ def _full_buckets(rows: DataFrame, least: int) -> tuple[np.ndarray, int]:
                     for part in _ranges(buckets, counts, shift):
                         yield part.select(["range", "entries", "n"])
 
-        ranges = materialize(ranges.mapInArrow(split, "range int, entries binary, n long"), "ranges")
+        wider = ranges
+        ranges = materialize(wider.mapInArrow(split, "range int, entries binary, n long"), "ranges")
+        drop_tables(wider)
 
     def full(group):
         buckets, counts = _added([e.as_py() for e in group.column("entries")])
         return pa.table({"bucket": pa.array(buckets[counts >= least], pa.int64())})
 
     found, size = measured(ranges.groupBy("range").applyInArrow(full, "bucket long"), "buckets", n=F.count(F.lit(1)))
-    return _bitmap(found, size["n"]), size["n"]
+    drop_tables(ranges)
+    return _bitmap(found, size["n"])
 
 
-def _sample(docs: DataFrame, min_count: int, share: float) -> tuple[np.ndarray, DataFrame]:
-    """The proposal: its bitmap and the counts of phrases that are frequent in the sample at
-    a lowered threshold. Words, then pairs of frequent words are found by buckets; then
-    all lengths are counted one by one where pairs are frequent."""
+def _sample(docs: DataFrame, min_count: int, share: float) -> np.ndarray:
+    """The proposal: the buckets that are full in the sample at a lowered threshold, found
+    level by level."""
     drawn = F.pmod(F.xxhash64("id", "text", F.lit(11)), F.lit(1 << 20)) < int(share * (1 << 20))
     drawn = materialize(docs.filter(drawn).select("lang", "text"), "sample")
     least = max(2, int(min_count * share * LOWERED))
-    spark = docs.sparkSession
-    sent = []
+    proposal, sent = None, None
 
     def rule():
-        known = [Bitmap(x.value) for x in sent]
+        known = None if sent is None else Bitmap(sent.value)
 
         def decide(chunk, n, at, hashes, state):
             none = np.zeros(len(at), bool)
-            if n > len(known):  # what this pass is for
-                return (~none, none, ~none, None) if len(known) == 2 else (none, ~none, none, None)
-            full = known[n - 1].holds(hashes)
-            return (full if len(known) == 2 else none), none, full, None
+            if n == level:
+                return none, ~none, none, None
+            return none, none, known.holds(hashes), None
 
         return decide
 
-    for _ in (1, 2):
-        full, _ = _full_buckets(_scan(drawn, rule), least)
-        sent.append(spark.sparkContext.broadcast(full))
-    counts = _counted(_scan(drawn, rule)).filter(F.col("n") >= least)
-    counts, size = measured(counts, "proposal", n=F.count(F.lit(1)))
-    proposal = _bitmap(_buckets(counts), size["n"])
+    for level in range(1, MAX_WORDS + 1):
+        full = _full_buckets(_scan(drawn, rule), least)
+        if not full.any():
+            break
+        proposal = full if proposal is None else _union(proposal, full)
+        sent = docs.sparkSession.sparkContext.broadcast(proposal)
     drop_tables(drawn)
-    return proposal, counts
+    return proposal if proposal is not None else np.zeros(1 << 10, np.uint64)
+
+
+def _union(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The union of two bitmaps at the size of the larger one."""
+    size = max(len(a), len(b))
+    return np.tile(a, size // len(a)) | np.tile(b, size // len(b))
 
 
 def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: float = SAMPLE) -> tuple[DataFrame, DataFrame]:
@@ -373,45 +359,35 @@ def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, id_col: str =
     least ``min_count`` occurrences, and the words of each language (lang, total)."""
     docs = docs.select(docs[id_col].alias("id"), F.coalesce(docs[lang_col].cast("string"), F.lit("und")).alias("lang"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
     spark = docs.sparkSession
-    proposal, _ = _sample(docs, min_count, sample)
-    proposal = spark.sparkContext.broadcast(proposal)
+    proposal = spark.sparkContext.broadcast(_sample(docs, min_count, sample))
 
     def first():
         proposed = Bitmap(proposal.value)
 
         def decide(chunk, n, at, hashes, state):
-            mine = proposed.holds(hashes)
-            return mine, ~mine, mine, None
+            none = np.zeros(len(at), bool)
+            return none, ~none, proposed.holds(hashes), None
 
         return decide
 
-    scanned = materialize(_scan(docs, first, totals=True), "scanned")
-    counts = materialize(_counted(scanned).filter(F.col("n") >= F.when(F.col("words") > 0, min_count).otherwise(0)), "counts")
-    totals = counts.filter("words = 0").select("lang", F.col("n").alias("total"))
-    phrases = counts.filter("words > 0").select("lang", "phrase", "words", "n")
-    failures, failed = _full_buckets(scanned, min_count)
-    drop_tables(scanned)
-    if not failed:  # no border phrase is frequent, so no longer one is
-        return phrases, totals
-    failures = spark.sparkContext.broadcast(failures)
+    full = spark.sparkContext.broadcast(_full_buckets(_scan(docs, first), min_count))
 
     def further():
-        proposed, full = Bitmap(proposal.value), Bitmap(failures.value)
+        proposed, filled = Bitmap(proposal.value), Bitmap(full.value)
 
         def decide(chunk, n, at, hashes, state):
-            # state: starts in scope of the first pass
+            # state: the starts that were in scope of the first pass
             before = np.ones(len(at), bool) if state is None else state[at]
-            mine = proposed.holds(hashes)
-            extend = mine | full.holds(hashes) | ~before
-            counted = before & mine
+            single = filled.holds(hashes) | ~before
             was = np.zeros(chunk.count, bool)
-            was[at] = counted
-            return extend & ~counted, np.zeros(len(at), bool), extend, chunk.longer(was, n)
+            was[at] = before & proposed.holds(hashes)
+            return single, np.zeros(len(at), bool), single, chunk.longer(was, n)
 
         return decide
 
-    more = _counted(_scan(docs, further)).filter(F.col("n") >= min_count).select("lang", "phrase", "words", "n")
-    return phrases.unionByName(materialize(more, "further")), totals
+    counts = _counted(_scan(docs, further, totals=True)).filter(F.col("n") >= F.when(F.col("words") > 0, min_count).otherwise(0))
+    counts = materialize(counts, "counts")
+    return counts.filter("words > 0").select("lang", "phrase", "words", "n"), counts.filter("words = 0").select("lang", F.col("n").alias("total"))
 
 
 def scored(phrases: DataFrame, totals: DataFrame) -> DataFrame:

@@ -49,7 +49,9 @@ from pushlake.llm._words import mix
 LENGTH = 200
 STRETCH = 8
 #: Bytes of texts that are hashed at a time.
-CHUNK = 1 << 19
+CHUNK = 1 << 17
+#: Bytes that a broadcast hash table takes for each long key.
+KEY_BYTES = 40
 #: Low bits of a window's key: the place in the chunk, below the hash.
 PLACE_BITS = 24
 _PLACE = np.uint64((1 << PLACE_BITS) - 1)
@@ -85,7 +87,7 @@ _HASHERS: dict[int, tuple[_Hasher, _Hasher]] = {}
 
 def _hashers(size: int) -> tuple[_Hasher, _Hasher]:
     """Two hashers for buffers of up to ``size`` bytes (sizes are powers of two)."""
-    size = 1 << max(21, (size + 1).bit_length())
+    size = 1 << max(19, (size + 1).bit_length())
     if size not in _HASHERS:
         _HASHERS.clear()
         _HASHERS[size] = (_Hasher(0x9E3779B97F4A7C15, size), _Hasher(0xC2B2AE3D27D4EB4F, size))
@@ -321,14 +323,14 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id",
     end = F.col("lo") + F.col("n") - 1 + length
     # 1: runs whose anchor occurs again
     runs = materialize(_run_rows(long.select("did", "th", "text"), length), "runs")
-    anchors = _few(runs.groupBy("kh").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("kh"), "anchors", F.lit(16))
+    anchors = _few(runs.groupBy("kh").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("kh"), "anchors", F.lit(KEY_BYTES))
     shared = runs.join(anchors, "kh", "left_semi")
     # 2: runs of equal context are repeated; one stands for all
     one = [F.first(c).alias(c) for c in ("did", "th", "lo", "n", "d")]
     classes = materialize(shared.groupBy("kh", "ctx").agg(F.count(F.lit(1)).alias("c"), *one), "classes")
-    copied = _few(classes.filter("c > 1").select("kh", "ctx"), "copied", F.lit(48))
+    copied = _few(classes.filter("c > 1").select("kh", "ctx"), "copied", F.lit(2 * KEY_BYTES))
     found = shared.join(copied, ["kh", "ctx"], "left_semi").select("did", "th", F.col("lo").alias("s"), end.alias("e"))
-    several = _few(classes.groupBy("kh").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("kh"), "several", F.lit(16))
+    several = _few(classes.groupBy("kh").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("kh"), "several", F.lit(KEY_BYTES))
     stand = classes.join(several, "kh", "left_semi").select("did", "th", "lo", "n", "d", "kh", (F.col("c") > 1).alias("done"))
     stand = materialize(stand.withColumn("rid", F.monotonically_increasing_id()), "standing")
     of_texts = _of_texts(stand, "open_runs", "lo", "n", "d", "kh", "rid", "done")
@@ -336,7 +338,7 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id",
     stretches = materialize(_whole_texts(long, "open_runs", of_texts, "lo", STRETCH_ROWS, length, _stretches(length)), "stretches")
     kinds = stretches.groupBy("ck", "fk").agg(F.count(F.lit(1)).alias("c"), F.first("place").alias("place"), F.first("n").alias("n"))
     kinds = materialize(kinds, "kinds")
-    again = _few(kinds.filter("c > 1").select("ck", "fk"), "again", F.lit(48))
+    again = _few(kinds.filter("c > 1").select("ck", "fk"), "again", F.lit(2 * KEY_BYTES))
     rid = F.floor(F.col("place") / _RUN_STARTS).cast("long").alias("rid")
     start = (F.col("place") % _RUN_STARTS).cast("int")
     homes = stand.select("rid", "did", "th", "lo")
@@ -344,7 +346,7 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id",
     at = F.col("lo") + F.col("start")
     found = found.unionByName(pieces.select("did", "th", at.alias("s"), (at + F.col("n") - 1 + length).alias("e")))
     # prefix doubling over the open starts
-    open_keys = _few(kinds.groupBy("ck").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("ck"), "open_keys", F.lit(16))
+    open_keys = _few(kinds.groupBy("ck").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("ck"), "open_keys", F.lit(KEY_BYTES))
     left = kinds.join(open_keys, "ck", "left_semi").select(rid, start.alias("start"), "place", "n").join(homes, "rid")
     of_texts = _of_texts(left, "open_starts", at.alias("at"), "place", "n")
     pairs = _whole_texts(long, "open_starts", of_texts, "at", "pid long, slot int, a long, b long", length, _first_pairs(length))
