@@ -75,14 +75,24 @@ def profile_to_sorted_cells(spark: SparkSession, inputs: str, output: str, kind:
 
 
 def pairs_to_index(spark: SparkSession, inputs: str, send: Callable[[list[dict]], sinks.Failures | None], itime: int,
-                   batch: int = sinks.INDEX_BULK, failures: str | None = None) -> int:
+                   batch: int = sinks.INDEX_BULK, failures: str | None = None, pieces: bool = False) -> int:
     """``imei pkg`` lines in file order -> runs of equal imei (rejects do not break a
     run) -> the last run of each imei -> bulk index documents (P9 + W1 + W2 + K7). Returns
-    the number of failed documents; their ids and reasons go to ``failures``."""
+    the number of failed documents; their ids and reasons go to ``failures``.
+
+    With ``pieces`` a run is one document for each segment of lines it touches (``imei``,
+    then ``imei.1``, ...), so that no document holds a whole run of any length."""
     lines = readers.read_lines(spark, inputs)
     pairs = parse.accepted(parse.parse_pairs(lines, keep=["_file", "_block", "_pos"]))
-    runs = ordered.group_runs(pairs, "imei", "pkg", ["_file", "_block", "_pos"], segment=["_file", "_block"])
-    return sinks.to_index_docs(ordered.last_run(runs, "imei", "pkg"), "imei", "pkg", itime, send, batch, failures)
+    pairs, segment = ordered.line_segments(pairs)
+    runs = ordered.group_runs(pairs, "imei", "pkg", ["_file", "_block", "_pos"], segment=segment, pieces=pieces)
+    if pieces:
+        parts = ordered.last_run_pieces(runs, "imei", "pkg")
+        name = F.when(F.col("part") == 0, F.col("imei")).otherwise(F.concat_ws(".", "imei", F.col("part").cast("string")))
+        last = parts.select(name.alias("imei"), "pkg")
+    else:
+        last = ordered.last_run(runs, "imei", "pkg")
+    return sinks.to_index_docs(last, "imei", "pkg", itime, send, batch, failures)
 
 
 def merge_versions(spark: SparkSession, docs: DataFrame, inputs: str, flag: str) -> DataFrame:

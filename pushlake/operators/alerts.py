@@ -47,9 +47,19 @@ def alert_rejects(jobs: DataFrame) -> DataFrame:
     return _items(jobs).filter(F.col("item").isNull()).select("cube", "name", "kind", F.lit("name").alias("reject_reason"))
 
 
+def _py_text(s: "F.Column") -> "F.Column":
+    """A string as Python prints it: in single quotes, or in double quotes when it has
+    single ones only; backslashes, the quote and line breaks and tabs are escaped."""
+    out = F.replace(s, F.lit("\\"), F.lit("\\\\"))
+    for char, text in (("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
+        out = F.replace(out, F.lit(char), F.lit(text))
+    single = F.concat(F.lit("'"), F.replace(out, F.lit("'"), F.lit("\\'")), F.lit("'"))
+    return F.when(F.contains(s, F.lit("'")) & ~F.contains(s, F.lit('"')), F.concat(F.lit('"'), out, F.lit('"'))).otherwise(single)
+
+
 def _py_list(items) -> "F.Column":
     """Text of a list of strings as Python prints it: ['a', 'b']."""
-    return F.concat(F.lit("["), F.array_join(F.transform(items, lambda s: F.concat(F.lit("'"), s, F.lit("'"))), ", "), F.lit("]"))
+    return F.concat(F.lit("["), F.array_join(F.transform(items, _py_text), ", "), F.lit("]"))
 
 
 def job_alerts(jobs: DataFrame, jobs_per_cube: int | None = None, max_len: int = MAX_MESSAGE) -> DataFrame:

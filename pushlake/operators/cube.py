@@ -192,6 +192,15 @@ def cardinalities(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return row.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("bigint").alias("approx")) for c in cols])).alias("_c")).select("_c.*")
 
 
+#: Relative standard deviation of ``approx_count_distinct`` as it is asked for here.
+HLL_RSD = 0.05
+
+
+def within_bound(estimate: str, exact: str, rsd: float = HLL_RSD) -> Column:
+    """Whether an estimated distinct count is within three standard deviations."""
+    return F.abs(F.col(estimate) - F.col(exact)) <= F.greatest(F.lit(1.0), 3 * rsd * F.col(exact))
+
+
 def hll_sketches(df: DataFrame, group: Sequence[str], col: str, lg_k: int = 12) -> DataFrame:
     """Mergeable HLL sketch per group; combine with ``hll_union_agg`` and read
     with ``hll_sketch_estimate``."""

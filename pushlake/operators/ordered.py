@@ -26,16 +26,41 @@ def _shared(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+#: Bytes (as planned) of a range segment, and lines of a segment of a file split.
+SEGMENT_BYTES = 128 << 20
+SEGMENT_LINES = 1 << 20
+
+
+def planned_bytes(df: DataFrame) -> int:
+    """The size of a DataFrame as Spark's optimizer plans it (file sizes, or an upper
+    estimate after operators)."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def segment_count(size: int, least: int) -> int:
+    """Ranges for ``size`` planned bytes: SEGMENT_BYTES each, at least ``least`` of them."""
+    return max(least, -(-size // SEGMENT_BYTES))
+
+
 def range_segments(df: DataFrame, order: Sequence[str], n: int | None = None, out: str = "_seg") -> DataFrame:
     """Add ``out``: the index of a contiguous range of ``order``. Spark's range
     partitioner samples the keys and cuts them into ``n`` ranges of about equal
-    size (default: the session's shuffle partitions), so every segment is bounded
-    by the data size over ``n``; the segment is the range partition id."""
+    size; by default as many as the input's planned size takes at SEGMENT_BYTES each
+    (at least the session's shuffle partitions), so a segment is bounded at any data
+    size; the segment is the range partition id."""
     if n is None:
-        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        n = segment_count(planned_bytes(df), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     return df.repartitionByRange(n, *order).withColumn(out, F.spark_partition_id())
 
 
+def line_segments(lines: DataFrame, size: int = SEGMENT_LINES, out: str = "_sub") -> tuple[DataFrame, list[str]]:
+    """(lines, segment columns) for text lines with their order key: a file split, and
+    inside it ``out``, a contiguous range of at most ``size`` lines, so that a file that
+    cannot be split (gzip) is many segments too."""
+    local = F.col("_pos").bitwiseAND(F.lit((1 << 33) - 1))
+    return lines.withColumn(out, F.floor(local / size).cast("long")), ["_file", "_block", out]
+
+
 def dense_index(df: DataFrame, order: Sequence[str], n_ranges: int | None = None, out: str = "idx") -> DataFrame:
     """0-based dense position of every row in ``order`` (which must be unique).
 
@@ -130,6 +155,16 @@ def last_run(runs: DataFrame, key: str, value: str) -> DataFrame:
     return runs.groupBy(key).agg(F.max_by(value, "run_start").alias(value))
 
 
+def last_run_pieces(pieces: DataFrame, key: str, value: str) -> DataFrame:
+    """W2 on runs as pieces (``group_runs(pieces=True)``): the last run of each key, as
+    (key, part, value) with its pieces counted from 0 in order. A key's window has one
+    row per segment that its last run touches."""
+    last = pieces.groupBy(key).agg(F.max("run_start").alias("_last"))
+    own = pieces.join(last, key).filter(F.col("run_start") == F.col("_last"))
+    part = F.row_number().over(Window.partitionBy(key).orderBy("piece_start")) - 1
+    return own.select(key, part.alias("part"), value)
+
+
 def last_write_wins(df: DataFrame, key: str, order: Sequence[str] | str, fields: Sequence[str]) -> DataFrame:
     """Per key, the fields of the last row in ``order`` (a hash aggregate with
     map-side combine, so a hot key is one row per task before the shuffle)."""

@@ -202,6 +202,10 @@ def observe_counts(parsed: DataFrame, observation, reason_col: str = "reject_rea
     )
 
 
+#: Relative standard deviation of a sketch of 2**12 registers.
+SKETCH_RSD = 0.0163
+
+
 def hour_day_stats_sketched(df: DataFrame, day: str, hour: str, distinct: dict[str, str], count: str = "n",
                             lg_k: int = 12) -> DataFrame:
     """A11 at scale with approximate distinct counts: hour rows aggregate the input

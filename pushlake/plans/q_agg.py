@@ -204,10 +204,19 @@ def c9_with_derived(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("o_orderstatus", "n_name", "n", F.col("price").cast("double").alias("price"))
 
 
-@register("c10_cardinalities")
+CARDINALITY_COLUMNS = [*DIMS, "c_nationkey", "o_year"]
+
+
+@register("c10_cardinalities", sql=f"WITH {STAR} " + " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", count(DISTINCT {c}) AS exact, true AS within_bound FROM star" for c in CARDINALITY_COLUMNS))
 def c10_cardinalities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Approximate (HyperLogLog) distinct counts per column; no exact oracle."""
-    return CB.cardinalities(fx.star(spark, sf_dir), DIMS + ["c_nationkey", "o_year"])
+    """Approximate distinct counts per column beside the exact ones, and whether they
+    are within the estimator's bound."""
+    star = fx.star(spark, sf_dir)
+    exact = star.agg(*[F.countDistinct(c).alias(c) for c in CARDINALITY_COLUMNS])
+    exact = exact.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("exact")) for c in CARDINALITY_COLUMNS])).alias("_c")).select("_c.*")
+    both = CB.cardinalities(star, CARDINALITY_COLUMNS).join(exact, "column")
+    return both.select("column", "exact", CB.within_bound("approx", "exact").alias("within_bound"))
 
 
 @register("c11_query_cube", sql=f"""

@@ -141,6 +141,21 @@ def a5_sum_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.sum_versions(fx.offline_cells(spark, sf_dir))
 
 
+@register("a5_heavy_cells", sql="""
+SELECT l_returnflag AS rowkey, 'A' AS family, 'qty' AS qualifier, CAST(sum(qty) AS BIGINT) AS total FROM (
+  SELECT l_returnflag, CAST(l_quantity AS INTEGER) AS qty, row_number() OVER (PARTITION BY l_returnflag ORDER BY l_orderkey * 8 + l_linenumber DESC) AS rn FROM lineitem) t
+WHERE rn <= 10000 GROUP BY l_returnflag""")
+def a5_heavy_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A5 on three cells with a version per lineitem (over 10,000 each from sf0.01 on), so
+    that only the newest 10,000 count and the salted levels rank them."""
+    items = fx.table(spark, sf_dir, "lineitem")
+    cells = items.select(
+        F.col("l_returnflag").alias("rowkey"), F.lit("A").alias("family"), F.lit("qty").alias("qualifier"),
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("ts"), F.col("l_quantity").cast("int").cast("string").alias("value"),
+    )
+    return C.sum_versions(cells)
+
+
 @register("w4_newest_versions", sql=f"""
 WITH {REPORT_CELLS}
 SELECT rowkey, family, qualifier, ts, value FROM (

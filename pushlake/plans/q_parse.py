@@ -389,12 +389,19 @@ def f8_strict_time_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tk.filter(TK.key_is_valid("key", TK.grain_of("key")))
 
 
-@register("a11_hour_day_stats_sketched")
+@register("a11_hour_day_stats_sketched", sql=f"""
+SELECT iday, ihour, grain, n_msgs, true AS appkeys_within_bound, true AS msgids_within_bound FROM ({HOUR_STATS_SQL}) s""")
 def a11_hour_day_stats_sketched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A11 with mergeable HLL sketches: hour rows from one pass, day rows rolled up
-    from them; distinct counts are estimates, so there is no exact SQL oracle."""
-    return R.hour_day_stats_sketched(http_records(spark, sf_dir), "iday", "ihour",
-                                     {"n_appkeys": "appkey", "n_msgids": "msgid"}, count="n_msgs")
+    from them; every estimate is held against the exact count."""
+    from pushlake.operators.cube import within_bound
+
+    records = http_records(spark, sf_dir)
+    sketched = R.hour_day_stats_sketched(records, "iday", "ihour", {"n_appkeys": "appkey", "n_msgids": "msgid"}, count="n_msgs")
+    exact = hour_stats_of(records).select("iday", F.col("ihour").alias("h"), F.col("grain").alias("g"), F.col("n_appkeys").alias("apps"), F.col("n_msgids").alias("ids"), F.col("iday").alias("d")).drop("iday")
+    both = sketched.join(exact, (F.col("iday") == F.col("d")) & F.col("ihour").eqNullSafe(F.col("h")) & (F.col("grain") == F.col("g")))
+    flags = [within_bound(a, b, R.SKETCH_RSD).alias(n) for a, b, n in (("n_appkeys", "apps", "appkeys_within_bound"), ("n_msgids", "ids", "msgids_within_bound"))]
+    return both.select("iday", "ihour", "grain", "n_msgs", *flags)
 
 
 @register("a11_event_stats", sql="""

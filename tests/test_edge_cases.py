@@ -585,3 +585,45 @@ def test_rows_that_are_no_array_fail_the_message(spark):
     df = spark.createDataFrame([(b,) for b in bodies], "body string")
     assert P.explode_rows(df).count() == 4
     assert {r.body for r in P.bad_envelopes(df).collect()} == set(bodies[:3])
+
+
+def test_o1_items_print_as_python_prints_them(spark):
+    from pushlake.operators.alerts import _py_list
+
+    items = ["plain", "it's", 'a "b"', 'it\'s "b"', "back\\slash", "line\nbreak\ttab", "", "é"]
+    df = spark.createDataFrame([(items,)], "items array<string>")
+    assert df.select(_py_list(F.col("items")).alias("t")).first().t == str(items)
+
+
+def test_w1_segments_grow_with_the_input():
+    from pushlake.operators import ordered as O
+
+    assert O.segment_count(0, 8) == 8
+    assert O.segment_count(100 << 40, 8) == (100 << 40) // O.SEGMENT_BYTES
+
+
+def test_w1_w2_segments_inside_a_file_and_pieces(spark, tmp_path):
+    """A gzip file is one split; its runs are found over segments of its lines, and the
+    last run of a key comes as pieces."""
+    import gzip
+    import os
+
+    from pushlake.operators import ordered as O
+    from pushlake.sources.readers import read_lines
+
+    keys = ["a"] * 7 + ["b"] * 3 + ["a"] * 25 + ["c"]
+    os.makedirs(tmp_path / "in")
+    with gzip.open(tmp_path / "in" / "part.gz", "wt") as f:
+        f.writelines(f"{k} p{i}\n" for i, k in enumerate(keys))
+    pairs = P.accepted(P.parse_pairs(read_lines(spark, str(tmp_path / "in")), keep=["_file", "_block", "_pos"]))
+    assert pairs.select("_file", "_block").distinct().count() == 1
+    pairs, segment = O.line_segments(pairs, size=5)
+    order = ["_file", "_block", "_pos"]
+    runs = O.group_runs(pairs, "imei", "pkg", order, segment=segment)
+    assert {r.imei: r.pkg for r in O.last_run(runs, "imei", "pkg").collect()} == {
+        "a": "|".join(f"p{i}" for i in range(10, 35)), "b": "p7|p8|p9", "c": "p35",
+    }
+    pieces = O.last_run_pieces(O.group_runs(pairs, "imei", "pkg", order, segment=segment, pieces=True), "imei", "pkg").collect()
+    assert max(len(r.pkg.split("|")) for r in pieces) == 5
+    last = sorted((r.part, r.pkg) for r in pieces if r.imei == "a")
+    assert [p for p, _ in last] == list(range(5)) and "|".join(v for _, v in last) == "|".join(f"p{i}" for i in range(10, 35))
