@@ -27,7 +27,7 @@ import regex
 from pyspark.sql import DataFrame
 
 from pushlake.llm._util import broadcast_bytes, only_cache, slices
-from pushlake.llm.bpe import MergeList, merge
+from pushlake.llm.bpe import MergeList, Splitter, merge
 
 #: Fixed split pattern of byte-level vocabularies.
 BYTE_LEVEL_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -79,7 +79,7 @@ class Transducer:
         self.merges = MergeList(data)
         self.lookahead = sufficient_lookahead(self.merges)
         self.window = max(1024, 4 * self.lookahead)
-        self.pieces = regex.compile(BYTE_LEVEL_PATTERN)
+        self.pieces = Splitter(BYTE_LEVEL_PATTERN)
         self.special = regex.compile("|".join(regex.escape(s) for s in self.merges.specials)) if self.merges.specials else None
         table = self.merges.token_bytes()
         self.bytes_of = [table.get(i, b"") for i in range(max(table) + 1)]

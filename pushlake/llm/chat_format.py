@@ -3,7 +3,9 @@
 Prefix sums of turn tokens place every turn of a conversation on a token axis that
 is cut into cells of the budget left for new turns. Turns that lie inside one cell
 share a window; the one turn that crosses a cell border gets a window of its own.
-So new turns never exceed the cell unless a single turn does (it is kept whole).
+The cell is the budget less the system turn and the history, and the history shrinks to
+half of what the system turn leaves: a window exceeds the budget only where a single
+turn that does not fit, or the system turn, is kept whole.
 Every later window repeats the system turn and the turns of the last
 ``history`` tokens; the loss mask covers assistant texts of new turns only, so a
 repeated target is masked and each one is learned once.
@@ -63,15 +65,21 @@ def _placed(turns: DataFrame) -> DataFrame:
     )
 
 
-def format_windows(conversations: DataFrame, budget: int = 1024, history: int = 256) -> DataFrame:
+def format_windows(conversations: DataFrame, budget: int = 1024, history: int = 256, tokens_col: str | None = None) -> DataFrame:
     """One row per window: (conv_id, window, formatted, new: array<boolean> per turn,
-    loss: array<struct<start, end>> in code points, n_tokens)."""
+    loss: array<struct<start, end>> in code points, n_tokens). A turn's tokens are the
+    column ``tokens_col`` (counts of a tokenizer, say), by default its words and
+    TURN_OVERHEAD for its marks."""
+    if history < 1 or budget < 1:
+        raise ValueError("budget and history are at least one token")
+    tokens = F.size(words_of(F.col("text"))) + TURN_OVERHEAD if tokens_col is None else F.greatest(F.coalesce(F.col("_tokens"), F.lit(1)), F.lit(1))
     turns = conversations.select(
         "conv_id",
         F.col("turn").cast("long").alias("turn"),
         F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
-    ).withColumns({"tokens": (F.size(words_of(F.col("text"))) + TURN_OVERHEAD).cast("long"), "chunk": F.coalesce(F.floor(F.col("turn") / CHUNK_TURNS), F.lit(-(1 << 62)))})
+        *([] if tokens_col is None else [F.col(tokens_col).cast("long").alias("_tokens")]),
+    ).withColumns({"tokens": tokens.cast("long"), "chunk": F.coalesce(F.floor(F.col("turn") / CHUNK_TURNS), F.lit(-(1 << 62)))})
     # written once: what follows reads it four times, mostly without the texts
     placed = materialize(_placed(turns), "turns")
     system = (
@@ -80,9 +88,11 @@ def format_windows(conversations: DataFrame, budget: int = 1024, history: int =
         .agg(F.min_by(F.struct("idx", "role", "text", "tokens"), "idx").alias("sys"))
     )
     same = F.col("conv_id").eqNullSafe(F.col("s_conv"))
-    cell = F.greatest(F.lit(budget) - history - F.coalesce(F.col("sys.tokens"), F.lit(0)), F.lit(max(1, budget // 4)))
+    left = F.greatest(F.lit(budget) - F.coalesce(F.col("sys.tokens"), F.lit(0)), F.lit(0))
+    repeat = F.least(F.lit(history), F.floor(left / 2))
+    cell = F.greatest(left - repeat, F.lit(1))
     placed = placed.join(system, same, "left").select(
-        "conv_id", "role", "text", "tokens", "idx", "at", F.col("sys.idx").alias("sys_idx"), F.floor(F.col("at") / cell).alias("first"), F.floor((F.col("at") + F.col("tokens") - 1) / cell).alias("last")
+        "conv_id", "role", "text", "tokens", "idx", "at", F.col("sys.idx").alias("sys_idx"), repeat.alias("repeat"), F.floor(F.col("at") / cell).alias("first"), F.floor((F.col("at") + F.col("tokens") - 1) / cell).alias("last")
     )
     placed = placed.withColumn("window", 2 * F.col("first") + (F.col("last") > F.col("first")).cast("long"))
     row = lambda new: F.struct("idx", F.lit(new).alias("new"), "role", "text", "tokens").alias("row")
@@ -90,10 +100,10 @@ def format_windows(conversations: DataFrame, budget: int = 1024, history: int =
     # the turns of the last ``history`` tokens before a window's first: its start
     # falls in a turn's own bucket of the token axis or in the next one
     bucket = F.floor(F.col("at") / history)
-    near = placed.select("conv_id", "idx", "at", "sys_idx", F.explode(F.array(bucket, bucket + 1)).alias("bucket"))
+    near = placed.select("conv_id", "idx", "at", "sys_idx", "repeat", F.explode(F.array(bucket, bucket + 1)).alias("bucket"))
     starts = windows.withColumn("w_bucket", F.floor(F.col("w_at") / history))
     again = near.join(starts, F.col("conv_id").eqNullSafe(F.col("w_conv")) & (F.col("bucket") == F.col("w_bucket"))).filter(
-        (F.col("at") < F.col("w_at")) & (F.col("w_at") - F.col("at") <= history) & ~F.col("idx").eqNullSafe(F.col("sys_idx"))
+        (F.col("at") < F.col("w_at")) & (F.col("w_at") - F.col("at") <= F.col("repeat")) & ~F.col("idx").eqNullSafe(F.col("sys_idx"))
     )
     # found without the texts, which join what is repeated
     again = again.select(F.col("conv_id").alias("r_conv"), F.col("idx").alias("r_idx"), F.col("w").alias("r_w"))

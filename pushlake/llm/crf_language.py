@@ -6,34 +6,37 @@ forward-backward gives the probability of each language at each word, so
 code-switched texts get a language per word. A text's language is the one with the
 largest mean probability.
 
-The field is fitted on the driver to a bounded sample (about ``ROWS_PER_LANGUAGE``
-documents a language, drawn by id hash) by gradient steps on the conditional
-likelihood; training sequences join stretches of different documents, so the
-transitions are learned from real word sequences with known switch points.
-Scoring is one pass over the texts without a shuffle; blocks of texts of similar
-length advance together.
+The field is fitted on the driver to a bounded sample: ``PIECES_PER_LANGUAGE`` pieces of
+``PIECE_CHARS`` characters a language, drawn by a hash of id, text and place from all of
+every text, by gradient steps on the conditional likelihood; training sequences join
+stretches of different pieces, so the transitions are learned from real word sequences
+with known switch points. Scoring is one pass over the texts without a shuffle. Long
+texts are cut into segments that advance together: a product of small matrices carries
+the messages over each segment, so the result is that of the whole chain.
 
 Edge cases: null texts, and texts without a letter, are ``und`` with score 0; with
 no labelled row all texts are ``und``; with one language all texts with a letter get
-it; equal rows get equal labels; very long texts are labelled whole; an empty table
-gives an empty result; extra columns are ignored.
+it; equal rows get equal labels; null and repeated ids draw by their texts; very long
+texts are labelled whole, and a run of more than ``WORD_CHARS`` letters as consecutive
+words of that length; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
 
-import zlib
-
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pushlake.llm._util import crc_remainder, only_cache, slices
+from pushlake.llm._words import mix
 
-ROWS_PER_LANGUAGE = 400
-#: Characters of one sampled document that the fit may use.
-FIT_CHARS = 4000
+#: Bound of the fit: pieces a language, and characters of a piece.
+PIECES_PER_LANGUAGE = 2000
+PIECE_CHARS = 600
+WORD_CHARS = 64
 BUCKETS = 1 << 16
 LEXICON_COUNT = 3
 STRETCH = (3, 20)
@@ -42,26 +45,60 @@ BATCH = 64
 EPOCHS = 2
 LEARNING_RATE = 0.5
 BLOCK_WORDS = 200_000
-#: Rows of a batch that advance together, longest first.
+#: Words of a text that advance one by one; longer texts are segments.
+SEGMENT = 256
+#: Rows of a batch that advance together.
 SLICE_ROWS = 3000
 CACHED_WORDS = 250_000
 HELD_OUT_MODULUS, HELD_OUT_REMAINDER = 5, 0
 UNDETERMINED = "und"
-_WORDS = regex.compile(r"\p{L}+")
+_WORDS = regex.compile(r"\p{L}{1,%d}" % WORD_CHARS)
+_FIXED = 8  # features that every word has
+_LEXICON = 6
 
 
 def words(text: str | None) -> list[str]:
     return _WORDS.findall(text.lower()) if text else []
 
 
-def word_features(word: str) -> np.ndarray:
-    """Feature buckets of a word: prefixes, suffixes, 2- and 3-grams, the word itself
-    (lexicon) and its length."""
-    w = word[:64]  # features of a word, not of a text: longer runs share them
-    names = [f"p{w[:k]}" for k in (1, 2, 3)] + [f"s{w[-k:]}" for k in (1, 2, 3)] + [f"l{word}" if len(word) <= 64 else "long", f"n{min(len(word), 20)}"]
-    marked = f"^{w}$"
-    names += [marked[i : i + 2] for i in range(len(marked) - 1)] + [marked[i : i + 3] for i in range(len(marked) - 2)]
-    return np.array([zlib.crc32(x.encode()) & (BUCKETS - 1) for x in names], np.int64)
+def _bucket(tag: int, *codes: np.ndarray) -> np.ndarray:
+    h = np.full(len(codes[0]), tag, np.uint64)
+    for c in codes:
+        h = h * np.uint64(0x100000001B3) + c
+    return (mix(h) & np.uint64(BUCKETS - 1)).astype(np.int64)
+
+
+def word_features(ws: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Feature buckets of words: (words x 8) prefixes and suffixes of one to three letters,
+    the word itself (lexicon) and its length; and its 2- and 3-grams with border marks,
+    end to end, with their number for each word."""
+    marked = "".join([f"^{w}$" for w in ws])
+    codes = np.frombuffer(marked.encode("utf-32-le"), np.uint32).astype(np.uint64)
+    sizes = np.fromiter(map(len, ws), np.int64, len(ws))
+    ends = np.cumsum(sizes + 2)
+    begin = ends - sizes - 2
+    at = lambda i, k: np.where(k < sizes, codes[np.minimum(i, len(codes) - 1)], np.uint64(0))
+    fixed = np.empty((len(ws), _FIXED), np.int64)
+    head = [at(begin + 1 + k, k) for k in range(3)]
+    tail = [at(np.maximum(ends - 2 - k, 0), k) for k in range(3)]
+    for k in range(3):
+        fixed[:, k] = _bucket(1 + k, *head[: k + 1])
+        fixed[:, 3 + k] = _bucket(4 + k, *tail[: k + 1])
+    own = np.fromiter((xxhash.xxh64_intdigest(w.encode()) for w in ws), np.uint64, len(ws))
+    fixed[:, _LEXICON] = _bucket(7, own)
+    fixed[:, 7] = _bucket(8, np.minimum(sizes, 20).astype(np.uint64))
+    # 2-grams start everywhere but at the last mark, 3-grams also not before it
+    two, three = np.ones(len(codes), bool), np.ones(len(codes), bool)
+    two[ends - 1] = three[ends - 1] = three[ends - 2] = False
+    i, j = np.flatnonzero(two), np.flatnonzero(three)
+    grams = np.empty(len(i) + len(j), np.int64)
+    counts = 2 * sizes + 1  # sizes + 1 and sizes
+    first = np.cumsum(counts) - counts
+    of = np.searchsorted(ends, i, side="right")
+    grams[first[of] + i - begin[of]] = _bucket(9, codes[i], codes[i + 1])
+    of = np.searchsorted(ends, j, side="right")
+    grams[first[of] + sizes[of] + 1 + j - begin[of]] = _bucket(10, codes[j], codes[j + 1], codes[j + 2])
+    return fixed, grams, counts
 
 
 class Field:
@@ -86,50 +123,90 @@ class Field:
         self.languages, self.weights, self.moves, self.start = state
         self.clear()
 
-    def _score(self, word: str) -> int:
-        f = word_features(word)
-        i = len(self._at)
-        if i == len(self._scores):
+    def _score(self, new: list[str]) -> None:
+        have = len(self._at)
+        while have + len(new) > len(self._scores):
             self._scores = np.concatenate([self._scores, np.zeros_like(self._scores)])
-        z = self.weights[f].sum(axis=0) / np.sqrt(len(f))
-        self._scores[i] = np.exp(z - z.max())
-        self._at[word] = i
-        return i
+        fixed, grams, counts = word_features(new)
+        z = self.weights[fixed].sum(axis=1) + np.add.reduceat(self.weights[grams], np.cumsum(counts) - counts, axis=0)
+        z /= np.sqrt(counts + _FIXED)[:, None].astype(np.float32)
+        self._scores[have : have + len(new)] = np.exp(z - z.max(axis=1, keepdims=True))
+        self._at.update(zip(new, range(have, have + len(new))))
 
     def potentials(self, ws: list[str]) -> np.ndarray:
         """Scaled emission potentials (words x languages)."""
         if len(self._at) > CACHED_WORDS:
             self.clear()
-        get = self._at.get
-        at = np.fromiter((i if (i := get(w)) is not None else self._score(w) for w in ws), np.int64, len(ws))
-        return self._scores[at]
+        known = self._at
+        new = [w for w in dict.fromkeys(ws) if w not in known]
+        for i in range(0, len(new), 20_000):
+            self._score(new[i : i + 20_000])
+        return self._scores[np.fromiter(map(known.__getitem__, ws), np.int64, len(ws))]
 
 
 def forward_backward(emit: np.ndarray, lengths: np.ndarray, move: np.ndarray, start: np.ndarray) -> np.ndarray:
-    """Marginals of sequences laid end to end in ``emit`` (positive potentials),
-    ``lengths`` falling. All sequences advance one word at a time together."""
-    n = len(lengths)
-    begin = np.cumsum(lengths) - lengths
-    longest = int(lengths[0]) if n else 0
-    active = np.searchsorted(-lengths, -np.arange(longest), "left") if n else []  # sequences longer than t
+    """Marginals of sequences laid end to end in ``emit`` (positive potentials)."""
+    ends = np.cumsum(lengths)
+    parts = -(-lengths // SEGMENT)
+    of = np.repeat(np.arange(len(lengths)), parts)
+    nth = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
+    begin = (ends - lengths)[of] + nth * SEGMENT
+    size = np.minimum(ends[of] - begin, SEGMENT)
+    before = np.tile(start.astype(emit.dtype), (len(begin), 1))
+    after = np.ones((len(begin), emit.shape[1]), emit.dtype)
+    _carry(emit, begin, size, np.cumsum(parts) - parts, parts, move, before, after)
+    order = np.argsort(-size, kind="stable")
+    return _marginals(emit, begin[order], size[order], move, before[order], after[order])
+
+
+def _carry(emit, begin, size, first, parts, move, before, after) -> None:
+    """Fill in the messages before and after each segment of the sequences of several
+    ``parts``: a segment is a product of matrices, and these are taken in turn."""
+    long = np.flatnonzero(parts > 1)
+    if not len(long):
+        return
+    own = np.concatenate([np.arange(first[i], first[i] + parts[i]) for i in long])
+    # diag(e1) move diag(e2) ... diag(ek), scaled; all segments but a last one are full
+    product = emit[begin[own]][:, None, :] * np.eye(emit.shape[1], dtype=emit.dtype)
+    for t in range(1, SEGMENT):
+        on = np.flatnonzero(size[own] > t)
+        if not len(on):
+            break
+        x = (product[on] @ move) * emit[begin[own[on]] + t][:, None, :]
+        product[on] = x / x.max(axis=(1, 2), keepdims=True)
+    at = 0
+    for i in long:
+        n, s = parts[i], first[i]
+        for k in range(1, n):
+            v = before[s + k - 1] @ product[at + k - 1] @ move
+            before[s + k] = v / v.sum()
+        for k in range(n - 1, 0, -1):
+            v = move @ (product[at + k] @ after[s + k])
+            after[s + k - 1] = v / v.sum()
+        at += n
+
+
+def _marginals(emit, begin, size, move, before, after) -> np.ndarray:
+    """Marginals of segments (``size`` falling) with their messages; all advance one word
+    at a time together."""
+    longest = int(size[0]) if len(size) else 0
+    active = np.searchsorted(-size, -np.arange(longest), "left") if longest else []  # segments longer than t
     forward = np.empty_like(emit)
-    a = None
+    a = before
     for t in range(longest):
         at = begin[: active[t]] + t
-        a = (start if t == 0 else a[: active[t]] @ move) * emit[at]
+        a = (a[: active[t]] if t == 0 else a[: active[t]] @ move) * emit[at]
         a /= a.sum(axis=1, keepdims=True)
         forward[at] = a
-    back = np.empty((n, emit.shape[1]), emit.dtype)
+    back = after.copy()
     for t in range(longest - 1, -1, -1):
         live = active[t]
         at = begin[:live] + t
-        alive = active[t + 1] if t + 1 < longest else 0
-        b = np.ones((live, emit.shape[1]), emit.dtype)
-        if alive:
-            b[:alive] = (back[:alive] * emit[begin[:alive] + t + 1]) @ move.T
-            b[:alive] /= b[:alive].sum(axis=1, keepdims=True)
-        back[:live] = b
-        m = forward[at] * b
+        going = active[t + 1] if t + 1 < longest else 0
+        if going:
+            b = (back[:going] * emit[begin[:going] + t + 1]) @ move.T
+            back[:going] = b / b.sum(axis=1, keepdims=True)
+        m = forward[at] * back[:live]
         forward[at] = m / m.sum(axis=1, keepdims=True)
     return forward
 
@@ -143,7 +220,7 @@ def fit(rows: list[tuple[str, str]]) -> Field | None:
     field = Field(languages)
     n = len(languages)
     rng = np.random.default_rng(5)
-    texts = [(languages.index(lang), words(text[:FIT_CHARS])) for lang, text in rows]
+    texts = [(languages.index(lang), words(text)) for lang, text in rows]
     flat_words, flat_labels = [], []
     cursor = [0] * len(texts)
     live = list(range(len(texts)))
@@ -162,7 +239,9 @@ def fit(rows: list[tuple[str, str]]) -> Field | None:
     names = {}
     index = np.array([names.setdefault(w, len(names)) for w in flat_words])
     counts = np.bincount(index)
-    feats = [word_features(w) if c >= LEXICON_COUNT else np.delete(word_features(w), 6) for w, c in zip(names, counts)]
+    fixed, grams, sizes = word_features(list(names))
+    plain = np.delete(fixed, _LEXICON, axis=1)
+    feats = [np.concatenate([fixed[i] if counts[i] >= LEXICON_COUNT else plain[i], g]) for i, g in enumerate(np.split(grams, np.cumsum(sizes)[:-1]))]
     labels = np.array(flat_labels)
     usable = len(index) // SEQUENCE * SEQUENCE
     if not usable:  # a tiny sample: one short sequence
@@ -219,19 +298,27 @@ def fit(rows: list[tuple[str, str]]) -> Field | None:
     return field
 
 
+def sample(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id") -> DataFrame:
+    """(text, lang): the drawn pieces of the rows with a language. Every piece of every text
+    has a draw, a hash of id, text and place; those of the PIECES_PER_LANGUAGE least
+    draws of a language are taken, so equal tables give equal samples."""
+    known = docs.select(F.xxhash64(docs[id_col], docs[text_col]).alias("h"), docs[text_col].cast("string").alias("text"), docs[lang_col].cast("string").alias("lang"))
+    known = known.filter("lang is not null and length(text) > 0")
+    pieces = F.ceil(F.length("text") / PIECE_CHARS).cast("long")
+    totals = known.groupBy("lang").agg(F.sum(pieces).alias("total"))  # one row per language
+    draw = lambda k: F.pmod(F.xxhash64("h", k), F.lit(1 << 40))
+    # twice as many as needed are drawn, then the least of them are ranked
+    bound = F.when(F.col("total") <= 2 * PIECES_PER_LANGUAGE, F.lit(1 << 40)).otherwise(F.lit((1 << 40) * 2 * PIECES_PER_LANGUAGE) / F.col("total"))
+    drawn = known.join(F.broadcast(totals), "lang").withColumn("bound", bound)
+    drawn = drawn.select("lang", "text", "h", F.explode(F.filter(F.sequence(F.lit(0).cast("long"), pieces - 1), lambda k: draw(k) < F.col("bound"))).alias("k"))
+    drawn = drawn.select("lang", draw(F.col("k")).alias("draw"), "h", "k", F.expr(f"substring(text, cast(k * {PIECE_CHARS} as int) + 1, {PIECE_CHARS})").alias("text"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "h", "k", "text"))
+    return drawn.withColumn("rank", rank).filter(F.col("rank") <= PIECES_PER_LANGUAGE).select("text", "lang")
+
+
 def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id") -> Field | None:
-    """Fit on a sample of the rows with a language: each language's share by id hash
-    is set so that about ROWS_PER_LANGUAGE rows come; at most twice as many are read."""
-    known = docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text"), docs[lang_col].cast("string").alias("lang")).filter("lang is not null and text is not null")
-    sizes = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}  # one row per language
-    if not sizes:
-        return None
-    share = F.lit(0.0)
-    for lang, n in sizes.items():
-        share = F.when(F.col("lang") == lang, F.lit(min(1.0, ROWS_PER_LANGUAGE / n))).otherwise(share)
-    draw = F.pmod(F.xxhash64("id"), F.lit(1_000_000)) / 1_000_000
-    sample = known.filter(draw < share).select("text", "lang").limit(2 * ROWS_PER_LANGUAGE * len(sizes)).collect()
-    return fit([(r["text"], r["lang"]) for r in sample])
+    """Fit on the sample, of bounded size in bytes."""
+    return fit([(r["text"], r["lang"]) for r in sample(docs, text_col, lang_col, id_col).collect()])
 
 
 def label_texts(field: Field | None, texts: list) -> list[tuple[str, float, np.ndarray, list[str]]]:
@@ -250,7 +337,7 @@ def label_texts(field: Field | None, texts: list) -> list[tuple[str, float, np.n
             n += len(tokens[order[at]])
             at += 1
         lengths = np.array([len(tokens[i]) for i in part])
-        emit = np.concatenate([field.potentials(tokens[i]) for i in part]) + np.float32(1e-12)
+        emit = field.potentials([w for i in part for w in tokens[i]]) + np.float32(1e-12)
         marginals = forward_backward(emit, lengths, move, start)
         begin = np.cumsum(lengths) - lengths
         mean = np.add.reduceat(marginals, begin, axis=0) / lengths[:, None]

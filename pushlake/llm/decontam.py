@@ -14,11 +14,15 @@ The benchmark is taken in blocks of at most ``BLOCK_CHARS`` characters: each blo
 broadcast and all documents pass it, so a benchmark of any size works and nothing
 grows with the documents. There is no shuffle of documents and no group to be hot.
 
-Edge cases: null or empty texts match nothing; an item with fewer than
-``LEAST_CHARS`` characters would match by chance and is skipped; items with equal
-text each get a row; equal documents each get rows; an empty table on either side
-gives an empty result; extra columns are ignored. One row per (document, item):
-the first verified region.
+An item shorter than ``WINDOW`` has fewer edits, so that one common q-gram is left at
+least: none below 24 characters, one below 36. An item shorter than a q-gram is found
+where it stands exactly between word borders.
+
+Edge cases: null or empty texts match nothing; an empty item matches nothing; items with
+equal text each get a row; equal documents each get rows; item ids may be numbers or
+texts, null too; very long texts are searched whole, region by region; an empty table on
+either side gives an empty result; extra columns are ignored. One row per (document,
+item): the first verified region.
 """
 
 from __future__ import annotations
@@ -36,7 +40,6 @@ from pushlake.llm._util import broadcast_bytes, slices
 Q = 12
 WINDOW = 80
 EDITS = 5
-LEAST_CHARS = 26
 BLOCK_CHARS = 2_000_000
 #: Characters of documents handled at a time.
 TEXT_CHARS = 1 << 20
@@ -48,7 +51,9 @@ _SPACES = np.array([9, 10, 11, 12, 13, 32, 0x85, 0xA0, 0x2028, 0x2029, 0x3000],
 
 
 def edit_budget(length: int) -> int:
-    return length * EDITS // WINDOW
+    """Edits allowed in a window of ``length`` characters: EDITS in WINDOW, but fewer in a
+    short one, where so many could leave it without a common q-gram."""
+    return max(0, min(length * EDITS // WINDOW, (length - Q) // Q))
 
 
 def least_shared(length: int) -> int:
@@ -100,7 +105,7 @@ class _Block:
     def __init__(self, items: list[tuple[int, str]]):
         self.codes = [normalise(text)[0] for _, text in items]
         self.lengths = np.array([min(WINDOW, len(c)) for c in self.codes])
-        grams = [_grams(c) if len(c) >= LEAST_CHARS else np.empty(0, np.uint64) for c in self.codes]
+        grams = [_grams(c) for c in self.codes]
         flat = np.concatenate(grams) if grams else np.empty(0, np.uint64)
         item = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
         place = np.concatenate([np.arange(len(g)) for g in grams]) if grams else np.empty(0, np.int64)
@@ -111,7 +116,23 @@ class _Block:
         self.filter = np.zeros(1 << FILTER_BITS, bool)
         self.filter[(self.keys >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] = True
         used = self.lengths[[len(g) > 0 for g in grams]] if grams else self.lengths
-        self.least = max(1, min((least_shared(int(n)) for n in set(used.tolist())), default=1))
+        self.least = min((least_shared(int(n)) for n in set(used.tolist())), default=1)
+        self.short: dict[bytes, list[int]] = {}
+        for k, c in enumerate(self.codes):
+            if 0 < len(c) < Q:
+                self.short.setdefault(c.tobytes(), []).append(k)
+        self.short_sizes = sorted({len(c) for c in self.codes if 0 < len(c) < Q})
+
+    def exact_short(self, codes: np.ndarray) -> dict:
+        """Items without a q-gram, where they stand between word borders."""
+        found: dict[int, tuple[int, int, int]] = {}
+        padded = np.concatenate([[32], codes, [32]]).astype(np.uint32)
+        borders = np.flatnonzero(padded == 32)
+        for n in self.short_sizes:
+            for at in borders[(borders + n + 1 < len(padded)) & (padded[np.minimum(borders + n + 1, len(padded) - 1)] == 32)].tolist():
+                for k in self.short.get(padded[at + 1 : at + 1 + n].tobytes(), ()):
+                    found.setdefault(k, (at, at + n, 0))
+        return found
 
     def dense(self, grams: np.ndarray) -> np.ndarray:
         """Places of grams that lie in some window with enough shared grams."""
@@ -189,15 +210,14 @@ class _Block:
             b = (diagonal + shift) // (2 * band)
             order = np.lexsort((place, b, item))
             o_item, o_b, o_place, o_inner = item[order], b[order], place[order], inner[order]
-            need = np.maximum(1, np.array([least_shared(int(n)) for n in self.lengths]))[o_item]
+            need = np.array([least_shared(max(int(n), Q)) for n in self.lengths])[o_item]
             reach = np.arange(len(order)) + need - 1
             ok = reach < len(order)
             last = np.minimum(reach, len(order) - 1)
             ok &= (o_item[last] == o_item) & (o_b[last] == o_b) & (o_place[last] - o_place <= self.lengths[o_item] - Q + EDITS)
-            skip = {}
             for i in np.flatnonzero(ok).tolist():
                 k = int(o_item[i])
-                if k in found or skip.get((k, o_b[i]), -1) > o_place[i]:
+                if k in found:
                     continue
                 j = int(last[i])
                 low = int(o_b[i]) * 2 * band - shift
@@ -211,9 +231,14 @@ class _Block:
                 found[k] = (int(o_place[i]), int(o_place[end]) + Q, edits)
 
 
+def names_type(names: list) -> pa.DataType:
+    return pa.string() if any(isinstance(n, str) for n in names) else pa.int64()
+
+
 def _scan(batches, shared):
     items = pickle.loads(shared.value)
     block = _Block(items)
+    short = bool(block.short)
     names = [i for i, _ in items]
     for batch in slices(batches):
         ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
@@ -232,17 +257,22 @@ def _scan(batches, shared):
                 codes, where = part[d]
                 for k, (lo, hi, edits) in block.search(codes, grams[begin[d] : max(begin[d], begin[d] + len(codes) - Q + 1)]).items():
                     rows.append((ids[at + d], names[k], int(where[lo]), int(where[hi - 1]) + 1, edits))
+            if short:
+                for d, (codes, where) in enumerate(part):
+                    for k, (lo, hi, edits) in block.exact_short(codes).items():
+                        rows.append((ids[at + d], names[k], int(where[lo]), int(where[hi - 1]) + 1, edits))
             at = stop
         if rows:
             cols = list(zip(*rows))
-            yield pa.RecordBatch.from_arrays([pa.array(cols[0], batch.schema.field(0).type), *[pa.array(c, pa.int64()) for c in cols[1:]]], names=["id", "item_id", "start", "end", "edits"])
+            yield pa.RecordBatch.from_arrays([pa.array(cols[0], batch.schema.field(0).type), pa.array(cols[1], names_type(names)), *[pa.array(c, pa.int64()) for c in cols[2:]]], names=["id", "item_id", "start", "end", "edits"])
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
     """(id, item_id, start, end, edits): the first region of every document that
     holds a window of an item; offsets are code points of the original text."""
     spark = docs.sparkSession
-    items = benchmark.select(benchmark[item_col].cast("long").alias("item"), benchmark[item_text].cast("string").alias("text")).filter("text is not null")
+    number = dict(benchmark.dtypes)[item_col] in ("tinyint", "smallint", "int", "bigint")
+    items = benchmark.select(benchmark[item_col].cast("long" if number else "string").alias("item"), benchmark[item_text].cast("string").alias("text")).filter("text is not null")
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(1, math.ceil(total / BLOCK_CHARS))
     kind = dict(docs.dtypes)[id_col]
@@ -251,7 +281,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     for b in range(blocks):
         # one block of the stated query set: about BLOCK_CHARS characters, size-checked
         rows = [(r["item"], r["text"]) for r in items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == b).collect()]
-        shared = broadcast_bytes(spark, pickle.dumps(sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1]))))
-        part = texts.mapInArrow(lambda batches, shared=shared: _scan(batches, shared), f"id {kind}, item_id long, start long, end long, edits long")
+        shared = broadcast_bytes(spark, pickle.dumps(sorted(rows, key=lambda r: (r[0] is None, r[0] or (0 if number else ""), r[1]))))
+        part = texts.mapInArrow(lambda batches, shared=shared: _scan(batches, shared), f"id {kind}, item_id {'long' if number else 'string'}, start long, end long, edits long")
         out = part if out is None else out.unionByName(part)
     return out.withColumnRenamed("id", id_col)

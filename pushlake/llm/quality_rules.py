@@ -1,9 +1,10 @@
 """Operator 3 (native): quality rules as a short-circuit cascade.
 
 A rule is a named Column that is true where a text fails. ``order_rules`` measures
-every rule on a sample: its cost is the time of evaluating it there, its
-selectivity comes from one grouped count of fail patterns. Rules are then ordered
-greedily by rejections among the texts still left, per cost. ``cascade`` turns the
+every rule on a sample (by a hash of whole rows, so equal tables have equal samples): its
+cost is the mean of its ``work`` there, the characters it reads, or without one the time
+of evaluating it; its selectivity comes from one grouped count of fail patterns. Rules are
+then ordered greedily by rejections among the texts still left, per cost, ties by name. ``cascade`` turns the
 order into one CASE expression, which Spark evaluates branch by branch, so a text
 that one rule rejects never reaches the later ones. The order changes only the
 speed: a text is kept when no rule rejects it, and ``failed_rule`` names the first
@@ -15,7 +16,8 @@ the row (hash, sort, neighbours), so there is no shuffle and no hot key.
 Edge cases: null and empty texts have no words, all measures 0, and fail
 ``few_words``; long texts are handled whole in one row; an empty table gives an
 empty result and the order in which the rules were given; repeated rows are
-measured one by one; other columns pass through untouched.
+measured one by one; other columns pass through untouched, but an input column named as
+a result (``_quality``, ``base_failed``, ``failed_rule``, ``kept``) gives way to it.
 """
 
 from __future__ import annotations
@@ -31,8 +33,9 @@ from pushlake.llm._util import WORD_SEPARATORS, let
 #: Code points that separate words.
 BLANKS = " \t\n\x0b\x0c\r"
 WINDOW_WORDS = 5
-#: Rows that the planning sample may hold. It decides the order of the rules only.
+#: Rows that the planning sample holds on average. It decides the order of the rules only.
 SAMPLE_ROWS = 1000
+RESULTS = ["_quality", "base_failed", "failed_rule", "kept"]
 
 #: Name and "fails" test over the struct of ``measures``.
 Rule = tuple[str, Callable[[Column], Column]]
@@ -109,34 +112,40 @@ def base_rules() -> list[Rule]:
     ]
 
 
-def extra_rules(text: Column) -> list[Rule]:
-    """Rules that the cascade adds; thresholds leave ordinary prose and tables alone."""
+def extra_rules(text: Column) -> list[tuple[str, Callable[[Column], Column], Column]]:
+    """Rules that the cascade adds, with the characters that each one reads besides the
+    base measures; thresholds leave ordinary prose and tables alone."""
     text = F.coalesce(text, F.lit(""))
+    none, once = F.lit(1), F.length(text) + 1
     return [
-        ("symbol_noise", lambda m: m["n_symbols"] > 1.5 * m["n_words"]),
-        ("separator_list", lambda m: let(F.size(F.split(text, "\\|", -1)) - 1, lambda n: n > 0.3 * m["n_words"])),
-        ("word_length", lambda m: (m["word_chars"] < 2 * m["n_words"]) | (m["word_chars"] > 25 * m["n_words"])),
-        ("repeated_lines", lambda m: 2 * m["n_dup_lines"] > F.size(F.split(text, "\n"))),
-        ("shouting", lambda m: upper_share(text) > 0.7),
+        ("symbol_noise", lambda m: m["n_symbols"] > 1.5 * m["n_words"], none),
+        ("separator_list", lambda m: let(F.size(F.split(text, "\\|", -1)) - 1, lambda n: n > 0.3 * m["n_words"]), once),
+        ("word_length", lambda m: (m["word_chars"] < 2 * m["n_words"]) | (m["word_chars"] > 25 * m["n_words"]), none),
+        ("repeated_lines", lambda m: 2 * m["n_dup_lines"] > F.size(F.split(text, "\n")), once),
+        ("shouting", lambda m: upper_share(text) > 0.7, 2 * once),
     ]
 
 
-def order_rules(sample: DataFrame, rules: Sequence[tuple[str, Column]]) -> list[str]:
-    """Rule names by rejections among the rows still left per second of cost, both
-    measured on ``sample`` (a bounded DataFrame)."""
+def order_rules(sample: DataFrame, rules: Sequence[tuple]) -> list[str]:
+    """Rule names by rejections among the rows still left per cost, both measured on
+    ``sample`` (a bounded DataFrame). A rule is (name, test) or (name, test, work)."""
     def seconds(expr: Column) -> float:
         t0 = time.perf_counter()
         sample.agg(F.max(expr)).collect()  # one row
         return time.perf_counter() - t0
 
-    names = [n for n, _ in rules]
-    patterns = sample.groupBy(*[F.coalesce(c, F.lit(False)).alias(n) for n, c in rules]).count().collect()  # at most 2^rules rows
-    idle = min(seconds(F.lit(True)) for _ in range(2))
-    cost = {n: max(min(seconds(c) for _ in range(2)) - idle, 1e-4) for n, c in rules}
+    names = [r[0] for r in rules]
+    patterns = sample.groupBy(*[F.coalesce(r[1], F.lit(False)).alias(r[0]) for r in rules]).count().collect()  # at most 2^rules rows
+    if all(len(r) == 3 for r in rules):
+        cost = sample.agg(*[F.avg(r[2]).alias(r[0]) for r in rules]).first().asDict()
+        cost = {n: c or 1.0 for n, c in cost.items()}
+    else:
+        idle = min(seconds(F.lit(True)) for _ in range(2))
+        cost = {r[0]: max(min(seconds(r[1]) for _ in range(2)) - idle, 1e-4) for r in rules}
     left, order = list(patterns), []
     while len(order) < len(names):
         rest = [n for n in names if n not in order]
-        best = max(rest, key=lambda n: (sum(p["count"] for p in left if p[n]) / cost[n], -cost[n]))
+        best = min(rest, key=lambda n: (-sum(p["count"] for p in left if p[n]) / cost[n], cost[n], n))
         order.append(best)
         left = [p for p in left if not p[best]]
     return order
@@ -157,18 +166,32 @@ def _measured(docs: DataFrame, text: Column) -> DataFrame:
     return docs.select("*", F.inline(F.array(F.struct(measures(text).alias("_quality")))))
 
 
+def planning_sample(docs: DataFrame, rows: int) -> DataFrame:
+    """About ``rows`` rows over the whole table, by a hash of their columns (maps and
+    other columns without a hash do not count)."""
+    share = rows / max(1, docs.count())
+    if share >= 1:
+        return docs
+    hashed = [f.name for f in docs.schema.fields if not f.dataType.simpleString().startswith(("map", "variant", "array<map", "struct"))]
+    draw = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in hashed]), F.lit(1 << 40))
+    return docs.filter(draw < int(share * (1 << 40)))
+
+
 def apply_rules(docs: DataFrame, text_col: str = "text", sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """``docs`` with columns ``_quality`` (the base measures), ``base_failed``,
     ``failed_rule`` and ``kept``. Base rules come first, since their measures are
     returned in any case; the cascade orders the added rules."""
+    drawn = planning_sample(docs, sample_rows)
+    docs = docs.drop(*[c for c in RESULTS if c != text_col])
     text = F.col(text_col).cast("string")
     m = F.col("_quality")
-    rules = {n: f(m) for n, f in extra_rules(text)}
-    sample = _measured(docs.select(text_col).limit(sample_rows), text).persist()
+    rules = [(n, f(m), work) for n, f, work in extra_rules(text)]
+    sample = _measured(drawn.select(text_col), text).persist()
     try:
-        order = order_rules(sample, list(rules.items()))
+        order = order_rules(sample, rules)
     finally:
         sample.unpersist()
+    tests = {n: test for n, test, _ in rules}
     base = [(n, f(m)) for n, f in base_rules()]
-    out = _measured(docs, text).withColumn("failed_rule", cascade(base + [(n, rules[n]) for n in order]))
+    out = _measured(docs, text).withColumn("failed_rule", cascade(base + [(n, tests[n]) for n in order]))
     return out.withColumns({"base_failed": base[0][1] | base[1][1], "kept": F.col("failed_rule").isNull()})

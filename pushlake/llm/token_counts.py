@@ -7,7 +7,8 @@ strings follow the vocabulary file (canonical composition, lower case per
 character, white space dropped, a word-end mark on the last symbol).
 
 Edge cases: null text counts as empty (0 bytes, 0 tokens); a special string in a
-text is one token; an empty table gives an empty result. Rows are independent, so
+text is one token; very long texts are counted whole, in memory that grows with the
+longest word only; an empty table gives an empty result. Rows are independent, so
 repeated rows, ties and extra columns need no care.
 """
 
@@ -22,13 +23,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pushlake.llm._util import broadcast_bytes, only_cache, slices
-from pushlake.llm.bpe import MergeList, merge
+from pushlake.llm.bpe import MergeList, Splitter, merge
 
 #: Fixed word pattern of this vocabulary family.
 WORD_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"""
 
 #: Letters whose lower case is newer than Python's character tables.
-LATER_LOWER = {0xA7CB: 0x0264, 0xA7DC: 0x019B} | {c: c + 0x20 for c in range(0x10D50, 0x10D66)}
+LATER_LOWER = {0xA7CB: 0x0264, 0xA7DC: 0x019B} | {c: c + 1 for c in (0x1C89, 0xA7CC, 0xA7CE, 0xA7D2, 0xA7D4, 0xA7DA)}
+LATER_LOWER |= {c: c + 0x20 for c in range(0x10D50, 0x10D66)} | {c: c + 0x1B for c in range(0x16EA0, 0x16EB9)}
 
 CACHED_WORD_CHARS = 48
 CACHED_WORDS = 400_000
@@ -37,7 +39,7 @@ CACHED_WORDS = 400_000
 class TokenCounter:
     def __init__(self, data: bytes):
         self.merges = MergeList(data)
-        self.words = regex.compile(WORD_PATTERN)
+        self.words = Splitter(WORD_PATTERN)
         self.special = regex.compile("|".join(regex.escape(s) for s in self.merges.specials)) if self.merges.specials else None
         self.later = regex.compile("[" + "".join(map(chr, LATER_LOWER)) + "]")
         self.cache: dict[str, int] = {}

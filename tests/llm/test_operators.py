@@ -4,10 +4,12 @@ tables) and on sf0.001."""
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -128,6 +130,55 @@ def test_decontamination_blocks_of_the_benchmark(spark, monkeypatch):
     assert exact <= {r[:2] for r in whole}
 
 
+def fewest_edits(pattern, text):
+    """Edits of ``pattern`` against its best place in ``text``."""
+    row = np.zeros(len(text) + 1, int)
+    for i, c in enumerate(pattern, 1):
+        new = np.empty_like(row)
+        new[0] = i
+        best = np.minimum(row[:-1] + np.array([c != x for x in text], bool), row[1:] + 1)
+        for j in range(1, len(row)):
+            new[j] = min(best[j - 1], new[j - 1] + 1)
+        row = new
+    return int(row.min())
+
+
+def leaked(item, text):
+    """Independent of q-grams: every window of the item against every place."""
+    item, text = (" ".join(x.lower().split()) for x in (item, text or ""))
+    if not item or not text:
+        return False
+    if len(item) < 12:
+        return f" {item} " in f" {text} "
+    w = min(80, len(item))
+    budget = max(0, min(w * 5 // 80, (w - 12) // 12))
+    return any(fewest_edits(item[i : i + w], text) <= budget for i in range(len(item) - w + 1))
+
+
+def test_leaks_against_alignment(spark):
+    """Items of all lengths, copied with edits up to and beyond their budgets."""
+    rnd = random.Random(8)
+    prose = lambda n: "".join(rnd.choices("abcdefgh  ", k=n))
+    items = [(str(i), ("q" + prose(n) + "z")[:n]) for i, n in enumerate([3, 11, 12, 20, 24, 33, 35, 36, 60, 80, 84])] + [("99", None), ("98", "")]
+    items.append(("same", items[3][1]))
+
+    def edited(text, n):
+        text = list(text)
+        for _ in range(n):
+            at = rnd.randrange(len(text))
+            text[at : at + 1] = rnd.choice([[], ["x"], [text[at], "y"]])
+        return "".join(text)
+
+    docs = [(None, None), (0, "")]
+    for _, t in items[:11]:
+        docs += [(len(docs), prose(20) + " " + edited(t, n) + " " + prose(30)) for n in (0, 1, 2, 3)]
+    table = spark.createDataFrame([(d, t, 1, "x") for d, t in docs], "doc_id long, text string, item int, id string")
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    got = {(r.doc_id, r.item_id) for r in decontam.find_leaks(table, bench).collect()}
+    want = {(d, i) for d, t in docs for i, x in items if leaked(x or "", t)}
+    assert got == want and len(want) > 10
+
+
 # 3 ------------------------------------------------------------------------------
 
 
@@ -154,6 +205,23 @@ def test_quality_rules(spark, edge, docs):
     assert quality_rules.apply_rules(edge.drop("kept").limit(0)).count() == 0
 
 
+def test_rule_order_and_clashing_columns(spark, edge):
+    """Equal tables give equal orders, ties go by name; columns named as results give way."""
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    text = F.col("text")
+    measured = quality_rules._measured(quality_rules.planning_sample(docs, 50), text).cache()
+    rules = [(n, f(F.col("_quality")), w) for n, f, w in quality_rules.extra_rules(text)]
+    orders = {tuple(quality_rules.order_rules(x, rules)) for x in (measured, measured.repartition(5), measured)}
+    assert len(orders) == 1
+    never = [(n, F.lit(False), F.lit(1)) for n in ("b", "a", "c")]
+    assert quality_rules.order_rules(measured, never) == ["a", "b", "c"]
+    clash = edge.withColumns({c: F.lit("mine") for c in quality_rules.RESULTS})
+    plain = quality_rules.apply_rules(edge.drop("kept"))
+    got = quality_rules.apply_rules(clash)
+    columns = ["doc_id", "id", "n", "key", "base_failed", "kept", "_quality.n_words"]
+    assert sorted(map(str, got.select(*columns).collect())) == sorted(map(str, plain.select(*columns).collect()))
+
+
 def test_rules_are_ordered_by_rejections_per_cost(spark):
     sample = spark.range(1000).withColumn("t", F.col("id").cast("string"))
     slow = F.sha2(F.sha2(F.repeat("t", 2000), 512), 512) == "x"
@@ -356,6 +424,27 @@ def test_chat_query(spark):
     assert got[-1].loss_sha256 == hashlib.sha256(text.encode()).hexdigest()
 
 
+def test_windows_keep_the_budget(spark):
+    """Only a turn that does not fit, or the system turn, makes a window exceed it; given
+    token counts are used."""
+    rnd = random.Random(6)
+    rows = []
+    for conv, system in enumerate([0, 10, 150, 196, 400]):
+        if system:
+            rows.append((conv, 0, "system", "s " * (system - 4), system))
+        rows += [(conv, t, rnd.choice(["user", "assistant"]), "w " * (n := rnd.choice([1, 20, 60, 90])), n + 4) for t in range(1, 40)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, counted long")
+    for tokens in (None, "counted"):
+        windows = chat_format.format_windows(df, 200, 64, tokens).collect()
+        for w in windows:
+            system = [0, 10, 150, 196, 400][w.conv_id]
+            assert w.n_tokens <= 200 or w.new.count(True) == 1 and (system >= 100 or w.n_tokens <= system + 64 + 94), (w.conv_id, w.n_tokens)
+        small = [w for w in windows if [0, 10, 150, 196, 400][w.conv_id] <= 10]
+        assert all(w.n_tokens <= 200 for w in small)
+        got = {r.conv_id: r.n_turns for r in chat_format.digest(chat_format.format_windows(df, 200, 64, tokens)).collect()}
+        assert got == Counter(r[0] for r in rows)
+
+
 # 7 ------------------------------------------------------------------------------
 
 
@@ -462,6 +551,41 @@ def test_code_switched_words(spark, docs):
     assert best[:60].count("fr") >= 54 and best[60:].count("de") >= 54
 
 
+def test_long_chains_equal_whole_chains(monkeypatch):
+    """Segments with carried messages give the marginals of the whole chain."""
+    rng = np.random.default_rng(2)
+    lengths = np.array([1, 700, 3, 64, 257, 256])
+    emit, move, start = rng.random((lengths.sum(), 4)) + 1e-6, rng.random((4, 4)), rng.random(4)
+    monkeypatch.setattr(crf_language, "SEGMENT", 10**6)
+    whole = crf_language.forward_backward(emit, lengths, move, start)
+    for segment in (1, 7, 256):
+        monkeypatch.setattr(crf_language, "SEGMENT", segment)
+        assert np.allclose(crf_language.forward_backward(emit, lengths, move, start), whole)
+
+
+def test_language_words_of_many_letters():
+    """A run of 200 letters is consecutive words that all count."""
+    run = "".join(random.Random(1).choices("abcdefgh", k=200))
+    assert "".join(crf_language.words(run)) == run and [len(w) for w in crf_language.words(run)] == [64, 64, 64, 8]
+    one, two = crf_language.words(run + "xyz"), crf_language.words(run)
+    (f1, g1, n1), (f2, g2, n2) = crf_language.word_features([one[-1]]), crf_language.word_features([two[-1]])
+    assert not (f1 == f2).all() and n1[0] != n2[0] and len(g1) == n1[0] and len(g2) == n2[0]
+    both = crf_language.word_features([one[-1], two[-1], "é"])
+    assert (both[0][1] == f2[0]).all() and (both[1][n1[0] : n1[0] + n2[0]] == g2).all()
+
+
+def test_language_sample_is_stable_and_covers(spark, monkeypatch):
+    """Rows of null and equal ids draw by their texts, no language drops out, pieces come
+    from all of a text, and a second draw is the same."""
+    monkeypatch.setattr(crf_language, "PIECES_PER_LANGUAGE", 6)
+    rows = [(None, f"{lang} text number {i} " * 20, lang) for lang in ("en", "fr") for i in range(50)] + [(7, "y" * 590 + "".join(f" tail{i}" for i in range(3000)), "de"), (8, None, "de"), (9, "", "de"), (1, "none", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    first = sorted(map(tuple, crf_language.sample(df).collect()))
+    assert first == sorted(map(tuple, crf_language.sample(df.repartition(7)).collect()))
+    assert Counter(lang for _, lang in first) == {"en": 6, "fr": 6, "de": 6}
+    assert max(len(t) for t, _ in first) <= crf_language.PIECE_CHARS and sum("tail" in t for t, lang in first if lang == "de") >= 5
+
+
 def test_forward_backward_against_enumeration():
     import itertools
 
@@ -483,3 +607,17 @@ def test_forward_backward_against_enumeration():
                 want[t, s] += w
         assert np.allclose(got[at : at + n], want / want.sum(axis=1, keepdims=True))
         at += n
+
+
+def test_every_code_point_beside_letters_and_signs():
+    """Letters, digits and lower case are those of the library, whatever its tables."""
+    from itertools import chain
+
+    byte, word = library(queries.BYTE_VOCABULARY), library(queries.WORD_VOCABULARY)
+    transducer = bpe_stream.Transducer(open(queries.vocabulary_path(queries.BYTE_VOCABULARY), "rb").read())
+    counter = token_counts.TokenCounter(open(queries.vocabulary_path(queries.WORD_VOCABULARY), "rb").read())
+    points = [c for c in range(0x80, 0x110000) if not 0xD800 <= c < 0xE000]
+    for i in range(0, len(points), 200):
+        text = " ".join(f"X{chr(c)}y !{chr(c)}'t 7{chr(c)}" for c in points[i : i + 200])
+        assert list(chain.from_iterable(transducer.encode(text))) == byte.encode(text, add_special_tokens=False).ids, hex(points[i])
+        assert counter.count(text) == len(word.encode(text, add_special_tokens=False).ids), hex(points[i])
