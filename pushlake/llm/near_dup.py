@@ -51,7 +51,7 @@ BRANCHES = 2
 LEVELS = 7
 PIVOTS = 3
 #: Levels whose links are confirmed and contracted before the next one.
-CONTRACTED = 3
+CONTRACTED = LEVELS
 #: Bytes that an id takes in a broadcast besides its text.
 ID_OVERHEAD = 56
 SKETCH_MATCHES = 80
