@@ -526,6 +526,59 @@ def test_sparse_sites_shrink_to_the_prior(spark):
     assert 0.4 < got[1000].host_rate < 0.6 and got[1001].kept
 
 
+def brute_posteriors(rows, prior):
+    """Posterior of every row (host, path, p), from the definitions, in plain Python."""
+    n, pi = len(rows), sum(p for *_, p in rows) / len(rows)
+    noise = pi * (1 - pi)
+    of_host, of_path = {}, {}
+    for h, q, p in rows:
+        of_host.setdefault(h, []).append(p)
+        of_path.setdefault((h, q), []).append(p)
+    mean = lambda x: sum(x) / len(x)
+
+    def strength(between, sizes, free):
+        spread = (between - free * noise) / max(n - sum(k * k for k in sizes) / n, 1e-9)
+        return min(max(noise / max(spread, 1e-9) - 1, 1.0), 1e6)
+
+    k_host = strength(sum(len(x) * (mean(x) - pi) ** 2 for x in of_host.values()), [len(x) for x in of_host.values()], len(of_host) - 1)
+    spread = sum(len(x) * (mean(x) - mean(of_host[h])) ** 2 for (h, _), x in of_path.items())
+    k_path = strength(spread, [len(x) for x in of_path.values()], len(of_path) - len(of_host))
+    out = []
+    for h, q, p in rows:
+        host = (k_host * pi + sum(of_host[h]) - p) / (k_host + len(of_host[h]) - 1)
+        path = min(max((k_path * host + sum(of_path[h, q]) - p) / (k_path + len(of_path[h, q]) - 1), 1e-6), 1 - 1e-6)
+        odds = math.log(p / (1 - p)) - math.log(prior / (1 - prior)) + math.log(path / (1 - path))
+        out.append((host, path, 1 / (1 + math.exp(-odds))))
+    return out
+
+
+def test_site_posteriors_against_definitions(spark):
+    """Sites of all sizes, nested, sparse and null; repeated and null ids."""
+    rnd = random.Random(12)
+    rows = []
+    for h in [None, "a", "b", "c", "d", "e", "f"]:
+        for q in [None, "x", "y", "z"][: rnd.randrange(1, 5)]:
+            centre = rnd.random()
+            rows += [(h, q, min(max(rnd.gauss(centre, 0.2), 0.01), 0.99)) for _ in range(rnd.choice([1, 2, 20, 60]))]
+    scored = spark.createDataFrame([(i // 2 if i % 9 else None, *r) for i, r in enumerate(rows)], "id long, host string, path string, p double").repartition(4)
+    got = sorted((r.p, r.host_rate, r.path_rate, r.posterior) for r in site_quality.posteriors(scored, 0.3).collect())
+    want = sorted((p, *x) for (_, _, p), x in zip(rows, brute_posteriors(rows, 0.3)))
+    assert np.allclose(got, want, rtol=1e-9)
+
+
+def test_quality_classifier_on_edge_rows(spark, docs):
+    """A fitted model over null, empty and very long texts, null and repeated ids and extra
+    columns: every row comes back, and equal rows are judged alike."""
+    known = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text", "source", "lang").limit(150)
+    extra = [(None, None, "s", None), (None, "", None, None), (7, "word " * 50000, "s", "en"), (7, "word " * 50000, "s", "en"), (-1, "\u0000 x", "s", "en")]
+    both = known.unionByName(spark.createDataFrame(extra, known.schema)).withColumns({"id": F.lit("k"), "p": F.lit(1), "kept": F.lit(2)})
+    labels = spark.read.parquet(f"{SF_SMALL}/labels.parquet")
+    out = site_quality.judge(both, labels, F.col("source"), F.col("lang")).collect()
+    assert len(out) == both.count()
+    assert len({(r.p, r.posterior, r.kept) for r in out if r.doc_id == 7 and r.path == "en" and r.host == "s"}) == 1
+    assert all(0 <= r.p <= 1 and 0 <= r.posterior <= 1 for r in out)
+
+
 def test_language_identification(spark, edge, docs):
     got = by_id(queries.op9_language_id(spark, SF_SMALL))
     langs = {r.lang for r in docs.values()}
