@@ -6,6 +6,11 @@ columns of ``documents``; the last returns one row per remaining document with i
 token count and digests. Decisions are joined back by doc_id: rows that share one are
 judged together, and rows without one pass the filters. The only rows that leave
 are those a stage decides against.
+
+Edge cases: null and empty texts are scored as empty, near nothing and leaks of nothing,
+and stay null or empty; very long texts are handled whole; null sources and languages are
+a site of their own; an empty table gives empty results; extra columns pass through,
+whatever their names.
 """
 
 from __future__ import annotations
