@@ -191,6 +191,20 @@ def first_n_per_group(df: DataFrame, group: Sequence[str], order: str, n: int) -
     return top_n_per_group(df, group, order, n, ascending=True)
 
 
+def group_page(df: DataFrame, group: Sequence[str], order: str, size: int, number: int) -> DataFrame:
+    """Page ``number`` (from 1) of ``size`` rows of each group in ascending ``order``
+    (unique within a group). One range partitioning by group and order gives every row its
+    place in the whole table, and the first place of each group (a small aggregate) the
+    place in its group: so any page is a filter, and a hot group spreads over ranges."""
+    from pushlake.operators.ordered import dense_index
+
+    placed = dense_index(df, [*group, order], out="_at")
+    first = placed.groupBy(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)]).agg(F.min("_at").alias("_first"))
+    same = [F.col(g).eqNullSafe(F.col(f"_g{i}")) for i, g in enumerate(group)]
+    place = F.col("_at") - F.col("_first")
+    return placed.join(first, same).filter((place >= size * (number - 1)) & (place < size * number)).select(*df.columns)
+
+
 def observe_counts(parsed: DataFrame, observation, reason_col: str = "reject_reason") -> DataFrame:
     """A10: attach accepted / rejected / total counters to a parsed DataFrame; they
     are filled by the first action, with no extra pass over the data."""

@@ -159,6 +159,14 @@ def w7_first_n_per_group(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.first_n_per_group(fx.jobs(spark, sf_dir), ["cube"], "name", 1000)
 
 
+@register("w7_second_page", sql=f"""
+WITH {JOBS}
+SELECT cube, name, job_status, duration FROM (SELECT *, row_number() OVER (PARTITION BY cube ORDER BY name) AS rn FROM jobs) t WHERE rn > 20 AND rn <= 40""")
+def w7_second_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second page of 20 jobs of each cube by name."""
+    return R.group_page(fx.jobs(spark, sf_dir), ["cube"], "name", 20, 2)
+
+
 @register("k5_replace_into", sql=f"""
 WITH {DOCS}, {PARSED_APKVER},
 u AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY uid ORDER BY event_id DESC) AS rn FROM parsed_apkver) t WHERE rn = 1)

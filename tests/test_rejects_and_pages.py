@@ -92,6 +92,15 @@ def test_w6_any_page(spark, limit, offset):
     assert got == order[offset : offset + limit if limit else None]
 
 
+def test_w7_pages_of_groups(spark):
+    rows = [("hot", i) for i in range(95)] + [(None, i) for i in range(12)] + [("one", 0)]
+    df = spark.createDataFrame(rows, "g string, v int").repartition(6)
+    for number in (1, 2, 10, 11):
+        got = sorted((r.g or "", r.v) for r in R.group_page(df, ["g"], "v", 10, number).collect())
+        want = [(g or "", v) for g, v in rows if 10 * (number - 1) <= v < 10 * number]
+        assert got == sorted(want)
+
+
 @pytest.mark.parametrize("kind", ["long", "string"])
 def test_a11_counts_equal_grouping_sets(spark, kind):
     rnd = random.Random(4)
