@@ -5,10 +5,13 @@ Documents with equal shingle sets are one class first (a grouped minimum), so gr
 of copies cost one row. Then independent trees branch the classes: the root splits
 by one minwise token; every node's classes are compared with a pivot, and the links
 found are contracted, so a group of near copies becomes one component at a cost in
-proportion to its size (again after each of the first levels). From there only classes of different components are
-compared, and nodes inside one component end. A node is small when at most ``LEAF`` of
+proportion to its size (again after every level). From there only classes of different
+components are compared, and nodes inside one component end. A pair is compared in the
+first tree whose root child holds both and is compared whole; later trees pass it by. A node is small when at most ``LEAF`` of
 its classes lie outside its largest component: each of its classes is compared with
-those, so a small node costs its size times ``LEAF`` at most. A larger node branches
+those, so a small node costs its size times ``LEAF`` at most. Dense nodes of bounded size
+are compared in the same way: branching would keep their classes together and meet the
+same pairs at every level. Another node branches
 again by ``BRANCHES`` minwise tokens that it selects (their four bits in the sketch, so
 no values are joined back). What is still larger at the last level is compared in the
 same way, so nothing is capped.
@@ -50,8 +53,11 @@ LEAF = 128
 BRANCHES = 2
 LEVELS = 7
 PIVOTS = 3
-#: Levels whose links are confirmed and contracted before the next one.
-CONTRACTED = LEVELS
+#: A larger node is compared like a small one when at most DENSE_LEAF classes lie outside its
+#: largest component and these differ from its pivot in DENSE sketch values on average
+#: (a similarity of 0.55): branching would keep such classes together.
+DENSE_LEAF = 8192
+DENSE = 54
 #: Bytes that an id takes in a broadcast besides its text.
 ID_OVERHEAD = 56
 SKETCH_MATCHES = 80
@@ -60,6 +66,10 @@ PARITY_BITS = 512
 PARITY = [f"x{i}" for i in range(PARITY_BITS // 64)]
 #: Columns of a set that node rows carry besides its size.
 CARRIED = [*SKETCH, *PARITY]
+ROOTS = [f"r{i}" for i in range(TREES)]
+#: Columns of a row that stay when it moves on: also its root tokens, a bit for every tree
+#: whose root child was compared whole, and the trees that settle a pair before this row.
+KEPT = [*CARRIED, *ROOTS, "done", "upto"]
 
 _rng = np.random.default_rng(7251)
 _A = _rng.integers(1, 1 << 63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -138,18 +148,32 @@ def shingle_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text")).mapInArrow(run, f"id {kind}, set array<long>")
 
 
-def _plausible(a: str, b: str) -> Column:
-    """Size, sketch and parity test of two rows given by their column prefixes."""
-    n1, n2 = F.col(f"{a}n"), F.col(f"{b}n")
-    differ = F.lit(0)
+def _differ(a: str, b: str) -> Column:
+    """Sketch values in which two rows, given by their column prefixes, differ."""
+    out = F.lit(0)
     for k in SKETCH:
         x = F.col(f"{a}{k}").bitwiseXOR(F.col(f"{b}{k}"))
         x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
         x = x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(0x1111111111111111))
-        differ = differ + F.bit_count(x)
+        out = out + F.bit_count(x)
+    return out
+
+
+def _plausible(a: str, b: str) -> Column:
+    """Size, sketch and parity test of two rows given by their column prefixes."""
+    n1, n2 = F.col(f"{a}n"), F.col(f"{b}n")
     odd = sum((F.bit_count(F.col(f"{a}{x}").bitwiseXOR(F.col(f"{b}{x}"))) for x in PARITY), F.lit(0))
     apart = (100 + PERCENT) * odd <= (100 - PERCENT) * (n1 + n2)
-    return (100 * F.least(n1, n2) >= PERCENT * F.greatest(n1, n2)) & (differ <= COORDINATES - SKETCH_MATCHES) & apart
+    return (100 * F.least(n1, n2) >= PERCENT * F.greatest(n1, n2)) & (_differ(a, b) <= COORDINATES - SKETCH_MATCHES) & apart
+
+
+def _unsettled() -> Column:
+    """No earlier tree has compared this pair: none has a root child that holds both and
+    was compared whole."""
+    settled = F.lit(False)
+    for t, r in enumerate(ROOTS):
+        settled = settled | ((F.col("upto") > t) & (F.col(r) == F.col(f"o_{r}")) & (F.col("done").bitwiseAND(F.lit(1 << t)) != 0))
+    return ~settled
 
 
 def _pairs(a: str, b: str) -> list[Column]:
@@ -157,12 +181,14 @@ def _pairs(a: str, b: str) -> list[Column]:
 
 
 def _roots(classes: DataFrame) -> DataFrame:
-    """Rows (key, id, comp, n, sketch) of the root children that hold several classes.
+    """Rows (key, id, comp, n, KEPT) of the root children that hold several classes.
     Only ids and keys are grouped; sketches join what is left."""
     base = classes.select("id", F.posexplode("mins").alias("tree", "token"))
-    base = base.select(F.xxhash64("tree", "token").alias("key"), "id")
+    base = base.select(F.xxhash64("tree", "token").alias("key"), "id", "tree")
     shared = base.groupBy("key").agg(F.min("id").alias("i0"), F.max("id").alias("i1")).filter("i0 <> i1").select("key")
-    return base.join(shared, "key").join(classes.select("id", "n", *CARRIED), "id").select("key", "id", F.col("id").alias("comp"), "n", *CARRIED)
+    tokens = [F.get("mins", t).alias(r) for t, r in enumerate(ROOTS)]
+    rows = base.join(shared, "key").join(classes.select("id", "n", *CARRIED, *tokens), "id").withColumn("done", F.lit(0))
+    return rows.select("key", "id", F.col("id").alias("comp"), "n", *[F.col("tree").alias("upto") if c == "upto" else F.col(c) for c in KEPT])
 
 
 def _inside(rows: DataFrame, level: int) -> tuple[DataFrame, bool]:
@@ -182,27 +208,44 @@ def _stars(inside: DataFrame) -> DataFrame:
     return inside.filter((F.col("comp") != F.col("p_comp")) & _plausible("", "p_")).select(*_pairs("id", "p_id")).distinct()
 
 
-def _small(inside: DataFrame) -> DataFrame:
-    return inside.filter(F.col("outside") <= LEAF)
+def _whole_and_rest(inside: DataFrame, grows: bool) -> tuple[DataFrame, DataFrame | None]:
+    """Rows of the nodes that are compared as they are, and of those that branch (None
+    without any)."""
+    small = inside.filter(F.col("outside") <= LEAF)
+    if not grows:
+        return small, None
+    large = inside.filter(F.col("outside") > LEAF)
+    apart = F.when(F.col("comp") != F.col("top"), _differ("", "p_"))
+    dense = large.groupBy("key").agg(F.avg(apart).alias("apart"), F.max("outside").alias("most"))
+    dense = dense.filter((F.col("apart") <= DENSE) & (F.col("most") <= DENSE_LEAF)).select("key")
+    return small.unionByName(large.join(dense, "key", "left_semi").select(*small.columns)), large.join(dense, "key", "left_anti").select(*small.columns)
+
+
+def _settle(whole: DataFrame, rest: DataFrame | None) -> tuple[DataFrame, DataFrame | None]:
+    """Rows of the roots with the trees that compare each class whole; below the roots,
+    any of them settles a pair."""
+    done = whole.groupBy("id").agg(F.bit_or(F.expr("shiftleft(1, upto)")).alias("mask"))
+    done = materialize(done, "done")
 
+    def marked(rows: DataFrame) -> DataFrame:
+        return rows.join(done, "id", "left").withColumn("done", F.coalesce("mask", F.lit(0))).select(*rows.columns)
 
-def _large(inside: DataFrame) -> DataFrame:
-    return inside.filter(F.col("outside") > LEAF)
+    return marked(whole), None if rest is None else marked(rest).withColumn("upto", F.lit(TREES))
 
 
 def _compare(inside: DataFrame) -> DataFrame:
     """Pairs of different components inside nodes: every class against the classes
-    outside its node's largest component."""
-    rows = inside.select("key", "top", "id", "comp", "n", *CARRIED)
-    other = rows.filter(F.col("comp") != F.col("top")).select("key", *[F.col(c).alias(f"o_{c}") for c in ["id", "comp", "n", *CARRIED]])
+    outside its node's largest component, in the first tree that compares both."""
+    rows = inside.select("key", "top", "id", "comp", "n", *KEPT)
+    other = rows.filter(F.col("comp") != F.col("top")).select("key", *[F.col(c).alias(f"o_{c}") for c in ["id", "comp", "n", *CARRIED, *ROOTS]])
     once = (F.col("comp") == F.col("top")) | (F.col("id") < F.col("o_id"))
-    both = rows.join(other, "key").filter(once & (F.col("comp") != F.col("o_comp")) & _plausible("", "o_"))
+    both = rows.join(other, "key").filter(once & (F.col("comp") != F.col("o_comp")) & _unsettled() & _plausible("", "o_"))
     return both.select(*_pairs("id", "o_id")).distinct()
 
 
 def _contract(rows: DataFrame, links: DataFrame) -> DataFrame:
     found = materialize(connected_components(links), "contracted").select("id", F.col("component").alias("c"))
-    return rows.drop("comp").join(found, "id", "left").select("key", "id", F.coalesce("c", "id").alias("comp"), "n", *CARRIED)
+    return rows.drop("comp").join(found, "id", "left").select("key", "id", F.coalesce("c", "id").alias("comp"), "n", *KEPT)
 
 
 def _branch(rows: DataFrame, level: int) -> DataFrame:
@@ -212,7 +255,7 @@ def _branch(rows: DataFrame, level: int) -> DataFrame:
     rows = rows.withColumn("at", (F.pmod(F.xxhash64("key", "j", F.lit(level)), F.lit(COORDINATES - TREES)) + TREES).cast("int"))
     word = F.element_at(F.array(*SKETCH), (F.floor(F.col("at") / 16) + 1).cast("int"))
     value = F.call_function("shiftrightunsigned", word, 4 * (F.col("at") % 16)).bitwiseAND(F.lit(15))
-    return rows.select(F.xxhash64("key", "at", value).alias("key"), "id", "comp", "n", *CARRIED)
+    return rows.select(F.xxhash64("key", "at", value).alias("key"), "id", "comp", "n", *KEPT)
 
 
 def confirm(docs: DataFrame, pairs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -243,21 +286,19 @@ def links_and_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     inside, _ = _inside(_roots(classes), 0)
     tried = materialize(_stars(inside), "pairs")
     links = check(tried)
-    inside, grows = _inside(_contract(inside.select("key", "id", "comp", "n", *CARRIED), links), 1)
-    late = None
+    inside, grows = _inside(_contract(inside.select("key", "id", "comp", "n", *KEPT), links), 1)
     for level in range(1, LEVELS + 1):
-        large = _large(inside)
-        last = level == LEVELS or not grows
-        pairs = _compare(inside) if last else _compare(_small(inside)).unionByName(_stars(large))
-        late = pairs if late is None else late.unionByName(pairs)
-        if last or level < CONTRACTED:
-            fresh = materialize(late.distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
-            links, tried, late = links.unionByName(check(fresh)), tried.unionByName(fresh), None
-        if last:
+        whole, rest = _whole_and_rest(inside, grows and level < LEVELS)
+        if level == LEVELS:
+            whole = inside
+        if level == 1:
+            whole, rest = _settle(whole, rest)
+        pairs = _compare(whole) if rest is None else _compare(whole).unionByName(_stars(rest))
+        fresh = materialize(pairs.distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
+        links, tried = links.unionByName(check(fresh)), tried.unionByName(fresh)
+        if rest is None:
             break
-        if level < CONTRACTED:
-            large = _contract(large, links)
-        inside, grows = _inside(_branch(large, level + 1), level + 1)
+        inside, grows = _inside(_branch(_contract(rest.select("key", "id", "comp", "n", *KEPT), links), level + 1), level + 1)
     return sigs, classes, links.distinct()
 
 
