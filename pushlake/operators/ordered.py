@@ -31,14 +31,20 @@ SEGMENT_BYTES = 128 << 20
 SEGMENT_LINES = 1 << 20
 
 
-def planned_bytes(df: DataFrame) -> int:
+#: Planned sizes beyond this are no sizes: Spark's default for unknown ones, and products
+#: of joined tables.
+UNKNOWN_BYTES = 1 << 52
+
+
+def planned_bytes(df: DataFrame) -> int | None:
     """The size of a DataFrame as Spark's optimizer plans it (file sizes, or an upper
-    estimate after operators)."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    estimate after operators); None where it has none."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size if size < UNKNOWN_BYTES else None
 
 
 def segment_count(size: int, least: int) -> int:
-    """Ranges for ``size`` planned bytes: SEGMENT_BYTES each, at least ``least`` of them."""
+    """Ranges for ``size`` bytes: SEGMENT_BYTES each, at least ``least`` of them."""
     return max(least, -(-size // SEGMENT_BYTES))
 
 
@@ -49,7 +55,10 @@ def range_segments(df: DataFrame, order: Sequence[str], n: int | None = None, ou
     (at least the session's shuffle partitions), so a segment is bounded at any data
     size; the segment is the range partition id."""
     if n is None:
-        n = segment_count(planned_bytes(df), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        size = planned_bytes(df)
+        if size is None:  # counted instead: as many rows as lines of a file segment
+            size = df.count() * (SEGMENT_BYTES // SEGMENT_LINES)
+        n = segment_count(size, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     return df.repartitionByRange(n, *order).withColumn(out, F.spark_partition_id())
 
 
