@@ -17,14 +17,18 @@ partially on every map task, so a cell with millions of versions costs one row
 per task before the shuffle. Joins carry no broadcast hint: AQE turns a join into
 a broadcast join at run time when the measured probe side is under the
 broadcast threshold, and otherwise keeps a sort-merge join (with skew splitting).
+The one exception are the groups beyond ``BROADCAST_N`` rows (``_near_top``), of which
+a table has at most a row for each ``BROADCAST_N``.
 """
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from pushlake.functions import text as X
 
@@ -84,6 +88,59 @@ def _salted_rank(rows: DataFrame, keys: Sequence[str], order: str, n: int, ascen
     return _rank(_rank(out, list(keys) + ["_s"], order, n, ascending), keys, order, n, ascending).drop("_s")
 
 
+# Ranges of the order column counted per group in one step towards its n-th row, and the steps.
+RANGES = 1024
+STEPS = 2
+
+
+# From this n on the heavy groups, at most a row for each n of the table, go to the rows.
+BROADCAST_N = 10000
+
+
+def _place(df: DataFrame, order: str, ascending: bool) -> Column | None:
+    """An integer ``order`` as a bigint that is larger nearer the top; nulls rank as in a
+    window: last, or first with ``ascending``. None for other types."""
+    if not isinstance(df.schema[order].dataType, IntegralType):
+        return None
+    at = F.coalesce(F.col(order).cast("bigint"), F.lit(-(1 << 63)))
+    return F.bitwise_not(at) if ascending else at
+
+
+def _extent(at: Column | None) -> list[Column]:
+    return [] if at is None else [F.min(at).alias("_lo"), F.max(at).alias("_hi")]
+
+
+def _near_top(rows: DataFrame, keys: Sequence[str], order: str, n: int, ascending: bool, heavy: DataFrame) -> DataFrame:
+    """The rows of the ``heavy`` groups (keys, and ``_extent`` of their places) down to
+    about their ``n``-th, without a sort of a whole group. Each step counts a group's rows
+    by equal ranges of an integer ``order`` (partial aggregates) and goes on inside the
+    range that holds the ``n``-th row, between the values seen there, so that a far outlier
+    costs one step. What is left is the first ``n`` rows and the rest of one range.
+    ``order`` of another type: all rows."""
+    inner = [f"_k{i}" for i in range(len(keys))]
+    few = F.broadcast if n >= BROADCAST_N else (lambda df: df)
+    edge = heavy.withColumnsRenamed(dict(zip(keys, inner)))
+    at = _place(rows, order, ascending)
+    if at is None:
+        return rows.join(few(edge), _same(keys), "left_semi")
+    edge = edge.withColumn("_left", F.lit(n).cast("long"))
+    for _ in range(STEPS):
+        lo, hi = F.col("_lo").cast("double"), F.col("_hi").cast("double")
+        part = F.floor((F.col("_at").cast("double") - lo) / (hi - lo + 1) * RANGES)
+        inside = rows.select(*keys, at.alias("_at")).join(few(edge), _same(keys)).filter(F.col("_at").between(F.col("_lo"), F.col("_hi")))
+        counts = inside.groupBy(*inner, "_left", part.alias("_part")).agg(F.count(F.lit(1)).alias("_c"), *_extent(F.col("_at")))
+        above = Window.partitionBy(*inner).orderBy(F.desc("_part")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        counts = counts.withColumn("_over", F.sum("_c").over(above) - F.col("_c"))
+        edge = counts.filter((F.col("_over") < F.col("_left")) & (F.col("_over") + F.col("_c") >= F.col("_left")))
+        edge = edge.select(*inner, "_lo", "_hi", (F.col("_left") - F.col("_over")).alias("_left"))
+    return rows.withColumn("_at", at).join(few(edge.select(*inner, "_lo")), _same(keys)).filter(F.col("_at") >= F.col("_lo")).select(*rows.columns)
+
+
+def _same(keys: Sequence[str]) -> Column:
+    """The keys equal ``_k0``, ``_k1``...; null is a key as well."""
+    return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)])
+
+
 # Largest n ranked with one window: Spark cuts each group to n rows per map task,
 # so a hot group reaches one reducer with n rows per task (n * tasks rows in all).
 PLAIN_TOP_N = 100
@@ -107,14 +164,13 @@ def top_n_per_group(df: DataFrame, keys: Sequence[str], order: str, n: int, salt
     rows on every map task before the shuffle, so one window is enough. For larger
     ``n`` a hot group would reach one task with ``n`` rows per map task or all its
     rows, so groups are counted first (a partial aggregate): groups with at most
-    ``n`` rows are kept as they are, and only the rows of larger groups are ranked,
-    in salted levels."""
+    ``n`` rows are kept as they are, and only the first rows of larger groups
+    (``_near_top``) are ranked, in salted levels."""
     if not _use_salt(df, n, salted):
         return _rank(df, keys, order, n, ascending)
-    heavy_keys = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c")).filter(F.col("_c") > n).select(*keys)
-    light = df.join(heavy_keys, list(keys), "left_anti")
-    heavy = df.join(heavy_keys, list(keys), "left_semi")
-    return light.unionByName(_salted_rank(heavy, keys, order, n, ascending))
+    heavy = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c"), *_extent(_place(df, order, ascending))).filter(F.col("_c") > n).drop("_c")
+    light = df.join(heavy.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]), _same(keys), "left_anti")
+    return light.unionByName(_salted_rank(_near_top(df, keys, order, n, ascending, heavy), keys, order, n, ascending))
 
 
 def sum_versions(cells: DataFrame, n: int = MAX_VERSIONS, salted: bool | None = None) -> DataFrame:
@@ -123,15 +179,15 @@ def sum_versions(cells: DataFrame, n: int = MAX_VERSIONS, salted: bool | None =
 
     Skew-safe without sorting ordinary cells: one partial aggregate gives every
     cell's version count and full sum, which is the answer for cells with at most
-    ``n`` versions. Only the rows of cells with more versions are read again and
-    ranked in salted levels (``top_n_per_group``)."""
+    ``n`` versions. Only the rows of cells with more versions are read again, cut to
+    those near the newest ``n`` (``_near_top``) and ranked in salted levels."""
     val = F.col("value").try_cast("int").cast("bigint")
     if not _use_salt(cells, n, salted):
         return _rank(cells, CELL_KEY, "ts", n).groupBy(*CELL_KEY).agg(F.sum(val).alias("total"))
-    per = cells.groupBy(*CELL_KEY).agg(F.count(F.lit(1)).alias("_c"), F.sum(val).alias("total"))
+    per = cells.groupBy(*CELL_KEY).agg(F.count(F.lit(1)).alias("_c"), F.sum(val).alias("total"), *_extent(_place(cells, "ts", False)))
     light = per.filter(F.col("_c") <= n).select(*CELL_KEY, "total")
-    heavy_keys = per.filter(F.col("_c") > n).select(*CELL_KEY)
-    heavy = _salted_rank(cells.join(heavy_keys, CELL_KEY, "left_semi"), CELL_KEY, "ts", n)
+    heavy = per.filter(F.col("_c") > n).drop("_c", "total")
+    heavy = _salted_rank(_near_top(cells, CELL_KEY, "ts", n, False, heavy), CELL_KEY, "ts", n)
     return light.unionByName(heavy.groupBy(*CELL_KEY).agg(F.sum(val).alias("total")))
 
 

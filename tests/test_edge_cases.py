@@ -627,3 +627,17 @@ def test_w1_w2_segments_inside_a_file_and_pieces(spark, tmp_path):
     assert max(len(r.pkg.split("|")) for r in pieces) == 5
     last = sorted((r.part, r.pkg) for r in pieces if r.imei == "a")
     assert [p for p, _ in last] == list(range(5)) and "|".join(v for _, v in last) == "|".join(f"p{i}" for i in range(10, 35))
+
+
+def test_heavy_cells_are_cut_before_they_are_ranked(spark):
+    """Only rows near the newest n reach the salted ranking; outliers and null times cost a step, no rows."""
+    times = [*range(5000), 1 << 62, -(1 << 62), None]
+    rows = [(k, "A", "c", t, "1" if t is None else str(t % 97)) for k in ("hot", None) for t in times] + [("cold", "A", "c", 1, "7")]
+    cells = spark.createDataFrame(rows, CELLS).repartition(7)
+    heavy = cells.groupBy(*C.CELL_KEY).agg(F.count(F.lit(1)).alias("_c"), *C._extent(C._place(cells, "ts", False))).filter("_c > 300").drop("_c")
+    left = C._near_top(cells, C.CELL_KEY, "ts", 300, False, heavy)
+    assert 600 <= left.count() <= 620
+    newest = sum(t % 97 for t in [1 << 62, *range(4701, 5000)])
+    assert {r.rowkey: r.total for r in C.sum_versions(cells, 300, salted=True).collect()} == {"hot": newest, None: newest, "cold": 7}
+    first = C.top_n_per_group(cells, C.CELL_KEY, "ts", 300, salted=True, ascending=True).filter("rowkey = 'hot'")
+    assert sorted(r.ts for r in first.filter("ts is not null").collect()) == [-(1 << 62), *range(298)] and first.count() == 300
