@@ -65,8 +65,8 @@ def s3_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S3 + P11: accepted and rejected app rows written from one evaluation; together they
     are all rows."""
     orc, good, bad = (scratch_path(spark, n) for n in ("applist_orc", "applist_good", "applist_bad"))
-    K.to_orc(fx.applist_rows(spark, sf_dir), orc)
-    K.write_split(S.checked_applist_orc(spark, orc), lambda rows: rows.write.orc(good), lambda rows: rows.write.orc(bad))
+    K.to_orc(fx.applist_rows(spark, sf_dir), orc, options=K.ORC_PLAIN)
+    K.write_split(S.checked_applist_orc(spark, orc), lambda rows: K.to_orc(rows, good, options=K.ORC_PLAIN), lambda rows: rows.write.orc(bad))
     columns = ["imei", "pkg", "name", "itime"]
     rejected = spark.read.orc(bad).select(*columns, F.col(P.REJECT).alias("outcome"))
     return spark.read.schema(S.APPLIST_SCHEMA).orc(good).select(*columns, F.lit("accepted").alias("outcome")).unionByName(rejected)

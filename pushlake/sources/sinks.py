@@ -5,12 +5,12 @@ from __future__ import annotations
 
 from typing import Callable, Iterable, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pushlake.functions import text as X
+from pushlake.session import delete_path, scratch_path
 
 # Fixed values of the typed Parquet writer (K2).
 PARQUET_DEFAULT_CODEC = "gzip"
@@ -22,9 +22,13 @@ INDEX_BULK = 3000
 CTRL_A = "\u0001"
 
 
-def to_orc(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+# ORC files without dictionaries: for large text columns, less CPU time of the writer.
+ORC_PLAIN = {"orc.dictionary.key.threshold": "0"}
+
+
+def to_orc(df: DataFrame, path: str, mode: str = "overwrite", options: dict[str, str] | None = None) -> None:
     """K1: parsed records to ORC."""
-    df.write.mode(mode).orc(path)
+    df.write.mode(mode).options(**(options or {})).orc(path)
 
 
 def typed_for_parquet(df: DataFrame) -> DataFrame:
@@ -164,16 +168,20 @@ def to_index_docs(
 
 def write_split(parsed: DataFrame, write_accepted: Callable[[DataFrame], None], write_rejected: Callable[[DataFrame], None]) -> None:
     """Write the accepted rows (without their reason column) and the rejected ones
-    (with it) of one evaluation of ``parsed``: the parsed rows are kept on the executors'
-    disks between the two writes, so the input is read and parsed once."""
+    (with it) of one evaluation of ``parsed``: the parsed rows are written under the
+    shared checkpoint folder and read back by the two writes, so the input is read and
+    parsed once, also when an executor is lost in between."""
     from pushlake.operators.parse import REJECT, accepted
 
-    kept = parsed.persist(StorageLevel.DISK_ONLY)
+    spark = parsed.sparkSession
+    path = scratch_path(spark, "split")
     try:
+        parsed.write.options(**ORC_PLAIN).orc(path)
+        kept = spark.read.schema(parsed.schema).orc(path)
         write_accepted(accepted(kept))
         write_rejected(kept.filter(F.col(REJECT).isNotNull()))
     finally:
-        kept.unpersist()
+        delete_path(spark, path)
 
 
 def sorted_cells(df: DataFrame, n: int) -> DataFrame:

@@ -1,5 +1,6 @@
 """Rejects as data (P11, P12, K7), deep pages (W6) and hour counts."""
 
+import os
 import random
 
 import pytest
@@ -49,6 +50,22 @@ def test_split_evaluates_once(spark, tmp_path):
     assert {r[P.REJECT] for r in spark.read.parquet(bad).collect()} == {"odd"} and spark.read.parquet(bad).count() == 500
 
 
+def test_split_keeps_the_rows_in_files(spark, tmp_path):
+    """The two writes read what one evaluation wrote: no cached blocks, and no files are left."""
+    seen = []
+
+    def write(rows):
+        seen.append(rows.inputFiles())
+        rows.write.parquet(str(tmp_path / f"part{len(seen)}"))
+
+    parsed = spark.range(10).select(F.col("id").cast("string").alias("v"), F.when(F.col("id") > 6, "late").alias(P.REJECT))
+    K.write_split(parsed, write, write)
+    assert len(seen) == 2 and all(files and all("/scratch/split-" in f for f in files) for files in seen)
+    assert not any(os.path.exists(f.removeprefix("file://")) for files in seen for f in files)
+    assert sorted(r.v for r in spark.read.parquet(str(tmp_path / "part1")).collect()) == list("0123456")
+    assert sorted(tuple(r) for r in spark.read.parquet(str(tmp_path / "part2")).collect()) == [(x, "late") for x in "789"]
+
+
 def test_s3_s8_rejects(spark, tmp_path):
     orc, tsv = str(tmp_path / "orc"), str(tmp_path / "tsv")
     spark.createDataFrame([("i", "p", "n", 1), ("j", None, None, 2), (None, "p", "n", None)], S.APPLIST_SCHEMA).write.orc(orc)
