@@ -13,6 +13,7 @@ from typing import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructType
 
 from pushlake.functions import text as X
 from pushlake.functions._cols import ColumnOrName, as_col, pin
@@ -308,13 +309,37 @@ def with_parser(df: DataFrame, fn: Callable[[DataFrame], DataFrame]) -> DataFram
 
 def with_table_function(df: DataFrame, parser: type, schema: str, arg: str, keep: Iterable[str] = ()) -> DataFrame:
     """P12 fallback: a user parser in Python as a table function: a class whose
-    ``eval(value)`` yields 0..n rows of ``schema`` for the value of column ``arg``. It is
-    joined laterally, so each input's rows come beside the columns of ``keep``, and rows
-    travel in Arrow batches. A parser that tells rejects from records yields them with a
-    reason (``accepted``, ``rejects``)."""
-    table = F.udtf(parser, returnType=schema, useArrow=True)
+    ``eval(value)`` yields 0..n rows of ``schema`` for the value of column ``arg``. Each
+    input's rows come beside the columns of ``keep``. A parser that tells rejects from
+    records yields them with a reason (``accepted``, ``rejects``).
+
+    A table function answers every call with an Arrow batch of its own, so a task spends
+    its time on batches of one row. The rows of a call are therefore one array value, sent
+    in batches of many calls and taken apart by ``inline``. A parser with ``terminate`` or
+    ``cleanup`` is called as a table function, since Spark calls these after the inputs."""
     # names of its own: the parser may return columns that the input has as well
     inputs = df.select(F.col(arg).alias("_arg"), *[F.col(c).alias(f"_keep_{c}") for c in keep])
-    out = inputs.lateralJoin(table(F.col("_arg").outer()))
+    if hasattr(parser, "terminate") or hasattr(parser, "cleanup"):
+        table = F.udtf(parser, returnType=schema, useArrow=True)
+        out = inputs.lateralJoin(table(F.col("_arg").outer()))
+    else:
+        kind = StructType.fromDDL(schema)
+        calls = F.udf(_calls_of(parser, len(kind)), ArrayType(kind), useArrow=True).asNondeterministic()
+        # a nondeterministic column is evaluated once for an input, in a step of its own
+        out = inputs.withColumn("_rows", calls("_arg")).select("*", F.inline("_rows")).drop("_rows")
     kept = [F.col(f"_keep_{c}").alias(c) for c in keep]
     return out.select(*kept, *[c for c in out.columns if c != "_arg" and not c.startswith("_keep_")])
+
+
+def _calls_of(parser: type, width: int) -> Callable:
+    """The rows of one call of ``eval`` as a list; a task makes one parser."""
+    made = []
+
+    def call(value):
+        if not made:
+            made.append(parser())
+        rows = made[0].eval(value)
+        # a row of one column may come without its tuple
+        return [(r,) if width == 1 and not isinstance(r, tuple) else r for r in (() if rows is None else rows)]
+
+    return call

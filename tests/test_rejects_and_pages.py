@@ -33,6 +33,41 @@ def test_p12_items_and_rejects(spark):
     ]
 
 
+def test_p12_calls_travel_in_batches(spark):
+    """The rows of many calls come in one Arrow batch, with the rows of a table function."""
+
+    class Counter:
+        def eval(self, n):
+            return None if n is None else iter(range(n))  # rows without tuples, or none at all
+
+    class Closing(Counter):
+        def terminate(self):
+            yield (-1,)
+
+    df = spark.createDataFrame([(1, 2), (2, None), (3, 0), (3, 1), (None, 1)], "id int, n int").repartition(1)
+    out = P.with_table_function(df, Counter, "m int", "n", keep=["id"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython [") == 1 and "UDTF" not in plan
+    assert sorted(map(tuple, out.collect()), key=str) == [(1, 0), (1, 1), (3, 0), (None, 0)]
+    assert out.columns == ["id", "m"] and dict(out.dtypes)["m"] == "int"
+    closed = P.with_table_function(df, Closing, "m int", "n")
+    assert sorted(r.m for r in closed.collect()) == [-1, 0, 0, 0, 1]
+
+
+def test_p12_parser_of_a_task_keeps_its_state(spark):
+    class Numbered:
+        def __init__(self):
+            self.seen = 0
+
+        def eval(self, n):
+            self.seen += 1
+            yield n, self.seen, None
+
+    df = spark.range(25_000, numPartitions=1)
+    out = P.with_table_function(df, Numbered, "n long, seen long, more string", "id").collect()
+    assert [tuple(r) for r in out] == [(i, i + 1, None) for i in range(25_000)]
+
+
 def test_split_evaluates_once(spark, tmp_path):
     """Accepted and rejected rows come from one evaluation and are all rows."""
     calls = spark.sparkContext.accumulator(0)
