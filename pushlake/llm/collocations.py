@@ -18,9 +18,10 @@ least ``MIN_COUNT`` occurrences inside pieces of its language.
 Proposal and buckets travel as bitmaps of at most ``MAX_BITMAP`` bytes, built by Spark. A
 false hit counts a phrase too much in scope and changes no count, so the result is exact at
 any size. Inside a task, occurrences are grouped by dense integer names (exact, pair by
-pair) and flushed as (language, phrase, count) rows in bounded portions, summed with
-map-side combine. Buckets are sorted arrays by range of the bucket number, and ranges are
-split further while one would be too large for a task.
+pair) and flushed in bounded portions: one row for each language and range of phrases, with
+the phrases and their counts as arrays, so that the rows of a task do not grow with the
+number of phrases. Each range is added up by itself. Buckets are sorted arrays by range of
+the bucket number, and ranges are split further while one would be too large for a task.
 
 Cutting a phrase after k words scores floor(1000 * a * n / (l * r)); the least score
 counts, then the least k. Products are exact decimals of 38 digits. A phrase inside a
@@ -35,6 +36,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -59,6 +61,8 @@ BUCKET_BITS = 36
 RANGE_BITS = 8
 #: Most bucket entries that one task adds up.
 MAX_RANGE = 16_000_000
+#: Phrases of a range of phrases, more or less; there are 2**RANGE_BITS ranges at least.
+PER_RANGE = 4096
 _SALTS = 32
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -159,16 +163,26 @@ class _Held:
         for p, c in zip(phrases, counts):
             own[p] = get(p, 0) + c
 
-    def rows(self):
+    def rows(self, bits: int):
+        """One row for each language and range of phrases, by the top ``bits`` of a hash."""
         for lang, own in self.counts.items():
-            n = len(own)
-            columns = [pa.array([lang], pa.string()).take(pa.array(np.zeros(n, np.int32))), pa.array(own.keys(), pa.binary(), size=n).cast(pa.string()), pa.array(own.values(), pa.int64(), size=n)]
-            yield pa.RecordBatch.from_arrays([*columns, pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names=_COLUMNS)
+            if not own:
+                continue
+            ranges = (np.fromiter(map(xxhash.xxh64_intdigest, own), np.uint64, len(own)) >> np.uint64(64 - bits)).astype(np.int32)
+            order = np.argsort(ranges, kind="stable")
+            firsts = np.flatnonzero(np.diff(ranges[order], prepend=-1))
+            phrases = pa.array(own.keys(), pa.binary(), size=len(own)).cast(pa.string()).take(pa.array(order))
+            counts = pa.array(np.fromiter(own.values(), np.int64, len(own))[order])
+            cuts, n = pa.array(np.append(firsts, len(own)).astype(np.int32)), len(firsts)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang], pa.string()).take(pa.array(np.zeros(n, np.int32))), pa.array(ranges[order][firsts]), pa.ListArray.from_arrays(cuts, phrases), pa.ListArray.from_arrays(cuts, counts), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary())],
+                names=_COLUMNS,
+            )
         self.counts = {}
 
 
-_COLUMNS = ["lang", "phrase", "n", "range", "entries"]
-_ROWS = "lang string, phrase string, n long, range int, entries binary"
+_COLUMNS = ["lang", "range", "phrases", "counts", "n", "entries"]
+_ROWS = "lang string, range int, phrases array<string>, counts array<long>, n long, entries binary"
 
 
 def _entries(hashes: list[np.ndarray]):
@@ -184,9 +198,9 @@ def _ranges(buckets: np.ndarray, counts: np.ndarray, shift: int):
     firsts = np.concatenate([[0], cuts])
     packed = [_pack(b, c) for b, c in zip(np.split(buckets, cuts), np.split(counts, cuts))]
     n = len(packed)
-    nothing = [pa.nulls(n, pa.string()), pa.nulls(n, pa.string())]
+    nothing = [pa.nulls(n, pa.list_(pa.string())), pa.nulls(n, pa.list_(pa.int64()))]
     sizes = np.diff(np.append(firsts, len(buckets)))
-    yield pa.RecordBatch.from_arrays([*nothing, pa.array(sizes, pa.int64()), pa.array(parts[firsts], pa.int32()), pa.array(packed, pa.binary())], names=_COLUMNS)
+    yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.string()), pa.array(parts[firsts], pa.int32()), *nothing, pa.array(sizes, pa.int64()), pa.array(packed, pa.binary())], names=_COLUMNS)
 
 
 def _pack(buckets: np.ndarray, counts: np.ndarray) -> bytes:
@@ -227,11 +241,11 @@ def _portions(batches):
         yield texts, langs
 
 
-def _scan(docs: DataFrame, rule, totals: bool = False) -> DataFrame:
+def _scan(docs: DataFrame, rule, totals: bool = False, bits: int = RANGE_BITS) -> DataFrame:
     """One pass over the texts. ``rule(n, scope, hashes)`` tells of the phrases of n words
     that are in scope: which are counted one by one, which in buckets, and which may be
-    part of longer phrases in scope. With ``totals`` also rows of an empty phrase with the
-    words of each language."""
+    part of longer phrases in scope. Phrases are dealt into 2**``bits`` ranges. With
+    ``totals`` an empty phrase counts the words of each language."""
 
     def scan(batches):
         decide = rule()
@@ -272,20 +286,30 @@ def _scan(docs: DataFrame, rule, totals: bool = False) -> DataFrame:
                 names = np.zeros(chunk.count, np.int64)
                 names[:-n] = rank[:-n] * chunk.kinds + chunk.word[n:]
             if held.size() >= MAX_HELD:
-                yield from held.rows()
+                yield from held.rows(bits)
             if waiting >= MAX_BORDER:
                 yield from _entries(border)
                 border, waiting = [], 0
-        yield from held.rows()
+        yield from held.rows(bits)
         if border:
             yield from _entries(border)
 
     return docs.select("lang", "text").mapInArrow(scan, _ROWS)
 
 
-def _counted(rows: DataFrame) -> DataFrame:
-    """(lang, phrase, words, n) of the phrases that were counted one by one."""
-    rows = rows.filter(F.col("phrase").isNotNull()).groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
+def _counted(rows: DataFrame, least: int) -> DataFrame:
+    """(lang, phrase, words, n) of the phrases that were counted one by one, ``least``
+    times or more, and of the empty phrase. A range of a language is added up at a time."""
+
+    def summed(group):
+        parts = pa.table({"phrase": pc.list_flatten(group.column("phrases")), "n": pc.list_flatten(group.column("counts"))})
+        sums = parts.group_by("phrase", use_threads=False).aggregate([("n", "sum")])
+        sums = sums.filter(pc.or_(pc.greater_equal(sums.column("n_sum"), least), pc.equal(sums.column("phrase"), "")))
+        lang = group.column("lang").combine_chunks().take(pa.array(np.zeros(len(sums), np.int32)))
+        return pa.table({"lang": lang, "phrase": sums.column("phrase"), "n": sums.column("n_sum")})
+
+    rows = rows.filter(F.col("phrases").isNotNull()).select("lang", "range", "phrases", "counts")
+    rows = rows.groupBy("lang", "range").applyInArrow(summed, "lang string, phrase string, n long")
     words = F.when(F.col("phrase") == "", 0).otherwise(F.size(F.split("phrase", " ")))
     return rows.select("lang", "phrase", words.alias("words"), "n")
 
@@ -385,8 +409,9 @@ def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, id_col: str =
 
         return decide
 
-    counts = _counted(_scan(docs, further, totals=True)).filter(F.col("n") >= F.when(F.col("words") > 0, min_count).otherwise(0))
-    counts = materialize(counts, "counts")
+    # more ranges for more phrases: a range has PER_RANGE of them, from each task that met them
+    bits = max(RANGE_BITS, (int(np.bitwise_count(full.value).sum()) // PER_RANGE).bit_length())
+    counts = materialize(_counted(_scan(docs, further, totals=True, bits=bits), min_count), "counts")
     return counts.filter("words > 0").select("lang", "phrase", "words", "n"), counts.filter("words = 0").select("lang", F.col("n").alias("total"))
 
 

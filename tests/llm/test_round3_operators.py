@@ -7,6 +7,7 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -65,6 +66,19 @@ def test_collocations(phrases, min_count, top, sample, monkeypatch):
         assert sorted(tuple(r) for r in got) == brute_collocations(rows, min_count, top)
 
 
+def test_collocation_counts_travel_by_range(spark):
+    """A task writes a row for each language and range, not for each phrase."""
+    rows = [(lang, " ".join(f"w{i % 700}" for i in range(k, k + 2000))) for k, lang in enumerate(["en", "fr", "en"])]
+    docs = spark.createDataFrame(rows, "lang string, text string").repartition(2)
+    every = lambda: lambda chunk, n, at, hashes, state: (np.ones(len(at), bool), np.zeros(len(at), bool), np.ones(len(at), bool), None)
+    scan = collocations._scan(docs, every, totals=True, bits=3)
+    assert scan.count() <= 2 * 2 * 8
+    counts = {(r.lang, r.phrase): (r.words, r.n) for r in collocations._counted(scan, 3).collect()}
+    assert counts["en", ""] == (0, 4000) and counts["fr", ""] == (0, 2000)
+    assert counts["en", "w698 w699 w0"] == (3, 4) and ("fr", "w698 w699 w0") not in counts
+    assert all(n >= 3 or not words for words, n in counts.values())
+
+
 def test_collocation_arithmetic_passes_64_bits(spark):
     rows = [("en", "a", 1, 10**12), ("en", "b", 1, 10**12), ("en", "a b", 2, 10**12 - 1)]
     counts = spark.createDataFrame(rows, "lang string, phrase string, words int, n long")
