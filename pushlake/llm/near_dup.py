@@ -3,15 +3,18 @@ tokens.
 
 Documents with equal shingle sets are one class first (a grouped minimum), so groups
 of copies cost one row. Then independent trees branch the classes: the root splits
-by one minwise token; every node's classes are compared with a pivot, and the links
-found are contracted, so a group of near copies becomes one component at a cost in
-proportion to its size (again after each of the first levels). From there only classes of different components are
-compared, and nodes inside one component end. A node is small when at most ``LEAF`` of
-its classes lie outside its largest component: each of its classes is compared with
-those, so a small node costs its size times ``LEAF`` at most. A larger node branches
-again by ``BRANCHES`` minwise tokens that it selects (their four bits in the sketch, so
-no values are joined back). What is still larger at the last level is compared in the
-same way, so nothing is capped.
+by one minwise token; the classes of every node are compared with ``PIVOTS`` of them
+that the node draws, and the links found are contracted before any other comparison.
+The pivots of all trees together reach most members of a group of near copies, so it
+becomes one component at a cost in proportion to its size. From there only classes of
+different components are compared, and nodes inside one component end. A node is small
+when at most ``LEAF`` of its classes lie outside its largest component: each of its
+classes is compared with those, so a small node costs its size times ``LEAF`` at most
+and returns only pairs that may be links. A larger node branches again by ``BRANCHES``
+minwise tokens that it selects (their four bits in the sketch, so no values are joined
+back); the first of these levels draws pivots and contracts once more, for groups that
+all lie inside a much larger node. What is still larger at the last level is compared
+in the same way, so nothing is capped.
 
 A pair of similarity 0.75 meets in a small root child with probability 0.75 a tree;
 where nodes are large, its branching process survives with probability 0.89. Over
@@ -24,7 +27,7 @@ in at least as many shingles as bits, and linked sets in a seventh of their size
 most. It turns away the many pairs of a large group that are just under the threshold.
 
 Cost is bounded by rows x TREES at the first level; no group is collected in one
-task; nodes are grouped with map-side combine and joined by key (splittable).
+task: a node's pivots are the first rows of a window that Spark cuts before the shuffle; nodes are grouped with map-side combine and joined by key (splittable).
 
 Edge cases: null and empty texts have no shingles and link with nothing; texts under
 five words are one shingle; rows that repeat a doc_id share its component; rows with
@@ -36,7 +39,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pushlake.llm._util import MAX_BROADCAST_BYTES, materialize, measured, slices
@@ -46,12 +49,12 @@ from pushlake.llm.components import connected_components
 PERCENT = 75
 COORDINATES = 128
 TREES = 10
-LEAF = 128
+LEAF = 1024
 BRANCHES = 2
 LEVELS = 7
-PIVOTS = 3
-#: Levels whose links are confirmed and contracted before the next one.
-CONTRACTED = 3
+PIVOTS = 8
+#: Levels that compare with pivots and contract the links before anything else.
+CONTRACTED = 2
 #: Bytes that an id takes in a broadcast besides its text.
 ID_OVERHEAD = 56
 SKETCH_MATCHES = 80
@@ -165,31 +168,27 @@ def _roots(classes: DataFrame) -> DataFrame:
     return base.join(shared, "key").join(classes.select("id", "n", *CARRIED), "id").select("key", "id", F.col("id").alias("comp"), "n", *CARRIED)
 
 
+def _stars(rows: DataFrame) -> DataFrame:
+    """Pairs of different components, each a class and a pivot of its node. Every node
+    draws pivots of its own, so trees that hold the same group draw different ones."""
+    drawn = Window.partitionBy("key").orderBy(F.xxhash64("key", "id"))
+    pivots = rows.withColumn("place", F.row_number().over(drawn)).filter(F.col("place") <= PIVOTS)
+    pivots = pivots.select("key", *[F.col(c).alias(f"p_{c}") for c in ["id", "comp", "n", *CARRIED]])
+    both = rows.join(pivots, "key").filter((F.col("comp") != F.col("p_comp")) & _plausible("", "p_"))
+    return both.select(*_pairs("id", "p_id")).distinct()
+
+
 def _inside(rows: DataFrame, level: int) -> tuple[DataFrame, bool]:
-    """Rows of the nodes that hold several components, with their node's pivot, its
-    largest component ``top`` and the number ``outside`` of its classes outside that;
-    and whether any node is large. ``rows``: (key, id, comp, n, sketch)."""
-    order = F.xxhash64("id", F.pmod("key", F.lit(PIVOTS)), F.lit(level))
-    parts = rows.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("k"), F.min(F.struct(order.alias("o"), "id", "comp", "n", *CARRIED)).alias("p"))
-    nodes = parts.groupBy("key").agg(F.sum("k").alias("m"), F.max(F.struct("k", "comp")).alias("t"), F.min("p").alias("p")).filter("m > t.k")
-    nodes = nodes.select("key", (F.col("m") - F.col("t.k")).alias("outside"), F.col("t.comp").alias("top"), *[F.col(f"p.{c}").alias(f"p_{c}") for c in ["id", "comp", "n", *CARRIED]])
+    """Rows of the nodes that hold several components, with their node's largest
+    component ``top`` and the number ``outside`` of its classes outside that; and
+    whether any node is large. ``rows``: (key, id, comp, n, sketch)."""
+    parts = rows.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("k"))
+    nodes = parts.groupBy("key").agg(F.sum("k").alias("m"), F.max(F.struct("k", "comp")).alias("t")).filter("m > t.k")
+    nodes = nodes.select("key", (F.col("m") - F.col("t.k")).alias("outside"), F.col("t.comp").alias("top"))
     inside, seen = measured(rows.join(nodes, "key"), f"nodes{level}", most=F.max("outside"))
     return inside, (seen["most"] or 0) > LEAF
 
 
-def _stars(inside: DataFrame) -> DataFrame:
-    """Pairs of each class with the pivot of its node."""
-    return inside.filter((F.col("comp") != F.col("p_comp")) & _plausible("", "p_")).select(*_pairs("id", "p_id")).distinct()
-
-
-def _small(inside: DataFrame) -> DataFrame:
-    return inside.filter(F.col("outside") <= LEAF)
-
-
-def _large(inside: DataFrame) -> DataFrame:
-    return inside.filter(F.col("outside") > LEAF)
-
-
 def _compare(inside: DataFrame) -> DataFrame:
     """Pairs of different components inside nodes: every class against the classes
     outside its node's largest component."""
@@ -200,8 +199,15 @@ def _compare(inside: DataFrame) -> DataFrame:
     return both.select(*_pairs("id", "o_id")).distinct()
 
 
-def _contract(rows: DataFrame, links: DataFrame) -> DataFrame:
-    found = materialize(connected_components(links), "contracted").select("id", F.col("component").alias("c"))
+def _merged(found: DataFrame | None, links: DataFrame) -> DataFrame:
+    """(id, component) of the links and the components found before."""
+    if found is not None:
+        links = links.unionByName(found.select(F.col("id").alias("a"), F.col("component").alias("b")))
+    return materialize(connected_components(links), "components")
+
+
+def _contract(rows: DataFrame, found: DataFrame) -> DataFrame:
+    found = found.select("id", F.col("component").alias("c"))
     return rows.drop("comp").join(found, "id", "left").select("key", "id", F.coalesce("c", "id").alias("comp"), "n", *CARRIED)
 
 
@@ -230,41 +236,40 @@ def confirm(docs: DataFrame, pairs: DataFrame, id_col: str = "doc_id", text_col:
     return sized.filter(100 * F.col("i").cast("long") >= PERCENT * (F.col("s") - F.col("i")).cast("long")).select("a", "b").distinct()
 
 
-def links_and_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(rows, classes, links): rows (id, n, v1, v2) per document, classes (v1, v2, id,
-    size) of equal sets, links (a, b) between class representatives. Links inside a
-    component that its other links already connect need not be listed."""
+def classes_and_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(rows, classes, found): rows (id, n, v1, v2) per document, classes (v1, v2, id,
+    size) of equal sets, found (id, component) of the class representatives that the
+    confirmed links join with others."""
     sigs = materialize(signatures(docs, id_col, text_col), "signatures")
     classes = sigs.filter("n > 0 and id is not null").groupBy("v1", "v2").agg(
         F.min("id").alias("id"), F.count(F.lit(1)).alias("size"), *[F.first(c).alias(c) for c in ["n", *CARRIED, "mins"]]
     )
     classes = materialize(classes, "classes")
-    check = lambda pairs: materialize(confirm(docs, pairs, id_col, text_col), "links")
-    inside, _ = _inside(_roots(classes), 0)
-    tried = materialize(_stars(inside), "pairs")
-    links = check(tried)
-    inside, grows = _inside(_contract(inside.select("key", "id", "comp", "n", *CARRIED), links), 1)
-    late = None
+    rows = materialize(_roots(classes), "roots")
+    tried = found = late = None
     for level in range(1, LEVELS + 1):
-        large = _large(inside)
+        if level <= CONTRACTED:
+            pairs = _stars(rows)
+            pairs = materialize(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
+            tried = pairs if tried is None else tried.unionByName(pairs)
+            found = _merged(found, confirm(docs, pairs, id_col, text_col))
+            rows = _contract(rows, found)
+        inside, grows = _inside(rows, level)
         last = level == LEVELS or not grows
-        pairs = _compare(inside) if last else _compare(_small(inside)).unionByName(_stars(large))
+        pairs = _compare(inside if last else inside.filter(F.col("outside") <= LEAF))
         late = pairs if late is None else late.unionByName(pairs)
-        if last or level < CONTRACTED:
-            fresh = materialize(late.distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
-            links, tried, late = links.unionByName(check(fresh)), tried.unionByName(fresh), None
         if last:
             break
+        rows = _branch(inside.filter(F.col("outside") > LEAF), level + 1)
         if level < CONTRACTED:
-            large = _contract(large, links)
-        inside, grows = _inside(_branch(large, level + 1), level + 1)
-    return sigs, classes, links.distinct()
+            rows = materialize(rows, "branched")
+    pairs = materialize(late.distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
+    return sigs, classes, _merged(found, confirm(docs, pairs, id_col, text_col))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_shingles, component_id, kept) of every document."""
-    sigs, classes, links = links_and_classes(docs, id_col, text_col)
-    found = connected_components(links)
+    sigs, classes, found = classes_and_components(docs, id_col, text_col)
     labels = classes.join(found, "id", "left").filter("size > 1 or component is not null")
     labels = labels.select(F.col("v1").alias("l1"), F.col("v2").alias("l2"), F.coalesce("component", "id").alias("label"))
     out = sigs.join(labels, (F.col("v1") == F.col("l1")) & (F.col("v2") == F.col("l2")) & (F.col("n") > 0), "left")

@@ -282,6 +282,38 @@ def test_near_duplicates_in_one_large_group(spark, monkeypatch):
     assert {x: (r.n_shingles, r.component_id) for x, r in got.items()} == exact_components(texts)
 
 
+def test_near_duplicates_of_a_group_at_the_threshold(spark, monkeypatch):
+    """Near copies of which many pairs are just under 0.75, and unrelated texts that share
+    a passage: neither is branched into many rows or compared pair by pair."""
+    rng = random.Random(11)
+    base = [f"w{i}" for i in range(200)]
+    texts = {}
+    for i in range(300):
+        ws = list(base)
+        for k in range(rng.randint(1, 5)):
+            ws[rng.randrange(200)] = f"x{i}_{k}"
+        texts[i] = " ".join(ws)
+    for i in range(300, 600):
+        texts[i] = " ".join([f"p{k}" for k in range(60)] + [f"z{i}_{k}" for k in range(140)])
+    made = {"_branch": 0, "_compare": 0}
+
+    def counted(name):
+        real = getattr(near_dup, name)
+
+        def run(*args):
+            out = real(*args)
+            made[name] += out.count()
+            return out
+
+        monkeypatch.setattr(near_dup, name, run)
+
+    counted("_branch")
+    counted("_compare")
+    got = by_id(near_dup.near_duplicates(spark.createDataFrame(list(texts.items()), "doc_id long, text string")))
+    assert {x: (r.n_shingles, r.component_id) for x, r in got.items()} == exact_components(texts)
+    assert made["_branch"] <= len(texts) and made["_compare"] <= len(texts), made
+
+
 def test_components_of_chains(spark):
     chain = [(i, i + 1) for i in range(60)] + [(100, 101), (101, 100), (200, 200)]
     got = {r["id"]: r["component"] for r in components.connected_components(spark.createDataFrame(chain, "a long, b long")).collect()}
