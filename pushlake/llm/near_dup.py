@@ -27,7 +27,8 @@ in at least as many shingles as bits, and linked sets in a seventh of their size
 most. It turns away the many pairs of a large group that are just under the threshold.
 
 Cost is bounded by rows x TREES at the first level; no group is collected in one
-task: a node's pivots are the first rows of a window that Spark cuts before the shuffle; nodes are grouped with map-side combine and joined by key (splittable).
+task: a node's pivots are the first rows of a window, which Spark cuts before the
+shuffle, and nodes are grouped with map-side combine and joined by key (splittable).
 
 Edge cases: null and empty texts have no shingles and link with nothing; texts under
 five words are one shingle; rows that repeat a doc_id share its component; rows with
