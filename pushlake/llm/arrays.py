@@ -4,11 +4,14 @@ Tasks write one file per shard under the checkpoint folder, through pyarrow's fi
 systems (local mount, HDFS, object store). A reader maps a file in place when the
 store is mounted; otherwise it copies the shard to local disk once, maps it and
 unlinks it at once, so nothing is left behind. Names are unique per task attempt, so
-a retried or speculative task never touches another's file.
+a retried or speculative task never touches another's file. A mapping holds no open
+file, and a table keeps a bounded number of them; columns beyond it are mapped for one
+lookup at a time.
 """
 
 from __future__ import annotations
 
+import mmap
 import tempfile
 import uuid
 from dataclasses import dataclass
@@ -18,6 +21,9 @@ import pyarrow.fs as pafs
 
 from pushlake.llm._util import local_path
 
+#: Mapped columns that one table keeps in a process (Linux allows 65,530 mappings in all).
+MAX_MAPS = 4096
+
 
 def write_array(folder: str, name: str, values: np.ndarray) -> str:
     """Write raw little-endian values; returns the file's URI."""
@@ -34,19 +40,26 @@ def write_array(folder: str, name: str, values: np.ndarray) -> str:
     return uri
 
 
+def _mapped(path: str, dtype, count: int) -> np.ndarray:
+    """The file's values; the mapping outlives the open file (``np.memmap`` would keep
+    one open for each array)."""
+    with open(path, "rb") as f:
+        return np.frombuffer(mmap.mmap(f.fileno(), count * np.dtype(dtype).itemsize, access=mmap.ACCESS_READ, trackfd=False), dtype)
+
+
 def map_array(uri: str, dtype, count: int) -> np.ndarray:
     if not count:
         return np.empty(0, dtype)
     path = local_path(uri)
     if path is not None:
-        return np.memmap(path, dtype, "r", shape=(count,))
+        return _mapped(path, dtype, count)
     fs, remote = pafs.FileSystem.from_uri(uri)
     with tempfile.NamedTemporaryFile() as copy:
         with fs.open_input_stream(remote) as source:
             while block := source.read(1 << 22):
                 copy.write(block)
         copy.flush()
-        return np.memmap(copy.name, dtype, "r", shape=(count,))  # the mapping outlives the unlinked name
+        return _mapped(copy.name, dtype, count)  # the mapping outlives the unlinked name
 
 
 @dataclass(frozen=True)
@@ -68,10 +81,16 @@ class SortedArrays:
         self._maps: dict[tuple[int, str], np.ndarray] = {}
 
     def _column(self, i: int, name: str) -> np.ndarray:
-        if (i, name) not in self._maps:
-            kind, uri = next((k, u) for n, k, u in self.shards[i].files if n == name)
-            self._maps[i, name] = map_array(uri, np.dtype(kind), self.shards[i].count)
-        return self._maps[i, name]
+        column = self._maps.get((i, name))
+        if column is None:
+            column = self._map(i, name)
+            if len(self._maps) < MAX_MAPS:
+                self._maps[i, name] = column
+        return column
+
+    def _map(self, i: int, name: str) -> np.ndarray:
+        kind, uri = next((k, u) for n, k, u in self.shards[i].files if n == name)
+        return map_array(uri, np.dtype(kind), self.shards[i].count)
 
     def __getstate__(self):
         return self.shards
@@ -135,10 +154,8 @@ class SplitArrays(SortedArrays):
     halves of each, in the smallest types. Each key may own a sorted stretch of
     "member" values with their "times" (stretches begin at "members")."""
 
-    def _column(self, i: int, name: str) -> np.ndarray:
-        if (i, name) not in self._maps:
-            self._maps[i, name] = map_compact(next(u for n, _, u in self.shards[i].files if n == name))
-        return self._maps[i, name]
+    def _map(self, i: int, name: str) -> np.ndarray:
+        return map_compact(next(u for n, _, u in self.shards[i].files if n == name))
 
     def find(self, keys: np.ndarray, columns: list[str]) -> dict[str, np.ndarray]:
         out = {c: np.full(len(keys), -1 if c == "position" else 0, np.int64) for c in columns}

@@ -6,7 +6,8 @@ kept as sorted hash arrays and memory-mapped by the workers that score.
 2. Bigrams (id, id) are counted per task, packed per shard (sorted, delta coded,
    compressed) and merged shard by shard into sorted arrays. A shard holds all
    bigrams of a range of contexts; a context with more than a shard's share of all
-   tokens is spread over shards by its second word, and its totals are added up.
+   tokens gets as many shards of its own as it has shares, by ranges of its second
+   word, and its totals are added up. So the shards and their files grow with the corpus.
 3. Contexts get their total and the number of followers seen once, twice and more;
    second words get their number of distinct contexts (the unigram level).
    Order 3 counts trigrams in one such pass instead, with compact arrays: bigrams then
@@ -17,7 +18,7 @@ P(w|uv) = max(c(uvw) - D(c), 0) / c(uv.) + g(uv) P(w|v) in order 3;
 P(w|v) = max(c(vw) - D(c), 0) / c(v.) + g(v) P(w); P(w) is the same over numbers of
 distinct contexts, interpolated with 1 / (V + 1). Discounts follow from the counts of
 counts of each level. The driver holds shard names, counts of counts and the totals
-of at most one heavy context and two hot bigrams per shard; the model grows with the corpus in the
+of about one heavy context and two hot bigrams per shard; the model grows with the corpus in the
 shared folder only.
 
 Edge cases: null and empty texts are one end token; a null id is trained on and not
@@ -158,14 +159,45 @@ def _count_words(texts: DataFrame, folder: str, n_shards: int) -> tuple[SortedAr
     return _shards(rows, [("key", "<u8"), ("count", "<i8")]), sum(r["tokens"] for r in rows), sum(r["count"] for r in rows)
 
 
-def _heavy(vocab: SortedArrays, tokens: int, n_shards: int, start: int) -> np.ndarray:
-    """Ids of contexts with more than a shard's share of the tokens: fewer than
-    ``n_shards`` of them, and the start mark. Reads one shard at a time."""
-    out = [start]
+@dataclass
+class _Spread:
+    """Sorted keys with shards of their own: as many as a key has shares of the tokens,
+    by ranges of the id of another word."""
+
+    keys: np.ndarray
+    first: np.ndarray  # number of the key's first shard
+    pieces: np.ndarray
+    span: np.uint64  # number of ids
+    after: int  # number of the next shard
+
+    def shards(self, keys: np.ndarray, others: np.ndarray, rest: np.ndarray) -> np.ndarray:
+        """The shard of each key with its other word; ``rest`` for keys that have none."""
+        if not len(self.keys):
+            return rest
+        rank, mine = _ranks(self.keys, keys)
+        return np.where(mine, self.first[rank] + others * self.pieces[rank] // self.span, rest)
+
+
+def _spread(counts: dict[int, int], share: float, span: np.uint64, base: int) -> _Spread:
+    """Shards from number ``base`` on for keys with these numbers of tokens."""
+    keys = sorted(counts)
+    pieces = np.array([max(1, math.ceil(counts[k] / share)) for k in keys], np.uint64)
+    ends = np.uint64(base) + np.cumsum(pieces, dtype=np.uint64)
+    return _Spread(np.array(keys, np.uint64), ends - pieces, pieces, span, int(ends[-1]) if keys else base)
+
+
+def _heavy(vocab: SortedArrays, tokens: int, n_shards: int, start: int) -> tuple[_Spread, int]:
+    """Contexts with more than a shard's share of the tokens (fewer than ``n_shards`` of
+    them) and the start mark, and the number of shards of all other contexts, which come
+    first. Reads one shard at a time."""
+    counts = {}
     for i, shard in enumerate(vocab.shards):
-        counts = vocab._column(i, "count")
-        out += [shard.base + int(k) for k in np.flatnonzero(counts * n_shards > tokens)]
-    return np.array(sorted(out), np.uint64)
+        found = vocab._column(i, "count")
+        counts |= {shard.base + int(k): int(found[k]) for k in np.flatnonzero(found * n_shards > tokens)}
+    n_light = max(1, math.ceil((tokens - sum(counts.values())) * n_shards / tokens))
+    # as many starts as ends
+    counts[start] = int(vocab.find(np.array([END_HASH], np.uint64), ["count"])["count"][0])
+    return _spread(counts, tokens / n_shards, np.uint64(start + 1), n_light), n_light
 
 
 def _count_bigrams(texts: DataFrame, folder: str, model: Model, n_shards: int):
@@ -173,7 +205,8 @@ def _count_bigrams(texts: DataFrame, folder: str, model: Model, n_shards: int):
     vocab, types = model.vocab, model.types
     start = types
     span = np.uint64(types + 1)
-    heavy = _heavy(vocab, model.tokens, n_shards, start)
+    spread, n_light = _heavy(vocab, model.tokens, n_shards, start)
+    heavy = spread.keys
 
     def count(batches):
         claim()
@@ -183,11 +216,11 @@ def _count_bigrams(texts: DataFrame, folder: str, model: Model, n_shards: int):
                 ids = vocab.find(distinct, ["position"])["position"][back].astype(np.uint64)
                 keys, counts = np.unique(_previous(ids, lengths, start) << SHIFT | ids, return_counts=True)
                 first, second = keys >> SHIFT, keys & LOW
-                shard = np.where(np.isin(first, heavy), second, first) * np.uint64(n_shards) // span
+                shard = spread.shards(first, second, first * np.uint64(n_light) // span)
                 order = np.argsort(shard, kind="stable")
                 keys, counts, shard = keys[order], counts[order], shard[order]
-                cut = np.searchsorted(shard, np.arange(n_shards + 1, dtype=np.uint64))
-                used = [s for s in range(n_shards) if cut[s] < cut[s + 1]]
+                cut = np.searchsorted(shard, np.arange(spread.after + 1, dtype=np.uint64))
+                used = [s for s in range(spread.after) if cut[s] < cut[s + 1]]
                 blobs = [_pack(keys[cut[s] : cut[s + 1]], counts[cut[s] : cut[s + 1]]) for s in used]
                 yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(blobs, pa.binary())], names=["shard", "blob"])
 
@@ -197,18 +230,14 @@ def _count_bigrams(texts: DataFrame, folder: str, model: Model, n_shards: int):
         keys, counts = _merge(t.column("blob").to_pylist())
         rows = [{"kind": "bigrams", "numbers": [int((counts == k).sum()) for k in (1, 2, 3, 4)]}]
         context = keys >> SHIFT
-        spread = np.isin(context, heavy)
-        # a heavy context's bigrams lie in key ranges of their own: one file per range
-        rows[0] |= _meta(keys[~spread], [write_array(folder, "bigrams", keys[~spread]), write_array(folder, "counts", counts[~spread])])
-        for c in np.unique(context[spread]):
-            part = context == c
-            rows.append(_meta(keys[part], [write_array(folder, "bigrams", keys[part]), write_array(folder, "counts", counts[part])]) | {"kind": "bigrams", "numbers": [0, 0, 0, 0]})
+        rows[0] |= _meta(keys, [write_array(folder, "bigrams", keys), write_array(folder, "counts", counts)])
         first = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]]))
         totals = [np.add.reduceat(x, first) for x in (counts, (counts == 1).astype(np.int64), (counts == 2).astype(np.int64), (counts >= 3).astype(np.int64))]
         owners = context[first]
-        light = ~np.isin(owners, heavy)
-        rows.append(_meta(owners[light], [write_array(folder, "contexts", owners[light]), *[write_array(folder, "totals", x[light]) for x in totals]]) | {"kind": "contexts"})
-        rows += [{"kind": "heavy", "numbers": [int(owners[i]), *[int(x[i]) for x in totals]]} for i in np.flatnonzero(~light)]
+        if np.isin(owners, heavy).any():  # a piece of one heavy context
+            rows.append({"kind": "heavy", "numbers": [int(owners[0]), *[int(x[0]) for x in totals]]})
+        else:
+            rows.append(_meta(owners, [write_array(folder, "contexts", owners), *[write_array(folder, "totals", x) for x in totals]]) | {"kind": "contexts"})
         seconds, n = np.unique(keys & LOW, return_counts=True)
         target = seconds * np.uint64(n_shards) // span
         cut = np.searchsorted(target, np.arange(n_shards + 1, dtype=np.uint64))
@@ -252,12 +281,12 @@ def _discounts(n: list[int]) -> tuple[float, float, float]:
     return tuple(min(max(d, 0.05), k + 0.95) for k, d in enumerate(raw))
 
 
-def _hot_pairs(texts: DataFrame, model: Model, n_shards: int, heavy: np.ndarray) -> np.ndarray:
+def _hot_pairs(texts: DataFrame, model: Model, n_shards: int, spread: _Spread) -> _Spread:
     """Bigrams of heavy words with about a shard's share of the tokens, from a sample:
     fewer than 2 * ``n_shards`` of them. They only decide which shards count what."""
-    heavy = heavy[heavy < model.types]
+    heavy = spread.keys[spread.keys < model.types]
     if not len(heavy):
-        return np.empty(0, np.uint64)
+        return _spread({}, 1, spread.span, spread.after)
     vocab = model.vocab
     share = min(1.0, max(0.01, 1e6 / model.tokens))
 
@@ -277,7 +306,8 @@ def _hot_pairs(texts: DataFrame, model: Model, n_shards: int, heavy: np.ndarray)
     found = texts.sample(share, 1).mapInArrow(count, "v long, w long, n long, pair boolean").groupBy("pair", "v", "w").agg(F.sum("n").alias("n"))
     rows = found.orderBy("pair", F.desc("n")).limit(2 * n_shards + 1).collect()  # the total, then the largest
     total = sum(r["n"] for r in rows if not r["pair"])
-    return np.array(sorted(r["v"] << 32 | r["w"] for r in rows if r["pair"] and r["n"] * 2 * n_shards > total), np.uint64)
+    counts = {r["v"] << 32 | r["w"]: r["n"] for r in rows if r["pair"] and r["n"] * 2 * n_shards > total}
+    return _spread(counts, max(total, 1) / n_shards, spread.span, spread.after)
 
 
 def _sums(keys: np.ndarray, columns: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -317,9 +347,9 @@ def _count_trigrams(texts: DataFrame, folder: str, model: Model, n_shards: int):
     (v, w) by u; their partial totals are added up."""
     vocab, start = model.vocab, model.types
     span = np.uint64(start + 1)
-    heavy = _heavy(vocab, model.tokens, n_shards, start)
-    hot = _hot_pairs(texts, model, n_shards, heavy)
-    shard_of = lambda ids: ids * np.uint64(n_shards) // span
+    spread, n_light = _heavy(vocab, model.tokens, n_shards, start)
+    spread_hot = _hot_pairs(texts, model, n_shards, spread)
+    heavy, hot = spread.keys, spread_hot.keys
 
     def count(batches):
         claim()
@@ -330,13 +360,13 @@ def _count_trigrams(texts: DataFrame, folder: str, model: Model, n_shards: int):
                 before = _previous(ids, lengths, start)
                 pairs, which = np.unique(before << SHIFT | ids, return_inverse=True)
                 keys, counts = np.unique(which.astype(np.uint64) << SHIFT | _previous(before, lengths, start), return_counts=True)
-                place = shard_of(np.where(np.isin(pairs >> SHIFT, heavy), pairs & LOW, pairs >> SHIFT))
+                place = spread.shards(pairs >> SHIFT, pairs & LOW, (pairs >> SHIFT) * np.uint64(n_light) // span)
                 pair = (keys >> SHIFT).astype(np.int64)
-                shard = np.where(np.isin(pairs, hot)[pair], shard_of(keys & LOW), place[pair])
+                shard = spread_hot.shards(pairs[pair], keys & LOW, place[pair])
                 order = np.argsort(shard, kind="stable")
                 keys, counts, shard = keys[order], counts[order], shard[order]
-                cut = np.searchsorted(shard, np.arange(n_shards + 1, dtype=np.uint64))
-                used = [s for s in range(n_shards) if cut[s] < cut[s + 1]]
+                cut = np.searchsorted(shard, np.arange(spread_hot.after + 1, dtype=np.uint64))
+                used = [s for s in range(spread_hot.after) if cut[s] < cut[s + 1]]
                 blobs = []
                 for s in used:
                     mine, inverse = np.unique(keys[cut[s] : cut[s + 1]] >> SHIFT, return_inverse=True)
@@ -360,16 +390,16 @@ def _count_trigrams(texts: DataFrame, folder: str, model: Model, n_shards: int):
         first = keys >> SHIFT
         inner = first[local] != start
         rows = [{"kind": "trigrams", "numbers": _tally(times[inner])}]
-        # contexts of two words: whole here for light v, partial for heavy v
+        # contexts of two words: whole here for light v, partial for heavy v, which fills its shards alone
         contexts, totals = _sums((first[local] << SHIFT | past)[inner], _marks(times[inner]))
-        shared = np.isin(contexts >> SHIFT, heavy)
-        light = [x[~shared] for x in totals]
-        rows.append(_meta(contexts[~shared], _write_pasts(folder, contexts[~shared], light)) | {"kind": "pasts"})
-        target = shard_of(contexts & LOW)
-        for s in np.unique(target[shared]):
-            mine = shared & (target == s)
-            packed = [_pack(contexts[mine], x[mine]) for x in totals]
-            rows.append({"kind": "shared", "shard": int(s), "blob": b"".join(len(b).to_bytes(8, "little") + b for b in packed)})
+        if np.isin(first, heavy).any():
+            target = spread.shards(contexts >> SHIFT, contexts & LOW, np.zeros(len(contexts), np.uint64))
+            for s in np.unique(target):
+                mine = target == s
+                packed = [_pack(contexts[mine], x[mine]) for x in totals]
+                rows.append({"kind": "shared", "shard": int(s), "blob": b"".join(len(b).to_bytes(8, "little") + b for b in packed)})
+        else:
+            rows.append(_meta(contexts, _write_pasts(folder, contexts, totals)) | {"kind": "pasts"})
         # hot bigrams: the words before them that fall to this shard
         is_hot = np.isin(keys, hot)
         for k in np.flatnonzero(is_hot):
@@ -378,23 +408,22 @@ def _count_trigrams(texts: DataFrame, folder: str, model: Model, n_shards: int):
             rows.append(_meta(own, write_split(folder, own, count=times[mine])) | {"kind": "hot", "numbers": [rank, int(mine.sum())]})
         number = np.bincount(local, minlength=len(keys))
         counts = np.where(first == start, np.bincount(local, times, len(keys)).astype(np.int64), number)
-        spread = np.isin(first, heavy) & ~is_hot
-        for part in [~spread & ~is_hot, *[spread & (first == c) for c in np.unique(first[spread])]]:
-            mine = part[local]
-            files = write_split(folder, keys[part], count=counts[part], members=np.append(0, np.cumsum(number[part])))
-            files += [write_compact(folder, "member", past[mine]), write_compact(folder, "times", times[mine])]
-            rows.append(_meta(keys[part], files) | {"kind": "bigrams", "numbers": _tally(counts[part])})
+        if not is_hot.all():  # a shard holds one hot bigram or none
+            files = write_split(folder, keys, count=counts, members=np.append(0, np.cumsum(number)))
+            files += [write_compact(folder, "member", past), write_compact(folder, "times", times)]
+            rows.append(_meta(keys, files) | {"kind": "bigrams", "numbers": _tally(counts)})
         keys, counts = keys[~is_hot], counts[~is_hot]
         owners, totals = _sums(keys >> SHIFT, _marks(counts))
-        whole = ~np.isin(owners, heavy)
-        rows.append(_meta(owners[whole], [write_array(folder, "contexts", owners[whole]), *[write_array(folder, "totals", x[whole]) for x in totals]]) | {"kind": "contexts"})
-        rows += [{"kind": "heavy", "numbers": [int(owners[i]), *[int(x[i]) for x in totals]]} for i in np.flatnonzero(~whole)]
+        if np.isin(owners, heavy).any():
+            rows.append({"kind": "heavy", "numbers": [int(owners[0]), *[int(x[0]) for x in totals]]})
+        elif len(owners):
+            rows.append(_meta(owners, [write_array(folder, "contexts", owners), *[write_array(folder, "totals", x) for x in totals]]) | {"kind": "contexts"})
         seconds, n = np.unique(keys & LOW, return_counts=True)
         rows += _heads(seconds, n)
         return pa.Table.from_pylist(rows, schema)
 
     def _heads(seconds: np.ndarray, n: np.ndarray) -> list[dict]:
-        cut = np.searchsorted(shard_of(seconds), np.arange(n_shards + 1, dtype=np.uint64))
+        cut = np.searchsorted(seconds * np.uint64(n_shards) // span, np.arange(n_shards + 1, dtype=np.uint64))
         return [{"kind": "heads", "shard": s, "blob": _pack(seconds[cut[s] : cut[s + 1]], n[cut[s] : cut[s + 1]])} for s in range(n_shards) if cut[s] < cut[s + 1]]
 
     def build_second(t: pa.Table) -> pa.Table:
@@ -413,11 +442,7 @@ def _count_trigrams(texts: DataFrame, folder: str, model: Model, n_shards: int):
                 at = n
             columns[0].append(keys)
         keys, totals = _sums(np.concatenate(columns[0]), [np.concatenate(c) for c in columns[1:]])
-        rows = []
-        for c in np.unique(keys >> SHIFT):
-            part = keys >> SHIFT == c
-            rows.append(_meta(keys[part], _write_pasts(folder, keys[part], [x[part] for x in totals])) | {"kind": "pasts"})
-        return pa.Table.from_pylist(rows, schema)
+        return pa.Table.from_pylist([_meta(keys, _write_pasts(folder, keys, totals)) | {"kind": "pasts"}], schema)
 
     kinds = "kind string, shard int, blob binary, files array<string>, first string, last string, count long, numbers array<long>"
     built = materialize(texts.mapInArrow(count, "shard int, blob binary").groupBy("shard").applyInArrow(build, kinds), "trigrams")
